@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from microbook.functions.expr import div, to_double
 from microbook.functions.names import ladder
 from microbook.plans.ordered import DEFAULT, Order, floor_to, layout, over_rows, row_index, running
+from microbook.session import cut_lineage
 
 TRADE_RANK = 2**62
 BLOCK = 16_384
@@ -154,15 +155,20 @@ def book_at(
     far = F.when(F.col("side") == "bid", -F.col("price")).otherwise(F.col("price"))
     ranks = Window.partitionBy(*k, "blk", "pos", "side").orderBy(far)
     held = held.withColumn("_level", F.row_number().over(ranks)).filter(F.col("_level") <= depth)
-    wide = []
-    for side in ("bid", "ask"):
-        for what, value in (("px", "price"), ("sz", "size")):
-            for i, name in enumerate(ladder(side, what, depth), 1):
-                here = (F.col("side") == side) & (F.col("_level") == i)
-                wide.append(F.max(F.when(here, F.col(value))).alias(name))
-    out = held.groupBy(*k, "blk", "pos").agg(F.first("_tick").alias("_tick"), *wide)
-    names = [a for side in ("bid", "ask") for i in range(1, depth + 1) for a in (f"{side}_px_{i:02d}", f"{side}_sz_{i:02d}")]
-    return out.select("_tick.*", *names).drop("blk")
+    level = F.struct(F.col("_level"), F.col("price").alias("px"), F.col("size").alias("sz"))
+    sides = [
+        F.sort_array(F.collect_list(F.when(F.col("side") == side, level))).alias(f"_{side}s") for side in ("bid", "ask")
+    ]
+    out = held.groupBy(*k, "blk", "pos").agg(F.first("_tick").alias("_tick"), *sides)
+    return out.selectExpr("_tick.*", *_wide_columns("_bids", "_asks", depth)).drop("blk")
+
+
+def _wide_columns(bids: str, asks: str, depth: int) -> list[str]:
+    """Ladder columns taken from two level arrays, null where a level is missing."""
+    return [
+        f"get({side}s, {i}).{what} as {name}_{what}_{i + 1:02d}"
+        for name, side in (("bid", bids[:-1]), ("ask", asks[:-1])) for i in range(depth) for what in ("px", "sz")
+    ]
 
 
 def initialised(snapshots: DataFrame) -> DataFrame:
@@ -215,6 +221,8 @@ def reconstruct(
     events = with_event_seq(with_symbol(raw)).filter(F.col("type").isin("depth", "trade", "snapshot"))
     plan = layout(events, order)
     events = row_index(events, order, "pos", plan=plan)
+    if not plan.single:  # numbered once, read by the ticks, the level changes and the carried levels
+        events = cut_lineage(events)
     trade = F.col("trade")
     events = events.withColumns({
         "trade_px": to_double(trade["price"]), "trade_qty": to_double(trade["quantity"]),
@@ -253,12 +261,7 @@ def to_nested(wide: DataFrame, depth: int = 10) -> DataFrame:
 
 def to_wide(nested: DataFrame, depth: int = 10) -> DataFrame:
     """The flat clean row of a nested snapshot, null-padded to `depth` levels."""
-    new = {}
-    for side in ("bid", "ask"):
-        for i in range(1, depth + 1):
-            level = F.try_element_at(F.col(side + "s"), F.lit(i))
-            new[f"{side}_px_{i:02d}"], new[f"{side}_sz_{i:02d}"] = level["px"], level["sz"]
-    return nested.withColumns(new).drop("bids", "asks")
+    return nested.selectExpr("*", *_wide_columns("bids", "asks", depth)).drop("bids", "asks")
 
 
 def side_volume(side: str, depth: int) -> Column:

@@ -22,14 +22,15 @@ from microbook.plans.ordered import DEFAULT, Order, floor_to, layout, over_rows,
 
 def clean_flags(
     df: DataFrame, max_spread_pct: float = 0.1, min_price: float = 0.0, max_price: float | None = None,
-    max_staleness_us: int = 60_000_000, order: Order = DEFAULT,
+    max_staleness_us: int = 60_000_000, order: Order = DEFAULT, time: str | None = None,
 ) -> DataFrame:
     """Add `reject_reason` (null when valid) and `stale`; the first failing check names the reason.
 
     A row below the last valid time is out of order. That time is the running maximum over rows that
-    pass all other checks, because a rejected row never raises it.
+    pass all other checks, because a rejected row never raises it. Rows are taken in `order`; `time`
+    names the checked time if that order is one of arrival.
     """
-    ts, bid, ask = F.col(order.ts), F.col("bid_px_01"), F.col("ask_px_01")
+    ts, bid, ask = F.col(time or order.ts), F.col("bid_px_01"), F.col("ask_px_01")
     bad_price = bid.isNull() | ask.isNull() | (bid < min_price) | (ask < min_price)
     if max_price is not None:
         bad_price = bad_price | (bid > max_price) | (ask > max_price)

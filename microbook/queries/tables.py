@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from microbook.functions.timeutil import to_micros
 from microbook.operators import book
 from microbook.plans.ordered import DEFAULT, Order, over_rows, row_index
-from microbook.session import configure
+from microbook.session import configure, shared_dir
 
 HOUR = 3_600_000_000
 DEPTH = 10
@@ -67,7 +70,28 @@ DELTAS = """deltas as (
     from (select *, cast(json_extract_string(props, '$.k') as bigint) as k from events)))"""
 
 
-def snapshots(spark: SparkSession, sf: str, depth: int = DEPTH, block: int = book.BLOCK, order: Order = DEFAULT) -> DataFrame:
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A derived table, written once per application to the shared folder and read from there.
+
+    Feature and quality queries start from the clean table, as a pipeline of stages would.
+    """
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _STORED:
+        path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+        build().write.parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
+
+
+def snapshots(spark: SparkSession, sf: str) -> DataFrame:
+    """The stored form of `build_snapshots`."""
+    return stored(spark, sf, "snapshots", lambda: build_snapshots(spark, sf))
+
+
+def build_snapshots(spark: SparkSession, sf: str, depth: int = DEPTH, block: int = book.BLOCK, order: Order = DEFAULT) -> DataFrame:
     """The book at the first event of each symbol-hour, with the trade state of that event."""
     d = book.trade_state(deltas(spark, sf, order), order).withColumnRenamed("u", "pos")
     state = ["last_trade_px", "last_trade_qty", "taker_buy_vol", "taker_sell_vol"]
