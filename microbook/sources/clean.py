@@ -20,7 +20,7 @@ def write(df: DataFrame, path: str, depth: int = 10, mode: str = "append", ts: s
     """Write wide rows, or nested snapshots (which are widened)."""
     if "bids" in df.columns:
         df = to_wide(df, depth)
-    writer = _dated(df, ts).write.mode(mode).partitionBy("symbol", "date")
+    writer = _dated(df, ts).hint("rebalance", "symbol", "date").write.mode(mode).partitionBy("symbol", "date")
     writer.option("compression", "zstd").option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
 
 

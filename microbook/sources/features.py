@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import json
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from microbook.functions.timeutil import to_timestamp
 from microbook.operators.features import SCHEMA_VERSION
@@ -23,6 +23,7 @@ def write(df: DataFrame, path: str, mode: str = "append", partitioned: bool = Tr
     out = df
     if partitioned and {"symbol", "ts"} <= set(df.columns):
         out = df.withColumn("date", F.date_format(to_timestamp(F.col("ts")), "yyyy-MM-dd"))
+        out = out.hint("rebalance", "symbol", "date")
         writer = out.write.mode(mode).partitionBy("symbol", "date")
     else:
         writer = out.write.mode(mode)
@@ -49,14 +50,14 @@ def schema(spark: SparkSession, path: str) -> dict[str, str]:
     return dict(read(spark, path).dtypes)
 
 
-def discover(spark: SparkSession, path: str) -> DataFrame:
+def discover(spark: SparkSession, path: str, levels: int = 3) -> DataFrame:
     """Normalised feature files if there are any, else plain ones; sub-folders are searched too."""
     for pattern in ("normalized_features_*.parquet", "features_*.parquet"):
-        found = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
-        try:
-            return found.option("mergeSchema", "true").parquet(path)
-        except AnalysisException:
-            continue
+        for level in range(levels + 1):
+            try:
+                return spark.read.option("mergeSchema", "true").parquet("/".join([path, *["*"] * level, pattern]))
+            except AnalysisException:
+                continue
     raise ValueError(f"no feature files in {path}")
 
 

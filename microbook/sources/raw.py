@@ -74,10 +74,10 @@ def controls(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("_header").isNotNull() | F.col("_footer").isNotNull()).select("file", "_header", "_footer")
 
 
-def reconcile(parsed: DataFrame) -> DataFrame:
-    """Per file, counted records against the footer's counters; `complete` is false without a footer."""
+def reconcile(parsed: DataFrame, by: str = "file") -> DataFrame:
+    """Per file (or another grouping column), counted records against the footer's counters; `complete` is false without a footer."""
     data = F.col("_header").isNull() & F.col("_footer").isNull() & F.col("_corrupt").isNull()
-    counted = parsed.groupBy("file").agg(
+    counted = parsed.groupBy(by).agg(
         F.count_if(data).alias("records"),
         F.count_if(data & (F.col("type") == "depth")).alias("depth_records"),
         F.count_if(data & (F.col("type") == "trade")).alias("trade_records"),
@@ -189,11 +189,17 @@ def bar_view(raw: DataFrame) -> DataFrame:
 
 # --- landing ----------------------------------------------------------------------------------
 
-def land(raw: DataFrame, path: str, max_records: int = 5_000_000, mode: str = "append") -> None:
-    """Write records as Parquet by symbol, date and hour; files roll over at `max_records`."""
+def land(
+    raw: DataFrame, path: str, max_records: int = 5_000_000, mode: str = "append",
+    by: tuple[str, ...] = ("symbol", "date", "hour"),
+) -> None:
+    """Write records as Parquet by symbol, date and hour; files roll over at `max_records`.
+
+    The rebalance hint gathers a folder's rows in few tasks and splits a folder that is too large.
+    """
     at = to_timestamp(F.col("exchange_ts"))
     dated = raw.withColumns({"date": F.date_format(at, "yyyy-MM-dd"), "hour": F.hour(at)})
-    writer = dated.write.mode(mode).partitionBy("symbol", "date", "hour")
+    writer = dated.hint("rebalance", *by).write.mode(mode).partitionBy(*by)
     writer.option("maxRecordsPerFile", max_records).option("compression", "zstd").parquet(path)
 
 

@@ -22,6 +22,10 @@ OUTPUT = (
     "last_trade_px double, last_trade_qty double, taker_buy_vol double, taker_sell_vol double, book_crossed boolean, "
     "sequence_gaps bigint, rejected bigint"
 )
+OUTPUT_COLUMNS = [
+    "symbol", "ts", "seq", "local_ts", "last_update_id", "bids", "asks", "last_trade_px", "last_trade_qty",
+    "taker_buy_vol", "taker_sell_vol", "book_crossed", "sequence_gaps", "rejected",
+]
 STATE = (
     f"bids {LEVEL}, asks {LEVEL}, last_id bigint, snapshot_id bigint, started boolean, last_emit bigint, "
     "local_ts bigint, exchange_ts bigint, px double, qty double, buys double, sells double, gaps bigint, rejected bigint"
@@ -166,8 +170,7 @@ class BookProcessor(StatefulProcessor):
         events = pd.concat(list(rows)).sort_values(["exchange_ts", "event_seq"], kind="stable")
         emitted = book.play(key[0], events)
         self.state.update(book.dump())
-        columns = [part.split()[0] for part in OUTPUT.replace("px:double,sz:double", "").split(", ")]
-        yield pd.DataFrame(emitted, columns=columns)
+        yield pd.DataFrame(emitted, columns=OUTPUT_COLUMNS)
 
     def close(self) -> None:
         pass
