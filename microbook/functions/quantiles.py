@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from microbook.plans.ordered import join_small
+
 
 def exact_quantiles(
     df: DataFrame,
@@ -23,7 +25,8 @@ def exact_quantiles(
     """One row per key with a column per entry of `probs`.
 
     `interpolation` is ``linear`` (between the two neighbouring ranks) or ``nearest``.
-    `few_keys` may be set when the number of keys has a fixed bound; brackets are then broadcast.
+    `few_keys` may be set when the number of keys has a fixed bound; else brackets are counted before
+    they are broadcast.
     """
     keyed = list(keys) or ["_all"]
     rows = df if keys else df.withColumn("_all", F.lit(0))
@@ -38,8 +41,9 @@ def exact_quantiles(
         F.percentile_approx("_x", edges, accuracy).alias("_edge"),
     )
     if few_keys or not keys:
-        brackets = F.broadcast(brackets)
-    held = rows.join(brackets, keyed)
+        held = rows.join(F.broadcast(brackets), keyed)
+    else:
+        held = join_small(rows, brackets, keyed)
 
     low = [F.col("_edge")[2 * i] for i in range(len(probs))]
     high = [F.col("_edge")[2 * i + 1] for i in range(len(probs))]

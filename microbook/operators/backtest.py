@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from microbook.functions.expr import clip, div
 from microbook.functions.quantiles import exact_quantiles
-from microbook.plans.ordered import DEFAULT, Order, layout, over_rows, row_index, running
+from microbook.plans.ordered import DEFAULT, Order, join_small, layout, over_rows, row_index, running
+from microbook.session import cut_lineage
 
 # Periods per year used to annualise.
 TICKS_100MS = 252 * 24 * 60 * 60 * 10
@@ -68,7 +69,10 @@ def performance(df: DataFrame, order: Order = DEFAULT, factor: float = TICKS_100
     Deviations are those of the population. Without a negative return's spread, Sortino is Sharpe;
     without losses the profit factor is infinite; all-zero returns give zeros.
     """
-    df = running(df, {"_peak": ("max", F.col("cumulative_pnl"))}, order)
+    plan = layout(df, order)
+    if not plan.single:  # block totals below would replay the profit calculation
+        df = cut_lineage(df.select(*order.keys, *order.columns, "net_return", "cumulative_pnl", "is_trade"))
+    df = running(df, {"_peak": ("max", F.col("cumulative_pnl"))}, order, plan=plan)
     r = F.col("net_return")
     one = df.groupBy(*order.keys).agg(
         F.sum(r).alias("total"), F.avg(r).alias("mean"), F.stddev_pop(r).alias("dev"),
@@ -138,7 +142,7 @@ def directional_accuracy(
     if threshold == "percentile":
         levels = exact_quantiles(df, F.abs(F.col(actual).cast("double")), {"_t": 0.33}, keys)
         if keys:
-            df = df.join(levels, list(keys))
+            df = join_small(df, levels, list(keys))
         else:
             df = df.withColumn("_one", F.lit(1)).join(F.broadcast(levels.withColumn("_one", F.lit(1))), "_one").drop("_one")
     else:
@@ -179,6 +183,8 @@ def trading_metrics(
     df = over_rows(df, build, order, back=1, plan=plan)
     df = df.withColumn("_net", F.col(actual) * F.col("_pos") - F.col("_change") * F.lit(cost))
     df = running(df, {"_cum": ("sum", F.col("_net"))}, order, plan=plan)
+    if not plan.single:
+        df = cut_lineage(df.select(*order.keys, *order.columns, "_net", "_cum", "_change"))
     df = running(df, {"_peak": ("max", F.col("_cum"))}, order, plan=plan)
     r = F.col("_net")
     one = df.groupBy(*order.keys).agg(
@@ -211,7 +217,9 @@ def with_equity(df: DataFrame, returns: str = "r", order: Order = DEFAULT, plan=
 def compound_metrics(df: DataFrame, returns: str = "r", order: Order = DEFAULT, factor: float = HOURS) -> DataFrame:
     """Metrics of a return series that compounds."""
     plan = layout(df, order)
-    df = with_equity(df, returns, order, plan)
+    df = with_equity(df.select(*order.keys, *order.columns, returns), returns, order, plan)
+    if not plan.single:
+        df = cut_lineage(df)
     df = running(df, {"_peak": ("max", F.col("equity"))}, order, plan=plan)
     r = F.col(returns)
     n = F.count(r).cast("double")
@@ -267,6 +275,6 @@ def pnl_curve(df: DataFrame, fold: str = "fold", order: Order = DEFAULT) -> Data
     totals = df.groupBy(*keys, fold).agg(F.sum("net_return").alias("_end"))
     whole = Order(tuple(keys), fold, (), order.block_rows, 1)
     totals = running(totals.withColumn(fold, F.col(fold).cast("bigint")), {"_offset": ("sum", F.col("_end"))}, whole, exclusive=True)
-    df = df.withColumn(fold, F.col(fold).cast("bigint")).join(totals.drop("_end"), [*keys, fold])
+    df = join_small(df.withColumn(fold, F.col(fold).cast("bigint")), totals.drop("_end"), [*keys, fold])
     value = F.col("cumulative_pnl") + F.coalesce("_offset", F.lit(0.0))
     return df.select(*keys, fold, (F.col("_rn") - 1).alias("idx"), value.alias("cumulative_pnl"))

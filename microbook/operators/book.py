@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from microbook.functions.expr import div, to_double
 from microbook.functions.names import ladder
-from microbook.plans.ordered import DEFAULT, Order, floor_to, layout, over_rows, row_index, running
+from microbook.plans.ordered import DEFAULT, Order, floor_to, join_small, layout, over_rows, row_index, running
 from microbook.session import cut_lineage
 
 TRADE_RANK = 2**62
@@ -122,7 +122,7 @@ def _block_intervals(deltas: DataFrame, ends: DataFrame, keys: list[str], block:
     closing = closing.withColumns({
         "_next": F.lead("blk").over(by_level), "_touch": F.lead("_first").over(by_level)
     })
-    open_ = closing.filter(F.col("size") != 0).join(ends, keys)
+    open_ = join_small(closing.filter(F.col("size") != 0), ends, keys)
     upto = F.coalesce("_next", "_last")
     carried = open_.filter(upto > F.col("blk")).select(
         *at, "size", F.explode(F.sequence(F.col("blk") + 1, upto)).alias("blk"), "_next", "_touch"

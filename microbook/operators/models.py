@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from microbook.operators import backtest
 from microbook.operators.splits import time_series_folds, walk_forward_blocks
 from microbook.plans.ordered import DEFAULT, Order
+from microbook.session import cut_lineage
 
 # Default penalties and search grids.
 DEFAULTS = {
@@ -87,7 +88,7 @@ def importance(spark, model, features: list[str], top: int | None = None) -> Dat
 
 def search_linear(df: DataFrame, features: list[str], label: str = "target", kind: str = "ridge", n_splits: int = 5, order: Order = DEFAULT) -> DataFrame:
     """Mean squared error of every grid point over expanding folds, best first."""
-    folds = time_series_folds(df.filter(F.col(label).isNotNull()), n_splits, order)
+    folds = cut_lineage(time_series_folds(df.filter(F.col(label).isNotNull()), n_splits, order))
     scored = []
     for i, params in enumerate(GRIDS[kind]):
         for fold in range(n_splits):
@@ -126,6 +127,7 @@ def walk_forward_backtest(
     Follow with `fold_results`. Scale features beforehand with statistics of the first training range.
     """
     folds = walk_forward_blocks(df.filter(F.col(label).isNotNull()), n_splits, train_window, test_window, order)
+    folds = cut_lineage(folds)
     scored = []
     for fold in range(n_splits):
         part = folds.filter(F.col("fold") == fold)

@@ -306,7 +306,11 @@ def running(
     return out.drop(*drop)
 
 
-def with_key_totals(df: DataFrame, totals: dict[str, Column], keys: tuple[str, ...]) -> DataFrame:
-    """Join per-key aggregates back on every row; the aggregate is combined map-side."""
-    per_key = df.groupBy(*keys).agg(*[c.alias(n) for n, c in totals.items()])
-    return df.join(per_key, list(keys), "left")
+def join_small(df: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join a table that is expected to be small, such as one row per key.
+
+    It is written once and counted; up to `BROADCAST_ROWS` rows it is broadcast, so the rows of a hot
+    key are not shuffled. Beyond that the join shuffles and AQE splits skewed keys.
+    """
+    small = cut_lineage(small)
+    return df.join(F.broadcast(small) if small.count() <= BROADCAST_ROWS else small, on, how)

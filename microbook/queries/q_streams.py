@@ -10,23 +10,17 @@ from microbook.queries.q_features import ALL, ALL_NAMES, ALL_SELECT, ALL_SNAP
 from microbook.queries.q_sources import fresh, trade_records
 from microbook.queries.q_training import STANDARD, TRAIN, scaling_table
 from microbook.queries.registry import query, snap_sql, snapped, with_ctes
-from microbook.queries.tables import CLEAN, DELTAS, HOUR, SNAPSHOTS, TRADES, clean_rows, deltas, stored, trades
+from microbook.queries.tables import CLEAN, DELTAS, HOUR, SNAPSHOTS, TRADES, clean_rows, deltas, stored_path, trades
 from microbook.streaming import book_fold, feature_stream, ingest, windows
 
-SLICES = 4
 LATE = "2 hours"
 LATE_US = 2 * HOUR
 
 
 def _trade_stream(spark, sf):
-    """Trades landed in time slices, streamed file by file."""
-    def land():
-        path = fresh(spark, "trade-slices")
-        ingest.land_in_slices(trades(spark, sf), path, "ts", SLICES)
-        return path
-
-    source = _source(spark, sf, "trades", land)
-    return ingest.with_event_time(ingest.stream_table(spark, source, files_per_trigger=5), late=LATE)
+    """The trade table as a stream with event time; the trigger takes what is there, in parallel."""
+    source = stored_path(spark, sf, "trades", lambda: trades(spark, sf))
+    return ingest.with_event_time(ingest.stream_table(spark, source), late=LATE)
 
 
 _SOURCES: dict[tuple[str, str, str], str] = {}
@@ -81,8 +75,7 @@ def stream_deduplicated(spark, sf):
 @query("stream_counters", "select count(*) as records, 0::bigint as depth, count(*) as trades, 0::bigint as broken, max(event_id % 1000)::bigint as max_latency_us from events")
 def stream_counters(spark, sf):
     """Counters observed while records stream, added up per micro-batch."""
-    path = stored(spark, sf, "trade_records", lambda: trade_records(spark, sf))
-    source = path.inputFiles()[0].rsplit("/", 1)[0]
+    source = stored_path(spark, sf, "trade_records", lambda: trade_records(spark, sf))
     stream = ingest.stream_table(spark, source).withColumn("_corrupt", F.lit(None).cast("string"))
     sums = [F.count(F.lit(1)).alias("records"), F.count_if(F.col("type") == "depth").alias("depth"), F.count_if(F.col("type") == "trade").alias("trades"),
             F.count("_corrupt").alias("broken"), F.max(F.col("local_ts") - F.col("exchange_ts")).alias("max_latency_us")]
@@ -109,7 +102,7 @@ def stream_scaled(spark, sf):
 
 def _land(spark, df, name):
     path = fresh(spark, name)
-    ingest.land_in_slices(df, path, "ts", SLICES)
+    ingest.land_in_slices(df, path, "ts")
     return path
 
 
@@ -134,7 +127,7 @@ def _book_source(spark, sf):
 
 def _land_events(spark, events):
     path = fresh(spark, "book-slices")
-    ingest.land_in_slices(events, path, "exchange_ts", SLICES)
+    ingest.land_in_slices(events, path, "exchange_ts")
     return path
 
 
@@ -146,7 +139,7 @@ FOLD_SQL = SNAPSHOTS.replace("sum(case when not buyer_is_maker then trade_qty el
 def stream_book(spark, sf):
     """Books kept as streaming state, a snapshot per hour: equal to the books rebuilt by joins."""
     rules = book_fold.Rules(emit="grid", interval_us=HOUR)
-    stream = ingest.stream_table(spark, _book_source(spark, sf), files_per_trigger=5)
+    stream = ingest.stream_table(spark, _book_source(spark, sf), files_per_trigger=1)
     out = book.to_wide(_drained(spark, book_fold.fold_books(stream, rules), "books"))
     return out.select("symbol", "ts", "last_update_id", "bid_px_01", "bid_sz_01", "bid_px_05", "ask_px_01", "ask_sz_01", "ask_sz_05", "taker_buy_vol")
 
@@ -155,7 +148,7 @@ def stream_book(spark, sf):
 def stream_book_greedy(spark, sf):
     """Greedy thinning to an interval of six hours, gapped updates rejected."""
     rules = book_fold.Rules(rule="reject", emit="greedy", interval_us=6 * HOUR)
-    stream = ingest.stream_table(spark, _book_source(spark, sf), files_per_trigger=5)
+    stream = ingest.stream_table(spark, _book_source(spark, sf), files_per_trigger=1)
     return book.to_wide(_drained(spark, book_fold.fold_books(stream, rules), "books-greedy"))
 
 
@@ -164,6 +157,6 @@ def stream_features(spark, sf):
     """Features computed per micro-batch equal those of the whole table."""
     source = _source(spark, sf, "clean-slices", lambda: _land(spark, clean_rows(spark, sf), "clean-slices"))
     out, history = fresh(spark, "stream-features"), fresh(spark, "stream-history")
-    stream = ingest.stream_table(spark, source, files_per_trigger=5)
+    stream = ingest.stream_table(spark, source, files_per_trigger=1)
     ingest.drain_batches(stream, lambda batch, i: feature_stream.feature_batch(batch, i, out, history), fresh(spark, "features-checkpoint"))
     return snapped(spark.read.parquet(out).select("symbol", "ts", "seq", *ALL_NAMES), *ALL_SNAP)

@@ -73,8 +73,8 @@ DELTAS = """deltas as (
 _STORED: dict[tuple[str, str, str], str] = {}
 
 
-def stored(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """A derived table, written once per application to the shared folder and read from there.
+def stored_path(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame]) -> str:
+    """Folder of a derived table, written once per application to the shared folder.
 
     Feature and quality queries start from the clean table, as a pipeline of stages would.
     """
@@ -83,7 +83,12 @@ def stored(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFram
         path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
         build().write.parquet(path)
         _STORED[key] = path
-    return spark.read.parquet(_STORED[key])
+    return _STORED[key]
+
+
+def stored(spark: SparkSession, sf: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A derived table, read from where `stored_path` put it."""
+    return spark.read.parquet(stored_path(spark, sf, name, build))
 
 
 def snapshots(spark: SparkSession, sf: str) -> DataFrame:

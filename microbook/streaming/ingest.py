@@ -59,14 +59,23 @@ def drain_batches(df: DataFrame, each: Callable[[DataFrame, int], None], checkpo
     return query
 
 
-def land_in_slices(df: DataFrame, path: str, ts: str, slices: int, key: str = "symbol") -> None:
-    """Write `df` in consecutive time slices, a file per key and slice, as a collector would.
+def land_in_slices(
+    df: DataFrame, path: str, ts: str, rows_per_slice: int = 2_000_000, at_least: int = 4
+) -> int:
+    """Write `df` as consecutive time slices of about equal size, one bounded file each.
 
-    A stream over `path` then meets the rows of a key in time order, one slice after the other.
+    A stream over `path` that takes whole files meets the rows in time order, as it does behind a
+    collector that rotates its files. Returns the number of slices.
     """
-    first, last = df.agg(F.min(ts), F.max(ts)).first()
-    width = (last - first) // slices + 1
-    for i in range(slices):
-        low = first + i * width
-        part = df.filter((F.col(ts) >= low) & (F.col(ts) < low + width))
-        part.repartition(key).write.mode("append").parquet(path)
+    rows = df.count()
+    n = max(at_least, -(-rows // rows_per_slice))
+    cuts = df.agg(F.percentile_approx(ts, [i / n for i in range(1, n)], min(100 * n, 1_000_000))).first()[0] or []
+    cuts = sorted(set(cuts))
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        inside = F.lit(True)
+        if low is not None:
+            inside = inside & (F.col(ts) > low)
+        if high is not None:
+            inside = inside & (F.col(ts) <= high)
+        df.filter(inside).repartition(1).write.mode("append").parquet(path)
+    return len(cuts) + 1
