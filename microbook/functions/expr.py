@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 
-from pyspark.sql import Column, WindowSpec
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 
@@ -38,12 +38,96 @@ def price_key(price: Column) -> Column:
 
 
 _ROLL = {"sum": F.sum, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-
-
-def rolling(kind: str, value: Column, n: int, window: WindowSpec) -> Column:
-    """Aggregate of the last `n` rows; null until there are `n` rows, none of them null."""
-    frame = window.rowsBetween(-(n - 1), 0)
-    return F.when(F.count(value).over(frame) == n, _ROLL[kind](value).over(frame))
+SHORT = 8  # frames up to this length are walked row by row
+
+
+def _powers(n: int) -> list[int]:
+    """The powers of two that add up to `n`, largest first."""
+    return [1 << b for b in range(n.bit_length() - 1, -1, -1) if n >> b & 1]
+
+
+def _both(pick: Callable[..., Column], a: Column, b: Column) -> Column:
+    """least or greatest of two values, null if one is."""
+    return F.when(a.isNotNull() & b.isNotNull(), pick(a, b))
+
+
+def add_rolling(df: DataFrame, window: WindowSpec, specs: dict[str, tuple[str, Column, int]]) -> DataFrame:
+    """Add aggregates (kind, value, n) of the last `n` rows; null until there are `n`, none of them null.
+
+    Spark walks a sliding frame anew for every row. Longer frames are put together by doubling: the
+    aggregate of 2k rows is that of the last k and of the k before them, one `lag` away, so a row
+    costs log(n) instead of n. Nulls spread through the arithmetic and give the warm-up rule. Kinds
+    are sum, mean, std (sample), min and max; deviations merge means and squared deviations.
+    """
+    values: dict[str, tuple[str, Column]] = {}
+    for _, x, _ in specs.values():
+        values.setdefault(str(x), (f"_x{len(values)}", x.cast("double")))
+    df = df.withColumns(dict(values.values()))
+
+    longest: dict[tuple[str, str], int] = {}  # (family, value) -> longest frame
+    for kind, x, n in specs.values():
+        family = "sum" if kind == "mean" else kind
+        if n > SHORT:
+            key = (family, values[str(x)][0])
+            longest[key] = max(longest.get(key, 0), n)
+
+    def part(family: str, name: str, rows: int) -> str:
+        return name if rows == 1 and family != "std" else f"{name}_{family}_{rows}"
+
+    added = [name for name, _ in values.values()]
+    start = {}
+    for family, name in longest:
+        if family == "std":
+            start |= {part("std", name, 1): F.col(name), part("std", name, 1) + "q": F.col(name) * 0.0}
+    df, added = df.withColumns(start) if start else df, added + list(start)
+    rows = 2
+    while any(n >= rows for n in longest.values()):
+        half, new = rows // 2, {}
+        for (family, name), n in longest.items():
+            if n < rows:
+                continue
+            here = part(family, name, half)
+            a, b = F.col(here), F.lag(here, half).over(window)
+            out = part(family, name, rows)
+            if family == "sum":
+                new[out] = a + b
+            elif family == "std":
+                new[out] = (a + b) / 2
+                new[out + "q"] = F.col(here + "q") + F.lag(here + "q", half).over(window) + (a - b) * (a - b) * (half / 2)
+            else:
+                new[out] = _both(F.least if family == "min" else F.greatest, a, b)
+        df, added, rows = df.withColumns(new), added + list(new), rows * 2
+
+    results = {}
+    for out, (kind, x, n) in specs.items():
+        name = values[str(x)][0]
+        if n <= SHORT:
+            frame = window.rowsBetween(-(n - 1), 0)
+            results[out] = F.when(F.count(name).over(frame) == n, _ROLL[kind](name).over(frame))
+            continue
+        family = "sum" if kind == "mean" else kind
+
+        def at(rows: int, offset: int, suffix: str = "", family: str = family, name: str = name) -> Column:
+            column = part(family, name, rows) + suffix
+            return F.lag(column, offset).over(window) if offset else F.col(column)
+
+        if kind in ("min", "max"):
+            top = _powers(n)[0]
+            pick = F.least if kind == "min" else F.greatest
+            results[out] = at(top, 0) if top == n else _both(pick, at(top, 0), at(top, n - top))
+            continue
+        pieces, offset = [], 0
+        for rows in _powers(n):
+            pieces.append((rows, offset))
+            offset += rows
+        if kind == "std":
+            mean = add_all(at(r, o) * r for r, o in pieces) / n
+            squares = add_all(at(r, o, "q") + (at(r, o) - mean) * (at(r, o) - mean) * r for r, o in pieces)
+            results[out] = F.sqrt(squares / (n - 1))
+        else:
+            total = add_all(at(r, o) for r, o in pieces)
+            results[out] = total / n if kind == "mean" else total
+    return df.withColumns(results).drop(*added)
 
 
 def step(value: Column, window: WindowSpec, k: int = 1) -> Column:

@@ -98,7 +98,7 @@ def explode_levels(raw: DataFrame, *carry: str) -> DataFrame:
     return rows.groupBy(*carry, "side", "price").agg(F.max_by("size", "i").alias("size"))
 
 
-def level_intervals(deltas: DataFrame, pos: str = "u", keys: tuple[str, ...] = ("symbol",), block_rows: int = 1_000_000) -> DataFrame:
+def level_intervals(deltas: DataFrame, pos: str = "u", keys: tuple[str, ...] = ("symbol",), block_rows: int | None = None) -> DataFrame:
     """Upserts and deletes as intervals [valid_from, valid_to) of each open level."""
     order = Order((*keys, "side", "price"), pos, (), block_rows)
     out = over_rows(deltas, lambda d, w: d.withColumn("valid_to", F.lead(pos).over(w)), order, ahead=1)
@@ -211,7 +211,7 @@ def trade_state(events: DataFrame, order: Order = DEFAULT, plan=None) -> DataFra
 
 def reconstruct(
     raw: DataFrame, interval_us: int = 100_000, depth: int = 10, block: int = BLOCK,
-    block_rows: int = 1_000_000,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Raw depth, trade and snapshot records to clean rows, one per symbol and grid interval.
 
@@ -221,8 +221,6 @@ def reconstruct(
     events = with_event_seq(with_symbol(raw)).filter(F.col("type").isin("depth", "trade", "snapshot"))
     plan = layout(events, order)
     events = row_index(events, order, "pos", plan=plan)
-    if not plan.single:  # numbered once, read by the ticks, the level changes and the carried levels
-        events = cut_lineage(events)
     trade = F.col("trade")
     events = events.withColumns({
         "trade_px": to_double(trade["price"]), "trade_qty": to_double(trade["quantity"]),
@@ -233,6 +231,8 @@ def reconstruct(
         "epoch": ("count", F.when(F.col("type") == "snapshot", F.lit(1))),
         "update_id": ("last", F.col("last_update_id")),
     }, order, plan=plan)
+    # numbered once, read by the ticks, the level changes and the carried levels
+    events = cut_lineage(events.drop("trade", "liquidation", "kline", "meta"))
     deltas = explode_levels(events.filter(F.col("type") != "trade"), "symbol", "epoch", "pos")
     ticks = grid_ticks(
         events.select("symbol", "exchange_ts", "event_seq", "local_ts", "update_id", "epoch", "pos",

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from microbook.functions.expr import add_all, div, rolling, step
+from microbook.functions.expr import add_all, add_rolling, div, step
 from microbook.functions.names import ladder
 from microbook.plans.ordered import DEFAULT, Layout, Order, layout, over_rows, running
 
@@ -114,32 +114,74 @@ def queue_imbalance(df: DataFrame, depth: int = 10) -> DataFrame:
 
 
 # --- features with history: (df, window) -> df -----------------------------------------------
+# Each is made of steps to the row before, rolling aggregates, and arithmetic on them, so that the
+# whole pipeline can share its passes.
 
-def order_flow(df: DataFrame, w: WindowSpec, window: int = 10, price_aware: bool = True) -> DataFrame:
-    """Size changes at the touch, their difference (ofi), its price-aware form and rolling sum."""
-    df = df.withColumns({"delta_bid_sz": step(_sz("bid"), w), "delta_ask_sz": step(_sz("ask"), w)})
-    df = df.withColumn("ofi", F.col("delta_bid_sz") - F.col("delta_ask_sz"))
+Rolls = dict[str, tuple[str, Column, int]]
+
+
+def _flow_steps(df: DataFrame, w: WindowSpec, price_aware: bool) -> DataFrame:
+    new = {"delta_bid_sz": step(_sz("bid"), w), "delta_ask_sz": step(_sz("ask"), w)}
+    if price_aware:
+        new |= {"delta_bid_px": step(_px("bid"), w), "delta_ask_px": step(_px("ask"), w)}
+    df = df.withColumns(new).withColumn("ofi", F.col("delta_bid_sz") - F.col("delta_ask_sz"))
     if price_aware:
-        df = df.withColumns({"delta_bid_px": step(_px("bid"), w), "delta_ask_px": step(_px("ask"), w)})
         up = F.when(F.col("delta_bid_px") > 0, _sz("bid")).otherwise(0.0)
         down = F.when(F.col("delta_ask_px") < 0, _sz("ask")).otherwise(0.0)
         df = df.withColumn("ofi_enhanced", F.col("ofi") + up - down)
-    if window > 1:
-        df = df.withColumn(f"ofi_{window}", rolling("sum", F.col("ofi"), window, w))
     return df
 
 
+def _flow_rolls(window: int) -> Rolls:
+    return {f"ofi_{window}": ("sum", F.col("ofi"), window)} if window > 1 else {}
+
+
+def order_flow(df: DataFrame, w: WindowSpec, window: int = 10, price_aware: bool = True) -> DataFrame:
+    """Size changes at the touch, their difference (ofi), its price-aware form and rolling sum."""
+    return add_rolling(_flow_steps(df, w, price_aware), w, _flow_rolls(window))
+
+
 def returns(df: DataFrame, w: WindowSpec) -> DataFrame:
     """Log return of the mid price."""
     return df.withColumn("returns", step(F.ln("midprice"), w))
 
 
+def _volatility_rolls(windows: tuple[int, ...]) -> Rolls:
+    return {f"volatility_{n}": ("std", F.col("returns"), n) for n in windows}
+
+
+def _of_vol_rolls() -> Rolls:
+    return {"vol_of_vol": ("std", F.col("volatility_20"), VOL_OF_VOL_WINDOW)}
+
+
 def volatility(df: DataFrame, w: WindowSpec, windows: tuple[int, ...] = (20, 50, 100), of_vol: bool = True) -> DataFrame:
     """Rolling sample deviation of returns, and of the 20-row volatility itself."""
-    df = df.withColumns({f"volatility_{n}": rolling("std", F.col("returns"), n, w) for n in windows})
-    if of_vol and 20 in windows:
-        df = df.withColumn("vol_of_vol", rolling("std", F.col("volatility_20"), VOL_OF_VOL_WINDOW, w))
-    return df
+    df = add_rolling(df, w, _volatility_rolls(windows))
+    return add_rolling(df, w, _of_vol_rolls()) if of_vol and 20 in windows else df
+
+
+def _kyle_steps(df: DataFrame, w: WindowSpec) -> DataFrame:
+    df = df.withColumn("price_change", step(F.col("midprice"), w))
+    if "signed_volume" in df.columns:
+        return df
+    if "taker_buy_vol" in df.columns and "taker_sell_vol" in df.columns:
+        return df.withColumn("signed_volume", F.col("taker_buy_vol") - F.col("taker_sell_vol"))
+    return df.withColumn("signed_volume", F.col("ofi") if "ofi" in df.columns else F.lit(0.0))
+
+
+def _kyle_means(window: int) -> Rolls:
+    return {"_mp": ("mean", F.col("price_change"), window), "_mv": ("mean", F.col("signed_volume"), window)}
+
+
+def _kyle_products(window: int) -> Rolls:
+    change = F.col("price_change") - F.col("_mp")
+    volume = F.col("signed_volume") - F.col("_mv")
+    return {"_cov": ("mean", change * volume, window), "_var": ("mean", volume * volume, window)}
+
+
+def _kyle_ratio(df: DataFrame) -> DataFrame:
+    impact = F.when(F.col("_var") > 0, F.col("_cov") / F.col("_var")).otherwise(0.0)
+    return df.withColumn("kyle_lambda", impact).drop("_mp", "_mv", "_cov", "_var")
 
 
 def kyle_lambda(df: DataFrame, w: WindowSpec, window: int = KYLE_WINDOW) -> DataFrame:
@@ -147,35 +189,24 @@ def kyle_lambda(df: DataFrame, w: WindowSpec, window: int = KYLE_WINDOW) -> Data
 
     Each deviation is taken from its own row's rolling mean. Warm-up rows and zero variance give 0.
     """
-    df = df.withColumn("price_change", step(F.col("midprice"), w))
-    if "signed_volume" not in df.columns:
-        if "taker_buy_vol" in df.columns and "taker_sell_vol" in df.columns:
-            volume = F.col("taker_buy_vol") - F.col("taker_sell_vol")
-        else:
-            volume = F.col("ofi") if "ofi" in df.columns else F.lit(0.0)
-        df = df.withColumn("signed_volume", volume)
-    change, volume = F.col("price_change"), F.col("signed_volume")
-    df = df.withColumns({
-        "_dp": change - rolling("mean", change, window, w),
-        "_dv": volume - rolling("mean", volume, window, w),
-    })
-    cov = rolling("mean", F.col("_dp") * F.col("_dv"), window, w)
-    var = rolling("mean", F.col("_dv") * F.col("_dv"), window, w)
-    df = df.withColumns({"_cov": cov, "_var": var})
-    impact = F.when(F.col("_var") > 0, F.col("_cov") / F.col("_var")).otherwise(0.0)
-    return df.withColumn("kyle_lambda", impact).drop("_dp", "_dv", "_cov", "_var")
+    df = add_rolling(_kyle_steps(df, w), w, _kyle_means(window))
+    return _kyle_ratio(add_rolling(df, w, _kyle_products(window)))
+
+
+def _vpin_rolls(window: int) -> Rolls:
+    return {"_buys": ("sum", F.col("taker_buy_vol"), window), "_sells": ("sum", F.col("taker_sell_vol"), window)}
+
+
+def _vpin_ratio(df: DataFrame) -> DataFrame:
+    b, s = F.col("_buys"), F.col("_sells")
+    return df.withColumn("vpin", F.when(b + s > 0, F.abs(b - s) / (b + s)).otherwise(0.0)).drop("_buys", "_sells")
 
 
 def vpin(df: DataFrame, w: WindowSpec, window: int = VPIN_WINDOW) -> DataFrame:
     """|buys - sells| / (buys + sells) over the last rows; 0 in warm-up and without volume."""
     if "taker_buy_vol" not in df.columns:
         return df.withColumn("vpin", F.lit(0.0))
-    df = df.withColumns({
-        "_buys": rolling("sum", F.col("taker_buy_vol"), window, w),
-        "_sells": rolling("sum", F.col("taker_sell_vol"), window, w),
-    })
-    b, s = F.col("_buys"), F.col("_sells")
-    return df.withColumn("vpin", F.when(b + s > 0, F.abs(b - s) / (b + s)).otherwise(0.0)).drop("_buys", "_sells")
+    return _vpin_ratio(add_rolling(df, w, _vpin_rolls(window)))
 
 
 def ofi_cumulative(df: DataFrame, order: Order = DEFAULT, plan: Layout | None = None) -> DataFrame:
@@ -200,12 +231,15 @@ def all_features(df: DataFrame, order: Order = DEFAULT, version: int = 2, depth:
         df = queue_imbalance(ladder_slope(df, depth=depth), depth=depth)
 
     def history(d: DataFrame, w: WindowSpec) -> DataFrame:
-        d = order_flow(d, w, ofi_window, price_aware=version == 2)
-        d = returns(d, w)
+        d = returns(_flow_steps(d, w, price_aware=version == 2), w)
         if version == 1:
-            return volatility(d, w, (20, 100), of_vol=False)
-        d = volatility(d, w)
-        return vpin(kyle_lambda(d, w), w)
+            return add_rolling(d, w, _flow_rolls(ofi_window) | _volatility_rolls((20, 100)))
+        d = _kyle_steps(d, w)
+        d = add_rolling(d, w, (
+            _flow_rolls(ofi_window) | _volatility_rolls((20, 50, 100)) | _kyle_means(KYLE_WINDOW) | _vpin_rolls(VPIN_WINDOW)
+        ))
+        d = add_rolling(d, w, _of_vol_rolls() | _kyle_products(KYLE_WINDOW))
+        return _vpin_ratio(_kyle_ratio(d))
 
     plan = layout(df, order)
     df = over_rows(df, history, order, back=2 * KYLE_WINDOW - 1, plan=plan)
@@ -233,8 +267,8 @@ def rolling_features(
     columns = [c for c in columns if c in df.columns]
 
     def build(d: DataFrame, w: WindowSpec) -> DataFrame:
-        return d.withColumns({
-            f"{c}_{k}_{n}": rolling(k, F.col(c), n, w) for c in columns for n in windows for k in kinds
+        return add_rolling(d, w, {
+            f"{c}_{k}_{n}": (k, F.col(c), n) for c in columns for n in windows for k in kinds
         })
 
     return over_rows(df, build, order, back=max(windows) - 1)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from microbook.functions import names
-from microbook.functions.expr import any_of, div, rolling, step
+from microbook.functions.expr import add_rolling, any_of, div, step
 from microbook.functions.quantiles import exact_quantiles
 from microbook.functions.timeutil import unit_of
 from microbook.plans.ordered import DEFAULT, Order, floor_to, layout, over_rows, running
@@ -149,9 +149,7 @@ def book_report(
         d = d.withColumns(new)
         if sizes:
             d = d.withColumns({"_db": step(F.col("bid_sz_01"), w), "_da": step(F.col("ask_sz_01"), w)})
-            d = d.withColumns({
-                "_sb": rolling("sum", F.col("_db"), window, w), "_sa": rolling("sum", F.col("_da"), window, w)
-            })
+            d = add_rolling(d, w, {"_sb": ("sum", F.col("_db"), window), "_sa": ("sum", F.col("_da"), window)})
         return d
 
     rows = over_rows(df, build, arrival, back=window)

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from microbook.session import BROADCAST_ROWS, cut_lineage
 
 NO_TIE = -(2**63)
+BLOCK_ROWS = (131_072, 1_048_576)
 TIE_WIDTHS = (2**40, 2**30, 2**20, 2**10, 1)
 
 
@@ -32,12 +33,13 @@ class Order:
     """How rows are keyed and ordered: `keys`, then (`ts`, *`ties`); `ts` is a bigint.
 
     `ties` makes the order total; its first column must be a bigint (it may cut equal timestamps).
+    Without `block_rows`, blocks hold a fair share of the rows per core, within `BLOCK_ROWS`.
     """
 
     keys: tuple[str, ...] = ("symbol",)
     ts: str = "ts"
     ties: tuple[str, ...] = ("seq",)
-    block_rows: int = 1_000_000
+    block_rows: int | None = None
     cell: int = 3_600_000_000
 
     @property
@@ -66,12 +68,11 @@ def floor_to(value: Column, width: int) -> Column:
 class Layout:
     """Block boundaries of one ordered table (see `layout`)."""
 
-    def __init__(self, order: Order, cells: DataFrame | None, n_cells: int, hot: list, n_keys: int):
+    def __init__(self, order: Order, cells: DataFrame | None, n_cells: int, hot: list):
         self.order = order
         self.cells = cells
         self.n_cells = n_cells
         self.hot = hot
-        self.n_keys = n_keys
 
     @property
     def single(self) -> bool:
@@ -144,11 +145,14 @@ def layout(df: DataFrame, order: Order = DEFAULT) -> Layout:
         count_cells([])
         .groupBy(*keys)
         .agg(F.sum("_n").alias("rows"))
-        .agg(F.max("rows"), F.count(F.lit(1)))
+        .agg(F.max("rows"), F.sum("rows"))
         .first()
     )
+    if order.block_rows is None:
+        share = (sizes[1] or 0) // (2 * df.sparkSession.sparkContext.defaultParallelism)
+        order = order.blocks(min(max(share, BLOCK_ROWS[0]), BLOCK_ROWS[1]))
     if (sizes[0] or 0) <= order.block_rows:
-        return Layout(order, None, 0, [], sizes[1])
+        return Layout(order, None, 0, [])
 
     limit = max(order.block_rows // 16, 1)
     steps = []
@@ -179,7 +183,7 @@ def layout(df: DataFrame, order: Order = DEFAULT) -> Layout:
         .withColumn("_hi", F.max("_end").over(block))
     )
     cells = cut_lineage(cells)
-    return Layout(order, cells, cells.count(), hot, sizes[1])
+    return Layout(order, cells, cells.count(), hot)
 
 
 def over_rows(

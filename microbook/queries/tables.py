@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from microbook.functions.timeutil import to_micros
 from microbook.operators import book
 from microbook.plans.ordered import DEFAULT, Order, over_rows, row_index
-from microbook.session import configure, shared_dir
+from microbook.session import configure, cut_lineage, shared_dir
 
 HOUR = 3_600_000_000
 DEPTH = 10
 # lineitem as a trade table: equal days are ordered by the order key and its line
-LINES = Order(("symbol",), "ts", ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), 1_000_000, 31 * 24 * HOUR)
+LINES = Order(("symbol",), "ts", ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"), None, 31 * 24 * HOUR)
 
 
 def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -98,7 +98,7 @@ def snapshots(spark: SparkSession, sf: str) -> DataFrame:
 
 def build_snapshots(spark: SparkSession, sf: str, depth: int = DEPTH, block: int = book.BLOCK, order: Order = DEFAULT) -> DataFrame:
     """The book at the first event of each symbol-hour, with the trade state of that event."""
-    d = book.trade_state(deltas(spark, sf, order), order).withColumnRenamed("u", "pos")
+    d = cut_lineage(book.trade_state(deltas(spark, sf, order), order).withColumnRenamed("u", "pos"))
     state = ["last_trade_px", "last_trade_qty", "taker_buy_vol", "taker_sell_vol"]
     ticks = book.grid_ticks(d.select("symbol", "ts", "seq", "pos", *state), HOUR, order)
     return book.book_at(d, ticks, depth, block=block)
