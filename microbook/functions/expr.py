@@ -38,7 +38,7 @@ def price_key(price: Column) -> Column:
 
 
 _ROLL = {"sum": F.sum, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
-SHORT = 8  # frames up to this length are walked row by row
+SHORT = 16  # frames up to this length are walked row by row
 
 
 def _powers(n: int) -> list[int]:

@@ -222,13 +222,7 @@ def all_features(df: DataFrame, order: Order = DEFAULT, version: int = 2, depth:
 
     Add a file, date or segment column to the keys to restart them there.
     """
-    df = basic(df)
-    df = imbalance(df, depth=depth)
-    df = microprice(df)
-    df = liquidity(df, depth=depth)
-    df = trade_flow(df)
-    if version == 2:
-        df = queue_imbalance(ladder_slope(df, depth=depth), depth=depth)
+    df = trade_flow(basic(df))
 
     def history(d: DataFrame, w: WindowSpec) -> DataFrame:
         d = returns(_flow_steps(d, w, price_aware=version == 2), w)
@@ -242,9 +236,13 @@ def all_features(df: DataFrame, order: Order = DEFAULT, version: int = 2, depth:
         return _vpin_ratio(_kyle_ratio(d))
 
     plan = layout(df, order)
-    df = over_rows(df, history, order, back=2 * KYLE_WINDOW - 1, plan=plan)
+    touch = [f"{side}_{what}_01" for side in ("bid", "ask") for what in ("px", "sz")]
+    needed = [*touch, "midprice", "taker_buy_vol", "taker_sell_vol", "signed_volume"]
+    df = over_rows(df, history, order, back=2 * KYLE_WINDOW - 1, plan=plan, uses=needed)
     df = ofi_cumulative(df, order, plan)
+    df = liquidity(microprice(imbalance(df, depth=depth)), depth=depth)
     if version == 2:
+        df = queue_imbalance(ladder_slope(df, depth=depth), depth=depth)
         df = df.withColumn("_schema_version", F.lit(SCHEMA_VERSION))
     return df
 

@@ -152,7 +152,8 @@ def book_report(
             d = add_rolling(d, w, {"_sb": ("sum", F.col("_db"), window), "_sa": ("sum", F.col("_da"), window)})
         return d
 
-    rows = over_rows(df, build, arrival, back=window)
+    touch = ["bid_px_01", "ask_px_01", "bid_sz_01", "ask_sz_01", order.ts]
+    rows = over_rows(df, build, arrival, back=window, uses=touch)
     volumes = [c for c in df.columns if "sz" in c or "vol" in c.lower()]
     negative = any_of([F.coalesce(F.col(c) < 0, F.lit(False)) for c in volumes])
     inverted: list[Column] = []

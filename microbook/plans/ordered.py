@@ -186,6 +186,27 @@ def layout(df: DataFrame, order: Order = DEFAULT) -> Layout:
     return Layout(order, cells, cells.count(), hot)
 
 
+MANY = 8
+
+
+def _pack(df: DataFrame, used: list[str]) -> tuple[DataFrame, list[str]]:
+    """Fold the columns a window does not use into one struct, which it copies as a block of bytes."""
+    rest = [c for c in df.columns if c not in used]
+    if len(rest) < MANY:
+        return df, []
+    return df.select(*[c for c in df.columns if c in used], F.struct(*rest).alias("_rest")), rest
+
+
+def _unpack(df: DataFrame, rest: list[str], first: list[str]) -> DataFrame:
+    """Undo `_pack`; `first` are the original columns, in order."""
+    if not rest:
+        return df
+    added = [c for c in df.columns if c not in first and c != "_rest"]
+    have = set(df.columns) | set(rest)
+    old = [F.col(f"_rest.{c}").alias(c) if c in rest else F.col(c) for c in first if c in have]
+    return df.select(*old, *added)
+
+
 def over_rows(
     df: DataFrame,
     build: Callable[[DataFrame, WindowSpec], DataFrame],
@@ -193,13 +214,21 @@ def over_rows(
     back: int = 0,
     ahead: int = 0,
     plan: Layout | None = None,
+    uses: list[str] | None = None,
 ) -> DataFrame:
-    """Run ``build(df, window)``, whose frames reach `back` rows behind and `ahead` rows ahead."""
+    """Run ``build(df, window)``, whose frames reach `back` rows behind and `ahead` rows ahead.
+
+    `uses` names the columns `build` reads; the others are then carried past the windows in one piece.
+    """
     plan = plan or layout(df, order)
+    first, rest = df.columns, []
+    if uses is not None:
+        df, rest = _pack(df, [*order.keys, *order.columns, *uses])
     if plan.single:
-        return build(df, plan.window())
+        return _unpack(build(df, plan.window()), rest, first)
     out = build(plan.assign(df, back, ahead), plan.window())
-    return out.filter(~F.col("_halo")).drop("_blk", "_lo", "_total", "_halo")
+    out = out.filter(~F.col("_halo")).drop("_blk", "_lo", "_total", "_halo")
+    return _unpack(out, rest, first)
 
 
 def row_index(
@@ -211,16 +240,18 @@ def row_index(
 ) -> DataFrame:
     """Add the 1-based position of each row in its key, and the number of rows of the key."""
     plan = plan or layout(df, order)
+    first = df.columns
+    df, rest = _pack(df, [*order.keys, *order.columns])
     if plan.single:
         out = df.withColumn(name, F.row_number().over(plan.window()).cast("bigint"))
         if total:
             out = out.withColumn(total, F.count(F.lit(1)).over(Window.partitionBy(*order.keys)))
-        return out
+        return _unpack(out, rest, first)
     out = plan.assign(df)
     out = out.withColumn(name, F.col("_lo") + F.row_number().over(plan.window()))
     if total:
         out = out.withColumn(total, F.col("_total"))
-    return out.drop("_blk", "_lo", "_total", "_halo")
+    return _unpack(out.drop("_blk", "_lo", "_total", "_halo"), rest, first)
 
 
 # name -> (kind, column); kinds: sum, count, min, max, last, first (the last two skip nulls)
@@ -252,7 +283,9 @@ def running(
     unbounded = Window.unboundedPreceding
     edge = 1 if exclusive else 0
     inputs = {name: f"_in_{name}" for name in specs}
-    df = df.withColumns({inputs[n]: c for n, (_, c) in specs.items()})
+    first = [c for c in df.columns if c not in specs]
+    df = df.withColumns({inputs[n]: c for n, (_, c) in specs.items()}).select(*first, *inputs.values())
+    df, rest = _pack(df, [*order.keys, *order.columns, *inputs.values()])
     kinds = {n: k for n, (k, _) in specs.items()}
 
     def local(window: WindowSpec, name: str) -> Column:
@@ -264,7 +297,7 @@ def running(
 
     if plan.single:
         out = df.withColumns({n: local(plan.window(), n) for n in specs})
-        return out.drop(*inputs.values())
+        return _unpack(out.drop(*inputs.values()), rest, first)
 
     keys = list(order.keys)
     spread = plan.assign(df)
@@ -307,7 +340,7 @@ def running(
         merged[name] = both
     out = out.withColumns(merged)
     drop = [*inputs.values(), *prefix, "_blk", "_lo", "_total", "_halo"]
-    return out.drop(*drop)
+    return _unpack(out.drop(*drop), rest, first)
 
 
 def join_small(df: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
