@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, WindowSpec
@@ -46,9 +46,9 @@ def _powers(n: int) -> list[int]:
     return [1 << b for b in range(n.bit_length() - 1, -1, -1) if n >> b & 1]
 
 
-def _both(pick: Callable[..., Column], a: Column, b: Column) -> Column:
+def _both(pick: str, a: str, b: str) -> str:
     """least or greatest of two values, null if one is."""
-    return F.when(a.isNotNull() & b.isNotNull(), pick(a, b))
+    return f"case when {a} is not null and {b} is not null then {pick}({a}, {b}) end"
 
 
 def add_rolling(df: DataFrame, window: WindowSpec, specs: dict[str, tuple[str, Column, int]]) -> DataFrame:
@@ -75,30 +75,50 @@ def add_rolling(df: DataFrame, window: WindowSpec, specs: dict[str, tuple[str, C
         return name if rows == 1 and family != "std" else f"{name}_{family}_{rows}"
 
     added = [name for name, _ in values.values()]
+
+    def lagged(d: DataFrame, wanted: dict[str, tuple[str, int]]) -> DataFrame:
+        added.extend(wanted)
+        return d.withColumns({out: F.lag(c, k).over(window) for out, (c, k) in wanted.items()}) if wanted else d
+
+    def computed(d: DataFrame, new: dict[str, str]) -> DataFrame:
+        return d.withColumns({out: F.expr(text) for out, text in new.items()}) if new else d
+
     start = {}
     for family, name in longest:
         if family == "std":
-            start |= {part("std", name, 1): F.col(name), part("std", name, 1) + "q": F.col(name) * 0.0}
-    df, added = df.withColumns(start) if start else df, added + list(start)
+            start |= {part("std", name, 1): name, part("std", name, 1) + "q": f"{name} * 0"}
+    df = computed(df, start)
+    added += list(start)
     rows = 2
     while any(n >= rows for n in longest.values()):
-        half, new = rows // 2, {}
+        half, before, new = rows // 2, {}, {}
         for (family, name), n in longest.items():
             if n < rows:
                 continue
-            here = part(family, name, half)
-            a, b = F.col(here), F.lag(here, half).over(window)
-            out = part(family, name, rows)
+            a, out = part(family, name, half), part(family, name, rows)
+            b = out + "b"
+            before[b] = (a, half)
             if family == "sum":
-                new[out] = a + b
+                new[out] = f"{a} + {b}"
             elif family == "std":
-                new[out] = (a + b) / 2
-                new[out + "q"] = F.col(here + "q") + F.lag(here + "q", half).over(window) + (a - b) * (a - b) * (half / 2)
+                before[b + "q"] = (a + "q", half)
+                new[out] = f"({a} + {b}) / 2"
+                new[out + "q"] = f"{a}q + {b}q + ({a} - {b}) * ({a} - {b}) * {half / 2}D"
             else:
-                new[out] = _both(F.least if family == "min" else F.greatest, a, b)
-        df, added, rows = df.withColumns(new), added + list(new), rows * 2
+                new[out] = _both("least" if family == "min" else "greatest", a, b)
+        df = computed(lagged(df, before), new)
+        added += list(new)
+        rows *= 2
+
+    results: dict[str, str | Column] = {}
+    before = {}
+
+    def at(column: str, offset: int) -> str:
+        if not offset:
+            return column
+        before[f"{column}_{offset}"] = (column, offset)
+        return f"{column}_{offset}"
 
-    results = {}
     for out, (kind, x, n) in specs.items():
         name = values[str(x)][0]
         if n <= SHORT:
@@ -106,28 +126,25 @@ def add_rolling(df: DataFrame, window: WindowSpec, specs: dict[str, tuple[str, C
             results[out] = F.when(F.count(name).over(frame) == n, _ROLL[kind](name).over(frame))
             continue
         family = "sum" if kind == "mean" else kind
-
-        def at(rows: int, offset: int, suffix: str = "", family: str = family, name: str = name) -> Column:
-            column = part(family, name, rows) + suffix
-            return F.lag(column, offset).over(window) if offset else F.col(column)
-
         if kind in ("min", "max"):
             top = _powers(n)[0]
-            pick = F.least if kind == "min" else F.greatest
-            results[out] = at(top, 0) if top == n else _both(pick, at(top, 0), at(top, n - top))
+            column = part(family, name, top)
+            results[out] = column if top == n else _both("least" if kind == "min" else "greatest", column, at(column, n - top))
             continue
         pieces, offset = [], 0
         for rows in _powers(n):
-            pieces.append((rows, offset))
+            pieces.append((rows, part(family, name, rows), offset))
             offset += rows
         if kind == "std":
-            mean = add_all(at(r, o) * r for r, o in pieces) / n
-            squares = add_all(at(r, o, "q") + (at(r, o) - mean) * (at(r, o) - mean) * r for r, o in pieces)
-            results[out] = F.sqrt(squares / (n - 1))
+            mean = "(" + " + ".join(f"{at(c, o)} * {r}" for r, c, o in pieces) + f") / {n}D"
+            squares = " + ".join(f"{at(c + 'q', o)} + pow({at(c, o)} - ({mean}), 2D) * {r}" for r, c, o in pieces)
+            results[out] = f"sqrt(({squares}) / {n - 1}D)"
         else:
-            total = add_all(at(r, o) for r, o in pieces)
-            results[out] = total / n if kind == "mean" else total
-    return df.withColumns(results).drop(*added)
+            total = " + ".join(at(c, o) for _, c, o in pieces)
+            results[out] = f"({total}) / {n}D" if kind == "mean" else total
+    df = lagged(df, before)
+    df = df.withColumns({out: F.expr(r) if isinstance(r, str) else r for out, r in results.items()})
+    return df.drop(*added)
 
 
 def step(value: Column, window: WindowSpec, k: int = 1) -> Column:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-from microbook.functions.expr import add_all, add_rolling, div, step
+from microbook.functions.expr import add_rolling, div, step
 from microbook.functions.names import ladder
 from microbook.plans.ordered import DEFAULT, Layout, Order, layout, over_rows, running
 
@@ -33,8 +33,9 @@ def _sz(side: str) -> Column:
 
 
 def _depth_sum(df: DataFrame, side: str, depth: int) -> Column | None:
-    present = [F.col(c) for c in ladder(side, "sz", depth) if c in df.columns]
-    return add_all(present) if present else None
+    has = set(df.columns)
+    present = [c for c in ladder(side, "sz", depth) if c in has]
+    return F.expr(" + ".join(present)) if present else None
 
 
 def basic(df: DataFrame) -> DataFrame:

@@ -194,7 +194,8 @@ def _pack(df: DataFrame, used: list[str]) -> tuple[DataFrame, list[str]]:
     rest = [c for c in df.columns if c not in used]
     if len(rest) < MANY:
         return df, []
-    return df.select(*[c for c in df.columns if c in used], F.struct(*rest).alias("_rest")), rest
+    kept = [f"`{c}`" for c in df.columns if c in used]
+    return df.selectExpr(*kept, f"struct({', '.join(f'`{c}`' for c in rest)}) as _rest"), rest
 
 
 def _unpack(df: DataFrame, rest: list[str], first: list[str]) -> DataFrame:
@@ -203,8 +204,8 @@ def _unpack(df: DataFrame, rest: list[str], first: list[str]) -> DataFrame:
         return df
     added = [c for c in df.columns if c not in first and c != "_rest"]
     have = set(df.columns) | set(rest)
-    old = [F.col(f"_rest.{c}").alias(c) if c in rest else F.col(c) for c in first if c in have]
-    return df.select(*old, *added)
+    old = [f"_rest.`{c}` as `{c}`" if c in rest else f"`{c}`" for c in first if c in have]
+    return df.selectExpr(*old, *[f"`{c}`" for c in added])
 
 
 def over_rows(
