@@ -236,12 +236,15 @@ def features_concat(spark, sf):
     return feature_files.sorted_by_time(feature_files.concat(a, df.filter(F.col("ts") >= START).select("symbol", "ts", "midprice")))
 
 
-@query("schema_drift", "select unnest(['midprice', 'ofi', 'ofi']) as name, unnest(['double', 'double', 'bigint']) as dtype, unnest(['removed', 'removed', 'added']) as change")
+@query("schema_drift", with_ctes(CLEAN + ", " + TRAIN, """select unnest(['midprice', 'ofi', 'ofi']) as name, unnest(['double', 'double', 'bigint']) as dtype, unnest(['removed', 'removed', 'added']) as change,
+ unnest([count(midprice), count(ofi), count(ofi)]) as n_values from tr"""))
 def schema_drift(spark, sf):
-    """Two versions of the feature table's schema compared."""
+    """Two versions of the feature table's schema compared, with the values each changed column holds."""
     df = training_table(spark, sf)
     new = df.drop("midprice").withColumn("ofi", F.col("ofi").cast("bigint"))
-    return feature_files.schema_drift(feature_files.schema_entries(df, "1"), feature_files.schema_entries(new, "2"))
+    drift = feature_files.schema_drift(feature_files.schema_entries(df, "1"), feature_files.schema_entries(new, "2"))
+    held = df.select("midprice", "ofi").unpivot([], ["midprice", "ofi"], "name", "value").groupBy("name").agg(F.count("value").alias("n_values"))
+    return drift.join(F.broadcast(held), "name")
 
 
 @query("manifest_round_trip", with_ctes(CLEAN + ", " + TRAIN, " union all ".join(

@@ -32,7 +32,7 @@ def scaling_table(spark, sf):
     return training_table(spark, sf).select("symbol", "ts", "seq", *STANDARD, *ROBUST, "midprice")
 
 
-@query("scaling_classes", with_ctes(CLEAN + ", " + TRAIN, """select scaler, string_agg(name, ',' order by name) as members from (
+@query("scaling_classes", with_ctes(CLEAN + ", " + TRAIN, """select scaler, string_agg(name, ',' order by name) as members, (select count(*) from tr) as n_rows from (
  select unnest(['spread', 'ofi', 'imbalance', 'signed_volume']) as name, 'standard' as scaler union all
  select unnest(['bid_sz_01', 'ask_sz_01', 'taker_buy_volume', 'taker_sell_volume']), 'robust' union all
  select unnest(['ts', 'midprice']), 'passthrough' union all select unnest(['symbol', 'seq']), 'unknown') group by 1"""))
@@ -40,8 +40,8 @@ def scaling_classes(spark, sf):
     """Columns of the feature table by scaling method."""
     df = scaling_table(spark, sf)
     groups = {k: sorted(v) for k, v in classify(df.columns).items() if v}
-    shape = df.agg(F.count(F.lit(1)).alias("n"))
-    return shape.select(F.inline(F.array(*[
+    shape = df.agg(F.count(F.lit(1)).alias("n_rows"))
+    return shape.select("n_rows", F.inline(F.array(*[
         F.struct(F.lit(k).alias("scaler"), F.lit(",".join(v)).alias("members")) for k, v in groups.items()
     ])))
 

@@ -177,7 +177,11 @@ class BookProcessor(StatefulProcessor):
 
 
 def fold_books(events: DataFrame, rules: Rules = Rules(), ttl_ms: int | None = None) -> DataFrame:
-    """Snapshots of a stream of events (columns `INPUT`); `ttl_ms` forgets symbols that fall silent."""
+    """Snapshots of a stream of events (columns `INPUT`); `ttl_ms` forgets symbols that fall silent.
+
+    A lifetime runs on processing time: use it with a continuous trigger (`ingest.follow`), because
+    with `ingest.drain` Spark would go on planning batches to expire state and never stop.
+    """
     events.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", PROVIDER)
     return events.select(*INPUT).groupBy("symbol").transformWithStateInPandas(
         statefulProcessor=BookProcessor(rules, ttl_ms), outputStructType=OUTPUT, outputMode="Append",

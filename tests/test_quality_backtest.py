@@ -97,6 +97,14 @@ def test_message_reasons(spark):
         assert r.got == r.wanted, r.line
 
 
+def test_schema_findings(spark):
+    df = spark.createDataFrame([(1, 2.0, "x")], "ts int, midprice double, spread string")
+    found = quality.schema_findings(df)
+    assert ("type", "ts") in found and ("type", "spread") in found and ("missing", "ofi_10") in found
+    with pytest.raises(ValueError):
+        quality.training_readiness(df)
+
+
 def expected_pnl(s, r, cost):
     earned = np.concatenate([[0], s[:-1] * r[1:]])
     moves = np.abs(np.diff(s))
