@@ -152,13 +152,17 @@ def book_at(
     same = [F.col(f"t.{c}") == F.col(f"v.{c}") for c in [*k, "blk"]]
     inside = (F.col("t.pos") >= F.col("v.lo")) & (F.col("t.pos") < F.col("v.hi"))
     held = t.join(v, [*same, inside], "left").select("t.*", "v.side", "v.price", "v.size")
-    far = F.when(F.col("side") == "bid", -F.col("price")).otherwise(F.col("price"))
-    ranks = Window.partitionBy(*k, "blk", "pos", "side").orderBy(far)
-    held = held.withColumn("_level", F.row_number().over(ranks)).filter(F.col("_level") <= depth)
-    level = F.struct(F.col("_level"), F.col("price").alias("px"), F.col("size").alias("sz"))
-    sides = [
-        F.sort_array(F.collect_list(F.when(F.col("side") == side, level))).alias(f"_{side}s") for side in ("bid", "ask")
-    ]
+    px_sz = [F.col("price").alias("px"), F.col("size").alias("sz")]
+    on = {side: F.col("side") == side for side in ("bid", "ask")}
+    if depth == 1:  # the best level is a maximum or minimum: no ranking, no sort
+        best = {"bid": F.max, "ask": F.min}
+        sides = [F.array(best[s](F.when(on[s], F.struct(*px_sz)))).alias(f"_{s}s") for s in on]
+    else:
+        far = F.when(on["bid"], -F.col("price")).otherwise(F.col("price"))
+        ranks = Window.partitionBy(*k, "blk", "pos", "side").orderBy(far)
+        held = held.withColumn("_level", F.row_number().over(ranks)).filter(F.col("_level") <= depth)
+        level = F.struct(F.col("_level"), *px_sz)
+        sides = [F.sort_array(F.collect_list(F.when(on[s], level))).alias(f"_{s}s") for s in on]
     out = held.groupBy(*k, "blk", "pos").agg(F.first("_tick").alias("_tick"), *sides)
     return out.selectExpr("_tick.*", *_wide_columns("_bids", "_asks", depth)).drop("blk")
 
