@@ -4,6 +4,7 @@ Each shingle set is hashed once; the least hash of each bin is its sketch, and a
 (bin, attempt) names (optimal densification). Bands of the sketch are buckets. In a bucket every document is paired with two
 hubs, the document that shares most buckets with others and one picked by hash, so pairs grow with the rows and never with the
 square of a bucket. Pairs are confirmed on full sets, and links are closed to components by alternating stars.
+Buckets with more than three documents and more than one component left are searched again on longer bands.
 """
 
 from __future__ import annotations
@@ -21,14 +22,15 @@ from microbook.llm.common import stage, whole
 from microbook.llm.shingles import U, mix, shingle_sets
 
 BANDS, ROWS = 25, 5  # two sets of similarity 0.85 share no band once in 2 million pairs
+FINE_BANDS, FINE_ROWS = 128, 16  # for crowded buckets: missed once in 20,000 pairs of similarity 0.85
+CROWD = 4  # in a bucket of fewer the two hubs meet everyone
 WIDTH = 5
 LEAST = 85  # per cent
 BROADCAST_IDS = 1_000_000  # ids sent to every task at most: 8 MB
 
 
-def sketches(sets: list[np.ndarray], bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    """Band keys of each non-empty set, one row per set."""
-    bins = bands * rows
+def signatures(sets: list[np.ndarray], bins: int) -> np.ndarray:
+    """The least hash of each bin of each non-empty set, empty bins filled from others; one row per set."""
     values = np.zeros((len(sets), bins), np.uint64)
     filled = np.zeros((len(sets), bins), bool)
     for i, found in enumerate(sets):
@@ -45,13 +47,24 @@ def sketches(sets: list[np.ndarray], bands: int = BANDS, rows: int = ROWS) -> np
         ok = known[row, source]
         values[row[ok], col[ok]] = values[row[ok], source[ok]]
         row, col = row[~ok], col[~ok]
-    grouped = values.reshape(len(sets), bands, rows)
-    keys = np.broadcast_to(np.arange(1, bands + 1, dtype=np.uint64), (len(sets), bands)).copy()
-    for j in range(rows):
-        keys = mix(keys * U(0xD6E8FEB86659FD93) + grouped[:, :, j])
+    return values
+
+
+def band_keys(values: np.ndarray, bands: np.ndarray) -> np.ndarray:
+    """A key for each band of each signature; a row of `bands` names its bins."""
+    salt = U(bands.shape[1]) << U(32)
+    keys = np.broadcast_to(np.arange(1, len(bands) + 1, dtype=np.uint64) + salt, (len(values), len(bands))).copy()
+    for j in range(bands.shape[1]):
+        keys = mix(keys * U(0xD6E8FEB86659FD93) + values[:, bands[:, j]])
     return keys.view(np.int64)
 
 
+COARSE = np.arange(BANDS * ROWS).reshape(BANDS, ROWS)
+# drawn once: the bins of each fine band, without repetition inside a band
+_draw = np.random.Generator(np.random.PCG64(85))
+FINE = np.array([_draw.permutation(BANDS * ROWS)[:FINE_ROWS] for _ in range(FINE_BANDS)])
+
+
 def sketched(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, digest of the set, band keys (empty for an empty set), one row per input row."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), whole(text).alias("text"))
@@ -62,7 +75,7 @@ def sketched(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
         for batch in batches:
             sets = list(shingle_sets([t or "" for t in batch.column(1).to_pylist()], WIDTH))
             some = [s for s in sets if len(s)]
-            keys = iter(sketches(some).tolist()) if some else iter(())
+            keys = iter(band_keys(signatures(some, BANDS * ROWS), COARSE).tolist()) if some else iter(())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
@@ -87,35 +100,74 @@ def full_sets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     return rows.mapInArrow(run, T.StructType([rows.schema["doc_id"], T.StructField("shingles", T.ArrayType(T.LongType()))]))
 
 
-def star_pairs(nodes: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) of nodes (node, n_shingles, keys): in each shared bucket every node with the bucket's two hubs."""
-    placed = nodes.select("node", "n_shingles", F.explode("keys").alias("key"))
+def buckets(placed: DataFrame) -> DataFrame:
+    """key, node, n_shingles, n of the buckets that hold several nodes."""
     sizes = placed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    shared = stage(placed.join(sizes, "key"), "buckets")
+    return stage(placed.join(sizes, "key"), "buckets")
+
+
+def star_pairs(shared: DataFrame, picks: int = 1) -> DataFrame:
+    """Candidate pairs (a, b): in each bucket every node with the bucket's hubs, one central and `picks` picked by hash, where
+    their sizes allow a link."""
     weight = shared.groupBy("node").agg(F.sum("n").alias("weight"))
     ranked = shared.join(weight, "node")
     member = F.struct("node", "n_shingles")
-    hubs = ranked.groupBy("key").agg(F.max(F.struct("weight", member.alias("hub"))).alias("central"),
-                                     F.max(F.struct(F.xxhash64("node", "key").alias("h"), member.alias("hub"))).alias("picked"))
-    hubs = hubs.select("key", F.explode(F.array("central.hub", "picked.hub")).alias("hub"))
+    picked = [F.max(F.struct(F.xxhash64("node", "key", F.lit(i)).alias("h"), member.alias("hub"))).alias(f"p{i}") for i in range(picks)]
+    hubs = ranked.groupBy("key").agg(F.max(F.struct("weight", member.alias("hub"))).alias("central"), *picked)
+    names = ["central.hub", *[f"p{i}.hub" for i in range(picks)]]
+    hubs = hubs.select("key", F.explode(F.array_distinct(F.array(*names))).alias("hub"))
     low, high = F.least("n_shingles", "hub.n_shingles"), F.greatest("n_shingles", "hub.n_shingles")
     return (shared.join(hubs, "key").where((F.col("node") != F.col("hub.node")) & (100 * low >= LEAST * high))
             .select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct())
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The pairs whose full sets reach the least similarity."""
-    pairs = stage(pairs, "pairs")
-    ids = stage(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "paired")
+def sets_of(ids: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """node, shingles of the documents named in `ids` (node)."""
+    ids = stage(ids, "shared-ids")
     if ids.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    sets = stage(full_sets(rows.join(ids, rows["doc_id"] == ids["node"], "left_semi")), "sets")
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("left"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("right"))
-    both = F.size(F.array_intersect("left", "right"))
+    sets = full_sets(rows.join(ids, rows["doc_id"] == ids["node"], "left_semi"))
+    return stage(sets.withColumnRenamed("doc_id", "node"), "sets")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose full sets reach the least similarity."""
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
+    shared = F.size(F.array_intersect("left", "right"))
     return (pairs.join(left, "a").join(right, "b")
-            .where(100 * both >= LEAST * (F.size("left") + F.size("right") - both)).select("a", "b").distinct())
+            .where(100 * shared >= LEAST * (F.size("left") + F.size("right") - shared)).select("a", "b").distinct())
+
+
+def fine_links(shared: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
+    """Links in crowded buckets between documents that no hub has joined: the same stars on 128 bands of 16 bins.
+
+    `found` (node, component) are the components so far. Only nodes of buckets with several components take part.
+    """
+    crowd = shared.where(F.col("n") >= CROWD).select("key", "node", "n_shingles").join(found, "node", "left")
+    crowd = crowd.select("key", "node", F.coalesce("component", "node").alias("component"))
+    open_ = crowd.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
+    nodes = stage(crowd.join(open_, "key", "left_semi").select("node").distinct(), "unsettled")
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [np.array(s, np.int64).view(np.uint64) for s in batch.column(1).to_pylist()]
+            some = [i for i, s in enumerate(rows) if len(s)]
+            if not some:
+                continue
+            keys = band_keys(signatures([np.sort(rows[i]) for i in some], BANDS * ROWS), FINE)
+            each = pa.array(np.repeat(some, FINE_BANDS))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys.ravel()), batch.column(0).take(each), pa.array(np.repeat([len(rows[i]) for i in some], FINE_BANDS))],
+                ["key", "node", "n_shingles"])
+
+    schema = T.StructType([T.StructField("key", T.LongType()), sets.schema["node"], T.StructField("n_shingles", T.LongType())])
+    fine = buckets(sets.join(nodes, "node", "left_semi").select("node", "shingles").mapInArrow(keyed, schema).distinct())
+    a = found.select(F.col("node").alias("a"), F.col("component").alias("of_a"))
+    b = found.select(F.col("node").alias("b"), F.col("component").alias("of_b"))
+    pairs = star_pairs(fine, picks=3).join(a, "a", "left").join(b, "b", "left").where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b"))
+    return confirmed(pairs.select("a", "b"), sets)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -148,9 +200,12 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     """
     found = stage(sketched(docs, doc_id, text), "sketches")
     full = found.where("n_shingles > 0 and doc_id is not null")
-    nodes = full.groupBy("digest", "n_shingles", "keys").agg(F.min("doc_id").alias("node"))
-    nodes = stage(nodes, "nodes")
-    least = components(confirmed(star_pairs(nodes), docs, doc_id, text).union(_same_document(full, nodes)))
+    nodes = stage(full.groupBy("digest", "n_shingles", "keys").agg(F.min("doc_id").alias("node")), "nodes")
+    shared = buckets(nodes.select(F.explode("keys").alias("key"), "node", "n_shingles"))
+    sets = sets_of(shared.select("node").distinct(), docs, doc_id, text)
+    first = components(confirmed(star_pairs(shared), sets).union(_same_document(full, nodes)))
+    more = fine_links(shared, sets, first)
+    least = components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
     named = nodes.select("digest", "node").join(least, "node", "left").select(
         F.col("digest").alias("set"), F.coalesce("component", "node").alias("component"))
     alone = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
