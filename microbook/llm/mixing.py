@@ -17,7 +17,8 @@ from microbook.llm.common import stage, whole
 BLOCK = 16  # documents
 SLOTS = 1000  # the grain of the weights
 BUCKET_ROWS = 50_000  # documents that are ranked together
-SMALL_SOURCES = 10_000  # sources whose slots are sent to every task, at most
+LEAST_BUCKETS = 256  # so that a source with a third of the rows is ranked in many tasks
+SMALL_ROWS = 200_000  # rows of the table of bucket offsets that are sent to every task, at most: 5 MB
 
 
 def shares(counts: DataFrame, weights: dict[str, float] | None, slots: int = SLOTS) -> DataFrame:
@@ -71,7 +72,7 @@ def scheduled(docs: DataFrame, weights: dict[str, float] | None = None, block: i
     rows = docs.select(F.col(doc_id).alias("_llm_id"), F.col(source).alias("_llm_source"), key.alias("_llm_hash"),
                        F.struct(*[F.col(c) for c in keep] or [F.lit(None).alias("none")]).alias("_llm_keep"))
     total = rows.count()
-    buckets = max(1, -(-total // BUCKET_ROWS))
+    buckets = max(LEAST_BUCKETS, -(-total // BUCKET_ROWS))
     placed = rows.withColumn("_llm_bucket", F.shiftrightunsigned("_llm_hash", 1) % buckets)
     counts = stage(placed.groupBy("_llm_source", "_llm_bucket").agg(F.count("*").alias("n")), "source-counts")
     before = Window.partitionBy("_llm_source").orderBy("_llm_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -79,12 +80,12 @@ def scheduled(docs: DataFrame, weights: dict[str, float] | None = None, block: i
                             F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     sources = counts.groupBy(F.col("_llm_source").alias("source")).agg(F.sum("n").alias("n"))
     periods = stage(period_of(shares(sources, weights, slots)), "periods")
-    table = offsets.join(periods, offsets["s"].eqNullSafe(periods["source"]))
-    if table.count() <= SMALL_SOURCES:
-        table = F.broadcast(table)
+    if offsets.count() <= SMALL_ROWS:  # as is the table of periods, which has no more rows
+        offsets, periods = F.broadcast(offsets), F.broadcast(periods)
     within = Window.partitionBy("_llm_source", "_llm_bucket").orderBy("_llm_hash", "_llm_id")
     ranked = placed.withColumn("_llm_rank", F.row_number().over(within))
-    joined = ranked.join(table, ranked["_llm_source"].eqNullSafe(table["s"]) & (ranked["_llm_bucket"] == table["b"]))
+    joined = ranked.join(offsets, ranked["_llm_source"].eqNullSafe(offsets["s"]) & (ranked["_llm_bucket"] == offsets["b"]))
+    joined = joined.join(periods, ranked["_llm_source"].eqNullSafe(periods["source"]))
     n = F.col("offset") + F.col("_llm_rank") - 1
     k = F.floor(n / block)
     found = joined.select("*", k.alias("_llm_k"), (n % block).alias("_llm_place"))
