@@ -33,7 +33,7 @@ class Entropy:
     classes: tuple[tuple[str, str, float], ...] = (
         # name, characters, bits per character that a window must reach
         ("hex", r"[0-9a-fA-F]+", 3.0),
-        ("base64", r"[A-Za-z0-9+/_=-]+", 4.1),
+        ("base64", r"[A-Za-z0-9+/_-]+={0,2}", 4.1),
     )
     # allow-list, each against the whole candidate: words without digits, ids of fixed form, paths, numbers
     allow: tuple[str, ...] = (
@@ -58,7 +58,7 @@ class EntropyScan:
     def __init__(self, rules: Entropy) -> None:
         n = self.least = rules.least
         self.term = [0.0] + [c * math.log2(c) for c in range(1, n + 1)]
-        self.candidates = re.compile(rf"[A-Za-z0-9+/_=-]{{{n},}}")
+        self.candidates = re.compile(rf"[A-Za-z0-9+/_-]{{{n},}}={{0,2}}")
         self.classes = [(re.compile(chars), bits) for _, chars, bits in rules.classes]
         self.allow = re.compile("|".join(f"(?:{a})" for a in rules.allow)) if rules.allow else None
 
@@ -66,12 +66,12 @@ class EntropyScan:
         """Unions of the overlapping windows of `run` whose entropy is at least `bits` per character."""
         n, term, counts, total, out = self.least, self.term, dict.fromkeys(run, 0), 0.0, []
         for i, c in enumerate(run):
-            total += term[counts[c] + 1] - term[counts[c]]
-            counts[c] += 1
             if i >= n:
                 gone = run[i - n]
                 total -= term[counts[gone]] - term[counts[gone] - 1]
                 counts[gone] -= 1
+            total += term[counts[c] + 1] - term[counts[c]]
+            counts[c] += 1
             if i >= n - 1 and math.log2(n) - total / n >= bits - 1e-9:
                 start = i - n + 1
                 if out and start <= out[-1][1]:
