@@ -26,12 +26,34 @@ def unit_of(value: Column) -> Column:
     return F.when(x.isNull(), "unknown").otherwise(out)
 
 
-def detect_unit(df: DataFrame, ts: str = "ts", sample: int = 1000) -> str:
-    """Unit of column `ts`, from the median of the first `sample` rows; ``unknown`` without data."""
+def detect_unit(df: DataFrame, ts: str = "ts") -> str:
+    """Unit of column `ts`, from the median of all its values; ``unknown`` without data.
+
+    The bounds of the units cut the numbers into a dozen ranges. One aggregate counts each range and keeps its ends, which is all
+    that the unit of the exact median needs.
+    """
     if ts not in df.columns:
         return "unknown"
-    head = df.select(F.col(ts).cast("double").alias("x")).limit(sample)
-    return head.select(unit_of(F.percentile("x", F.lit(0.5)))).first()[0]
+    cuts = {1e9, 1e12, 1e15} | {float(s) * (1_000_000 // MICROS[u]) for u in MICROS for s in SPAN_SECONDS}
+    x = F.col("x")
+    place = sum([(x >= c).cast("int") + (x > c).cast("int") for c in sorted(cuts)], F.lit(0))
+    values = df.select(F.col(ts).cast("double").alias("x")).where(x.isNotNull())
+    ranges = values.groupBy(place.alias("place")).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high"))
+    rows = sorted(ranges.collect(), key=lambda r: r.place)
+    total = sum(r.n for r in rows)
+    if not total:
+        return "unknown"
+
+    def holding(rank: int):
+        for r in rows:
+            if rank < r.n:
+                return r
+            rank -= r.n
+
+    lower, upper = holding((total - 1) // 2), holding(total // 2)
+    # both middle values lie in one range, or they are the ends of two that follow each other
+    median = lower.low if lower is upper else (lower.high + upper.low) / 2
+    return df.sparkSession.range(1).select(unit_of(F.lit(float(median)))).first()[0]
 
 
 def detect_unit_by(df: DataFrame, keys: tuple[str, ...] = ("symbol",), ts: str = "ts") -> DataFrame:

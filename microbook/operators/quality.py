@@ -219,32 +219,32 @@ TRADE_PARTS = ("trade_id", "price", "quantity")
 
 
 def message_reason(text: Column) -> Column:
-    """Why a JSON line is not a valid record; null when it is. Header and footer lines are valid."""
-    record = F.try_parse_json(text)
+    """Why a JSON line is not a valid record; null when it is. Header and footer lines are valid.
 
+    A line is parsed once. Levels are checked one after the other, bids before asks: the first faulty one gives the reason.
+    """
+    return F.get(F.transform(F.array(F.try_parse_json(text)), _record_reason), F.lit(0))
+
+
+def _record_reason(record: Column) -> Column:
     def field(path: str, kind: str = "string") -> Column:
         return F.try_variant_get(record, "$." + path, kind)
 
     def present(path: str) -> Column:
         return F.try_variant_get(record, "$." + path, "variant").isNotNull()
 
-    def bad_shape(side: str) -> Column:
-        return F.coalesce(F.exists(field(side, "array<array<string>>"), lambda v: F.size(v) != 2), F.lit(False))
-
-    def bad_number(side: str) -> Column:
+    def bad_level(side: str) -> Column:
+        name = side[:-1]
         levels = field(side, "array<array<string>>")
-        wrong = F.exists(levels, lambda v: F.exists(v, lambda x: x.try_cast("double").isNull()))
-        return levels.isNull() | F.coalesce(wrong, F.lit(False))
+        faults = F.transform(levels, lambda v: F.when(F.size(v) != 2, F.lit(f"invalid {name} format")).when(
+            F.exists(v, lambda x: x.try_cast("double").isNull()), F.lit(f"invalid {name} values")))
+        return F.when(levels.isNull(), F.lit(f"invalid {name} values")).otherwise(F.get(F.array_compact(faults), F.lit(0)))
 
     def first_missing(fields: tuple[str, ...], prefix: str, label: str) -> Column:
         return F.coalesce(*[F.when(~present(prefix + f), F.lit(f"{label}: {f}")) for f in fields])
 
     kind = field("type")
-    depth = F.coalesce(
-        first_missing(DEPTH_FIELDS, "", "missing required field"),
-        F.when(bad_shape("bids"), "invalid bid format"), F.when(bad_number("bids"), "invalid bid values"),
-        F.when(bad_shape("asks"), "invalid ask format"), F.when(bad_number("asks"), "invalid ask values"),
-    )
+    depth = F.coalesce(first_missing(DEPTH_FIELDS, "", "missing required field"), bad_level("bids"), bad_level("asks"))
     trade = F.coalesce(
         first_missing(TRADE_FIELDS, "", "missing required field"),
         first_missing(TRADE_PARTS, "trade.", "missing trade field"),

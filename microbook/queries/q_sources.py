@@ -220,11 +220,13 @@ def features_write_read(spark, sf):
 
 @query("features_discover", with_ctes(CLEAN, f"select symbol, ts, {MID} as midprice from book"))
 def features_discover(spark, sf):
-    """Normalised files are preferred to plain ones, in sub-folders too."""
+    """Normalised files are preferred to plain ones, at depths 1, 2 and 4; plain ones in the folder itself are passed over."""
     path = fresh(spark, "mixed")
     df = training_table(spark, sf).select("symbol", "ts", "midprice")
-    df.write.parquet(f"{path}/a/normalized_features_1.parquet")
-    df.filter(F.col("ts") < START).write.parquet(f"{path}/a/features_1.parquet")
+    part = F.pmod(F.xxhash64("symbol", "ts"), F.lit(3))
+    for i, folder in enumerate(("a", "b/c", "b/c/d/e")):
+        df.filter(part == i).write.parquet(f"{path}/{folder}/normalized_features_{i}.parquet")
+    df.filter(F.col("ts") < START).write.parquet(f"{path}/features_1.parquet")
     return feature_files.discover(spark, path)
 
 

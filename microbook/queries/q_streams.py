@@ -4,17 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from microbook.operators import book, normalize
-from microbook.plans.ordered import DEFAULT
+from microbook.operators import normalize
 from microbook.queries.q_features import ALL, ALL_NAMES, ALL_SELECT, ALL_SNAP
 from microbook.queries.q_sources import fresh, trade_records
 from microbook.queries.q_training import STANDARD, TRAIN, scaling_table
 from microbook.queries.registry import query, snap_sql, snapped, with_ctes
-from microbook.queries.tables import CLEAN, DELTAS, HOUR, SNAPSHOTS, TRADES, clean_rows, deltas, stored_path, trades
-from microbook.streaming import book_fold, feature_stream, ingest, windows
+from microbook.queries.tables import CLEAN, HOUR, TRADES, clean_rows, stored_path, trades
+from microbook.streaming import feature_stream, ingest, windows
 
 LATE = "2 hours"
-LATE_US = 2 * HOUR
 
 
 def _trade_stream(spark, sf):
@@ -23,6 +21,20 @@ def _trade_stream(spark, sf):
     return ingest.with_event_time(ingest.stream_table(spark, source), late=LATE)
 
 
+def _ended_stream(spark, sf):
+    """The trades followed by the end of the input: `ingest.end_marker` as the last file."""
+    source = _source(spark, sf, "ended-trades", lambda: _land_trades(spark, sf))
+    return ingest.with_event_time(ingest.stream_table(spark, source), late=LATE)
+
+
+def _land_trades(spark, sf):
+    path = fresh(spark, "ended-trades")
+    rows = trades(spark, sf)
+    rows.write.parquet(path)
+    ingest.end_marker(rows, "ts", symbol="", price=1.0, qty=0.0).write.mode("append").parquet(path)
+    return path
+
+
 _SOURCES: dict[tuple[str, str, str], str] = {}
 
 
@@ -47,20 +59,18 @@ def stream_ingest(spark, sf):
 
 
 @query("stream_bars", with_ctes(TRADES, f"""select symbol, ts - ts % {HOUR} as bucket, arg_min(price, (ts, seq)) as open, max(price) as high, min(price) as low, arg_max(price, (ts, seq)) as close,
- sum(qty) as volume, {snap_sql('sum(price * qty) / nullif(sum(qty), 0)', 'vwap')}, count(*) as number_of_trades from trades where price > 0
- and ts - ts % {HOUR} + {HOUR} <= (select max(ts) from trades where price > 0) // 1000 * 1000 - {LATE_US} group by 1, 2"""))
+ sum(qty) as volume, {snap_sql('sum(price * qty) / nullif(sum(qty), 0)', 'vwap')}, count(*) as number_of_trades from trades where price > 0 group by 1, 2"""))
 def stream_bars(spark, sf):
-    """Hourly bars, each emitted once the watermark has passed it."""
-    return snapped(_drained(spark, windows.stream_bars(_trade_stream(spark, sf), "1 hour"), "bars"), "vwap")
+    """Hourly bars; the end of the input emits the last ones."""
+    return snapped(_drained(spark, windows.stream_bars(_ended_stream(spark, sf), "1 hour"), "bars"), "vwap")
 
 
 @query("stream_segments", with_ctes(TRADES, f"""select symbol, min(ts) as start_ts, max(ts) as end_ts, count(*) as n_rows from (
  select *, sum(case when ts - before >= {HOUR} then 1 else 0 end) over (partition by symbol order by ts, seq rows unbounded preceding) as g
- from (select *, lag(ts) over (partition by symbol order by ts, seq) as before from trades)) group by symbol, g
- having max(ts) + {HOUR} <= (select max(ts) from trades) // 1000 * 1000 - {LATE_US}"""))
+ from (select *, lag(ts) over (partition by symbol order by ts, seq) as before from trades)) group by symbol, g"""))
 def stream_segments(spark, sf):
-    """Session windows with a gap of an hour."""
-    return _drained(spark, windows.stream_segments(_trade_stream(spark, sf), "1 hour"), "segments")
+    """Session windows with a gap of an hour; the end of the input closes the last ones."""
+    return _drained(spark, windows.stream_segments(_ended_stream(spark, sf), "1 hour"), "segments")
 
 
 @query("stream_deduplicated", with_ctes(TRADES, "select symbol, ts, seq, price, qty from trades"))
@@ -106,52 +116,6 @@ def _land(spark, df, name):
     return path
 
 
-def _book_source(spark, sf):
-    """Level changes as depth events and their trades, landed in time slices."""
-    def land():
-        d = deltas(spark, sf)
-        level = F.array(F.array(F.col("price").cast("string"), F.col("size").cast("string")))
-        none = F.array().cast("array<array<string>>")
-        bid = F.col("side") == "bid"
-        events = d.select(
-            "symbol", F.col("ts").alias("exchange_ts"), "seq", F.col("ts").alias("local_ts"),
-            F.explode(F.array(F.lit("depth"), F.lit("trade"))).alias("type"),
-            F.col("u").alias("first_update_id"), F.col("u").alias("last_update_id"), (F.col("u") - 1).alias("prev_update_id"),
-            F.when(bid, level).otherwise(none).alias("bids"), F.when(bid, none).otherwise(level).alias("asks"),
-            "trade_px", "trade_qty", "buyer_is_maker",
-        )
-        return _land_events(spark, book.with_event_seq(events))
-
-    return _source(spark, sf, "book-events", land)
-
-
-def _land_events(spark, events):
-    path = fresh(spark, "book-slices")
-    ingest.land_in_slices(events, path, "exchange_ts")
-    return path
-
-
-FOLD_SQL = SNAPSHOTS.replace("sum(case when not buyer_is_maker then trade_qty else 0 end) over w as taker_buy_vol", "sum(case when not buyer_is_maker then trade_qty else 0 end) over w - case when not buyer_is_maker then trade_qty else 0 end as taker_buy_vol")
-
-
-@query("stream_book", with_ctes(FOLD_SQL, """select symbol, ts, pos as last_update_id, bid_px_01, bid_sz_01, bid_px_05, ask_px_01, ask_sz_01, ask_sz_05, taker_buy_vol
- from snaps where bid_px_01 is not null and ask_px_01 is not null"""))
-def stream_book(spark, sf):
-    """Books kept as streaming state, a snapshot per hour: equal to the books rebuilt by joins."""
-    rules = book_fold.Rules(emit="grid", interval_us=HOUR)
-    stream = ingest.stream_table(spark, _book_source(spark, sf), files_per_trigger=1)
-    out = book.to_wide(_drained(spark, book_fold.fold_books(stream, rules), "books"))
-    return out.select("symbol", "ts", "last_update_id", "bid_px_01", "bid_sz_01", "bid_px_05", "ask_px_01", "ask_sz_01", "ask_sz_05", "taker_buy_vol")
-
-
-@query("stream_book_greedy")
-def stream_book_greedy(spark, sf):
-    """Greedy thinning to an interval of six hours, gapped updates rejected."""
-    rules = book_fold.Rules(rule="reject", emit="greedy", interval_us=6 * HOUR)
-    stream = ingest.stream_table(spark, _book_source(spark, sf), files_per_trigger=1)
-    return book.to_wide(_drained(spark, book_fold.fold_books(stream, rules), "books-greedy"))
-
-
 @query("stream_features", with_ctes(CLEAN + ALL, ALL_SELECT))
 def stream_features(spark, sf):
     """Features computed per micro-batch equal those of the whole table."""

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import json
 
-from pyspark.errors import AnalysisException
+from fnmatch import fnmatch
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,14 +51,26 @@ def schema(spark: SparkSession, path: str) -> dict[str, str]:
     return dict(read(spark, path).dtypes)
 
 
-def discover(spark: SparkSession, path: str, levels: int = 3) -> DataFrame:
-    """Normalised feature files if there are any, else plain ones; sub-folders are searched too."""
+def discover(spark: SparkSession, path: str) -> DataFrame:
+    """Normalised feature files if there are any, else plain ones: those of the folder itself, else those at every depth below it.
+
+    A table that Spark wrote is a folder whose name fits; files inside it are not looked at one by one.
+    """
+    context = spark.sparkContext
+    root = context._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(context._jsc.hadoopConfiguration())
+    base = fs.makeQualified(root).toString().rstrip("/")
+    names: list[list[str]] = []
+    listed = fs.listFiles(root, True) if fs.exists(root) else None
+    while listed is not None and listed.hasNext():
+        names.append(listed.next().getPath().toString()[len(base) + 1:].split("/"))
     for pattern in ("normalized_features_*.parquet", "features_*.parquet"):
-        for level in range(levels + 1):
-            try:
-                return spark.read.option("mergeSchema", "true").parquet("/".join([path, *["*"] * level, pattern]))
-            except AnalysisException:
-                continue
+        found = {(i, "/".join(parts[:i + 1])) for parts in names
+                 if (i := next((i for i, part in enumerate(parts) if fnmatch(part, pattern)), None)) is not None}
+        if found:
+            top = [name for depth, name in found if depth == 0]
+            paths = sorted(f"{base}/{name}" for name in top or [name for _, name in found])
+            return spark.read.option("mergeSchema", "true").parquet(*paths)
     raise ValueError(f"no feature files in {path}")
 
 

@@ -36,6 +36,16 @@ def with_event_time(df: DataFrame, ts: str = "ts", late: str = "10 seconds") ->
     return df.withColumn("event_time", to_timestamp(F.col(ts))).withWatermark("event_time", late)
 
 
+def end_marker(df: DataFrame, ts: str = "ts", **values: object) -> DataFrame:
+    """One row a year after the last one, to be landed as the last file of a stream that ends.
+
+    It moves the watermark past every open window, so the last ones come out. `values` should give it a key of its own and let it
+    pass the query's filters; its own window never closes.
+    """
+    end = df.agg((F.max(ts) + F.lit(366 * 86_400_000_000)).alias(ts))
+    return end.select(*[F.col(ts) if c == ts else F.lit(values.get(c)).cast(kind).alias(c) for c, kind in df.dtypes]).where(F.col(ts).isNotNull())
+
+
 def drain(df: DataFrame, path: str, checkpoint: str, mode: str = "append", partition_by: tuple[str, ...] = ()) -> StreamingQuery:
     """Process everything that has arrived, into Parquet, then stop."""
     writer = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)

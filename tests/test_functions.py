@@ -63,6 +63,13 @@ def test_detect_unit_unknown(spark):
     assert timeutil.detect_unit(spark.createDataFrame([(3 * 10**15,)], "ts bigint")) == "us"
 
 
+def test_detect_unit_reads_all_rows(spark):
+    early = [(BASE // 1_000_000,)] * 1500
+    late = [(BASE + i,) for i in range(1501)]
+    assert timeutil.detect_unit(spark.createDataFrame(early + late, "ts bigint").coalesce(1)) == "us"
+    assert timeutil.detect_unit(spark.createDataFrame([(BASE // 1000,), (BASE // 1000,), (1,), (None,)], "ts bigint")) == "ms"
+
+
 def test_normalize_timestamp(spark):
     ms = spark.createDataFrame([(BASE // 1000,)], "ts bigint")
     row = timeutil.normalize_timestamp(ms, both=True).first()

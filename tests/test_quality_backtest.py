@@ -88,6 +88,7 @@ def test_message_reasons(spark):
     cases = [
         (json.dumps(full), None), (json.dumps(trade), None), (json.dumps({"_header": {"version": "2.0"}}), None),
         (json.dumps({**full, "bids": [["1"]]}), "invalid bid format"), (json.dumps({**full, "asks": [["1", "x"]]}), "invalid ask values"),
+        (json.dumps({**full, "bids": [["1", "x"], ["1"]]}), "invalid bid values"), (json.dumps({**full, "asks": [["1"], ["x", "1"]]}), "invalid ask format"),
         (json.dumps({k: v for k, v in full.items() if k != "asks"}), "missing required field: asks"),
         (json.dumps({**trade, "trade": {"trade_id": 1}}), "missing trade field: price"),
         (json.dumps({"type": "x"}), "unknown message type: x"), ("{broken", "JSON parse error"),
