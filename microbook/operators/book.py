@@ -48,23 +48,64 @@ def connection_gaps(df: DataFrame, order: Order = DEFAULT) -> DataFrame:
 
 
 def sequence_status(df: DataFrame, rule: str = "apply", order: Order = DEFAULT) -> DataFrame:
-    """Status of each update: first, ok, old, gap, or overlap.
+    """Status of each update: first, ok, old, gap, or overlap; `applied` says whether it enters the book.
 
-    The reference point is the highest id seen so far. Rule ``apply`` takes a gapped update into the
-    book (`applied`); rule ``reject`` does not when its first id leaves a hole. With rule ``reject``
-    the flag is exact up to the first rejected update of a symbol; `microbook.streaming.book_fold`
-    keeps the path-dependent state beyond it.
+    Rule ``apply`` takes a gapped update into the book, so the reference point is the highest id seen. Rule ``reject`` leaves it
+    out if its first id leaves a hole after the last id *applied*.
     """
+    if rule == "reject":
+        return _rejecting_status(df, order)
     df = running(df, {"_seen": ("max", F.col("last_update_id"))}, order, exclusive=True)
-    seen, first, last = F.col("_seen"), F.col("first_update_id"), F.col("last_update_id")
+    seen = F.col("_seen")
     status = F.when(seen.isNull(), "first").when(F.col("prev_update_id") == seen, "ok")
-    if rule == "apply":
-        status = status.when(last <= seen, "old").otherwise("gap")
-        applied = F.col("status") != "old"
-    else:
-        status = status.when(first > seen + 1, "gap").when(last <= seen, "old").otherwise("overlap")
-        applied = ~F.col("status").isin("old", "gap")
-    return df.withColumn("status", status).withColumn("applied", applied).drop("_seen")
+    status = status.when(F.col("last_update_id") <= seen, "old").otherwise("gap")
+    return df.withColumn("status", status).withColumn("applied", F.col("status") != "old").drop("_seen")
+
+
+ID_BLOCK = 64
+
+
+def _rejecting_status(df: DataFrame, order: Order) -> DataFrame:
+    """The path rule as joins. Updates whose ids follow each other without a hole form a run; within one all or none apply from the
+    first id past the last applied one on. Which run goes on from the end of another is one join over blocks of ids, and the runs
+    that apply are what is reached from the first by doubling those steps.
+    """
+    keys, first, last, prev = list(order.keys), F.col("first_update_id"), F.col("last_update_id"), F.col("prev_update_id")
+
+    def mark(d, w):
+        before = F.lag("last_update_id").over(w)
+        return d.withColumn("_starts", ~(prev.eqNullSafe(before) & first.eqNullSafe(before + 1)) | before.isNull())
+
+    marked = over_rows(df, mark, order, back=1)
+    marked = cut_lineage(running(marked, {"_run": ("sum", F.col("_starts").cast("bigint"))}, order))
+    runs = cut_lineage(marked.groupBy(*keys, "_run").agg(
+        F.min(first).alias("a"), F.max(last).alias("b"), F.min(F.when(F.col("_starts"), prev)).alias("p")))
+    ends = runs.select(*keys, F.col("_run").alias("i"), F.col("b").alias("end"))
+    blocks = runs.withColumn("at", F.explode(F.sequence(F.floor(F.col("a") / ID_BLOCK), F.floor(F.col("b") / ID_BLOCK))))
+    spans = ends.withColumn("at", F.floor((F.col("end") + 1) / ID_BLOCK)).join(blocks, [*keys, "at"]).where(
+        (F.col("_run") > F.col("i")) & (F.col("a") <= F.col("end") + 1) & (F.col("end") < F.col("b")))
+    follows = ends.join(runs.withColumn("end", F.col("p")), [*keys, "end"]).where(F.col("_run") > F.col("i"))
+    steps = spans.select(*keys, "i", "_run").union(follows.select(*keys, "i", "_run"))
+    steps = cut_lineage(steps.groupBy(*keys, "i").agg(F.min("_run").alias("to")))
+    reached, n = cut_lineage(runs.where("_run = 1").select(*keys, "_run")), -1
+    while (now := reached.count()) != n:
+        n = now
+        on = reached.withColumnRenamed("_run", "i").join(steps, [*keys, "i"]).select(*keys, F.col("to").alias("_run"))
+        reached = cut_lineage(reached.union(on).distinct())
+        further = steps.select(*keys, F.col("i").alias("to"), F.col("to").alias("then"))
+        steps = cut_lineage(steps.join(further, [*keys, "to"]).select(*keys, "i", F.col("then").alias("to")))
+    runs = runs.join(reached.withColumn("_goes", F.lit(True)), [*keys, "_run"], "left")
+    ends = running(runs.select(*keys, "_run", "_goes", "b"), {"_applied": ("last", F.when(F.col("_goes"), F.col("b")))},
+                   Order(order.keys, "_run", ()), exclusive=True)
+    out = join_small(marked, ends.select(*keys, "_run", "_goes", "_applied"), [*keys, "_run"], "left")
+    done = F.col("_applied")
+    status = (
+        F.when(done.isNull(), F.when(F.col("_starts"), "first").otherwise("ok")).when(prev == done, "ok")
+        .when(F.col("_goes") & (last > done), F.when(F.col("_starts") | (prev < done), "overlap").otherwise("ok"))
+        .when(first > done + 1, "gap").otherwise("old")
+    )
+    return out.withColumn("status", status).withColumn("applied", ~F.col("status").isin("old", "gap")).drop(
+        "_starts", "_run", "_goes", "_applied")
 
 
 def consecutive_gaps(df: DataFrame, gap: Column, threshold: int = 5, order: Order = DEFAULT) -> DataFrame:

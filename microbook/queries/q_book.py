@@ -128,11 +128,20 @@ def sequence_status_apply(spark, sf):
     return book.sequence_status(_late(spark, sf), "apply", ARRIVAL).select("symbol", "arrival", "status", "applied")
 
 
-@query("sequence_status_reject", with_ctes(LATE, """select symbol, arrival, status, status not in ('gap', 'old') as applied from (
- select *, case when m is null then 'first' when pu = m then 'ok' when first_update_id > m + 1 then 'gap'
- when last_update_id <= m then 'old' else 'overlap' end as status from seen)"""))
+# the id applied last goes from row to row
+PATH = LATE.replace("with ", "") + """,
+numbered as (select *, row_number() over (partition by symbol order by arrival) as rn from late),
+path as (
+  select symbol, arrival, rn, last_update_id as done, 'first' as status from numbered where rn = 1
+  union all
+  select n.symbol, n.arrival, n.rn, case when pu = done or first_update_id <= done + 1 and last_update_id > done then last_update_id else done end,
+    case when pu = done then 'ok' when first_update_id > done + 1 then 'gap' when last_update_id <= done then 'old' else 'overlap' end
+  from path p join numbered n on n.symbol = p.symbol and n.rn = p.rn + 1)"""
+
+
+@query("sequence_status_reject", with_ctes("recursive " + PATH, "select symbol, arrival, status, status not in ('gap', 'old') as applied from path"))
 def sequence_status_reject(spark, sf):
-    """Updates that leave a hole are rejected."""
+    """Updates that leave a hole after the last applied one are rejected."""
     return book.sequence_status(_late(spark, sf), "reject", ARRIVAL).select("symbol", "arrival", "status", "applied")
 
 

@@ -114,7 +114,30 @@ def test_sequence_status(spark):
     apply = [r.status for r in book.sequence_status(df).orderBy("seq").collect()]
     reject = [r.status for r in book.sequence_status(df, "reject").orderBy("seq").collect()]
     assert apply == ["first", "ok", "gap", "old", "gap"]
-    assert reject == ["first", "ok", "gap", "old", "overlap"]
+    assert reject == ["first", "ok", "gap", "ok", "ok"]  # 3 follows the last applied id 2, and 4-7 follows 3
+
+
+def test_rejecting_path_equals_replay(spark):
+    rng, rows, wanted = random.Random(5), [], {}
+    for symbol in "AB":
+        ids, done = 0, None
+        for i in range(160):
+            ids = max(0, ids + rng.choice([1, 1, 1, 1, 0, 2, -3, -9, 5]))
+            size = rng.choice([1, 1, 2, 4])
+            first, last, prev = ids + 1, ids + size, ids if rng.random() < 0.9 else ids - 1
+            rows.append((symbol, i, i, first, last, prev))
+            if done is None:
+                status = "first"
+            elif prev == done:
+                status = "ok"
+            else:
+                status = "gap" if first > done + 1 else "old" if last <= done else "overlap"
+            done = last if status in ("first", "ok", "overlap") else done
+            wanted[symbol, i] = status
+            ids = last
+    df = spark.createDataFrame(rows, "symbol string, ts bigint, seq bigint, first_update_id bigint, last_update_id bigint, prev_update_id bigint")
+    got = {(r.symbol, r.seq): r.status for r in book.sequence_status(df, "reject").collect()}
+    assert got == wanted
 
 
 def test_health_and_symbols(spark):
