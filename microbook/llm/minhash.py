@@ -4,7 +4,7 @@ Each shingle set is hashed once; the least hash of each bin is its sketch, and a
 (bin, attempt) names (optimal densification). Bands of the sketch are buckets. In a bucket every document is paired with two
 hubs, the document that shares most buckets with others and one picked by hash, so pairs grow with the rows and never with the
 square of a bucket. Pairs are confirmed on full sets, and links are closed to components by alternating stars.
-Buckets with more than three documents and more than one component left are searched again on longer bands.
+Buckets of three documents or more with more than one component left are searched again on longer bands.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from microbook.llm.shingles import U, mix, shingle_sets
 
 BANDS, ROWS = 25, 5  # two sets of similarity 0.85 share no band once in 2 million pairs
 FINE_BANDS, FINE_ROWS = 128, 16  # for crowded buckets: missed once in 20,000 pairs of similarity 0.85
-CROWD = 4  # in a bucket of fewer the two hubs meet everyone
+CROWD = 3  # in a bucket of two the hub meets everyone
 WIDTH = 5
 LEAST = 85  # per cent
 BROADCAST_IDS = 1_000_000  # ids sent to every task at most: 8 MB
