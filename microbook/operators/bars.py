@@ -14,8 +14,11 @@ from microbook.functions.names import BAR_COLUMNS
 from microbook.plans.ordered import DEFAULT, Order, floor_to
 
 
-def _ohlc(price: Column, order: Order) -> list[Column]:
-    at = order.stamp()
+AT = "_at"
+
+
+def _ohlc(price: Column) -> list[Column]:
+    at = F.col(AT)
     return [
         F.min_by(price, at).alias("open"),
         F.max(price).alias("high"),
@@ -32,10 +35,10 @@ def trade_bars(
     volume = F.sum(q)
     return (
         df.filter(p.isNotNull() & (p > 0))
-        .withColumn("bucket", floor_to(F.col(order.ts), interval_us))
+        .withColumns({"bucket": floor_to(F.col(order.ts), interval_us), AT: order.packed()})
         .groupBy(*order.keys, "bucket")
         .agg(
-            *_ohlc(p, order),
+            *_ohlc(p),
             volume.alias("volume"),
             div(F.sum(p * q), volume).alias("vwap"),
             F.count(F.lit(1)).alias("number_of_trades"),
@@ -69,7 +72,7 @@ def snapshot_bars(
         raise ValueError(f"price column {price!r} not found")
     present = [F.col(c) for c in volumes if c in df.columns]
     p = F.col(price)
-    aggs = [F.min(order.ts).alias("_first"), *_ohlc(p, order)]
+    aggs = [F.min(order.ts).alias("_first"), *_ohlc(p)]
     aggs.append(F.count(F.lit(1)).alias("number_of_trades"))
     if present:
         total = add_all(present)
@@ -78,7 +81,7 @@ def snapshot_bars(
     else:
         aggs += [F.lit(None).cast("double").alias(c) for c in ("volume", "vwap")]
     return (
-        df.withColumn("_bucket", floor_to(F.col(order.ts), interval_us))
+        df.withColumns({"_bucket": floor_to(F.col(order.ts), interval_us), AT: order.packed()})
         .groupBy(*order.keys, "_bucket").agg(*aggs)
         .drop("_bucket").withColumnRenamed("_first", order.ts)
     )
@@ -127,7 +130,7 @@ def bucket_aggregate(
     volatilities and cumulative volumes; ``policy="sane"`` averages or differences those instead.
     """
     skip = {*order.keys, order.ts, *order.ties}
-    at = order.stamp()
+    at = F.col(AT)
     aggs: list[Column] = []
     for name, kind in df.dtypes:
         if name in skip or kind in ("string", "boolean"):
@@ -144,7 +147,7 @@ def bucket_aggregate(
             aggs.append((F.max(c) - F.min(c)).alias(name))
     ohlc = version == 1 if with_ohlc is None else with_ohlc
     if ohlc and "midprice" in df.columns:
-        aggs += _ohlc(F.col("midprice"), order)
+        aggs += _ohlc(F.col("midprice"))
     takers = [F.col(c) for c in ("taker_buy_volume", "taker_sell_volume") if c in df.columns]
     if ohlc and takers:
         total = add_all(takers)
@@ -153,7 +156,7 @@ def bucket_aggregate(
             aggs.append(div(F.sum(F.col("midprice") * total), F.sum(total)).alias("vwap"))
     aggs.append(F.count(F.lit(1)).alias("number_of_trades" if version == 1 else "tick_count"))
     return (
-        df.withColumn("_bucket", floor_to(F.col(order.ts), interval_us))
+        df.withColumns({"_bucket": floor_to(F.col(order.ts), interval_us), AT: order.packed()})
         .groupBy(*order.keys, "_bucket").agg(*aggs)
         .withColumnRenamed("_bucket", order.ts)
     )

@@ -230,12 +230,15 @@ def with_top(snapshots: DataFrame) -> DataFrame:
     })
 
 
-def grid_ticks(events: DataFrame, interval_us: int, order: Order = DEFAULT) -> DataFrame:
-    """First event of every interval of every key."""
+def grid_ticks(events: DataFrame, interval_us: int, order: Order = DEFAULT, at: str | None = None) -> DataFrame:
+    """First event of every interval of every key.
+
+    `at` names a column that numbers the events in `order`, if there is one. Columns of fixed width are hash aggregates.
+    """
     columns = [c for c in events.columns if c not in order.keys]
-    first = F.min_by(F.struct(*columns), order.stamp()).alias("_first")
-    cell = floor_to(F.col(order.ts), interval_us).alias("_cell")
-    return events.groupBy(*order.keys, cell).agg(first).select(*order.keys, "_first.*")
+    numbered = events.withColumns({"_cell": floor_to(F.col(order.ts), interval_us), "_at": F.col(at) if at else order.packed()})
+    first = [F.min_by(c, "_at").alias(c) for c in columns]
+    return numbered.groupBy(*order.keys, "_cell").agg(*first).drop("_cell")
 
 
 def trade_state(events: DataFrame, order: Order = DEFAULT, plan=None) -> DataFrame:
@@ -282,7 +285,7 @@ def reconstruct(
     ticks = grid_ticks(
         events.select("symbol", "exchange_ts", "event_seq", "local_ts", "update_id", "epoch", "pos",
                       "last_trade_px", "last_trade_qty", "taker_buy_vol", "taker_sell_vol"),
-        interval_us, order,
+        interval_us, order, at="pos",
     )
     wide = initialised(book_at(deltas, ticks, depth, ("symbol", "epoch"), block))
     levels = [c for c in wide.columns if c[:7] in ("bid_px_", "bid_sz_", "ask_px_", "ask_sz_")]

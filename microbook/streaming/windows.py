@@ -14,7 +14,7 @@ from microbook.plans.ordered import DEFAULT, Order
 def stream_bars(trades: DataFrame, interval: str, price: str = "price", qty: str = "qty", order: Order = DEFAULT) -> DataFrame:
     """OHLCV bars of a stream with `event_time`; a bar is emitted once the watermark passes its end."""
     p, q = F.col(price), F.col(qty)
-    at = order.stamp()
+    at = order.packed()
     bars = (
         trades.filter(p.isNotNull() & (p > 0))
         .groupBy(F.window("event_time", interval), *order.keys)

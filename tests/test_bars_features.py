@@ -128,3 +128,18 @@ def test_fills(spark):
     forward = [r.x for r in features.forward_fill(df, ["x"]).orderBy("ts").collect()]
     backward = [r.x for r in features.backward_fill(df, ["x"]).orderBy("ts").collect()]
     assert forward == [None, 1, 1, 2, 2] and backward == [1, 1, 2, 2, None]
+
+
+def test_bars_are_hash_aggregates(spark):
+    rows = spark.createDataFrame(
+        [("a", 0, -3, 1.0, 2.0), ("a", 0, 5, 3.0, 1.0), ("a", 7, None, 2.0, 1.0), ("a", 7, -9, 4.0, 1.0), ("b", -1, 2**63 - 1, 8.0, 1.0),
+         ("b", -1, -(2**63), 9.0, 1.0), ("b", -5, 0, 7.0, 1.0)], "symbol string, ts bigint, seq bigint, price double, qty double")
+    out = bars.trade_bars(rows, 10)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    got = {(r.symbol, r.bucket): (r.open, r.close) for r in out.collect()}
+    assert got == {("a", 0): (1.0, 4.0), ("b", -10): (7.0, 8.0)}
+    wide = rows.withColumnsRenamed({"price": "midprice", "qty": "bid_px_01"})
+    for version in (1, 2):
+        plan = bars.bucket_aggregate(wide, 10, version)._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan
