@@ -5,13 +5,16 @@ Files must appear in the landing folder complete (write elsewhere, then rename).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from microbook.functions.timeutil import to_timestamp
+from microbook.session import shared_dir
 from microbook.sources.raw import parse_lines
 
 
@@ -75,17 +78,19 @@ def land_in_slices(
     """Write `df` as consecutive time slices of about equal size, one bounded file each.
 
     A stream over `path` that takes whole files meets the rows in time order, as it does behind a
-    collector that rotates its files. Returns the number of slices.
+    collector that rotates its files. One range-partitioned write cuts all slices; each is then moved on by itself, because
+    a stream takes files by age. Returns the number of slices.
     """
+    spark = df.sparkSession
     rows = df.count()
     n = max(at_least, -(-rows // rows_per_slice))
-    cuts = df.agg(F.percentile_approx(ts, [i / n for i in range(1, n)], min(100 * n, 1_000_000))).first()[0] or []
-    cuts = sorted(set(cuts))
-    for low, high in zip([None, *cuts], [*cuts, None]):
-        inside = F.lit(True)
-        if low is not None:
-            inside = inside & (F.col(ts) > low)
-        if high is not None:
-            inside = inside & (F.col(ts) <= high)
-        df.filter(inside).repartition(1).write.mode("append").parquet(path)
-    return len(cuts) + 1
+    if not rows:
+        df.write.mode("append").parquet(path)
+        return 1
+    staged = f"{shared_dir(spark)}/slices-{uuid.uuid4().hex}"
+    df.repartitionByRange(n, ts).withColumn("_slice", F.spark_partition_id()).write.partitionBy("_slice").parquet(staged)
+    slices = spark.read.schema(StructType([*df.schema, StructField("_slice", IntegerType())])).parquet(staged)
+    found = sorted(r[0] for r in slices.select("_slice").distinct().collect())
+    for i in found:
+        slices.filter(F.col("_slice") == i).drop("_slice").coalesce(1).write.mode("append").parquet(path)
+    return len(found)
