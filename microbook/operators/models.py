@@ -10,7 +10,8 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from microbook.operators import backtest
+from microbook.operators import backtest, normalize
+from microbook.operators.features import forward_fill
 from microbook.operators.splits import time_series_folds, walk_forward_blocks
 from microbook.plans.ordered import DEFAULT, Order
 from microbook.session import cut_lineage
@@ -31,8 +32,9 @@ GRIDS = {
 BOOST = {"maxDepth": 6, "stepSize": 0.1, "maxIter": 500, "subsamplingRate": 0.8, "seed": 42}
 
 
-def assemble(df: DataFrame, features: list[str]) -> DataFrame:
-    return VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip").transform(df)
+def assemble(df: DataFrame, features: list[str], invalid: str = "skip") -> DataFrame:
+    """Add the vector of the features; rows with a null or NaN feature are left out, or kept with ``invalid="keep"``."""
+    return VectorAssembler(inputCols=features, outputCol="features", handleInvalid=invalid).transform(df)
 
 
 def fit_linear(df: DataFrame, features: list[str], label: str = "target", kind: str = "ridge", params: dict | None = None):
@@ -65,8 +67,10 @@ def fit_linear(df: DataFrame, features: list[str], label: str = "target", kind:
 
 
 def predict(model, df: DataFrame, features: list[str], name: str = "y_pred") -> DataFrame:
-    """Add the prediction; rows with a null feature are left out."""
-    return model.transform(assemble(df, features)).drop("features").withColumnRenamed("prediction", name)
+    """Add the prediction to every row; it is null where a feature is null or NaN."""
+    whole = reduce(lambda a, b: a & b, [F.col(f).isNotNull() & ~F.isnan(F.col(f).cast("double")) for f in features])
+    out = model.transform(assemble(df, features, "keep"))
+    return out.withColumn("prediction", F.when(whole, F.col("prediction"))).drop("features").withColumnRenamed("prediction", name)
 
 
 def fit_boosted(df: DataFrame, features: list[str], label: str = "target", validation: str | None = None, params: dict | None = None):
@@ -121,16 +125,20 @@ def walk_forward_backtest(
     df: DataFrame, features: list[str], label: str = "target", fit: Fit = fit_linear,
     strategy: backtest.Strategy = backtest.threshold_signal, n_splits: int = 5, train_window: int | None = None,
     test_window: int | None = None, cost: float = 0.1, order: Order = DEFAULT,
+    scale: str | None = "zscore", clip_std: float | None = 5.0,
 ) -> DataFrame:
     """Train on the past, score the next block, for every split; returns scored rows with profit and loss.
 
-    Follow with `fold_results`. Scale features beforehand with statistics of the first training range.
+    Null features take the last value before them, or 0. Infinities become 0, then features are clipped and scaled with
+    statistics of the split's own training range. Follow with `fold_results`.
     """
-    folds = walk_forward_blocks(df.filter(F.col(label).isNotNull()), n_splits, train_window, test_window, order)
-    folds = cut_lineage(folds)
+    known = forward_fill(df.filter(F.col(label).isNotNull()), features, order).fillna(0.0, features)
+    folds = cut_lineage(walk_forward_blocks(known, n_splits, train_window, test_window, order))
     scored = []
     for fold in range(n_splits):
-        part = folds.filter(F.col("fold") == fold)
+        part = normalize.replace_infinite(folds.filter(F.col("fold") == fold), features)
+        stats = normalize.by_feature(normalize.fit_stats(part.filter(F.col("split") == "train"), features))
+        part = normalize.preprocess(part, stats, features, scale, clip_std, "none", order)
         model = fit(part.filter(F.col("split") == "train"), features, label)
         scored.append(predict(model, part.filter(F.col("split") == "test"), features))
     out = reduce(DataFrame.unionByName, scored).withColumn("signal", strategy(F.col("y_pred")))

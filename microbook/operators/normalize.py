@@ -171,28 +171,33 @@ def fit_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     return _as_manifest(out.withColumn("std", F.when(std.isNull() | F.isnan(std) | (std == 0), 1.0).otherwise(std)))
 
 
+def by_feature(stats: DataFrame | dict) -> dict:
+    """Fitted rows by feature, one for each column; a dict is passed on, so that several steps share one fit."""
+    return stats if isinstance(stats, dict) else {r.feature: r for r in stats.collect()}
+
+
 def replace_infinite(df: DataFrame, columns: list[str], value: float = 0.0) -> DataFrame:
     """±inf to a constant; NaN stays."""
     inf = float("inf")
     return df.withColumns({c: F.when(F.abs(F.col(c)) == inf, value).otherwise(F.col(c)) for c in columns})
 
 
-def clip_outliers(df: DataFrame, stats: DataFrame, columns: list[str], n_std: float = 5.0) -> DataFrame:
+def clip_outliers(df: DataFrame, stats: DataFrame | dict, columns: list[str], n_std: float = 5.0) -> DataFrame:
     """Hold columns within mean ± n_std deviations of the fitted statistics."""
-    rows = {r.feature: r for r in stats.collect()}
+    rows = by_feature(stats)
     return df.withColumns({
         c: clip(F.col(c), F.lit(rows[c].mean - n_std * rows[c].std), F.lit(rows[c].mean + n_std * rows[c].std))
         for c in columns if c in rows
     })
 
 
-def apply_zscore(df: DataFrame, stats: DataFrame, columns: list[str]) -> DataFrame:
-    rows = {r.feature: r for r in stats.collect()}
+def apply_zscore(df: DataFrame, stats: DataFrame | dict, columns: list[str]) -> DataFrame:
+    rows = by_feature(stats)
     return df.withColumns({c: (F.col(c) - F.lit(rows[c].mean)) / F.lit(rows[c].std) for c in columns if c in rows})
 
 
-def apply_minmax(df: DataFrame, stats: DataFrame, columns: list[str], low: float = 0.0, high: float = 1.0) -> DataFrame:
-    rows = {r.feature: r for r in stats.collect()}
+def apply_minmax(df: DataFrame, stats: DataFrame | dict, columns: list[str], low: float = 0.0, high: float = 1.0) -> DataFrame:
+    rows = by_feature(stats)
     return df.withColumns({
         c: (F.col(c) - F.lit(rows[c].min_val)) / F.lit((rows[c].max_val - rows[c].min_val) or 1.0) * (high - low) + low
         for c in columns if c in rows
@@ -200,15 +205,15 @@ def apply_minmax(df: DataFrame, stats: DataFrame, columns: list[str], low: float
 
 
 def preprocess(
-    df: DataFrame, stats: DataFrame, columns: list[str], normalize: str | None = "zscore",
+    df: DataFrame, stats: DataFrame | dict, columns: list[str], normalize: str | None = "zscore",
     clip_std: float | None = 5.0, fill: str = "forward", order: Order = DEFAULT,
 ) -> DataFrame:
     """Fill nulls, replace infinities, clip and scale with statistics fitted before.
 
     `fill` is forward (then backward, then 0), zero or drop. No global sort: order is a property of
-    the windows, not of the files.
+    the windows, not of the files. With any other `fill`, nulls stay.
     """
-    columns = [c for c in columns if c in df.columns]
+    columns, stats = [c for c in columns if c in df.columns], by_feature(stats)
     if fill == "forward":
         df = backward_fill(forward_fill(df, columns, order), columns, order).fillna(0.0, columns)
     elif fill == "zero":

@@ -236,12 +236,13 @@ MODEL_FEATURES = ["ofi", "imbalance", "spread", "imbalance_5"]
 
 
 def model_table(spark, sf):
-    """Feature rows with a return target over three rows, nulls dropped."""
+    """Feature rows with a return target over three rows; a null feature takes the last value before it, or 0."""
     from microbook.operators.dataset import create_target
+    from microbook.operators.features import forward_fill
 
     def build():
-        df = create_target(training_table(spark, sf), horizon=3)
-        return df.dropna(subset=["target", *MODEL_FEATURES]).select("symbol", "ts", "seq", *MODEL_FEATURES, "target")
+        df = create_target(training_table(spark, sf), horizon=3).select("symbol", "ts", "seq", *MODEL_FEATURES, "target")
+        return forward_fill(df, MODEL_FEATURES).fillna(0.0, MODEL_FEATURES).dropna(subset=["target"])
 
     return stored(spark, sf, "model_rows", build)
 
@@ -257,7 +258,7 @@ def model_comparison(spark, sf):
 @query("model_search")
 def model_search(spark, sf):
     """Lasso penalties over expanding folds."""
-    return models.search_linear(model_table(spark, sf), MODEL_FEATURES, kind="lasso", n_splits=2)
+    return models.search_linear(model_table(spark, sf), MODEL_FEATURES, kind="lasso")
 
 
 @query("model_boosted_importance")
@@ -272,6 +273,6 @@ def model_boosted_importance(spark, sf):
 
 @query("walk_forward_backtest")
 def walk_forward_backtest(spark, sf):
-    """Ridge trained on the past, scored on the next block, three times; results per fold."""
-    scored = models.walk_forward_backtest(model_table(spark, sf), MODEL_FEATURES, n_splits=3)
+    """Ridge trained on the past, scored on the next block, five times; results per fold."""
+    scored = models.walk_forward_backtest(model_table(spark, sf), MODEL_FEATURES)
     return models.fold_results(scored)
