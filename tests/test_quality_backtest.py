@@ -225,3 +225,9 @@ def test_sequence_count(spark, stride):
     assert out.count() == (40 - 15) // stride + 1
     first = out.orderBy("start_ts").first()
     assert [x[0] for x in first.x] == list(range(10)) and [y[0] for y in first.y] == list(range(10, 15))
+
+
+def test_predictions_keep_rows_with_null_features(spark):
+    rows = spark.createDataFrame([(float(i), None if i == 3 else float(i), 2.0 * i) for i in range(8)], "ts double, a double, target double")
+    scored = models.predict(models.fit_linear(rows, ["a"], kind="linear"), rows, ["a"]).orderBy("ts").collect()
+    assert len(scored) == 8 and scored[3].y_pred is None and abs(scored[5].y_pred - 10.0) < 1e-6
