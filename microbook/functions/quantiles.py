@@ -18,17 +18,19 @@ def exact_quantiles(
     value: Column | str,
     probs: dict[str, float],
     keys: tuple[str, ...] = (),
-    interpolation: str = "linear",
+    interpolation: str | dict[str, str] = "linear",
     few_keys: bool = False,
     accuracy: int = 100_000,
 ) -> DataFrame:
     """One row per key with a column per entry of `probs`.
 
-    `interpolation` is ``linear`` (between the two neighbouring ranks) or ``nearest``.
+    `interpolation` is ``linear`` (between the two neighbouring ranks) or ``nearest``, for all or by column. The input is read
+    three times: give windows as a written table.
     `few_keys` may be set when the number of keys has a fixed bound; else brackets are counted before
     they are broadcast.
     """
     keyed = list(keys) or ["_all"]
+    kind = interpolation if isinstance(interpolation, dict) else dict.fromkeys(probs, interpolation)
     rows = df if keys else df.withColumn("_all", F.lit(0))
     rows = rows.select(*keyed, (F.col(value) if isinstance(value, str) else value).alias("_x"))
     rows = rows.filter(F.col("_x").isNotNull())
@@ -72,19 +74,19 @@ def exact_quantiles(
         sides = F.broadcast(sides)
     ranked = counts.join(sides, keyed)
 
-    def rank(p: float, side: str) -> Column:
+    def rank(name: str, p: float, side: str) -> Column:
         at = F.lit(p) * (F.col("_n") - 1).cast("double")
-        if interpolation == "nearest":
+        if kind[name] == "nearest":
             return F.floor(at + F.lit(0.5)).cast("bigint")
         return (F.floor(at) if side == "lo" else F.ceil(at)).cast("bigint")
 
     picks = []
-    for i, p in enumerate(probs.values()):
+    for i, (name, p) in enumerate(probs.items()):
         mine = F.col("_i") == i
         before = F.col(f"_below{i}") + F.col("_upto") - F.col("_c")
         upto = F.col(f"_below{i}") + F.col("_upto")
         for side in ("lo", "hi"):
-            r = rank(p, side)
+            r = rank(name, p, side)
             hit = F.max(F.when(mine & (r >= before) & (r < upto), x))
             prev = F.max(F.when(r == F.col(f"_below{i}") - 1, F.col(f"_prev{i}")))
             after = F.max(F.when(r == F.col(f"_below{i}") + F.col(f"_in{i}"), F.col(f"_next{i}")))
@@ -95,5 +97,5 @@ def exact_quantiles(
         at = F.lit(p) * (F.col("_n") - 1).cast("double")
         lo = F.coalesce(F.col(f"_lo{i}"), F.raise_error(F.lit("quantile bracket missed"))).cast("double")
         hi = F.coalesce(F.col(f"_hi{i}"), F.raise_error(F.lit("quantile bracket missed"))).cast("double")
-        out.append((lo + (at - F.floor(at)) * (hi - lo) if interpolation == "linear" else lo).alias(name))
+        out.append((lo + (at - F.floor(at)) * (hi - lo) if kind[name] == "linear" else lo).alias(name))
     return found.select(*keys, *out)

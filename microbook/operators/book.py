@@ -185,27 +185,43 @@ def book_at(
     unique in (keys, pos); the book is the one after the change at `pos`.
     """
     k = list(keys)
+    columns = ticks.columns
+    at = [*k, "blk", "pos"]
     ticks = ticks.withColumn("blk", F.floor(F.col("pos") / F.lit(block)).cast("bigint"))
     ends = ticks.groupBy(*k).agg(F.max("blk").alias("_last"))
     levels = _block_intervals(deltas.select(*k, "pos", "side", "price", "size"), ends, k, block)
-    t = ticks.select(*k, "blk", "pos", F.struct(*ticks.columns).alias("_tick")).alias("t")
-    v = levels.alias("v")
+    more = set(columns) - set(at)
+    t, v = ticks.select(*at).alias("t"), _in_reach(levels, k, block, depth).alias("v")
     same = [F.col(f"t.{c}") == F.col(f"v.{c}") for c in [*k, "blk"]]
     inside = (F.col("t.pos") >= F.col("v.lo")) & (F.col("t.pos") < F.col("v.hi"))
-    held = t.join(v, [*same, inside], "left").select("t.*", "v.side", "v.price", "v.size")
-    px_sz = [F.col("price").alias("px"), F.col("size").alias("sz")]
+    held = t.join(v, [*same, inside], "inner" if more else "left").select("t.*", "v.side", "v.price", "v.size")
     on = {side: F.col("side") == side for side in ("bid", "ask")}
-    if depth == 1:  # the best level is a maximum or minimum: no ranking, no sort
-        best = {"bid": F.max, "ask": F.min}
-        sides = [F.array(best[s](F.when(on[s], F.struct(*px_sz)))).alias(f"_{s}s") for s in on]
+    if depth == 1:  # the best level is a maximum or minimum: no ranking, and a hash aggregate
+        best = {"bid": (F.max, F.max_by), "ask": (F.min, F.min_by)}
+        tops = [x for s, (edge, by) in best.items() for x in (
+            edge(F.when(on[s], F.col("price"))).alias(f"{s}_px_01"), by("size", F.when(on[s], F.col("price"))).alias(f"{s}_sz_01"))]
+        out, wide = held.groupBy(*at).agg(*tops), [f"{s}_{x}_01" for s in best for x in ("px", "sz")]
     else:
-        far = F.when(on["bid"], -F.col("price")).otherwise(F.col("price"))
-        ranks = Window.partitionBy(*k, "blk", "pos", "side").orderBy(far)
+        ranks = Window.partitionBy(*at, "side").orderBy(_distance())
         held = held.withColumn("_level", F.row_number().over(ranks)).filter(F.col("_level") <= depth)
-        level = F.struct(F.col("_level"), *px_sz)
-        sides = [F.sort_array(F.collect_list(F.when(on[s], level))).alias(f"_{s}s") for s in on]
-    out = held.groupBy(*k, "blk", "pos").agg(F.first("_tick").alias("_tick"), *sides)
-    return out.selectExpr("_tick.*", *_wide_columns("_bids", "_asks", depth)).drop("blk")
+        level = F.struct(F.col("_level"), F.col("price").alias("px"), F.col("size").alias("sz"))
+        out = held.groupBy(*at).agg(*[F.sort_array(F.collect_list(F.when(on[s], level))).alias(f"_{s}s") for s in on])
+        wide = _wide_columns("_bids", "_asks", depth)
+    # the other columns of a tick are joined to its book once, not carried along with every level
+    return (ticks.join(out, at, "left") if more else out).selectExpr(*columns, *wide)
+
+
+def _distance() -> Column:
+    """Rises from the best price of a side to the worst."""
+    return F.when(F.col("side") == "bid", -F.col("price")).otherwise(F.col("price"))
+
+
+def _in_reach(levels: DataFrame, keys: list[str], block: int, depth: int) -> DataFrame:
+    """Of the levels open through a whole block only the best `depth` a side: the others are behind those at every tick of it."""
+    through = (F.col("lo") == F.col("blk") * block) & (F.col("hi") == (F.col("blk") + 1) * block)
+    ranks = Window.partitionBy(*keys, "blk", "side", "_through").orderBy(_distance())
+    ranked = levels.withColumn("_through", through).repartition(*keys, "blk").withColumn("_rank", F.row_number().over(ranks))
+    return ranked.filter(~F.col("_through") | (F.col("_rank") <= depth)).drop("_through", "_rank")
 
 
 def _wide_columns(bids: str, asks: str, depth: int) -> list[str]:
@@ -282,11 +298,11 @@ def reconstruct(
     # numbered once, read by the ticks, the level changes and the carried levels
     events = cut_lineage(events.drop("trade", "liquidation", "kline", "meta"))
     deltas = explode_levels(events.filter(F.col("type") != "trade"), "symbol", "epoch", "pos")
-    ticks = grid_ticks(
+    ticks = cut_lineage(grid_ticks(
         events.select("symbol", "exchange_ts", "event_seq", "local_ts", "update_id", "epoch", "pos",
                       "last_trade_px", "last_trade_qty", "taker_buy_vol", "taker_sell_vol"),
         interval_us, order, at="pos",
-    )
+    ))
     wide = initialised(book_at(deltas, ticks, depth, ("symbol", "epoch"), block))
     levels = [c for c in wide.columns if c[:7] in ("bid_px_", "bid_sz_", "ask_px_", "ask_sz_")]
     return wide.select(

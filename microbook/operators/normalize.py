@@ -72,13 +72,9 @@ def fit_robust(df: DataFrame, columns: list[str], log1p: bool = True, interpolat
     counts = long.groupBy("feature").agg(
         F.count("raw").alias("n_samples"), F.count_if(F.col("raw").isNull()).alias("n_nulls")
     )
-    out = counts
-    if interpolation == "linear":
-        out = out.join(exact_quantiles(long, "value", {"q25": 0.25, "median": 0.5, "q75": 0.75}, ("feature",), few_keys=True), "feature", "left")
-    else:
-        quarts = exact_quantiles(long, "value", {"q25": 0.25, "q75": 0.75}, ("feature",), interpolation, few_keys=True)
-        middle = exact_quantiles(long, "value", {"median": 0.5}, ("feature",), few_keys=True)
-        out = out.join(quarts, "feature", "left").join(middle, "feature", "left")
+    kinds = {"q25": interpolation, "median": "linear", "q75": interpolation}
+    quarts = exact_quantiles(long, "value", {"q25": 0.25, "median": 0.5, "q75": 0.75}, ("feature",), kinds, few_keys=True)
+    out = counts.join(quarts, "feature", "left")
     out = out.withColumns({
         "q25": F.coalesce("q25", F.lit(0.0)), "median": F.coalesce("median", F.lit(0.0)),
         "q75": F.coalesce("q75", F.lit(1.0)),

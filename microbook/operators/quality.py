@@ -16,6 +16,7 @@ from microbook.functions.expr import add_rolling, any_of, div, step
 from microbook.functions.quantiles import exact_quantiles
 from microbook.functions.timeutil import unit_of
 from microbook.plans.ordered import DEFAULT, Order, floor_to, layout, over_rows, running
+from microbook.session import cut_lineage
 
 # --- cleaning ---------------------------------------------------------------------------------
 
@@ -336,6 +337,7 @@ def training_readiness(df: DataFrame, min_hours: float = 6.0, order: Order = DEF
     price = "close" if "close" in columns else "midprice"
     ts = F.col(order.ts)
     rows = over_rows(df, lambda d, w: d.withColumn("_dt", step(ts, w)), order, back=1)
+    rows = cut_lineage(rows.select(*dict.fromkeys([*order.keys, order.ts, *family, price, "_dt"])))
     out = rows.groupBy(*order.keys).agg(
         F.count(F.lit(1)).alias("rows"),
         ((F.max(ts) - F.min(ts)) / F.lit(3.6e9)).alias("hours"),
@@ -441,6 +443,7 @@ def dataset_info(df: DataFrame, order: Order = DEFAULT, expected: list[str] | No
     expected = expected or names.TRAINING_FEATURES
     ts = F.col(order.ts)
     rows = over_rows(df, lambda d, w: d.withColumn("_dt", step(ts, w)), order, back=1)
+    rows = cut_lineage(rows.select(*order.keys, order.ts, "_dt"))
     out = rows.groupBy(*order.keys).agg(
         F.count(F.lit(1)).alias("total_rows"), F.min(ts).alias("start_ts"), F.max(ts).alias("end_ts"),
     )

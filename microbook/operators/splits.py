@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from microbook.functions.expr import step
 from microbook.functions.quantiles import exact_quantiles
 from microbook.plans.ordered import DEFAULT, Order, layout, over_rows, row_index, running
+from microbook.session import cut_lineage
 
 
 def with_gaps(df: DataFrame, bucket_us: int = 100_000, factor: float = 2.0, order: Order = DEFAULT, plan=None) -> DataFrame:
@@ -25,7 +26,7 @@ def with_gaps(df: DataFrame, bucket_us: int = 100_000, factor: float = 2.0, orde
 
 def gap_stats(df: DataFrame, bucket_us: int = 100_000, factor: float = 2.0, order: Order = DEFAULT) -> DataFrame:
     """Number, shortest, longest and median gap per key."""
-    gaps = with_gaps(df, bucket_us, factor, order).filter("is_gap")
+    gaps = cut_lineage(with_gaps(df, bucket_us, factor, order).filter("is_gap").select(*order.keys, "step_us"))
     out = gaps.groupBy(*order.keys).agg(
         F.count(F.lit(1)).alias("n_gaps"), F.min("step_us").alias("min_gap_us"), F.max("step_us").alias("max_gap_us")
     )
