@@ -185,12 +185,13 @@ def book_at(
     unique in (keys, pos); the book is the one after the change at `pos`.
     """
     k = list(keys)
-    columns = ticks.columns
-    at = [*k, "blk", "pos"]
+    columns, at = ticks.columns, [*k, "blk", "pos"]
+    more = set(columns) - set(at)
     ticks = ticks.withColumn("blk", F.floor(F.col("pos") / F.lit(block)).cast("bigint"))
+    if more:  # they are read three times
+        ticks = cut_lineage(ticks)
     ends = ticks.groupBy(*k).agg(F.max("blk").alias("_last"))
     levels = _block_intervals(deltas.select(*k, "pos", "side", "price", "size"), ends, k, block)
-    more = set(columns) - set(at)
     t, v = ticks.select(*at).alias("t"), _in_reach(levels, k, block, depth).alias("v")
     same = [F.col(f"t.{c}") == F.col(f"v.{c}") for c in [*k, "blk"]]
     inside = (F.col("t.pos") >= F.col("v.lo")) & (F.col("t.pos") < F.col("v.hi"))
@@ -298,11 +299,11 @@ def reconstruct(
     # numbered once, read by the ticks, the level changes and the carried levels
     events = cut_lineage(events.drop("trade", "liquidation", "kline", "meta"))
     deltas = explode_levels(events.filter(F.col("type") != "trade"), "symbol", "epoch", "pos")
-    ticks = cut_lineage(grid_ticks(
+    ticks = grid_ticks(
         events.select("symbol", "exchange_ts", "event_seq", "local_ts", "update_id", "epoch", "pos",
                       "last_trade_px", "last_trade_qty", "taker_buy_vol", "taker_sell_vol"),
         interval_us, order, at="pos",
-    ))
+    )
     wide = initialised(book_at(deltas, ticks, depth, ("symbol", "epoch"), block))
     levels = [c for c in wide.columns if c[:7] in ("bid_px_", "bid_sz_", "ask_px_", "ask_sz_")]
     return wide.select(

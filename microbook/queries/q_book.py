@@ -8,7 +8,7 @@ from microbook.functions.names import ladder_block
 from microbook.operators import book
 from microbook.plans.ordered import DEFAULT, Order, over_rows, row_index
 from microbook.queries.registry import query, snap_sql, snapped, with_ctes
-from microbook.queries.tables import DELTAS, HOUR, SNAPSHOTS, _wide_sql, build_snapshots, deltas, snapshots
+from microbook.queries.tables import DELTAS, HOUR, SNAPSHOTS, TRADES, _wide_sql, build_snapshots, deltas, snapshots, trades
 
 LEVELS = ladder_block(10)
 
@@ -206,15 +206,25 @@ def book_properties(spark, sf):
     return snapped(out.select("symbol", "ts", "seq", "mid", "spread", "bid_volume", "ask_volume", "imbalance"), "imbalance")
 
 
-@query("book_health", with_ctes(GAPPED, """select symbol, count(*) as events_processed, count(*) as depth_updates, 0::bigint as trades_processed,
- sum(case when pu <> before then 1 else 0 end)::bigint as sequence_gaps, 0::bigint as crossed_books, 0::bigint as snapshots_emitted,
- max(greatest(seq % 1000 - 10, 0))::bigint as max_latency_us, max(ts) as last_event_ts
- from (select *, lag(last_update_id) over (partition by symbol order by ts, seq) as before from kept) group by 1"""))
+@query("book_health", with_ctes(GAPPED + EVERY[len(DELTAS):] + ", " + TRADES, f"""select symbol, count(*) as events_processed,
+ count(*) filter (type = 'depth') as depth_updates, count(*) filter (type = 'trade') as trades_processed, count(*) filter (gap) as sequence_gaps,
+ count(*) filter (crossed) as crossed_books, count(*) filter (snap) as snapshots_emitted,
+ max(greatest(seq % 1000 - 10, 0))::bigint as max_latency_us, max(ts) as last_event_ts from (
+  select k.symbol, 'depth' as type, ts, seq, coalesce(pu <> before, false) as gap, coalesce(best_bid >= best_ask, false) as crossed, rn = 1 as snap
+  from (select *, lag(last_update_id) over (partition by symbol order by ts, seq) as before,
+    row_number() over (partition by symbol, ts - ts % {HOUR} order by ts, seq) as rn from kept) k
+  join best b on b.symbol = k.symbol and b.u = k.last_update_id
+  union all select symbol, 'trade', ts, seq, false, false, false from trades where price > 0) group by 1"""))
 def book_health(spark, sf):
-    """Health counters per symbol."""
-    d = book.connection_gaps(_updates(spark, sf)).select(
-        "symbol", F.lit("depth").alias("type"), F.col("ts").alias("exchange_ts"),
-        (F.col("ts") + F.col("seq") % 1000 - 10).alias("local_ts"), "sequence_gap",
-        F.lit(False).alias("book_crossed"), F.lit(False).alias("snapshot"),
-    )
-    return book.health(d)
+    """Health counters per symbol: updates with gaps, the crossed books after them, a snapshot each hour, and the trades."""
+    d = book.connection_gaps(_updates(spark, sf)).select("symbol", "ts", "seq", "last_update_id", "sequence_gap")
+    change = deltas(spark, sf).withColumnRenamed("u", "pos")
+    top = book.with_top(book.book_at(change, change.select("symbol", "pos"), 1, block=512))
+    top = top.select("symbol", F.col("pos").alias("last_update_id"), "book_crossed")
+    first = book.grid_ticks(d.select("symbol", "ts", "seq"), HOUR).select("symbol", "seq", F.lit(True).alias("snapshot"))
+    updates = d.join(top, ["symbol", "last_update_id"]).join(first, ["symbol", "seq"], "left")
+    updates = updates.select("symbol", "ts", "seq", F.lit("depth").alias("type"), "sequence_gap", "book_crossed", F.coalesce("snapshot", F.lit(False)).alias("snapshot"))
+    no = F.lit(False)
+    sold = trades(spark, sf).where("price > 0").select("symbol", "ts", "seq", F.lit("trade"), no, no, no)
+    late = (F.col("ts") + F.col("seq") % 1000 - 10).alias("local_ts")
+    return book.health(updates.union(sold).select("*", F.col("ts").alias("exchange_ts"), late))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from microbook.operators import normalize
 from microbook.queries.q_features import ALL, ALL_NAMES, ALL_SELECT, ALL_SNAP
-from microbook.queries.q_sources import fresh, trade_records
+from microbook.queries.q_sources import fresh
 from microbook.queries.q_training import STANDARD, TRAIN, scaling_table
 from microbook.queries.registry import query, snap_sql, snapped, with_ctes
 from microbook.queries.tables import CLEAN, HOUR, TRADES, clean_rows, stored_path, trades
@@ -82,21 +82,34 @@ def stream_deduplicated(spark, sf):
     return _drained(spark, out, "deduplicated").select("symbol", "ts", "seq", "price", "qty")
 
 
-@query("stream_counters", "select count(*) as records, 0::bigint as depth, count(*) as trades, 0::bigint as broken, max(event_id % 1000)::bigint as max_latency_us from events")
+COUNTED = TRADES + """, r as (select ts, seq from trades), old as (select ts, seq from r where seq % 50 = 0 and ts < (select max(ts) from r) - 10800000000),
+al as (from r union all from old)"""
+
+
+@query("stream_counters", with_ctes(COUNTED, """select count(*) as records, count(*) filter (seq % 3 = 0) as depth, count(*) filter (seq % 3 <> 0) as trades,
+ count(*) filter (seq % 41 = 0) as broken, max(seq % 1000)::bigint as max_latency_us, (select count(*) from old) as late from al"""))
 def stream_counters(spark, sf):
-    """Counters observed while records stream, added up per micro-batch."""
-    source = stored_path(spark, sf, "trade_records", lambda: trade_records(spark, sf))
-    stream = ingest.stream_table(spark, source).withColumn("_corrupt", F.lit(None).cast("string"))
-    sums = [F.count(F.lit(1)).alias("records"), F.count_if(F.col("type") == "depth").alias("depth"), F.count_if(F.col("type") == "trade").alias("trades"),
-            F.count("_corrupt").alias("broken"), F.max(F.col("local_ts") - F.col("exchange_ts")).alias("max_latency_us")]
-    out = fresh(spark, "counters")
-
-    def tally(batch, batch_id):
-        batch.agg(*sums).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-
-    ingest.drain_batches(windows.observed(stream), tally, fresh(spark, "counters-checkpoint"))
-    t = spark.read.parquet(out)
-    return t.agg(*[F.sum(c).alias(c) for c in ("records", "depth", "trades", "broken")], F.max("max_latency_us").alias("max_latency_us"))
+    """Counters that micro-batches report, of a stream with broken records, and with late ones that come after the watermark."""
+    t = trades(spark, sf)
+    kind = F.when(F.col("seq") % 3 == 0, "depth").otherwise("trade").alias("type")
+    records = t.select("symbol", "seq", "ts", F.col("ts").alias("exchange_ts"), (F.col("ts") + F.col("seq") % 1000).alias("local_ts"), kind,
+                       F.when(F.col("seq") % 41 == 0, "{").alias("_corrupt"))
+    end = t.agg(F.max("ts").alias("end"))
+    old = records.where("seq % 50 = 0").join(F.broadcast(end), F.col("ts") < F.col("end") - 3 * HOUR).drop("end").withColumn("symbol", F.lit("again"))
+    source, out, checkpoint = (fresh(spark, f"counted-{x}") for x in ("records", "out", "checkpoint"))
+    counters = windows.Counters()
+    spark.streams.addListener(counters)
+    try:
+        for rows in (records, old):
+            rows.write.mode("append").parquet(source)
+            stream = ingest.with_event_time(windows.observed(ingest.stream_table(spark, source)), late=LATE)
+            ingest.drain(windows.drop_repeats(stream, "symbol", "seq"), out, checkpoint)
+            if not counters.ended.acquire(timeout=60):
+                raise TimeoutError("the stream's last counters did not come")
+    finally:
+        spark.streams.removeListener(counters)
+    names = ("records", "depth", "trades", "broken", "max_latency_us")
+    return spark.createDataFrame([(*[counters.totals.get(n) for n in names], counters.late)], ", ".join(f"{n} bigint" for n in (*names, "late")))
 
 
 @query("stream_scaled", with_ctes(CLEAN + ", " + TRAIN + ", st as (select " + ", ".join(f"avg({c}) as m_{c}, stddev_samp({c}) as s_{c}" for c in STANDARD) + " from tr)",

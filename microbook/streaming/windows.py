@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from threading import Semaphore
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQueryListener
@@ -59,6 +61,7 @@ class Counters(StreamingQueryListener):
         self.totals: dict[str, int] = {}
         self.late = 0
         self.batches = 0
+        self.ended = Semaphore(0)  # released once for every query that has ended and is counted
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -78,4 +81,4 @@ class Counters(StreamingQueryListener):
         pass
 
     def onQueryTerminated(self, event) -> None:
-        pass
+        self.ended.release()

@@ -48,6 +48,22 @@ def test_book_at_equals_fold(spark, changes, block):
         assert [bids, asks] == wanted[r.symbol, r.pos]
 
 
+@pytest.mark.parametrize("block", [8, 64])
+def test_best_level_and_other_columns_of_ticks(spark, changes, block):
+    df = spark.createDataFrame(changes, "symbol string, pos bigint, side string, price double, size double")
+    ticks = df.withColumnRenamed("size", "note")
+    wanted = fold(changes, {(s, p) for s, p, *_ in changes}, 1)
+    got = book.book_at(df, ticks, 1, block=block)
+    assert got.columns == [*ticks.columns, "bid_px_01", "bid_sz_01", "ask_px_01", "ask_sz_01"]
+    rows = {(s, p): (side, price, size) for s, p, side, price, size in changes}
+    got = got.collect()
+    assert len(got) == len(wanted)
+    for r in got:
+        assert (r.side, r.price, r.note) == rows[r.symbol, r.pos]
+        bid, ask = ((x or [(None, None)])[0] for x in wanted[r.symbol, r.pos])
+        assert (r.bid_px_01, r.bid_sz_01, r.ask_px_01, r.ask_sz_01) == (*bid, *ask)
+
+
 def test_bad_sizes_do_not_delete(spark):
     rows = [("A", 1, [["100", "5"], ["99", "x"]], [["101", "0"], ["101", "3"]])]
     raw = spark.createDataFrame(rows, "symbol string, pos bigint, bids array<array<string>>, asks array<array<string>>")
