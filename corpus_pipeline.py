@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from microbook.llm import bpe, lines, minhash, mixing, quality
 from microbook.llm.common import stage, table
@@ -30,13 +31,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in the order in which their sources meet their weights."""
+    """All documents in the order in which their sources meet their weights, the square roots of their counts; places are stored."""
     return mixing.mixed(docs)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of the ids and of the text decoded from them."""
-    return bpe.digests(docs, public_tokenizers.path(BYTE_BPE))
+    """Token counts, digests of the ids and of the text decoded from them, and block, slot and place in the mixture."""
+    rows = docs.select(F.struct("doc_id", mixing.identity().alias("key")).alias("row"), "text")
+    found = bpe.digests(rows, public_tokenizers.path(BYTE_BPE), "row")
+    return mixing.with_places(found.select("doc_id.*", *[c for c in found.columns if c != "doc_id"]), docs, "key")
 
 
 STAGES: list[tuple[str, Stage]] = [

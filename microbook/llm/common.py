@@ -21,12 +21,16 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def stored(df: DataFrame, name: str) -> str:
+    """Write `df` once to the shared folder and say where."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return path
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once to the shared folder and read it back: lineage ends at the files, which survive lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(stored(df, name))
 
 
 def whole(text: str) -> Column:

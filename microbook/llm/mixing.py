@@ -12,15 +12,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from microbook.llm.common import stage, whole
+from microbook.llm.common import stage, stored, whole
 
 BLOCK = 16  # documents
 SLOTS = 1000  # the grain of the weights
 BUCKET_ROWS = 50_000  # documents that are ranked together
 LEAST_BUCKETS = 256  # so that a source with a third of the rows is ranked in many tasks
+SCHEDULE = "microbook.schedule"  # metadata of a doc_id column: the folder with the places of its documents
 SMALL_ROWS = 200_000  # rows of the table of bucket offsets that are sent to every task, at most: 5 MB
 
 
+def identity(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """A hash of a document by which its place is found again."""
+    return F.xxhash64(F.col(doc_id), whole(text))
+
+
 def shares(counts: DataFrame, weights: dict[str, float] | None, slots: int = SLOTS) -> DataFrame:
     """source, c, place, period: slots of a period by the source's weight, one at least; sources not named weigh as the least named.
 
@@ -61,15 +67,14 @@ def period_of(shared: DataFrame) -> DataFrame:
 
 def scheduled(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK, slots: int = SLOTS,
               source: str = "source", doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """doc_id, source, _llm columns: block (from 1), place in it, release, deadline, slot; and the columns named in `keep`.
+    """doc_id, source, _llm columns: hash, block (from 1), place in it, release, deadline, slot; and the columns named in `keep`.
 
     Documents of a source come in the order of a hash, numbered by counts of hash buckets, so no task ranks a whole source. Every
     row gets a slot: once a source has no block left its slots stay empty and the others go on in their windows. A null source is
     a source. Equal rows are in any order among themselves.
     """
     keep = keep or []
-    key = F.xxhash64(F.col(doc_id), whole(text))
-    rows = docs.select(F.col(doc_id).alias("_llm_id"), F.col(source).alias("_llm_source"), key.alias("_llm_hash"),
+    rows = docs.select(F.col(doc_id).alias("_llm_id"), F.col(source).alias("_llm_source"), identity(doc_id, text).alias("_llm_hash"),
                        F.struct(*[F.col(c) for c in keep] or [F.lit(None).alias("none")]).alias("_llm_keep"))
     total = rows.count()
     buckets = max(LEAST_BUCKETS, -(-total // BUCKET_ROWS))
@@ -91,7 +96,7 @@ def scheduled(docs: DataFrame, weights: dict[str, float] | None = None, block: i
     found = joined.select("*", k.alias("_llm_k"), (n % block).alias("_llm_place"))
     slot = F.floor(F.col("_llm_k") / F.col("c")) * F.col("period") + F.get("slots", (F.col("_llm_k") % F.col("c")).cast("int"))
     return found.select(
-        F.col("_llm_id"), F.col("_llm_source"), (F.col("_llm_k") + 1).alias("_llm_block"), "_llm_place",
+        F.col("_llm_id"), F.col("_llm_source"), F.col("_llm_hash"), (F.col("_llm_k") + 1).alias("_llm_block"), "_llm_place",
         F.floor(F.col("_llm_k") * F.col("period") / F.col("c")).alias("_llm_release"),
         F.ceil((F.col("_llm_k") + 1) * F.col("period") / F.col("c")).alias("_llm_deadline"), slot.alias("_llm_slot"),
         *[F.col("_llm_keep")[c].alias(c) for c in keep])
@@ -106,7 +111,32 @@ def order(docs: DataFrame, weights: dict[str, float] | None = None, block: int =
 
 
 def mixed(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK, slots: int = SLOTS) -> DataFrame:
-    """All documents and columns in the order of the schedule: written files follow each other in slots."""
+    """All documents and columns in the order of the schedule: written files follow each other in slots.
+
+    Readers of the files need not keep that order, so the places are stored too; the metadata of doc_id names their folder, goes
+    with the column through Parquet, and is read by `with_places`.
+    """
+    places = scheduled(docs, weights, block, slots).select("_llm_id", "_llm_hash", "_llm_block", "_llm_slot", "_llm_place")
+    path = stored(places, "schedule")
     found = scheduled(docs, weights, block, slots, keep=docs.columns)
-    return (found.repartitionByRange("_llm_slot", "_llm_source", "_llm_place").sortWithinPartitions("_llm_slot", "_llm_source", "_llm_place")
-            .select(*docs.columns))
+    found = (found.repartitionByRange("_llm_slot", "_llm_source", "_llm_place").sortWithinPartitions("_llm_slot", "_llm_source", "_llm_place")
+             .select(*docs.columns))
+    return found.withMetadata("doc_id", {**docs.schema["doc_id"].metadata, SCHEDULE: path})
+
+
+def with_places(rows: DataFrame, docs: DataFrame, key: str) -> DataFrame:
+    """`rows` with block, slot and place of each document instead of its `identity` in the column `key`.
+
+    They come from the schedule that `mixed` stored for `docs`, and are null where the documents were never mixed. Rows of the
+    same document get one place each.
+    """
+    names = ("block", "slot", "place")
+    path = docs.schema["doc_id"].metadata.get(SCHEDULE)
+    if path is None:
+        return rows.drop(key).withColumns({c: F.lit(None).cast("bigint") for c in names})
+    places = rows.sparkSession.read.parquet(path)
+    numbered = rows.withColumn("_llm_n", F.row_number().over(Window.partitionBy(key).orderBy("doc_id")))
+    again = Window.partitionBy("_llm_hash").orderBy("_llm_id", "_llm_slot", "_llm_place")
+    places = places.select("_llm_hash", F.row_number().over(again).alias("_llm_m"), *[F.col(f"_llm_{c}").alias(c) for c in names])
+    joined = numbered.join(places, (numbered[key] == places["_llm_hash"]) & (numbered["_llm_n"] == places["_llm_m"]), "left")
+    return joined.select(*[c for c in rows.columns if c != key], *names)

@@ -295,3 +295,20 @@ def test_pipeline_stages_keep_columns(spark, tmp_path):
         assert apply(spark, docs.limit(0), str(tmp_path)).count() == 0, name
     found = corpus_pipeline.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in found} <= {i for i, _, _ in rows if i % 5}
+
+
+def test_mixing_reaches_the_rows_of_the_pipeline(spark, tmp_path, monkeypatch):
+    rng = random.Random(12)
+    rows = [(i, sentence(rng, 70) if i % 5 else "JUNK!! " * 40, "aab"[i % 3]) for i in range(90)]
+    rows += [(None, t, s) for s in "ab" for t in (rows[1][1], rows[2][1], rows[1][1])]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, int(i % 5 > 0)) for i in range(90)], "doc_id bigint, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    found = corpus_pipeline.run(spark, str(tmp_path))
+    got = found.collect()
+    assert all(x is not None for r in got for x in (r.block, r.slot, r.place))
+    assert len({(r.slot, r.place) for r in got}) == len(got) and len({r.slot for r in got}) > 1
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [s for s in corpus_pipeline.STAGES if s[0] != "mixing"])
+    without = corpus_pipeline.run(spark, str(tmp_path))
+    assert without.columns == found.columns
+    plain = lambda rs: sorted((str(r.doc_id), r.ids_sha256) for r in rs)
+    assert plain(without.collect()) == plain(got) and sorted(map(str, without.collect())) != sorted(map(str, got))
