@@ -21,11 +21,11 @@ from pyspark.sql import types as T
 from microbook.llm.common import stage, whole
 from microbook.llm.shingles import U, mix, shingle_sets
 
-BANDS, ROWS = 25, 5  # two sets of similarity 0.85 share no band once in 2 million pairs
+BINS = 125
+MISS = 5e-7  # two sets of the least similarity share no band at most so often, if bins agree independently
 FINE_BANDS, FINE_ROWS = 128, 16  # for crowded buckets: missed once in 20,000 pairs of similarity 0.85
 CROWD = 3  # in a bucket of two the hub meets everyone
 WIDTH = 5
-LEAST = 85  # per cent
 BROADCAST_IDS = 1_000_000  # ids sent to every task at most: 8 MB
 
 
@@ -59,23 +59,32 @@ def band_keys(values: np.ndarray, bands: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-COARSE = np.arange(BANDS * ROWS).reshape(BANDS, ROWS)
+def coarse_bands(least: int) -> np.ndarray:
+    """The longest bands that miss a pair of similarity `least` per cent once in 2 million: 25 of 5 bins for 85, 31 of 4 for 80."""
+    for rows in range(16, 0, -1):
+        bands = BINS // rows
+        if rows == 1 or (1 - (least / 100) ** rows) ** bands <= MISS:
+            return np.arange(bands * rows).reshape(bands, rows)
+
+
 # drawn once: the bins of each fine band, without repetition inside a band
 _draw = np.random.Generator(np.random.PCG64(85))
-FINE = np.array([_draw.permutation(BANDS * ROWS)[:FINE_ROWS] for _ in range(FINE_BANDS)])
+FINE = np.array([_draw.permutation(BINS)[:FINE_ROWS] for _ in range(FINE_BANDS)])
 
 
-def sketched(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def sketched(docs: DataFrame, least: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, digest of the set, band keys (empty for an empty set), one row per input row."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), whole(text).alias("text"))
     schema = T.StructType([rows.schema["doc_id"], T.StructField("n_shingles", T.LongType()),
                            T.StructField("digest", T.BinaryType()), T.StructField("keys", T.ArrayType(T.LongType()))])
 
+    coarse = coarse_bands(least)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = list(shingle_sets([t or "" for t in batch.column(1).to_pylist()], WIDTH))
             some = [s for s in sets if len(s)]
-            keys = iter(band_keys(signatures(some, BANDS * ROWS), COARSE).tolist()) if some else iter(())
+            keys = iter(band_keys(signatures(some, BINS), coarse).tolist()) if some else iter(())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
@@ -106,7 +115,7 @@ def buckets(placed: DataFrame) -> DataFrame:
     return stage(placed.join(sizes, "key"), "buckets")
 
 
-def star_pairs(shared: DataFrame, picks: int = 1) -> DataFrame:
+def star_pairs(shared: DataFrame, least: int, picks: int = 1) -> DataFrame:
     """Candidate pairs (a, b): in each bucket every node with the bucket's hubs, one central and `picks` picked by hash, where
     their sizes allow a link."""
     weight = shared.groupBy("node").agg(F.sum("n").alias("weight"))
@@ -117,7 +126,7 @@ def star_pairs(shared: DataFrame, picks: int = 1) -> DataFrame:
     names = ["central.hub", *[f"p{i}.hub" for i in range(picks)]]
     hubs = hubs.select("key", F.explode(F.array_distinct(F.array(*names))).alias("hub"))
     low, high = F.least("n_shingles", "hub.n_shingles"), F.greatest("n_shingles", "hub.n_shingles")
-    return (shared.join(hubs, "key").where((F.col("node") != F.col("hub.node")) & (100 * low >= LEAST * high))
+    return (shared.join(hubs, "key").where((F.col("node") != F.col("hub.node")) & (100 * low >= least * high))
             .select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct())
 
 
@@ -131,16 +140,16 @@ def sets_of(ids: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFram
     return stage(sets.withColumnRenamed("doc_id", "node"), "sets")
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     """The pairs whose full sets reach the least similarity."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
     shared = F.size(F.array_intersect("left", "right"))
     return (pairs.join(left, "a").join(right, "b")
-            .where(100 * shared >= LEAST * (F.size("left") + F.size("right") - shared)).select("a", "b").distinct())
+            .where(100 * shared >= least * (F.size("left") + F.size("right") - shared)).select("a", "b").distinct())
 
 
-def fine_links(shared: DataFrame, sets: DataFrame, found: DataFrame) -> DataFrame:
+def fine_links(shared: DataFrame, sets: DataFrame, found: DataFrame, least: int) -> DataFrame:
     """Links in crowded buckets between documents that no hub has joined: the same stars on 128 bands of 16 bins.
 
     `found` (node, component) are the components so far. Only nodes of buckets with several components take part.
@@ -156,7 +165,7 @@ def fine_links(shared: DataFrame, sets: DataFrame, found: DataFrame) -> DataFram
             some = [i for i, s in enumerate(rows) if len(s)]
             if not some:
                 continue
-            keys = band_keys(signatures([np.sort(rows[i]) for i in some], BANDS * ROWS), FINE)
+            keys = band_keys(signatures([np.sort(rows[i]) for i in some], BINS), FINE)
             each = pa.array(np.repeat(some, FINE_BANDS))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys.ravel()), batch.column(0).take(each), pa.array(np.repeat([len(rows[i]) for i in some], FINE_BANDS))],
@@ -166,8 +175,8 @@ def fine_links(shared: DataFrame, sets: DataFrame, found: DataFrame) -> DataFram
     fine = buckets(sets.join(nodes, "node", "left_semi").select("node", "shingles").mapInArrow(keyed, schema).distinct())
     a = found.select(F.col("node").alias("a"), F.col("component").alias("of_a"))
     b = found.select(F.col("node").alias("b"), F.col("component").alias("of_b"))
-    pairs = star_pairs(fine, picks=3).join(a, "a", "left").join(b, "b", "left").where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b"))
-    return confirmed(pairs.select("a", "b"), sets)
+    pairs = star_pairs(fine, least, picks=3).join(a, "a", "left").join(b, "b", "left").where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b"))
+    return confirmed(pairs.select("a", "b"), sets, least)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -192,21 +201,21 @@ def components(links: DataFrame) -> DataFrame:
         edges = stage(small.where("u <> v").distinct(), "links")
 
 
-def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, one row per input row.
+def grouped(docs: DataFrame, least: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, n_shingles, component_id, kept, one row per input row; `least` is the least similarity in per cent.
 
     Null and empty texts have no shingles and are linked with nothing. Equal sets are one node, named by their smallest doc_id;
     rows that repeat a doc_id are the same document whatever their texts. A row with a null doc_id stays alone and kept.
     """
-    found = stage(sketched(docs, doc_id, text), "sketches")
+    found = stage(sketched(docs, least, doc_id, text), "sketches")
     full = found.where("n_shingles > 0 and doc_id is not null")
     nodes = stage(full.groupBy("digest", "n_shingles", "keys").agg(F.min("doc_id").alias("node")), "nodes")
     shared = buckets(nodes.select(F.explode("keys").alias("key"), "node", "n_shingles"))
     sets = sets_of(shared.select("node").distinct(), docs, doc_id, text)
-    first = components(confirmed(star_pairs(shared), sets).union(_same_document(full, nodes)))
-    more = fine_links(shared, sets, first)
-    least = components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
-    named = nodes.select("digest", "node").join(least, "node", "left").select(
+    first = components(confirmed(star_pairs(shared, least), sets, least).union(_same_document(full, nodes)))
+    more = fine_links(shared, sets, first, least)
+    last = components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
+    named = nodes.select("digest", "node").join(last, "node", "left").select(
         F.col("digest").alias("set"), F.coalesce("component", "node").alias("component"))
     alone = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
     joined = found.drop("keys").join(named, (found["digest"] == named["set"]) & ~alone, "left")
@@ -222,11 +231,11 @@ def _same_document(full: DataFrame, nodes: DataFrame) -> DataFrame:
     return of.join(least, "doc_id").select(F.col("node").alias("a"), "b").where("a <> b").distinct()
 
 
-def kept(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def kept(docs: DataFrame, least: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that stay, all their columns: one of each component, the one with the smallest doc_id, once.
 
     Rows without a doc_id stay all. Of rows that repeat a kept doc_id one stays.
     """
-    stay = grouped(docs, doc_id, text).where("kept and doc_id is not null").select(F.col("doc_id").alias("_llm_stays")).distinct()
+    stay = grouped(docs, least, doc_id, text).where("kept and doc_id is not null").select(F.col("doc_id").alias("_llm_stays")).distinct()
     named, nameless = docs.where(F.col(doc_id).isNotNull()), docs.where(F.col(doc_id).isNull())
     return named.join(stay, named[doc_id] == stay["_llm_stays"], "left_semi").dropDuplicates([doc_id]).union(nameless)

@@ -47,7 +47,7 @@ def op8_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op9_minhash_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    return minhash.grouped(table(spark, sf, "documents"))
+    return minhash.grouped(table(spark, sf, "documents"), 85)
 
 
 def op10_token_counts(spark: SparkSession, sf: str) -> DataFrame:

@@ -312,3 +312,13 @@ def test_mixing_reaches_the_rows_of_the_pipeline(spark, tmp_path, monkeypatch):
     assert without.columns == found.columns
     plain = lambda rs: sorted((str(r.doc_id), r.ids_sha256) for r in rs)
     assert plain(without.collect()) == plain(got) and sorted(map(str, without.collect())) != sorted(map(str, got))
+
+
+def test_near_copies_by_the_least_similarity_asked(spark):
+    """Sets of 91 of which 82 are shared: a similarity of 0.82."""
+    words = [f"w{i}" for i in range(95)]
+    rows = [(1, " ".join(words), "a"), (2, " ".join(words[:86] + [f"v{i}" for i in range(9)]), "a"), (3, "another text of few words", "a")]
+    assert sorted(r.doc_id for r in minhash.kept(frame(spark, rows), 85).collect()) == [1, 2, 3]
+    assert sorted(r.doc_id for r in minhash.kept(frame(spark, rows), 80).collect()) == [1, 3]
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, frame(spark, rows), "").collect()) == [1, 3]
+    assert minhash.coarse_bands(85).shape == (25, 5) and minhash.coarse_bands(80).shape == (31, 4)
