@@ -203,6 +203,16 @@ def test_secrets(spark):
     assert {j for a, b in scan.windows(run, 3.6) for j in range(a, b)} == {j for i in hot for j in range(i, i + n)}
 
 
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "abcdefghijklmnopqrstuvwxyz0123456789", "0123456789ABCDEF"])
+def test_random_keys_are_found_whole(letters):
+    scan, rng = secret_scan.EntropyScan(secret_scan.Entropy()), random.Random(4)
+    for n in (20, 24, 32, 40, 64):
+        keys = ["".join(rng.choice(letters) for _ in range(n)) for _ in range(400)]
+        assert sum(scan.spans(f"see {k} there") == [(4, 3, 4 + n)] for k in keys) >= 380, n
+    words = "internationalization2024 getHttpResponseFromServer how-to-fix-3-things-in-2024-fast THIS_IS_A_CONSTANT_NAME src/main/java/com/example/App"
+    assert scan.spans(words) == [] and scan.spans("abcdefghijklmnopqrst12345") == [(0, 3, 25)]
+
+
 def test_mixing_meets_windows_and_weights(spark):
     rows = [(i, f"t{i}", "abc"[(i % 7) // 3] if i % 11 else None) for i in range(900)]
     found = mixing.order(frame(spark, rows), {"a": 5.0, "b": 3.0, "c": 1.0}, block=4, slots=100).collect()
