@@ -1,25 +1,36 @@
 """Mixing sources to target weights by Pfair scheduling.
 
-Time is slots of one block each. With c of the P slots of a period, block k of a source is released at slot floor((k-1) P / c) and
-due before ceil(k P / c); in each slot the released block that is due first goes. Since the shares add up to one, every block
-meets its window, and at any slot a source is less than one block off its weight for as long as all sources have blocks left.
-The schedule repeats after P slots, so it is computed for one period whatever the data, and each block finds its slot by its own
-number.
+Time is slots of one block each. Block k of a source of weight w (a share of one) is released at slot floor((k-1) / w) and due
+before ceil(k / w); in each slot the released block that is due first goes. Since the shares add up to one, every block meets its
+window, and at any slot a source is less than one block off its weight for as long as all sources have blocks left. Weights are
+exact fractions, so this holds for any number of slots and sources. The driver computes the schedule from the sources' counts:
+one step a block, a heap of the sources, and a part of the blocks in memory.
 """
 
 from __future__ import annotations
 
+import heapq
+import itertools
+import math
+import uuid
+from collections.abc import Iterator
+from fractions import Fraction
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from microbook.llm.common import stage, stored, whole
+from microbook.session import shared_dir
 
 BLOCK = 16  # documents
-SLOTS = 1000  # the grain of the weights
+SLOTS = 500_000  # blocks of the schedule that the driver holds at a time
 BUCKET_ROWS = 50_000  # documents that are ranked together
 LEAST_BUCKETS = 256  # so that a source with a third of the rows is ranked in many tasks
 SCHEDULE = "microbook.schedule"  # metadata of a doc_id column: the folder with the places of its documents
-SMALL_ROWS = 200_000  # rows of the table of bucket offsets that are sent to every task, at most: 5 MB
+SMALL_ROWS = 200_000  # rows of a table of bucket offsets or blocks that are sent to every task, at most: 5 to 8 MB
 
 
 def identity(doc_id: str = "doc_id", text: str = "text") -> Column:
@@ -27,42 +38,61 @@ def identity(doc_id: str = "doc_id", text: str = "text") -> Column:
     return F.xxhash64(F.col(doc_id), whole(text))
 
 
-def shares(counts: DataFrame, weights: dict[str, float] | None, slots: int = SLOTS) -> DataFrame:
-    """source, c, place, period: slots of a period by the source's weight, one at least; sources not named weigh as the least named.
+def exact_weights(counts: list[tuple[str | None, int]], weights: dict[str, float] | None) -> list[int]:
+    """Whole numbers in the proportion of the sources' weights, without rounding; sources not named weigh as the least named.
 
     Without weights a source weighs as the square root of its documents.
     """
     if weights:
-        pairs = [x for s, w in weights.items() for x in (F.lit(s), F.lit(float(w)))]
-        weight = F.coalesce(F.get(F.array(F.create_map(*pairs)), 0)[F.col("source")], F.lit(float(min(weights.values()))))
+        least = min(weights.values())
+        exact = [Fraction(weights.get(s, least) if s is not None else least) for s, _ in counts]
     else:
-        weight = F.sqrt("n")
-    weighed = counts.select("source", weight.alias("weight"))
-    total = weighed.agg(F.sum("weight").alias("total"))
-    c = F.greatest(F.lit(1), F.round(slots * F.col("weight") / F.col("total"))).cast("bigint")
-    listed = weighed.crossJoin(F.broadcast(total)).agg(F.sort_array(F.collect_list(F.struct("source", c.alias("c")))).alias("all"))
-    summed = listed.select("all", F.aggregate("all", F.lit(0).cast("bigint"), lambda s, x: s + x["c"]).alias("period"))
-    return summed
-
-
-def period_of(shared: DataFrame) -> DataFrame:
-    """source, c, period, slots (the slots of its blocks in one period, ascending), by earliest deadline first."""
-    period = F.col("period")
-
-    def step(state: Column, t: Column) -> Column:
-        waiting = F.transform(F.col("all"), lambda x, i: F.when(
-            (F.get(state["done"], i) < x["c"]) & (F.floor(F.get(state["done"], i) * period / x["c"]) <= t),
-            F.struct(F.ceil((F.get(state["done"], i) + 1) * period / x["c"]).alias("due"), i.alias("i"))))
-        chosen = F.array_min(waiting)["i"]
-        return F.struct(F.transform(state["done"], lambda d, i: d + F.when(i == chosen, 1).otherwise(0)).alias("done"),
-                        F.concat(state["out"], F.array(chosen)).alias("out"))
-
-    start = F.struct(F.transform("all", lambda x: F.lit(0).cast("bigint")).alias("done"), F.array().cast("array<int>").alias("out"))
-    out = F.aggregate(F.sequence(F.lit(0).cast("bigint"), period - 1), start, step, lambda s: s["out"])
-    made = shared.where(period > 0).select("all", "period", out.alias("out"))
-    slot = made.select("all", "period", F.posexplode("out").alias("slot", "i"))
-    return slot.groupBy("i", "period", F.get("all", F.col("i")).alias("source")).agg(
-        F.sort_array(F.collect_list("slot")).alias("slots")).select("source.source", "source.c", "period", "slots")
+        exact = [Fraction(math.sqrt(n)) for _, n in counts]
+    grain = math.lcm(*[w.denominator for w in exact])
+    return [int(w * grain) for w in exact]
+
+
+def slots_of(blocks: list[int], weights: list[int]) -> Iterator[tuple[int, int, int, int, int]]:
+    """Source, block (from 0), release, deadline and slot of every block, by slot: of the released blocks the one due first.
+
+    Windows follow from the weight and the number of the block alone. Slots that only blocks of run-out sources could have are
+    passed over. Sources of weight 0 follow when the others have run out.
+    """
+    total = sum(weights)
+    waiting = [(0, i, 0) for i, n in enumerate(blocks) if n and weights[i]]  # release, source, block: sorted, so a heap
+    ready: list[tuple[int, int, int, int]] = []  # deadline, source, block, release
+    slot = 0
+    while waiting or ready:
+        if not ready:
+            slot = max(slot, waiting[0][0])
+        while waiting and waiting[0][0] <= slot:
+            release, i, k = heapq.heappop(waiting)
+            heapq.heappush(ready, (-(-(k + 1) * total // weights[i]), i, k, release))
+        due, i, k, release = heapq.heappop(ready)
+        yield i, k, release, due, slot
+        slot += 1
+        if k + 1 < blocks[i]:
+            heapq.heappush(waiting, ((k + 1) * total // weights[i], i, k + 1))
+    for i, n in enumerate(blocks):
+        for k in range(n if weights[i] else 0, n):
+            yield i, k, slot, slot + 1, slot
+            slot += 1
+
+
+def schedule_of(counts: DataFrame, weights: dict[str, float] | None, block: int, slots: int) -> DataFrame:
+    """source, k, release, deadline, slot of every block; `slots` blocks are held and handed to Spark at a time."""
+    spark = counts.sparkSession
+    found = [tuple(r) for r in counts.select("source", "n").collect()]
+    path = f"{shared_dir(spark)}/blocks-{uuid.uuid4().hex}"
+    names = ["k", "release", "deadline", "slot"]
+    schema = T.StructType([T.StructField("source", counts.schema["source"].dataType), *[T.StructField(c, T.LongType()) for c in names]])
+    made = slots_of([-(-n // block) for _, n in found], exact_weights(found, weights) if found else [])
+    spark.createDataFrame([], schema).write.parquet(path)
+    while part := list(itertools.islice(made, slots)):
+        i, *columns = zip(*part)
+        arrays = [pa.array([found[x][0] for x in i], to_arrow_type(schema["source"].dataType)), *[pa.array(c, pa.int64()) for c in columns]]
+        spark.createDataFrame(pa.table(arrays, names=["source", *names]), schema).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def scheduled(docs: DataFrame, weights: dict[str, float] | None = None, block: int = BLOCK, slots: int = SLOTS,
@@ -84,21 +114,20 @@ def scheduled(docs: DataFrame, weights: dict[str, float] | None = None, block: i
     offsets = counts.select(F.col("_llm_source").alias("s"), F.col("_llm_bucket").alias("b"),
                             F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
     sources = counts.groupBy(F.col("_llm_source").alias("source")).agg(F.sum("n").alias("n"))
-    periods = stage(period_of(shares(sources, weights, slots)), "periods")
-    if offsets.count() <= SMALL_ROWS:  # as is the table of periods, which has no more rows
-        offsets, periods = F.broadcast(offsets), F.broadcast(periods)
+    planned = schedule_of(sources, weights, block, slots)
+    if offsets.count() <= SMALL_ROWS:
+        offsets = F.broadcast(offsets)
+    if planned.count() <= SMALL_ROWS:
+        planned = F.broadcast(planned)
     within = Window.partitionBy("_llm_source", "_llm_bucket").orderBy("_llm_hash", "_llm_id")
     ranked = placed.withColumn("_llm_rank", F.row_number().over(within))
     joined = ranked.join(offsets, ranked["_llm_source"].eqNullSafe(offsets["s"]) & (ranked["_llm_bucket"] == offsets["b"]))
-    joined = joined.join(periods, ranked["_llm_source"].eqNullSafe(periods["source"]))
     n = F.col("offset") + F.col("_llm_rank") - 1
-    k = F.floor(n / block)
-    found = joined.select("*", k.alias("_llm_k"), (n % block).alias("_llm_place"))
-    slot = F.floor(F.col("_llm_k") / F.col("c")) * F.col("period") + F.get("slots", (F.col("_llm_k") % F.col("c")).cast("int"))
+    found = joined.select("*", F.floor(n / block).alias("_llm_k"), (n % block).alias("_llm_place"))
+    found = found.join(planned, found["_llm_source"].eqNullSafe(planned["source"]) & (found["_llm_k"] == planned["k"]))
     return found.select(
         F.col("_llm_id"), F.col("_llm_source"), F.col("_llm_hash"), (F.col("_llm_k") + 1).alias("_llm_block"), "_llm_place",
-        F.floor(F.col("_llm_k") * F.col("period") / F.col("c")).alias("_llm_release"),
-        F.ceil((F.col("_llm_k") + 1) * F.col("period") / F.col("c")).alias("_llm_deadline"), slot.alias("_llm_slot"),
+        F.col("release").alias("_llm_release"), F.col("deadline").alias("_llm_deadline"), F.col("slot").alias("_llm_slot"),
         *[F.col("_llm_keep")[c].alias(c) for c in keep])
 
 

@@ -236,6 +236,31 @@ def test_mixing_meets_windows_and_weights(spark):
     assert mixed.columns == frame(spark, rows).columns and mixed.count() == 900
 
 
+def deviation(blocks, weights):
+    """The largest distance of a source from its unrounded weight at any slot until the first source runs out."""
+    total, done, worst, left = sum(weights), [0] * len(blocks), 0.0, sum(n > 0 for n in blocks)
+    for want, (i, k, release, due, slot) in enumerate(mixing.slots_of(blocks, weights)):
+        assert slot == want and release <= slot < due and k == done[i]
+        before = abs(done[i] * total - weights[i] * slot) / total
+        done[i] += 1
+        worst = max(worst, before, abs(done[i] * total - weights[i] * (slot + 1)) / total)
+        if done[i] == blocks[i]:
+            break
+    return worst, slot + 1, done
+
+
+def test_mixing_stays_under_one_block_off_unrounded_weights():
+    thirds = mixing.exact_weights([("a", 1), ("b", 1)], {"a": 1 / 3, "b": 2 / 3})
+    worst, slots, done = deviation([10**6] * 2, thirds)
+    assert worst < 1 and slots > 10**6 and abs(done[0] - slots / 3) < 1
+    roots = mixing.exact_weights([("a", 10), ("b", 1000), ("c", 77)], None)
+    assert deviation([10**5] * 3, roots)[0] < 1
+    many = [(str(i), 1) for i in range(10_001)]
+    worst, slots, done = deviation([20_000] * len(many), mixing.exact_weights(many, {"0": 1 / 3, **{str(i): 2 / 3 / 10_000 for i in range(1, 10_001)}}))
+    assert worst < 1 and slots > 50_000
+    assert [x[4] for x in mixing.slots_of([2, 3], [0, 1])] == [0, 1, 2, 3, 4]
+
+
 def test_html_layout():
     page = ("<!DOCTYPE html><head><title>no</title><style>p{}</style></head><body><h1>Head</h1><p>One <b>bold</b>,\n two<p hidden>no<p>Three<br>four"
             "<ul><li>first<li>second<ol start=3><li>in</ol></ul><table><tr><th>Name<td>Qty<tr><td>apple pie<td>2</table>"
