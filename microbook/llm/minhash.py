@@ -4,7 +4,8 @@ Each shingle set is hashed once; the least hash of each bin is its sketch, and a
 (bin, attempt) names (optimal densification). Bands of the sketch are buckets. In a bucket every document is paired with two
 hubs, the document that shares most buckets with others and one picked by hash, so pairs grow with the rows and never with the
 square of a bucket. Pairs are confirmed on full sets, and links are closed to components by alternating stars.
-Buckets of three documents or more with more than one component left are searched again on longer bands.
+Buckets of three documents or more with more than one component left are searched again on longer bands; documents in buckets
+that still hold several are joined exactly on their rarest shingles, so that no link among them is left to chance.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,8 +24,9 @@ from microbook.llm.shingles import U, mix, shingle_sets
 
 BINS = 125
 MISS = 5e-7  # two sets of the least similarity share no band at most so often, if bins agree independently
-FINE_BANDS, FINE_ROWS = 128, 16  # for crowded buckets: missed once in 20,000 pairs of similarity 0.85
+FINE_BANDS, FINE_ROWS = 128, 16  # for crowded buckets: all draw from the same bins, so 1 pair of similarity 0.85 in 73 is missed
 CROWD = 3  # in a bucket of two the hub meets everyone
+STRIP = 500  # documents of a shingle that meet all its others in one task of the exact join
 WIDTH = 5
 BROADCAST_IDS = 1_000_000  # ids sent to every task at most: 8 MB
 
@@ -149,15 +151,46 @@ def confirmed(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
             .where(100 * shared >= least * (F.size("left") + F.size("right") - shared)).select("a", "b").distinct())
 
 
+def unsettled(shared: DataFrame, found: DataFrame) -> DataFrame:
+    """node, component of the documents in crowded buckets with several components; `found` (node, component) are those so far."""
+    crowd = shared.where(F.col("n") >= CROWD).select("key", "node").join(found, "node", "left")
+    crowd = crowd.select("key", "node", F.coalesce("component", "node").alias("component"))
+    open_ = crowd.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
+    return stage(crowd.join(open_, "key", "left_semi").select("node", "component").distinct(), "unsettled")
+
+
+def exact_links(nodes: DataFrame, sets: DataFrame, least: int) -> DataFrame:
+    """All links between documents of different components in `nodes` (node, component).
+
+    With shingles in the order of their frequency, the first that a linked pair shares is among the first n - ceil(least n) + 1 of
+    both, and leaves enough behind it in both for the overlap. Shingles of many documents are cut into strips by a salt. A node
+    that stands on several texts has several sets.
+    """
+    own = sets.join(nodes, "node").withColumn("set", F.xxhash64("shingles")).dropDuplicates(["node", "set"])
+    rows = own.select("node", "set", "component", F.size("shingles").cast("bigint").alias("n"), F.posexplode("shingles").alias("i", "x"))
+    known = rows.groupBy("x").agg(F.count("*").alias("df"))
+    rank = F.row_number().over(Window.partitionBy("node", "set").orderBy("df", "x")) - 1
+    ordered = rows.drop("i").join(known, "x").withColumn("i", rank)
+    prefix = ordered.where((F.col("df") > 1) & (100 * (F.col("n") - F.col("i")) >= least * F.col("n"))).drop("df")
+    held = prefix.groupBy("x").agg(F.ceil(F.count("*") / STRIP).alias("cuts")).withColumnRenamed("x", "of")
+    cut = F.pmod(F.xxhash64("node", "x"), F.col("cuts"))
+    placed = stage(prefix.join(held, prefix["x"] == held["of"]).withColumn("cut", cut).drop("of"), "prefixes")
+    left = placed.select("x", "cut", *[F.col(c).alias(f"{c}_a") for c in ("node", "component", "n", "i")])
+    right = placed.withColumn("cut", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("cuts") - 1)))
+    right = right.select("x", "cut", *[F.col(c).alias(f"{c}_b") for c in ("node", "component", "n", "i")])
+    both = F.least(F.col("n_a") - F.col("i_a"), F.col("n_b") - F.col("i_b"))
+    pairs = left.join(right, ["x", "cut"]).where(
+        (F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b"))
+        & ((100 + least) * both >= least * (F.col("n_a") + F.col("n_b"))))
+    return confirmed(pairs.select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct(), sets, least)
+
+
 def fine_links(shared: DataFrame, sets: DataFrame, found: DataFrame, least: int) -> DataFrame:
     """Links in crowded buckets between documents that no hub has joined: the same stars on 128 bands of 16 bins.
 
     `found` (node, component) are the components so far. Only nodes of buckets with several components take part.
     """
-    crowd = shared.where(F.col("n") >= CROWD).select("key", "node", "n_shingles").join(found, "node", "left")
-    crowd = crowd.select("key", "node", F.coalesce("component", "node").alias("component"))
-    open_ = crowd.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-    nodes = stage(crowd.join(open_, "key", "left_semi").select("node").distinct(), "unsettled")
+    nodes = unsettled(shared, found).select("node")
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,7 +247,9 @@ def grouped(docs: DataFrame, least: int = 85, doc_id: str = "doc_id", text: str
     sets = sets_of(shared.select("node").distinct(), docs, doc_id, text)
     first = components(confirmed(star_pairs(shared, least), sets, least).union(_same_document(full, nodes)))
     more = fine_links(shared, sets, first, least)
-    last = components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
+    second = components(first.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more))
+    rest = exact_links(unsettled(shared, second), sets, least)
+    last = components(second.select(F.col("node").alias("a"), F.col("component").alias("b")).union(rest))
     named = nodes.select("digest", "node").join(last, "node", "left").select(
         F.col("digest").alias("set"), F.coalesce("component", "node").alias("component"))
     alone = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)

@@ -312,6 +312,27 @@ def test_near_copies_equal_brute_force(spark):
     assert sorted(r.doc_id for r in minhash.kept(frame(spark, rows)).collect()) == sorted(set(of.values()))
 
 
+def test_exact_links_equal_brute_force(spark, monkeypatch):
+    """Links that no hub has found: of 60 sets around three bases, none joined so far."""
+    rng = random.Random(21)
+    bases = [[b * 1000 + i for i in range(100)] for b in range(3)]
+    sets = {}
+    for i in range(60):
+        one = set(bases[i % 3])
+        for _ in range(rng.randint(0, 12)):
+            one.discard(rng.choice(bases[i % 3]))
+            one.add(10_000 + rng.randrange(400))
+        sets[i] = one
+    for least in (85, 80):
+        want = {(a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= least * len(sets[a] | sets[b])}
+        assert 0 < len(want) < 60 * 19 // 2
+        frames = spark.createDataFrame([(i, sorted(s)) for i, s in sets.items()], "node bigint, shingles array<bigint>")
+        nodes = spark.createDataFrame([(i, i) for i in sets], "node bigint, component bigint")
+        for strip in (500, 7):
+            monkeypatch.setattr(minhash, "STRIP", strip)
+            assert {tuple(r) for r in minhash.exact_links(nodes, frames.union(frames), least).collect()} == want
+
+
 def test_components_of_long_chains(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 60)] + [(100, 90), (100, 91)], "a bigint, b bigint")
     want = {**{i: 1 for i in range(2, 61)}, 91: 90, 100: 90}
