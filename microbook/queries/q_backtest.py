@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from microbook.operators import backtest, models
@@ -257,8 +260,9 @@ def model_comparison(spark, sf):
 
 @query("model_search")
 def model_search(spark, sf):
-    """Lasso penalties over expanding folds."""
-    return models.search_linear(model_table(spark, sf), MODEL_FEATURES, kind="lasso")
+    """Ridge, lasso and elastic net penalties over expanding folds, best first in each kind."""
+    df = model_table(spark, sf)
+    return reduce(DataFrame.unionByName, [models.search_linear(df, MODEL_FEATURES, kind=k) for k in ("ridge", "lasso", "elasticnet")])
 
 
 @query("model_boosted_importance")
@@ -267,7 +271,7 @@ def model_boosted_importance(spark, sf):
     from microbook.operators.splits import tail_validation
 
     df = tail_validation(model_table(spark, sf))
-    model = models.fit_boosted(df, MODEL_FEATURES, validation="is_validation", params={"maxIter": 10, "maxDepth": 3})
+    model = models.fit_boosted(df, MODEL_FEATURES, validation="is_validation")
     return models.importance(spark, model, MODEL_FEATURES)
 
 

@@ -231,3 +231,23 @@ def test_predictions_keep_rows_with_null_features(spark):
     rows = spark.createDataFrame([(float(i), None if i == 3 else float(i), 2.0 * i) for i in range(8)], "ts double, a double, target double")
     scored = models.predict(models.fit_linear(rows, ["a"], kind="linear"), rows, ["a"]).orderBy("ts").collect()
     assert len(scored) == 8 and scored[3].y_pred is None and abs(scored[5].y_pred - 10.0) < 1e-6
+
+
+def test_model_queries_take_default_settings_and_every_grid(monkeypatch):
+    from microbook.operators import models, splits
+    from microbook.queries import q_backtest
+
+    asked = []
+    monkeypatch.setattr(q_backtest, "model_table", lambda spark, sf: None)
+    monkeypatch.setattr(splits, "tail_validation", lambda df: df)
+    monkeypatch.setattr(models, "fit_boosted", lambda *args, **named: asked.append(named))
+    monkeypatch.setattr(models, "importance", lambda *args: None)
+    q_backtest.model_boosted_importance(None, "")
+    assert asked == [{"validation": "is_validation"}]
+
+    class Rows(list):
+        pass
+
+    monkeypatch.setattr(q_backtest.DataFrame, "unionByName", lambda a, b: Rows([*a, *b]))
+    monkeypatch.setattr(models, "search_linear", lambda df, features, kind: Rows([kind]))
+    assert q_backtest.model_search(None, "") == ["ridge", "lasso", "elasticnet"]
