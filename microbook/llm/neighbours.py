@@ -26,16 +26,20 @@ from microbook.llm.minhash import components
 
 LEAST = 0.98
 MISS = 1e-6  # a pair at the threshold meets in no table at most so often, if tables miss independently
+TOGETHER = 0.9995  # share of the measured pairs that the tables find together
 PROBES = 4  # cells of a table in which a vector is looked for, its own among them
 AXES = 3  # axes of a rotation that a probe may choose from
-CELL = 64  # vectors of a random cell at most, on the average: chooses the depth
+CELL = 1 / 16  # vectors of a random cell at most, on the average: chooses the depth, so that unrelated vectors seldom meet
 STRIP = 2048  # vectors of a bucket that meet in one task with as many others
-TRIALS = 4000  # random pairs that measure a table
+CHOICES = 729  # combinations of axes among which a table's probes are chosen, at most: bounds the depth in few dimensions
+LEAST_SIZE = 32
+TRIALS = 4096  # random pairs that measure a table
 SEED = 1307
 
 
 def padded(d: int) -> int:
-    return 1 << max(d - 1, 0).bit_length()
+    """Length of the rotated vectors; sign flips and transforms of a few components would give a few rotations only."""
+    return 1 << max(d - 1, LEAST_SIZE - 1).bit_length()
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -88,8 +92,8 @@ class Hashes:
         return out
 
 
-def meeting(d: int, depth: int, least: float = LEAST, probes: int = PROBES) -> float:
-    """How often a pair at the threshold meets in one table, measured on random pairs."""
+def meeting(d: int, depth: int, least: float = LEAST, probes: int = PROBES, tables: int = 1) -> float:
+    """How often a pair at the threshold meets in one of the tables, measured on random pairs."""
     draw = np.random.Generator(np.random.PCG64([SEED, d, depth]))
     a = draw.standard_normal((TRIALS, d))
     a /= np.linalg.norm(a, axis=1)[:, None]
@@ -97,33 +101,40 @@ def meeting(d: int, depth: int, least: float = LEAST, probes: int = PROBES) -> f
     b -= (a * b).sum(1)[:, None] * a
     length = np.linalg.norm(b, axis=1)[:, None]
     b = least * a + math.sqrt(1 - least * least) * np.divide(b, length, out=np.zeros_like(b), where=length > 0)
-    table = Hashes(d, 1, depth, probes)
-    x, y = table.cells(a)[:, 0], table.cells(b)[:, 0]
-    return float(((x[:, :1] == y).any(1) | (y[:, :1] == x).any(1)).mean())
+    hashes = Hashes(d, tables, depth, probes)
+    x, y = hashes.cells(a), hashes.cells(b)
+    return float(((x[..., :1] == y).any(2) | (y[..., :1] == x).any(2)).any(1).mean())
 
 
 def plan(d: int, rows: int, least: float = LEAST, miss: float = MISS, probes: int = PROBES) -> tuple[int, int]:
-    """(depth, tables): deep enough for cells of `CELL` vectors, tables enough for `miss`. Recall is the same at every size."""
+    """(depth, tables): deep enough for cells of `CELL` vectors, tables enough for `miss`. Recall is the same at every size.
+
+    In few dimensions vectors are near each other however fine the cells; the depth ends where a table still meets half the pairs.
+    """
     depth = max(1, math.ceil(math.log(max(rows / CELL, 1)) / math.log(2 * padded(d)))) if d > 1 else 1
+    while depth > 1 and (min(AXES, padded(d)) ** depth > CHOICES or meeting(d, depth, least, probes) < 0.5):
+        depth -= 1
     hit = min(meeting(d, depth, least, probes), 1 - 1 / TRIALS)
     if hit <= 0:
-        raise ValueError("a threshold this low needs shallower tables than the number of vectors asks for")
-    return depth, max(1, math.ceil(math.log(miss) / math.log(1 - hit)))
+        raise ValueError("pairs of a cosine this low meet in no cell")
+    tables = max(1, math.ceil(math.log(miss) / math.log(1 - hit)))
+    while meeting(d, depth, least, probes, tables) < TOGETHER and tables < 200:  # tables that depend on each other
+        tables += 2
+    return depth, tables
+
+
+def unit(x: np.ndarray) -> np.ndarray | None:
+    """The vector's direction in double precision; None for an empty or zero vector, or one with a non-finite component."""
+    x = x.astype(np.float64)
+    most = np.abs(x).max(initial=0.0)
+    if not np.isfinite(most) or not most:
+        return None
+    x = x / most  # no overflow in the squares
+    return x / math.sqrt(x @ x)
 
 
 def _units(column: pa.Array) -> list[np.ndarray | None]:
-    """Unit vectors in double precision; None for null, empty, zero, and what holds a null or a non-finite component."""
-    out: list[np.ndarray | None] = []
-    for value in column:
-        found = None
-        if value.is_valid and len(value.values) and not value.values.null_count:
-            x = value.values.to_numpy(zero_copy_only=False).astype(np.float64)
-            most = np.abs(x).max()
-            if np.isfinite(most) and most > 0:
-                x = x / most  # no overflow in the squares
-                found = x / math.sqrt(x @ x)
-        out.append(found)
-    return out
+    return [unit(v.values.to_numpy(zero_copy_only=False)) if v.is_valid and not v.values.null_count else None for v in column]
 
 
 def _identity(label: object, unit: np.ndarray) -> bytes:
@@ -131,34 +142,35 @@ def _identity(label: object, unit: np.ndarray) -> bytes:
 
 
 def vectors(rows: DataFrame, vec_id: str, embedding: str, label: str) -> DataFrame:
-    """vec_id, label, identity (of label and direction; null if the vector links with nothing), unit, d, one row per input row."""
-    given = rows.select(F.col(vec_id).alias("vec_id"), F.col(label).alias("label"), F.col(embedding).cast("array<double>").alias("embedding"))
+    """vec_id, label, identity (of label and direction; null if the vector links with nothing), x (the vector), d, one row per input row."""
+    kind = rows.schema[embedding].dataType
+    single = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType)
+    given = rows.select(F.col(vec_id).alias("vec_id"), F.col(label).alias("label"),
+                        F.col(embedding).cast("array<float>" if single else "array<double>").alias("x"))
     schema = T.StructType([given.schema["vec_id"], given.schema["label"], T.StructField("identity", T.BinaryType()),
-                           T.StructField("unit", T.ArrayType(T.DoubleType())), T.StructField("d", T.IntegerType())])
+                           given.schema["x"], T.StructField("d", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            labels = batch.column(1).to_pylist()
-            units = [u if label is not None else None for u, label in zip(_units(batch.column(2)), labels)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1),
-                 pa.array([None if u is None else _identity(label, u) for u, label in zip(units, labels)], pa.binary()),
-                 pa.array(units, pa.list_(pa.float64())), pa.array([None if u is None else len(u) for u in units], pa.int32())],
-                [f.name for f in schema])
+            labels, units = batch.column(1).to_pylist(), _units(batch.column(2))
+            told = [None if u is None or label is None else _identity(label, u) for u, label in zip(units, labels)]
+            sizes = [None if i is None else len(u) for i, u in zip(told, units)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(told, pa.binary()), batch.column(2), pa.array(sizes, pa.int32())],
+                                             [f.name for f in schema])
 
     return given.mapInArrow(run, schema)
 
 
 def placed(nodes: DataFrame, plans: dict[int, tuple[int, int]], probes: int) -> DataFrame:
     """The nodes with `keys`: for each table the own cell and the visited ones, mixed with label, dimension and table."""
-    schema = T.StructType([*[nodes.schema[c] for c in ("node", "copies", "unit")], T.StructField("keys", T.ArrayType(T.LongType()))])
-    rows = nodes.select("node", "copies", "unit", F.xxhash64("label", "d").alias("salt"))
+    schema = T.StructType([*[nodes.schema[c] for c in ("node", "copies", "x")], T.StructField("keys", T.ArrayType(T.LongType()))])
+    rows = nodes.select("node", "copies", "x", F.xxhash64("label", "d").alias("salt"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made: dict[int, Hashes] = {}
         for batch in batches:
             salts = batch.column(3).to_numpy()
-            units = [v.values.to_numpy() for v in batch.column(2)]
+            units = _units(batch.column(2))
             sizes = np.array([len(u) for u in units])
             keys: list = [None] * len(units)
             for d in np.unique(sizes).tolist():
@@ -192,19 +204,21 @@ def buckets(found: DataFrame, probes: int, strip: int) -> DataFrame:
     used = cells.join(sizes, cells["key"] == sizes["of"]).groupBy("node").agg(F.collect_list(F.struct("key", "place", "cuts")).alias("used"))
     used = stage(used.withColumnRenamed("node", "user"), "used")
     rows = found.join(used, found["node"] == used["user"]).withColumn("at", F.explode("used"))
-    rows = rows.select("node", "copies", "unit", "keys", "at.key", "at.place", "at.cuts")
+    rows = rows.select("node", "copies", "x", "keys", "at.key", "at.place", "at.cuts")
     own_strip = F.pmod(F.xxhash64("node", "key"), F.col("cuts")).cast("int")
     rows = rows.withColumn("strip", own_strip).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
     return rows.select("key", F.least("strip", "other").alias("low"), F.greatest("strip", "other").alias("high"), "strip", "place",
-                       "node", "copies", "unit", "keys")
+                       "node", "copies", "x", "keys")
 
 
 class Strip:
     """The members of one strip of one bucket."""
 
     def __init__(self, rows: list) -> None:
-        places, self.node, self.copies, units, keys = map(np.array, zip(*rows))
-        self.place, self.unit, self.keys = places.astype(np.int64), units.astype(np.float64), keys.astype(np.int64)
+        self.place, self.node, self.copies, given, self.keys = map(np.array, zip(*rows))
+        wide = given.astype(np.float64)
+        wide /= np.abs(wide).max(1)[:, None]
+        self.unit = wide / np.sqrt((wide * wide).sum(1))[:, None]
 
 
 def met_first(a: Strip, b: Strip, i: np.ndarray, j: np.ndarray, key: int, probes: int) -> np.ndarray:
@@ -287,7 +301,7 @@ def compared(found: DataFrame, probes: int, least: float, strip: int) -> DataFra
 
         for batch in batches:
             columns = [c.to_pylist() for c in batch.columns[:7]]
-            units, keys = batch.column(7), batch.column(8)
+            given, keys = batch.column(7), batch.column(8)
             for k, (key, low, high, own, place, node, copies) in enumerate(zip(*columns)):
                 if (key, low, high) != now:
                     if len(members) > 1:
@@ -297,7 +311,7 @@ def compared(found: DataFrame, probes: int, least: float, strip: int) -> DataFra
                     if held > 10_000:
                         yield flush()
                         out, held = [], 0
-                members.append((own, place, node, copies, units[k].values.to_numpy(), keys[k].values.to_numpy()))
+                members.append((own, place, node, copies, given[k].values.to_numpy(), keys[k].values.to_numpy()))
         if len(members) > 1:
             out.append(pair(*now, members))
         if out:
@@ -318,7 +332,7 @@ def grouped(rows: DataFrame, least: float = LEAST, vec_id: str = "vec_id", embed
     some = every.where("identity is not null")
     # nodes are numbered once, on a table that is written
     nodes = stage(some.groupBy("identity").agg(F.min("vec_id").alias("least_id"), F.count("*").alias("copies"), F.first("label").alias("label"),
-                                               F.first("unit").alias("unit"), F.first("d").alias("d")), "copies")
+                                               F.first("x").alias("x"), F.first("d").alias("d")), "copies")
     nodes = stage(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     sizes = nodes.groupBy("d", "label").count().groupBy("d").agg(F.max("count").alias("n")).orderBy(F.desc("n")).limit(1001).collect()
     if len(sizes) > 1000:
