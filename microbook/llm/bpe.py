@@ -16,6 +16,7 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,6 +27,13 @@ from microbook.llm.pretoken import SPACE, Classes, byte_pieces, points_of
 
 SHIFT = 20
 NONE = 1 << 60
+NO_RULE = np.int32(2**31 - 1)
+SHORT = 24  # bytes of a piece up to which the list itself is quicker than the equivalent rule
+WIDTHS = (3, 5, 7, 9, 12, 16, 24)  # lengths to which short pieces are filled up when they are merged together
+WIDTH_OF = [next(w for w in WIDTHS if w >= n) for n in range(SHORT + 1)]
+MANY = 64  # short pieces from which on they are merged together
+GROUP = 1 << 18  # characters of short texts whose unknown pieces are merged together
+KNOWN = 200_000  # pieces kept; when so many are there, those not used since the last time go
 
 
 def byte_names() -> list[str]:
@@ -89,6 +97,12 @@ class Merges:
                 raise ValueError("the lookahead holds for merge lists that build each token once from earlier ones")
             made.add(token)
         self.rule = {(u << SHIFT) | v: (r << SHIFT) | token for r, (u, v, token) in enumerate(self.merges)}
+        keys = np.array(list(self.rule), np.int64)
+        order = np.argsort(keys)
+        self.pairs, self.ranks = keys[order], order.astype(np.int32)
+        self.products = np.array([token for _, _, token in self.merges], np.int32)
+        self.byte_tokens = ids = np.array(self.byte_id, np.int32)
+        self.first_pairs = self.ranks_of(np.repeat(ids, 256), np.tile(ids, 256)).reshape(256, 256)
         # tokens that their own bytes give, by bytes; the longest such token for each two first bytes
         self.token_of = {b: i for i, b in self.bytes_of.items() if i in made and self.merge(b) == [i]}
         self.reach: dict[bytes, int] = {}
@@ -105,7 +119,7 @@ class Merges:
         piece is its longest first token whose neighbour, the first token of the rest, lets it stand.
         """
         end = len(data)
-        if end <= 24:  # the list itself is quicker on short pieces
+        if end <= SHORT:
             return self.merge(data)
         first: dict[int, int] = {}
         token_of, bytes_of, reach, apart = self.token_of, self.bytes_of, self.reach, self.apart
@@ -159,6 +173,50 @@ class Merges:
                 best[i] = rule((parts[i] << SHIFT) | parts[i + 1], NONE)
         return parts
 
+    def entry(self, ids: list[int]) -> tuple[tuple[int, ...], str, bytes]:
+        return tuple(ids), ",".join(map(str, ids)), b"".join([self.bytes_of[i] for i in ids])
+
+    def ranks_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of the rule for each pair of tokens; NO_RULE without one, or where the second token is -1."""
+        keys = (left.astype(np.int64) << SHIFT) | right
+        at = np.minimum(np.searchsorted(self.pairs, keys), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == keys, self.ranks[at], NO_RULE)
+
+    def merge_many(self, pieces: list[bytes]) -> list[list[int]]:
+        """`merge` for many short pieces at once: a row each, and every round merges the lowest rank of every row."""
+        out: list[list[int]] = [[] for _ in pieces]
+        by_width: dict[int, list[int]] = {}
+        for k, piece in enumerate(pieces):
+            by_width.setdefault(WIDTH_OF[len(piece)], []).append(k)
+        for width, which in by_width.items():
+            # shorter pieces are filled up with -1
+            data = np.frombuffer(b"".join([pieces[k].ljust(width, b"\0") for k in which]), np.uint8).reshape(len(which), width)
+            filled = np.arange(width) < np.array([len(pieces[k]) for k in which])[:, None]
+            parts = np.full((len(which), width + 1), -1, np.int32)
+            parts[:, :width] = np.where(filled, self.byte_tokens[data], -1)
+            best = np.full((len(which), width), NO_RULE)
+            best[:, :width - 1] = np.where(filled[:, 1:], self.first_pairs[data[:, :-1], data[:, 1:]], NO_RULE)
+            rows = np.array(which)
+            while True:
+                i = best.argmin(1)
+                lowest = best[np.arange(len(rows)), i]
+                open_ = lowest != NO_RULE
+                if not open_.all():
+                    for k, tokens in zip(rows[~open_].tolist(), parts[~open_].tolist()):
+                        out[k] = tokens[:tokens.index(-1)]
+                    if not open_.any():
+                        break
+                    rows, parts, best, i, lowest = rows[open_], parts[open_], best[open_], i[open_], lowest[open_]
+                at, columns = np.arange(len(rows)), np.arange(best.shape[1])
+                # close the gap behind the merged pair; the last column of `parts` is always -1
+                parts[:, :-1] = np.where(columns > i[:, None], parts[:, 1:], parts[:, :-1])
+                best[:, :-1] = np.where(columns[:-1] >= i[:, None], best[:, 1:], best[:, :-1])
+                parts[at, i] = self.products[lowest]
+                best[at, i] = self.ranks_of(parts[at, i], parts[at, i + 1])
+                before = i > 0
+                best[at[before], i[before] - 1] = self.ranks_of(parts[at[before], i[before] - 1], parts[at[before], i[before]])
+        return out
+
 
 @lru_cache(maxsize=4)
 def merges_of(path: str) -> Merges:
@@ -193,36 +251,69 @@ class PieceStream:
         return out
 
 
+Entry = tuple[tuple[int, ...], str, bytes]  # the ids of a piece, their decimal text, and the bytes that they stand for
+Run = list[str] | list[Entry]  # neighbouring pieces, or what is encoded already
+
+
+class Pieces:
+    """The entries of pieces. Short ones are kept in two generations: what one does not use until it is full is dropped."""
+
+    def __init__(self, merges: Merges, window: int = 256, known: int = KNOWN) -> None:
+        self.merges, self.window, self.known = merges, window, known
+        self.now: dict[str, Entry] = {}
+        self.before: dict[str, Entry] = {}
+
+    def _encoded(self, data: bytes) -> list[int]:
+        if len(data) <= self.window:
+            return self.merges.apply(data)
+        stream = PieceStream(self.merges, self.window)
+        return stream.feed(data) + stream.finish()
+
+    def entries(self, texts: list[list[Run]]) -> list[list[Entry]]:
+        """The entries of each text, given as runs; all unknown short pieces are merged together."""
+        if len(self.now) > self.known:
+            self.now, self.before = {}, self.now
+        get = self.now.get
+        found = [[list(map(get, run)) if isinstance(run[0], str) else run for run in runs] for runs in texts]
+        unknown = [(x, y) for x, entries in enumerate(found) for y, run in enumerate(entries) if None in run]
+        long = self._learn({p for x, y in unknown for p, entry in zip(texts[x][y], found[x][y]) if entry is None})
+        for x, y in unknown:
+            found[x][y] = [get(p) or long[p] for p in texts[x][y]]
+        return [list(chain.from_iterable(entries)) for entries in found]
+
+    def _learn(self, unknown: set[str]) -> dict[str, Entry]:
+        """Encode unknown pieces; those over 64 bytes are returned, the others kept."""
+        new, long = [], {}
+        for piece in unknown:
+            kept = self.before.get(piece)
+            if kept:
+                self.now[piece] = kept
+            else:
+                new.append(piece)
+        data = [piece.encode("utf-8", "surrogatepass") for piece in new]
+        short = [k for k, b in enumerate(data) if len(b) <= SHORT]
+        merged: dict[int, list[int]] = {}
+        if len(short) >= MANY:
+            merged = dict(zip(short, self.merges.merge_many([data[k] for k in short])))
+        for k, piece in enumerate(new):
+            ids = merged[k] if k in merged else self._encoded(data[k])
+            (self.now if len(data[k]) <= 64 else long)[piece] = self.merges.entry(ids)
+        return long
+
+
 class Encoder:
     """Text in, token ids out, in any chunks: `feed` returns the ids that are stable, `finish` the rest."""
 
-    def __init__(self, merges: Merges, window: int = 256, cache: dict | None = None, cached: int = 300_000) -> None:
-        self.merges, self.window, self.cached = merges, window, cached
-        self.cache: dict[str, tuple[tuple[int, ...], str]] = {} if cache is None else cache
+    def __init__(self, merges: Merges, window: int = 256, pieces: Pieces | None = None) -> None:
+        self.merges, self.window = merges, window
+        self.pieces = pieces or Pieces(merges, window)
         self.held = ""
         self.open: PieceStream | None = None
         self.open_class = -1
         self.longest = max(map(len, merges.special), default=0)
 
-    def _entry(self, piece: str) -> tuple[tuple[int, ...], str]:
-        data = piece.encode("utf-8", "surrogatepass")
-        if len(data) <= self.window:
-            ids = tuple(self.merges.apply(data))
-        else:
-            stream = PieceStream(self.merges, self.window)
-            ids = (*stream.feed(data), *stream.finish())
-        entry = (ids, ",".join(map(str, ids)))
-        if len(data) <= 64 and len(self.cache) < self.cached:
-            self.cache[piece] = entry
-        return entry
-
-    def _entries(self, pieces: Iterable[str]) -> list[tuple[tuple[int, ...], str]]:
-        get, miss = self.cache.get, self._entry
-        return [get(p) or miss(p) for p in pieces]
-
-    @staticmethod
-    def _plain(ids: list[int]) -> list[tuple[tuple[int, ...], str]]:
-        return [(tuple(ids), ",".join(map(str, ids)))] if ids else []
+    def _plain(self, ids: list[int]) -> list[Run]:
+        return [[self.merges.entry(ids)]] if ids else []
 
     def _continue(self, text: str) -> tuple[list, str]:
         """Give the open piece what belongs to it; returns its stable tokens and the text after it."""
@@ -238,8 +329,8 @@ class Encoder:
             self.open = None
         return self._plain(ids), text[max(n, 0):]
 
-    def _part(self, text: str, last: bool) -> tuple[list, str]:
-        """Entries of the stable pieces of `text`, and the text that is held back."""
+    def _part(self, text: str, last: bool) -> tuple[list[Run], str]:
+        """Runs of the stable pieces of `text`, and the text that is held back."""
         out: list = []
         if self.open and text:
             done, text = self._continue(text)
@@ -252,14 +343,14 @@ class Encoder:
             return out + self._plain(ids), ""
         pieces = byte_pieces(text, self.merges.classes)
         if last:
-            return out + self._entries(pieces), ""
+            return out + ([pieces] if pieces else []), ""
         # a piece is stable if a character follows it and three are known from its start on (the longest ending)
         cut = len(text)
         while pieces and (cut == len(text) or cut - len(pieces[-1]) + 3 > len(text)):
             cut -= len(pieces.pop())
         while pieces and cut + 3 > len(text):
             cut -= len(pieces.pop())
-        out += self._entries(pieces)
+        out += [pieces] if pieces else []
         rest = text[cut:]
         if len(rest) > 4 * self.window:
             head = byte_pieces(rest, self.merges.classes)
@@ -271,9 +362,10 @@ class Encoder:
                 rest = rest[len(rest) - keep:]
         return out, rest
 
-    def _entries_of(self, chunk: str, last: bool) -> list:
+    def runs(self, chunk: str, last: bool) -> list[Run]:
+        """What is stable once `chunk` is read."""
         text = self.held + chunk
-        out: list = []
+        out: list[Run] = []
         while self.merges.special:
             found = min(((i, s) for s in self.merges.special if (i := text.find(s)) >= 0), default=None)
             if not found:
@@ -293,16 +385,40 @@ class Encoder:
                 return text[-n:]
         return ""
 
+    def _ids(self, chunk: str, last: bool) -> list[int]:
+        return list(chain.from_iterable([e[0] for e in self.pieces.entries([self.runs(chunk, last)])[0]]))
+
     def feed(self, chunk: str) -> list[int]:
-        return list(chain.from_iterable(e[0] for e in self._entries_of(chunk, False)))
+        return self._ids(chunk, False)
 
     def finish(self) -> list[int]:
-        return list(chain.from_iterable(e[0] for e in self._entries_of("", True)))
-
-    def entries(self, text: str, chunk: int = 65_536) -> Iterator[list[tuple[tuple[int, ...], str]]]:
-        """The entries (ids, their decimal text) of a whole text, chunk by chunk."""
-        for at in range(0, max(len(text), 1), chunk):
-            yield self._entries_of(text[at:at + chunk], at + chunk >= len(text))
+        return self._ids("", True)
+
+
+def encoded(texts: Iterable[str], merges: Merges, pieces: Pieces, chunk: int = 65_536) -> Iterator[tuple[int, list[Entry], bool]]:
+    """(number of the text, entries, whether they end it). Short texts are encoded in groups, long ones chunk by chunk."""
+    held: list[tuple[int, list[Run]]] = []
+    size = 0
+
+    def flush() -> Iterator[tuple[int, list[Entry], bool]]:
+        for (k, _), entries in zip(held, pieces.entries([runs for _, runs in held])):
+            yield k, entries, True
+
+    for k, text in enumerate(texts):
+        encoder = Encoder(merges, pieces.window, pieces)
+        if len(text) <= chunk:
+            held.append((k, encoder.runs(text, True)))
+            size += len(text)
+            if size >= GROUP:
+                yield from flush()
+                held, size = [], 0
+            continue
+        yield from flush()
+        held, size = [], 0
+        for at in range(0, len(text), chunk):
+            last = at + chunk >= len(text)
+            yield k, pieces.entries([encoder.runs(text[at:at + chunk], last)])[0], last
+    yield from flush()
 
 
 class Decoder:
@@ -314,27 +430,41 @@ class Decoder:
 
     def feed(self, ids: Iterable[int]) -> str:
         get = self.bytes_of.get
-        return self.state.decode(b"".join([get(i, b"") for i in ids]))
+        ids = list(ids)
+        try:
+            return self.feed_bytes(b"".join(map(get, ids)))
+        except TypeError:  # some id is outside the vocabulary
+            return self.feed_bytes(b"".join([get(i, b"") for i in ids]))
+
+    def feed_bytes(self, data: bytes) -> str:
+        """The same for ids whose bytes are known already."""
+        return self.state.decode(data)
 
     def finish(self) -> str:
         return self.state.decode(b"", True)
 
 
-_CACHES: dict[str, dict] = {}
-
-
-def _digests(text: str, encoder: Encoder, decoder: Decoder) -> tuple[int, str, str]:
-    n, ids_sha, text_sha, first = 0, hashlib.sha256(), hashlib.sha256(), True
-    for entries in encoder.entries(text):
-        if not entries:
-            continue
-        ids_sha.update((("" if first else ",") + ",".join([e[1] for e in entries])).encode())
-        first = False
-        ids = list(chain.from_iterable([e[0] for e in entries]))
-        n += len(ids)
-        text_sha.update(decoder.feed(ids).encode("utf-8", "replace"))
-    text_sha.update(decoder.finish().encode("utf-8", "replace"))
-    return n, ids_sha.hexdigest(), text_sha.hexdigest()
+@lru_cache(maxsize=4)
+def pieces_of(path: str) -> Pieces:
+    return Pieces(merges_of(path))
+
+
+def text_digests(texts: Iterable[str], pieces: Pieces) -> Iterator[tuple[int, str, str]]:
+    """Number of tokens, digest of the ids and of the text decoded from them, of each text."""
+    start = True
+    for _, entries, last in encoded(texts, pieces.merges, pieces):
+        if start:
+            n, ids_sha, text_sha, decoder = 0, hashlib.sha256(), hashlib.sha256(), Decoder(pieces.merges)
+        if entries:
+            _, told, data = zip(*entries)
+            ids = ",".join(told)
+            ids_sha.update((("," if n else "") + ids).encode())
+            n += ids.count(",") + 1
+            text_sha.update(decoder.feed_bytes(b"".join(data)).encode("utf-8", "replace"))
+        start = last
+        if last:
+            text_sha.update(decoder.finish().encode("utf-8", "replace"))
+            yield n, ids_sha.hexdigest(), text_sha.hexdigest()
 
 
 def digests(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -348,9 +478,9 @@ def digests(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "tex
                            T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merges, cache = merges_of(path), _CACHES.setdefault(path, {})
+        pieces = pieces_of(path)
         for batch in batches:
-            found = [_digests(t.as_py(), Encoder(merges, cache=cache), Decoder(merges)) for t in batch.column(1)]
+            found = list(text_digests((t.as_py() for t in batch.column(1)), pieces))
             n, ids, decoded = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
@@ -365,10 +495,11 @@ def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text
     schema = T.StructType([rows.schema["doc_id"], T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        merges, cache = merges_of(path), _CACHES.setdefault(path, {})
+        pieces = pieces_of(path)
         for batch in batches:
-            found = [[i for entries in Encoder(merges, cache=cache).entries(t.as_py()) for e in entries for i in e[0]]
-                     for t in batch.column(1)]
+            found: list[list[int]] = [[] for _ in range(batch.num_rows)]
+            for k, entries, _ in encoded((t.as_py() for t in batch.column(1)), pieces.merges, pieces):
+                found[k].extend(chain.from_iterable([e[0] for e in entries]))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "ids"])
 
     return rows.mapInArrow(run, schema)

@@ -269,3 +269,19 @@ def test_any_change_is_noticed(spark):
     rows = [(i, f"text {i}", "en", "s") for i in range(100)]
     found = manifest.manifest(frame(spark, rows), changed={"source": F.when(F.col("doc_id") == 41, "x").otherwise(F.col("source"))})
     assert [r["doc_id"] for r in manifest.proofs(found).where("not verified").collect()] == [41]
+
+
+# --- many pieces at once (op1) ---------------------------------------------------------------
+
+def test_pieces_merged_together_equal_pieces_merged_alone():
+    import public_tokenizers
+
+    from microbook.llm import bpe
+
+    merges, rng = bpe.merges_of(public_tokenizers.path("byte_bpe_50k.json")), random.Random(7)
+    pieces = [bytes(rng.choice(b"abcdeinorst \xc3\xa9ABC19") for _ in range(rng.randrange(1, bpe.SHORT + 1))) for _ in range(3000)]
+    assert merges.merge_many(pieces) == [merges.merge(p) for p in pieces] and merges.merge_many([]) == []
+    few, plenty = bpe.Pieces(merges, known=50), bpe.Pieces(merges)
+    texts = [" ".join(rng.choice(["tree", "Ärger", "x" * 90, "<|endoftext|>", f"w{rng.randrange(900)}"]) for _ in range(60)) for _ in range(80)] + ["", "y " * 70_000]
+    assert list(bpe.text_digests(texts, few)) == list(bpe.text_digests(texts, plenty))
+    assert [d for t in texts for d in bpe.text_digests([t], few)] == list(bpe.text_digests(texts, plenty))
