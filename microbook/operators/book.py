@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from microbook.functions.expr import div, to_double
 from microbook.functions.names import ladder
-from microbook.plans.ordered import DEFAULT, Order, floor_to, join_small, layout, over_rows, row_index, running
+from microbook.plans.ordered import DEFAULT, Order, counted, floor_to, join_small, layout, over_rows, row_index, running
 from microbook.session import cut_lineage
 
 TRADE_RANK = 2**62
@@ -258,6 +258,64 @@ def grid_ticks(events: DataFrame, interval_us: int, order: Order = DEFAULT, at:
     return numbered.groupBy(*order.keys, "_cell").agg(*first).drop("_cell")
 
 
+def open_counts(deltas: DataFrame, keys: tuple[str, ...], block: int, blocks: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """How many levels of each side are open: after every change that alters a number, and before each block of positions.
+
+    Each change adds 1 to its side if it opens a level, -1 if it closes one; the numbers are running sums by position, in a block
+    and over the blocks' totals. First table: keys, blk, pos, bids, asks, and `_bids`, `_asks`, the numbers before the block.
+    Second: keys, blk, `_bids`, `_asks` for the blocks with changes and those in `blocks` (keys, blk).
+    """
+    k = list(keys)
+    d = deltas.withColumn("blk", F.floor(F.col("pos") / F.lit(block)).cast("bigint"))
+    level = [*k, "blk", "side", "price"]
+    is_open = (F.col("size") != 0).cast("int")
+    before = F.lag(is_open).over(Window.partitionBy(*level).orderBy("pos"))
+    inside = d.select(*level, "pos", (is_open - before).alias("_step")).where("_step <> 0")  # null for the first of a block
+    ends = d.groupBy(*level).agg(F.min("pos").alias("pos"), F.min_by(is_open, "pos").alias("_first"), F.max_by(is_open, "pos").alias("_last"))
+    earlier = F.lag("_last").over(Window.partitionBy(*k, "side", "price").orderBy("blk"))
+    entering = ends.select(*level, "pos", (F.col("_first") - F.coalesce(earlier, F.lit(0))).alias("_step")).where("_step <> 0")
+    sides = {"bids": F.when(F.col("side") == "bid", F.col("_step")).otherwise(0), "asks": F.when(F.col("side") == "ask", F.col("_step")).otherwise(0)}
+    steps = cut_lineage(inside.unionByName(entering).groupBy(*k, "blk", "pos").agg(*[F.sum(c).alias(n) for n, c in sides.items()]))
+    totals = steps.groupBy(*k, "blk").agg(*[F.sum(n).alias(n) for n in sides])
+    if blocks is not None:
+        none = [F.lit(0).cast("bigint").alias(n) for n in sides]
+        totals = totals.unionByName(blocks.select(*k, "blk", *none)).groupBy(*k, "blk").agg(*[F.sum(n).alias(n) for n in sides])
+    past = Window.partitionBy(*k).orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
+    prefix = counted(totals.select(*k, "blk", *[F.coalesce(F.sum(n).over(past), F.lit(0)).alias(f"_{n}") for n in sides]))
+    here = Window.partitionBy(*k, "blk").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    out = steps.join(prefix, [*k, "blk"])
+    return out.withColumns({n: F.sum(n).over(here) + F.col(f"_{n}") for n in sides}), prefix
+
+
+def two_sided_ticks(
+    events: DataFrame, deltas: DataFrame, interval_us: int, order: Order = DEFAULT, keys: tuple[str, ...] = ("symbol",),
+    block: int = BLOCK,
+) -> DataFrame:
+    """First event of every interval at which both sides have an open level; intervals without one give no row.
+
+    `events` and `deltas` have `keys`, the order's time and `pos`, deltas also side, price and size; the book is the one after
+    the event. Such an event is the first of its interval, or one whose change completes the book.
+    """
+    k, cell = list(keys), floor_to(F.col(order.ts), interval_us)
+    firsts = events.select(*k, cell.alias("_cell"), "pos").groupBy(*k, "_cell").agg(F.min("pos").alias("pos"))
+    firsts = cut_lineage(firsts.withColumn("blk", F.floor(F.col("pos") / F.lit(block)).cast("bigint")))
+    counts, prefix = open_counts(deltas, keys, block, firsts.select(*k, "blk").distinct())
+    both, before = (F.col("bids") > 0) & (F.col("asks") > 0), (F.col("_bids") > 0) & (F.col("_asks") > 0)
+    in_block = Window.partitionBy(*k, "blk").orderBy("pos")
+    counts = counts.select(*k, "blk", "pos", both.alias("_open"), F.coalesce(F.lag(both).over(in_block), before).alias("_was"))
+    flips = counts.where("_open <> _was").select(*k, "blk", "pos", "_open")
+    firsts = firsts.join(prefix, [*k, "blk"]).select(*k, "blk", "pos", "_cell", before.alias("_before"))
+    # a flip at the position of an interval's first event counts for it
+    marks = firsts.withColumn("_open", F.lit(None).cast("boolean")).unionByName(
+        flips.withColumns({"_cell": F.lit(None).cast("bigint"), "_before": F.lit(None).cast("boolean")}))
+    marks = marks.groupBy(*k, "blk", "pos").agg(*[F.max(c).alias(c) for c in ("_cell", "_before", "_open")])
+    last = F.last("_open", ignorenulls=True).over(in_block)
+    marks = marks.withColumn("_ready", F.when(F.col("_cell").isNotNull(), F.coalesce(last, "_before")).otherwise(F.col("_open")))
+    at = join_small(events, marks.where("_ready").select(*k, "pos"), [*k, "pos"])
+    chosen = at.groupBy(*order.keys, cell.alias("_cell")).agg(F.min("pos").alias("pos")).drop("_cell")
+    return join_small(events, chosen, [*order.keys, "pos"]).select(*events.columns)
+
+
 def trade_state(events: DataFrame, order: Order = DEFAULT, plan=None) -> DataFrame:
     """Last trade and cumulative taker volumes as of each event.
 
@@ -278,7 +336,7 @@ def reconstruct(
     raw: DataFrame, interval_us: int = 100_000, depth: int = 10, block: int = BLOCK,
     block_rows: int | None = None,
 ) -> DataFrame:
-    """Raw depth, trade and snapshot records to clean rows, one per symbol and grid interval.
+    """Raw depth, trade and snapshot records to clean rows: the first event of each symbol and grid interval with a two-sided book.
 
     A record of type ``snapshot`` closes every level of its symbol and opens the ones it lists.
     """
@@ -298,13 +356,13 @@ def reconstruct(
     }, order, plan=plan)
     # numbered once, read by the ticks, the level changes and the carried levels
     events = cut_lineage(events.drop("trade", "liquidation", "kline", "meta"))
-    deltas = explode_levels(events.filter(F.col("type") != "trade"), "symbol", "epoch", "pos")
-    ticks = grid_ticks(
+    deltas = cut_lineage(explode_levels(events.filter(F.col("type") != "trade"), "symbol", "epoch", "pos"))
+    ticks = two_sided_ticks(
         events.select("symbol", "exchange_ts", "event_seq", "local_ts", "update_id", "epoch", "pos",
                       "last_trade_px", "last_trade_qty", "taker_buy_vol", "taker_sell_vol"),
-        interval_us, order, at="pos",
+        deltas, interval_us, order, ("symbol", "epoch"), block,
     )
-    wide = initialised(book_at(deltas, ticks, depth, ("symbol", "epoch"), block))
+    wide = book_at(deltas, ticks, depth, ("symbol", "epoch"), block)
     levels = [c for c in wide.columns if c[:7] in ("bid_px_", "bid_sz_", "ask_px_", "ask_sz_")]
     return wide.select(
         "symbol", F.col("exchange_ts").alias("ts"), F.col("pos").alias("seq"), "local_ts",

@@ -74,17 +74,35 @@ def split_summary(split: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def _spread(df: DataFrame, splits: list[tuple[int, Column, Column, Column, Column]]) -> DataFrame:
-    """Copy each row to the splits it belongs to; `splits` are (id, train_from, train_to, test_from, test_to)."""
+Bounds = list[tuple[int, Column, Column, Column, Column]]
+
+
+def _roles(bounds: Bounds) -> list[tuple[int, Column, Column]]:
+    """(id, trains, tests) of each split for the row number `_rn`; a split without training rows has no test rows either."""
     rn = F.col("_rn")
-    options = []
-    for i, a, b, c, d in splits:
-        role = F.when((rn > a) & (rn <= b), "train").when((rn > c) & (rn <= d), "test")
-        options.append(F.struct(F.lit(i).alias("fold"), F.when(b > a, role).alias("split")))
+    return [(i, (b > a) & (rn > a) & (rn <= b), (b > a) & (rn > c) & (rn <= d)) for i, a, b, c, d in bounds]
+
+
+def _spread(df: DataFrame, splits: Bounds) -> DataFrame:
+    """Copy each row to the splits it belongs to; `splits` are (id, train_from, train_to, test_from, test_to)."""
+    options = [F.struct(F.lit(i).alias("fold"), F.when(trains, "train").when(tests, "test").alias("split")) for i, trains, tests in _roles(splits)]
     chosen = F.filter(F.array(*options), lambda s: s["split"].isNotNull())
     return df.withColumn("_s", F.explode(chosen)).select("*", "_s.fold", "_s.split").drop("_s", "_rn", "_n")
 
 
+MOST_ROLES = 31
+
+
+def _packed_roles(df: DataFrame, bounds: Bounds) -> DataFrame:
+    """Add `roles`: bit 2i if the row trains split i, bit 2i + 1 if it tests it. Rows are not copied, and few numbers occur."""
+    if len(bounds) > MOST_ROLES:
+        raise ValueError(f"at most {MOST_ROLES} splits fit into one number")
+    bits = F.lit(0).cast("bigint")
+    for i, trains, tests in _roles(bounds):
+        bits = bits + F.when(trains, 1 << 2 * i).when(tests, 2 << 2 * i).otherwise(0).cast("bigint")
+    return df.withColumn("roles", bits).drop("_rn", "_n")
+
+
 def walk_forward(df: DataFrame, n_splits: int = 5, test_size: float = 0.1, gap_rows: int = 0, order: Order = DEFAULT) -> DataFrame:
     """Expanding splits at the end of each key: `fold`, `split`; `gap_rows` before a test set are left out."""
     df = row_index(df, order, "_rn", total="_n")
@@ -97,9 +115,7 @@ def walk_forward(df: DataFrame, n_splits: int = 5, test_size: float = 0.1, gap_r
     return _spread(df, bounds)
 
 
-def walk_forward_blocks(df: DataFrame, n_splits: int = 5, train_window: int | None = None, test_window: int | None = None, order: Order = DEFAULT) -> DataFrame:
-    """Backtest splits: tests are the last n_splits blocks of n//(n_splits+1) rows, training before them."""
-    df = row_index(df, order, "_rn", total="_n")
+def _block_bounds(n_splits: int, train_window: int | None, test_window: int | None) -> Bounds:
     n = F.col("_n")
     test = F.lit(test_window).cast("bigint") if test_window else F.floor(n / F.lit(n_splits + 1)).cast("bigint")
     bounds = []
@@ -107,7 +123,17 @@ def walk_forward_blocks(df: DataFrame, n_splits: int = 5, train_window: int | No
         end = n - test * (n_splits - i - 1)
         start = F.greatest(end - test - train_window, F.lit(0)) if train_window else F.lit(0)
         bounds.append((i, start, end - test, end - test, end))
-    return _spread(df, bounds)
+    return bounds
+
+
+def walk_forward_blocks(df: DataFrame, n_splits: int = 5, train_window: int | None = None, test_window: int | None = None, order: Order = DEFAULT) -> DataFrame:
+    """Backtest splits: tests are the last n_splits blocks of n//(n_splits+1) rows, training before them."""
+    return _spread(row_index(df, order, "_rn", total="_n"), _block_bounds(n_splits, train_window, test_window))
+
+
+def block_roles(df: DataFrame, n_splits: int = 5, train_window: int | None = None, test_window: int | None = None, order: Order = DEFAULT) -> DataFrame:
+    """The splits of `walk_forward_blocks` as a number per row, `roles`, without copies: bit 2i trains split i, bit 2i + 1 tests it."""
+    return _packed_roles(row_index(df, order, "_rn", total="_n"), _block_bounds(n_splits, train_window, test_window))
 
 
 def time_series_folds(df: DataFrame, n_splits: int = 5, order: Order = DEFAULT) -> DataFrame:

@@ -358,11 +358,16 @@ def running(
     return _unpack(out.drop(*drop), rest, first)
 
 
-def join_small(df: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Join a table that is expected to be small, such as one row per key.
+def counted(small: DataFrame) -> DataFrame:
+    """A table that is expected to be small, such as one row per key, written once and counted.
 
-    It is written once and counted; up to `BROADCAST_ROWS` rows it is broadcast, so the rows of a hot
-    key are not shuffled. Beyond that the join shuffles and AQE splits skewed keys.
+    Up to `BROADCAST_ROWS` rows it is broadcast, so the rows of a hot key are not shuffled. Beyond that the join shuffles and AQE
+    splits skewed keys.
     """
     small = cut_lineage(small)
-    return df.join(F.broadcast(small) if small.count() <= BROADCAST_ROWS else small, on, how)
+    return F.broadcast(small) if small.count() <= BROADCAST_ROWS else small
+
+
+def join_small(df: DataFrame, small: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Join a table that is expected to be small (see `counted`)."""
+    return df.join(counted(small), on, how)

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from microbook.operators import backtest, models
 from microbook.plans.ordered import DEFAULT, over_rows
 from microbook.queries.q_training import training_table
+from microbook.queries.q_features import MID, W, _sum
 from microbook.queries.registry import query, snap_sql, snapped, with_ctes
-from microbook.queries.tables import PREDICTIONS, TRADES, predictions, stored, trades
+from microbook.queries.tables import CLEAN, PREDICTIONS, TRADES, predictions, stored, trades
 
 COST = 0.5
 
@@ -250,19 +251,90 @@ def model_table(spark, sf):
     return stored(spark, sf, "model_rows", build)
 
 
-@query("model_comparison")
+def _features_sql() -> dict[str, str]:
+    bids, asks = _sum("bid", 5), _sum("ask", 5)
+    return {
+        "ofi": "bid_sz_01 - lag(bid_sz_01) over w - (ask_sz_01 - lag(ask_sz_01) over w)",
+        "imbalance": "(bid_sz_01 - ask_sz_01) / nullif(bid_sz_01 + ask_sz_01, 0)", "spread": "ask_px_01 - bid_px_01",
+        "imbalance_5": f"({bids} - {asks}) / nullif({bids} + {asks}, 0)",
+    }
+
+
+P = len(MODEL_FEATURES)
+MODEL_ROWS = CLEAN + ", mf as (select symbol, ts, seq, " + ", ".join(f"{e} as {f}" for f, e in _features_sql().items()) + f""",
+  (lead({MID}, 3) over w - {MID}) / ({MID}) * 10000 as y from book {W}),
+ml as (select symbol, ts, seq, y, """ + ", ".join(
+    f"coalesce(last_value({f} ignore nulls) over (partition by symbol order by ts, seq), 0)::double as x{k}" for k, f in enumerate(MODEL_FEATURES)) + """ from mf),
+mr as (select *, row_number() over (partition by symbol order by ts, seq) as rn, count(*) over (partition by symbol) as n from ml where y is not null)"""
+
+
+def gram_sql(rows: str, by: str = "id") -> str:
+    """Count, means and second moments (per row) of the columns x0.. and y of `rows`."""
+    g = [f"covar_pop(x{min(a, b)}, x{max(a, b)}) as g{a}{b}" for a in range(P) for b in range(P)] + [f"covar_pop(x{a}, y) as b{a}" for a in range(P)]
+    return f"select {by}, count(*) as n, avg(y) as my, " + ", ".join([f"avg(x{a}) as m{a}" for a in range(P)] + g) + f" from {rows} group by {by}"
+
+
+def descent_sql(rounds: int = 600) -> str:
+    """`w`: coefficients w0.. and intercept b by coordinate descent for every row of `pts` (id, model, params, l1, l2; l2 null: alpha/n in `ridge`)."""
+    start = ", ".join(f"0.0::double as w{k}" for k in range(P))
+    inner = "cd"
+    for k in range(P):
+        rest = " - ".join([f"b{k}", *[f"g{k}{j} * w{j}" for j in range(P) if j != k]])
+        pulled = f"(select *, {rest} as z from {inner})"
+        inner = f"(select * exclude (z, w{k}), sign(z) * greatest(abs(z) - l1, 0) / (g{k}{k} + l2) as w{k} from {pulled})"
+    names = ", ".join(["id", "model", "params", "l1", "l2", "my", *[f"m{k}" for k in range(P)], *[f"b{k}" for k in range(P)],
+                       *[f"g{a}{b}" for a in range(P) for b in range(P)], *[f"w{k}" for k in range(P)]])
+    cut = names[: names.rindex(f", w{0}")]
+    return (f"cd as (select {cut}, {start}, 0 as it from pts join gram using (id) union all select {names}, it + 1 from {inner} where it < {rounds}),\n"
+            f"w as (select id, model, params, my - " + " - ".join(f"w{k} * m{k}" for k in range(P)) + " as b, " + ", ".join(f"w{k}" for k in range(P))
+            + f" from cd where it = {rounds})")
+
+
+GUESS = "b + " + " + ".join(f"w{k} * x{k}" for k in range(P))
+
+
+def points_sql(kinds: tuple[str, ...], grids: dict) -> str:
+    """The penalties per row count of each grid point."""
+    rows = []
+    for kind in kinds:
+        for params in grids[kind]:
+            p = {**models.DEFAULTS[kind], **params}
+            ratio = {"lasso": 1.0, "elasticnet": p.get("l1_ratio", 0)}.get(kind, 0.0)
+            l1 = p["alpha"] * ratio if kind in ("lasso", "elasticnet") else 0.0
+            l2 = f"{p['alpha']!r}::double / n" if kind == "ridge" else f"{p.get('alpha', 0.0) * (1 - ratio) if kind != 'linear' else 0.0!r}::double"
+            text = str(params).replace("'", "''")
+            rows.append(f"select id, '{kind}' as model, '{text}' as params, {l1!r}::double as l1, {l2} as l2 from gram")
+    return "pts as (" + " union all ".join(rows) + ")"
+
+
+COMPARED = ("recursive " + MODEL_ROWS + ", gram as (" + gram_sql("(select *, 0 as id from mr where ts < 1705900000000000)") + "), "
+            + points_sql(tuple(models.DEFAULTS), {k: [{}] for k in models.DEFAULTS}) + ", " + descent_sql()
+            + f", ps as (select model, y, {GUESS} as p from w, mr where ts >= 1705900000000000)")
+
+
+@query("model_comparison", with_ctes(COMPARED, f"""select model, {snap_sql('avg((y - p) * (y - p))', 'mse')}, {snap_sql('sqrt(avg((y - p) * (y - p)))', 'rmse')},
+ {snap_sql('avg(abs(y - p))', 'mae')}, {snap_sql('1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*))', 'r2')},
+ count(*) filter (where sign(y) = sign(p)) / count(*)::double as directional_accuracy from ps group by 1"""))
 def model_comparison(spark, sf):
     """Four linear models fitted on the first three weeks, scored on the rest."""
     df = model_table(spark, sf)
     cut = 1_705_900_000_000_000
-    return models.compare_linear(df.filter(F.col("ts") < cut), df.filter(F.col("ts") >= cut), MODEL_FEATURES)
+    out = models.compare_linear(df.filter(F.col("ts") < cut), df.filter(F.col("ts") >= cut), MODEL_FEATURES)
+    return snapped(out, "mse", "rmse", "mae", "r2")
+
 
+SEARCHED = ("ridge", "lasso", "elasticnet")
+FOLDED = """f5 as (select unnest(range(5)) as id),
+fr as (select mr.*, f5.id, n - (n // 6) * (4 - f5.id) as e, n // 6 as t from mr, f5)"""
+SEARCH = ("recursive " + MODEL_ROWS + ", " + FOLDED + ", gram as (" + gram_sql("(select * from fr where rn <= e - t)") + "), "
+          + points_sql(SEARCHED, models.GRIDS) + ", " + descent_sql()
+          + f", es as (select w.id, model, params, avg((y - ({GUESS})) * (y - ({GUESS}))) as mse from w join fr on fr.id = w.id and rn > e - t and rn <= e group by all)")
 
-@query("model_search")
+
+@query("model_search", with_ctes(SEARCH, f"select model, params, {snap_sql('avg(mse)', 'mse', 5)} from es group by 1, 2"))
 def model_search(spark, sf):
     """Ridge, lasso and elastic net penalties over expanding folds, best first in each kind."""
-    df = model_table(spark, sf)
-    return reduce(DataFrame.unionByName, [models.search_linear(df, MODEL_FEATURES, kind=k) for k in ("ridge", "lasso", "elasticnet")])
+    return snapped(models.search_linear(model_table(spark, sf), MODEL_FEATURES, kind=SEARCHED), "mse", digits=5)
 
 
 @query("model_boosted_importance")
@@ -275,8 +347,53 @@ def model_boosted_importance(spark, sf):
     return models.importance(spark, model, MODEL_FEATURES)
 
 
-@query("walk_forward_backtest")
+def walk_sql(window: int | None) -> str:
+    """Five splits: features clipped at five deviations of the training range and standardised, ridge, profit and metrics."""
+    start = f"greatest(e - t - {window}, 0)" if window else "0"
+    stats = ", ".join(f"avg(x{k}) as a{k}, case when stddev_samp(x{k}) > 0 then stddev_samp(x{k}) else 1 end as d{k}" for k in range(P))
+    scaled = ", ".join(f"(least(greatest(x{k}, a{k} - 5 * d{k}), a{k} + 5 * d{k}) - a{k}) / d{k} as x{k}" for k in range(P))
+    return ("recursive " + MODEL_ROWS + ", " + FOLDED + f""",
+st as (select id, {stats} from fr where rn > {start} and rn <= e - t group by 1),
+sc as (select symbol, ts, seq, id, rn, e, t, y, {scaled} from fr join st using (id) where rn > {start} and rn <= e),
+gram as (""" + gram_sql("(select * from sc where rn <= e - t)") + "), " + points_sql(("ridge",), {"ridge": [{}]}) + ", " + descent_sql() + f""",
+preds as (select symbol, id as fold, ts, seq, y, {GUESS} as y_pred from sc join w using (id) where rn > e - t),
+sig as (select *, case when y_pred > 0.5 then 1.0::double when y_pred < -0.5 then -1.0::double else 0.0::double end as signal from preds),
+pp as (select *, row_number() over w as rn, count(*) over (partition by symbol, fold) as n, lag(signal) over w as prev from sig window w as (partition by symbol, fold order by ts, seq)),
+net as (select *, case when rn = 1 then 0 else prev * y - case when rn < n then abs(signal - prev) * 0.1::double else 0 end end as r, coalesce(signal <> prev, false) as is_trade from pp),
+cum as (select *, sum(r) over (partition by symbol, fold order by ts, seq rows unbounded preceding) as c from net),
+dd as (select *, max(c) over (partition by symbol, fold order by ts, seq rows unbounded preceding) - c as down from cum),
+res as (select symbol, fold::int as fold, sum(r) as total, max(down) as drop, count(*) filter (where r > 0) as wins, count(*) filter (where r <> 0) as moves,
+  coalesce(sum(r) filter (where r > 0), 0) as gain, coalesce(-sum(r) filter (where r < 0), 0) as loss, avg(r) as mean, stddev_pop(r) as dev,
+  coalesce(stddev_pop(r) filter (where r < 0), 0) as low, count(*) filter (where is_trade) as n_trades, avg((y - y_pred) * (y - y_pred)) as mse, avg(abs(y - y_pred)) as mae,
+  case when var_pop(y) > 0 then 1 - sum((y - y_pred) * (y - y_pred)) / (var_pop(y) * count(*)) else 0 end as r2,
+  count(*) filter (where sign(y) = sign(y_pred)) / count(*)::double as directional_accuracy from dd group by 1, 2)""")
+
+
+def walk_select() -> str:
+    root = f"sqrt({float(backtest.TICKS_100MS)!r}::double)"
+    sharpe = f"case when dev > 0 then mean / dev * {root} else 0 end"
+    out = {
+        "total_return": "total", "sharpe_ratio": sharpe, "sortino_ratio": f"case when low > 0 then mean / low * {root} else {sharpe} end",
+        "max_drawdown": "drop", "win_rate": "wins / nullif(moves, 0)::double", "profit_factor": "case when loss > 0 then gain / loss else 'inf'::double end",
+    }
+    traded = [snap_sql(f"case when moves > 0 then {e} else 0 end", c, 3) for c, e in out.items()]
+    scores = [snap_sql("mse", digits=4), snap_sql("sqrt(mse)", "rmse", 4), snap_sql("mae", digits=4), snap_sql("r2", digits=4), "directional_accuracy"]
+    return "select symbol, fold, n_trades, " + ", ".join(traded + scores) + " from res"
+
+
+def _walked(spark, sf, window: int | None):
+    out = models.fold_results(models.walk_forward_backtest(model_table(spark, sf), MODEL_FEATURES, train_window=window))
+    out = snapped(out, "total_return", "sharpe_ratio", "sortino_ratio", "max_drawdown", "win_rate", "profit_factor", digits=3)
+    return snapped(out, "mse", "rmse", "mae", "r2", digits=4)
+
+
+@query("walk_forward_backtest", with_ctes(walk_sql(None), walk_select()))
 def walk_forward_backtest(spark, sf):
     """Ridge trained on the past, scored on the next block, five times; results per fold."""
-    scored = models.walk_forward_backtest(model_table(spark, sf), MODEL_FEATURES)
-    return models.fold_results(scored)
+    return _walked(spark, sf, None)
+
+
+@query("walk_forward_rolling", with_ctes(walk_sql(120), walk_select()))
+def walk_forward_rolling(spark, sf):
+    """The same with training windows of the last 120 rows of each symbol."""
+    return _walked(spark, sf, 120)

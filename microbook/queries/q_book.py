@@ -8,14 +8,14 @@ from microbook.functions.names import ladder_block
 from microbook.operators import book
 from microbook.plans.ordered import DEFAULT, Order, over_rows, row_index
 from microbook.queries.registry import query, snap_sql, snapped, with_ctes
-from microbook.queries.tables import DELTAS, HOUR, SNAPSHOTS, TRADES, _wide_sql, build_snapshots, deltas, snapshots, trades
+from microbook.queries.tables import DELTAS, EVERY_HOUR, HOUR, SNAPSHOTS, TRADES, _wide_sql, build_snapshots, deltas, snapshots, trades
 
 LEVELS = ladder_block(10)
 
 
 @query("book_snapshots", with_ctes(SNAPSHOTS, "select * from snaps"))
 def book_snapshots(spark, sf):
-    """Top ten levels at the first event of each symbol-hour, with the trade state."""
+    """Top ten levels at the first event of each symbol-hour with a two-sided book, with the trade state."""
     return build_snapshots(spark, sf)
 
 
@@ -32,11 +32,11 @@ def book_level_intervals(spark, sf):
     return book.level_intervals(deltas(spark, sf))
 
 
-@query("book_initialised", with_ctes(SNAPSHOTS, """select symbol, count(*) as n_snapshots,
+@query("book_initialised", with_ctes(EVERY_HOUR, """select symbol, count(*) as n_snapshots,
  sum(case when bid_px_01 is not null and ask_px_01 is not null then 1 else 0 end)::bigint as n_initialised from snaps group by 1"""))
 def book_initialised(spark, sf):
-    """Snapshots and those with both sides."""
-    s = snapshots(spark, sf)
+    """Hours with events, and those whose first event finds both sides open."""
+    s = build_snapshots(spark, sf, depth=1, gated=False)
     ready = book.initialised(s).groupBy("symbol").agg(F.count(F.lit(1)).alias("n_initialised"))
     return s.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_snapshots")).join(ready, "symbol", "left").fillna(0)
 
@@ -165,7 +165,10 @@ lev as (select symbol, epoch, u, side, price, size from ep where seq % 200 <> 0
   union all select symbol, epoch, u, 'bid', 99.0::double, 5.0::double from ep where seq % 200 = 0
   union all select symbol, epoch, u, 'ask', 101.0::double, 7.0::double from ep where seq % 200 = 0),
 spans as (select *, lead(u) over (partition by symbol, epoch, side, price order by u) as hi from lev),
-ticks as (select symbol, epoch, u from (select *, row_number() over (partition by symbol, ts - ts % 3600000000 order by ts, seq) as rn from ep) where rn = 1),
+open as (select e.symbol, e.u from ep e join spans s on s.symbol = e.symbol and s.epoch = e.epoch and s.size <> 0 and s.u <= e.u and (s.hi is null or e.u < s.hi)
+  group by 1, 2 having count(distinct s.side) = 2),
+ticks as (select symbol, epoch, u from (select ep.*, row_number() over (partition by symbol, ts - ts % 3600000000 order by ts, seq) as rn
+  from ep join open using (symbol, u)) where rn = 1),
 held as (select t.symbol, t.epoch, t.u, s.side, s.price, s.size, row_number() over (partition by t.symbol, t.u, s.side
    order by case when s.side = 'bid' then -s.price else s.price end) as lvl
   from ticks t left join spans s on s.symbol = t.symbol and s.epoch = t.epoch and s.size <> 0 and s.u <= t.u and (s.hi is null or t.u < s.hi))"""
@@ -188,8 +191,7 @@ def _epoch_records(spark, sf):
     )
 
 
-@query("book_resync_snapshots", with_ctes(EPOCHS, f"""select * exclude (u, epoch) from (select upper(symbol) as symbol, u, epoch, u as last_update_id, {_wide_sql(5)} from held group by all)
- where bid_px_01 is not null and ask_px_01 is not null"""))
+@query("book_resync_snapshots", with_ctes(EPOCHS, f"""select * exclude (u, epoch) from (select upper(symbol) as symbol, u, epoch, u as last_update_id, {_wide_sql(5)} from held group by all)"""))
 def book_resync_snapshots(spark, sf):
     """Raw records to clean rows; full snapshots close all levels before them."""
     out = book.reconstruct(_epoch_records(spark, sf), HOUR, 5)

@@ -96,11 +96,13 @@ def snapshots(spark: SparkSession, sf: str) -> DataFrame:
     return stored(spark, sf, "snapshots", lambda: build_snapshots(spark, sf))
 
 
-def build_snapshots(spark: SparkSession, sf: str, depth: int = DEPTH, block: int = book.BLOCK, order: Order = DEFAULT) -> DataFrame:
-    """The book at the first event of each symbol-hour, with the trade state of that event."""
+def build_snapshots(
+    spark: SparkSession, sf: str, depth: int = DEPTH, block: int = book.BLOCK, order: Order = DEFAULT, gated: bool = True,
+) -> DataFrame:
+    """The book at the first event of each symbol-hour with two open sides (or the first at all), with that event's trade state."""
     d = cut_lineage(book.trade_state(deltas(spark, sf, order), order).withColumnRenamed("u", "pos"))
-    state = ["last_trade_px", "last_trade_qty", "taker_buy_vol", "taker_sell_vol"]
-    ticks = book.grid_ticks(d.select("symbol", "ts", "seq", "pos", *state), HOUR, order)
+    events = d.select("symbol", "ts", "seq", "pos", "last_trade_px", "last_trade_qty", "taker_buy_vol", "taker_sell_vol")
+    ticks = book.two_sided_ticks(events, d, HOUR, order, block=block) if gated else book.grid_ticks(events, HOUR, order)
     return book.book_at(d, ticks, depth, block=block)
 
 
@@ -113,16 +115,22 @@ def _wide_sql(depth: int = DEPTH) -> str:
     return ",\n    ".join(parts)
 
 
-SNAPSHOTS = DELTAS + """,
+_BOOK = DELTAS + """,
 spans as (
   select symbol, side, price, size, u as lo, lead(u) over (partition by symbol, side, price order by u) as hi from deltas),
 flow as (
   select *, sum(case when not buyer_is_maker then trade_qty else 0 end) over w as taker_buy_vol,
             sum(case when buyer_is_maker then trade_qty else 0 end) over w as taker_sell_vol
   from deltas window w as (partition by symbol order by u rows between unbounded preceding and current row)),
+steps as (
+  select symbol, u, side, (size <> 0)::int - coalesce(lag(size) over (partition by symbol, side, price order by u) <> 0, false)::int as step from deltas),
+sides as (
+  select symbol, u, sum(case when side = 'bid' then step else 0 end) over w > 0 and sum(case when side = 'ask' then step else 0 end) over w > 0 as two_sided
+  from steps window w as (partition by symbol order by u)),
 ticks as (
   select symbol, ts, seq, u as pos, trade_px as last_trade_px, trade_qty as last_trade_qty, taker_buy_vol, taker_sell_vol
-  from (select *, row_number() over (partition by symbol, ts - ts % 3600000000 order by ts, seq) as rn from flow) where rn = 1),
+  from (select flow.*, row_number() over (partition by symbol, ts - ts % 3600000000 order by ts, seq) as rn
+    from flow join sides using (symbol, u) where two_sided) where rn = 1),
 held as (
   select t.*, s.side, s.price, s.size,
     row_number() over (partition by t.symbol, t.pos, s.side
@@ -132,6 +140,9 @@ snaps as (
   select symbol, ts, seq, pos, last_trade_px, last_trade_qty, taker_buy_vol, taker_sell_vol,
     """ + _wide_sql() + """
   from held group by all)"""
+# the book at the first event of each hour, whether it has two sides or not
+EVERY_HOUR = _BOOK.replace("join sides using (symbol, u) where two_sided", "")
+SNAPSHOTS = _BOOK
 
 
 def clean_rows(spark: SparkSession, sf: str) -> DataFrame:

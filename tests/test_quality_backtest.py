@@ -9,7 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from microbook.operators import backtest, dataset, models, normalize, quality, splits
+from microbook.operators import backtest, dataset, models, moments, normalize, quality, splits
 from microbook.plans.ordered import DEFAULT, Order
 
 BLOCKS = DEFAULT.blocks(64)
@@ -244,10 +244,75 @@ def test_model_queries_take_default_settings_and_every_grid(monkeypatch):
     monkeypatch.setattr(models, "importance", lambda *args: None)
     q_backtest.model_boosted_importance(None, "")
     assert asked == [{"validation": "is_validation"}]
+    monkeypatch.setattr(q_backtest, "snapped", lambda df, *columns, digits: df)
+    monkeypatch.setattr(models, "search_linear", lambda df, features, kind: kind)
+    assert q_backtest.model_search(None, "") == ("ridge", "lasso", "elasticnet")
 
-    class Rows(list):
-        pass
 
-    monkeypatch.setattr(q_backtest.DataFrame, "unionByName", lambda a, b: Rows([*a, *b]))
-    monkeypatch.setattr(models, "search_linear", lambda df, features, kind: Rows([kind]))
-    assert q_backtest.model_search(None, "") == ["ridge", "lasso", "elasticnet"]
+def split_moments(spark, x, y, blocks):
+    rows = [(int(b), *map(float, r), float(v)) for b, r, v in zip(blocks, x, y)]
+    df = spark.createDataFrame(rows + [(0, None, 1.0, 1.0), (1, 1.0, float("nan"), 1.0)], "b bigint, p double, q double, y double")
+    return moments.collected(df, ["p", "q", "y"], "b")
+
+
+def test_block_moments_add_up_to_those_of_all_rows(spark):
+    rng = np.random.default_rng(4)
+    x, y = rng.normal(size=(400, 2)) * [1.0, 30.0] + [1e7, -5.0], rng.normal(size=400)
+    parts = split_moments(spark, x, y, rng.integers(0, 7, 400))
+    every, both = moments.total(parts.values(), 3), np.column_stack([x, y])
+    assert every.n == 400 and np.allclose(every.mean, both.mean(0)) and np.allclose(every.low, both.min(0)) and np.allclose(every.high, both.max(0))
+    assert np.allclose(every.co, (both - both.mean(0)).T @ (both - both.mean(0)), rtol=1e-7, atol=1e-6)
+    half = every.scaled(np.array([1e7, 0, 0]), np.array([2.0, 1, 1]))
+    assert np.allclose(half.co[0, 1] * 2, every.co[0, 1]) and half.mean[0] == pytest.approx((every.mean[0] - 1e7) / 2)
+    model = moments.solve(every, 0.01, 0.02)
+    assert model.squared_error(every) == pytest.approx(np.mean((y - x @ model.weights - model.intercept) ** 2))
+    assert moments.nothing(3).n == 0 and (moments.nothing(3) + every).n == 400 and model.squared_error(moments.nothing(3)) is None
+
+
+def test_dependent_features_take_the_shortest_least_squares(spark):
+    x = np.arange(20.0)
+    parts = split_moments(spark, np.column_stack([x, 2 * x]), 3 * x + 1, np.zeros(20))
+    model = moments.solve(parts[0])
+    assert np.allclose(model.weights, [0.6, 1.2]) and model.intercept == pytest.approx(1.0)
+
+
+def test_too_many_blocks_are_refused(spark):
+    df = spark.range(30).select(F.col("id").alias("b"), F.col("id").cast("double").alias("x"))
+    with pytest.raises(ValueError):
+        moments.collected(df, ["x"], "b", most=10)
+
+
+@pytest.mark.parametrize("window,tests", [(None, None), (20, None), (15, 10)])
+def test_roles_say_what_the_copied_folds_say(spark, window, tests):
+    df = spark.range(170).select(F.when(F.col("id") < 130, "A").otherwise("B").alias("symbol"), F.col("id").alias("ts"), F.col("id").alias("seq"))
+    copied = {(r.ts, r.fold, r.split) for r in splits.walk_forward_blocks(df, 4, window, tests).collect()}
+    roles = splits.block_roles(df, 4, window, tests).collect()
+    said = {(r.ts, i, name) for r in roles for i in range(4) for bit, name in ((0, "train"), (1, "test")) if r.roles >> (2 * i + bit) & 1}
+    assert len(roles) == 170 and said == copied
+    with pytest.raises(ValueError):
+        splits.block_roles(df, 40)
+
+
+@pytest.mark.parametrize("scale,clip,window", [("zscore", 2.0, None), ("zscore", None, 40), ("minmax", 3.0, 40), (None, 2.0, None), ("minmax", None, None)])
+def test_walk_forward_from_moments_equals_a_fit_for_each_split(spark, regression, scale, clip, window):
+    df = regression[2].withColumn("a", F.when(F.col("ts") % 17 == 3, None).when(F.col("ts") % 19 == 5, float("inf")).otherwise(F.col("a")))
+    features = ["a", "b", "c"]
+    one = models.walk_forward_backtest(df, features, n_splits=3, train_window=window, scale=scale, clip_std=clip)
+    each = models.walk_forward_backtest(df, features, fit=models.fit_linear, n_splits=3, train_window=window, scale=scale, clip_std=clip)
+    one, each = ({(r.symbol, r.fold, r.ts): (r.y_pred, r.cumulative_pnl) for r in d.collect()} for d in (one, each))
+    assert one.keys() == each.keys() and len(one) > 50
+    assert all(np.allclose(one[k], each[k], rtol=1e-7, atol=1e-7) for k in one)
+
+
+def test_search_equals_a_fit_for_each_fold(spark, regression):
+    df, features = regression[2], ["a", "b", "c"]
+    found = {(r.model, r.params): r.mse for r in models.search_linear(df, features, kind=("ridge", "lasso"), n_splits=3).collect()}
+    folds = splits.time_series_folds(df, 3)
+    for kind in ("ridge", "lasso"):
+        params, errors = models.GRIDS[kind][3], []
+        for i in range(3):
+            part = folds.where(F.col("fold") == i)
+            model = models.fit_linear(part.where("split = 'train'"), features, kind=kind, params=params)
+            err = F.col("target") - F.col("y_pred")
+            errors.append(models.predict(model, part.where("split = 'test'"), features).agg(F.avg(err * err)).first()[0])
+        assert found[kind, str(params)] == pytest.approx(np.mean(errors), rel=1e-7)
