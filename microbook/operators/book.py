@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from microbook.functions.expr import div, to_double
 from microbook.functions.names import ladder
+from microbook.operators import thinning
 from microbook.plans.ordered import DEFAULT, Order, counted, floor_to, join_small, layout, over_rows, row_index, running
 from microbook.session import cut_lineage
 
@@ -87,13 +88,8 @@ def _rejecting_status(df: DataFrame, order: Order) -> DataFrame:
     follows = ends.join(runs.withColumn("end", F.col("p")), [*keys, "end"]).where(F.col("_run") > F.col("i"))
     steps = spans.select(*keys, "i", "_run").union(follows.select(*keys, "i", "_run"))
     steps = cut_lineage(steps.groupBy(*keys, "i").agg(F.min("_run").alias("to")))
-    reached, n = cut_lineage(runs.where("_run = 1").select(*keys, "_run")), -1
-    while (now := reached.count()) != n:
-        n = now
-        on = reached.withColumnRenamed("_run", "i").join(steps, [*keys, "i"]).select(*keys, F.col("to").alias("_run"))
-        reached = cut_lineage(reached.union(on).distinct())
-        further = steps.select(*keys, F.col("i").alias("to"), F.col("to").alias("then"))
-        steps = cut_lineage(steps.join(further, [*keys, "to"]).select(*keys, "i", F.col("then").alias("to")))
+    steps = steps.withColumnRenamed("i", "_run")
+    reached = thinning.reachable(runs.where("_run = 1"), steps, keys, "_run")
     runs = runs.join(reached.withColumn("_goes", F.lit(True)), [*keys, "_run"], "left")
     ends = running(runs.select(*keys, "_run", "_goes", "b"), {"_applied": ("last", F.when(F.col("_goes"), F.col("b")))},
                    Order(order.keys, "_run", ()), exclusive=True)
@@ -287,6 +283,24 @@ def open_counts(deltas: DataFrame, keys: tuple[str, ...], block: int, blocks: Da
     return out.withColumns({n: F.sum(n).over(here) + F.col(f"_{n}") for n in sides}), prefix
 
 
+def _two_sided(marks: DataFrame, deltas: DataFrame, keys: tuple[str, ...], block: int) -> DataFrame:
+    """keys, pos: those of the marked positions (keys, pos) after which both sides are open, and the positions that complete a book."""
+    k = list(keys)
+    marks = cut_lineage(marks.withColumn("blk", F.floor(F.col("pos") / F.lit(block)).cast("bigint")))
+    counts, prefix = open_counts(deltas, keys, block, marks.select(*k, "blk").distinct())
+    both, before = (F.col("bids") > 0) & (F.col("asks") > 0), (F.col("_bids") > 0) & (F.col("_asks") > 0)
+    in_block = Window.partitionBy(*k, "blk").orderBy("pos")
+    counts = counts.select(*k, "blk", "pos", both.alias("_open"), F.coalesce(F.lag(both).over(in_block), before).alias("_was"))
+    flips = counts.where("_open <> _was").select(*k, "blk", "pos", "_open")
+    none = F.lit(None).cast("boolean")
+    marks = marks.join(prefix, [*k, "blk"]).select(*k, "blk", "pos", before.alias("_before"), none.alias("_open"))
+    # a flip at a marked position counts for it
+    rows = marks.unionByName(flips.withColumn("_before", none)).groupBy(*k, "blk", "pos").agg(*[F.max(c).alias(c) for c in ("_before", "_open")])
+    last = F.last("_open", ignorenulls=True).over(in_block)
+    rows = rows.withColumn("_ready", F.when(F.col("_before").isNotNull(), F.coalesce(last, "_before")).otherwise(F.col("_open")))
+    return rows.where("_ready").select(*k, "pos")
+
+
 def two_sided_ticks(
     events: DataFrame, deltas: DataFrame, interval_us: int, order: Order = DEFAULT, keys: tuple[str, ...] = ("symbol",),
     block: int = BLOCK,
@@ -298,24 +312,22 @@ def two_sided_ticks(
     """
     k, cell = list(keys), floor_to(F.col(order.ts), interval_us)
     firsts = events.select(*k, cell.alias("_cell"), "pos").groupBy(*k, "_cell").agg(F.min("pos").alias("pos"))
-    firsts = cut_lineage(firsts.withColumn("blk", F.floor(F.col("pos") / F.lit(block)).cast("bigint")))
-    counts, prefix = open_counts(deltas, keys, block, firsts.select(*k, "blk").distinct())
-    both, before = (F.col("bids") > 0) & (F.col("asks") > 0), (F.col("_bids") > 0) & (F.col("_asks") > 0)
-    in_block = Window.partitionBy(*k, "blk").orderBy("pos")
-    counts = counts.select(*k, "blk", "pos", both.alias("_open"), F.coalesce(F.lag(both).over(in_block), before).alias("_was"))
-    flips = counts.where("_open <> _was").select(*k, "blk", "pos", "_open")
-    firsts = firsts.join(prefix, [*k, "blk"]).select(*k, "blk", "pos", "_cell", before.alias("_before"))
-    # a flip at the position of an interval's first event counts for it
-    marks = firsts.withColumn("_open", F.lit(None).cast("boolean")).unionByName(
-        flips.withColumns({"_cell": F.lit(None).cast("bigint"), "_before": F.lit(None).cast("boolean")}))
-    marks = marks.groupBy(*k, "blk", "pos").agg(*[F.max(c).alias(c) for c in ("_cell", "_before", "_open")])
-    last = F.last("_open", ignorenulls=True).over(in_block)
-    marks = marks.withColumn("_ready", F.when(F.col("_cell").isNotNull(), F.coalesce(last, "_before")).otherwise(F.col("_open")))
-    at = join_small(events, marks.where("_ready").select(*k, "pos"), [*k, "pos"])
+    at = join_small(events, _two_sided(firsts.select(*k, "pos"), deltas, keys, block), [*k, "pos"])
     chosen = at.groupBy(*order.keys, cell.alias("_cell")).agg(F.min("pos").alias("pos")).drop("_cell")
     return join_small(events, chosen, [*order.keys, "pos"]).select(*events.columns)
 
 
+def greedy_ticks(
+    events: DataFrame, deltas: DataFrame, interval_us: int, order: Order = DEFAULT, keys: tuple[str, ...] = ("symbol",),
+    block: int = BLOCK, width: int = thinning.WIDTH,
+) -> DataFrame:
+    """The first event with a two-sided book, then always the next such event at least an interval after the last one taken."""
+    k = list(keys)
+    ready = events.join(_two_sided(events.select(*k, "pos"), deltas, keys, block), [*k, "pos"], "left_semi")
+    kept = thinning.greedy(ready.select(*order.keys, order.ts, "pos"), interval_us, order, width)
+    return join_small(events, kept, [*order.keys, "pos"]).select(*events.columns)
+
+
 def trade_state(events: DataFrame, order: Order = DEFAULT, plan=None) -> DataFrame:
     """Last trade and cumulative taker volumes as of each event.
 
@@ -334,12 +346,15 @@ def trade_state(events: DataFrame, order: Order = DEFAULT, plan=None) -> DataFra
 
 def reconstruct(
     raw: DataFrame, interval_us: int = 100_000, depth: int = 10, block: int = BLOCK,
-    block_rows: int | None = None,
+    block_rows: int | None = None, emit: str = "grid",
 ) -> DataFrame:
     """Raw depth, trade and snapshot records to clean rows: the first event of each symbol and grid interval with a two-sided book.
 
-    A record of type ``snapshot`` closes every level of its symbol and opens the ones it lists.
+    With `emit` as ``greedy`` intervals start at the last row instead of the grid. A record of type ``snapshot`` closes every level
+    of its symbol and opens the ones it lists.
     """
+    if emit not in ("grid", "greedy"):
+        raise ValueError(f"unknown way to emit {emit!r}")
     order = Order(EVENTS.keys, EVENTS.ts, EVENTS.ties, block_rows)
     events = with_event_seq(with_symbol(raw)).filter(F.col("type").isin("depth", "trade", "snapshot"))
     plan = layout(events, order)
@@ -357,7 +372,7 @@ def reconstruct(
     # numbered once, read by the ticks, the level changes and the carried levels
     events = cut_lineage(events.drop("trade", "liquidation", "kline", "meta"))
     deltas = cut_lineage(explode_levels(events.filter(F.col("type") != "trade"), "symbol", "epoch", "pos"))
-    ticks = two_sided_ticks(
+    ticks = (two_sided_ticks if emit == "grid" else greedy_ticks)(
         events.select("symbol", "exchange_ts", "event_seq", "local_ts", "update_id", "epoch", "pos",
                       "last_trade_px", "last_trade_qty", "taker_buy_vol", "taker_sell_vol"),
         deltas, interval_us, order, ("symbol", "epoch"), block,

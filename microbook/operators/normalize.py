@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 
 from microbook.functions.expr import clip
 from microbook.functions.names import classify, scaling_of
-from microbook.functions.quantiles import exact_quantiles
+from microbook.functions.quantiles import quantiles
 from microbook.operators.features import backward_fill, forward_fill
 from microbook.plans.ordered import DEFAULT, Order
+from microbook.session import cut_lineage
 
 MANIFEST = (
     "feature string, scaler string, mean double, std double, median double, iqr double, q25 double, "
@@ -42,39 +43,35 @@ def _moments(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.agg(*aggs).select(F.inline(F.array(*[F.col(f"`{c}`") for c in columns])))
 
 
-def fit_standard(df: DataFrame, columns: list[str]) -> DataFrame:
+def fit_standard(df: DataFrame, columns: list[str], moments: DataFrame | None = None) -> DataFrame:
     """Mean and sample deviation; deviation 0 or undefined becomes 1, an empty column (0, 1)."""
-    out = _moments(df, columns).drop("min_val", "max_val").withColumn("scaler", F.lit("standard"))
+    out = (moments or _moments(df, columns)).drop("min_val", "max_val").withColumn("scaler", F.lit("standard"))
     out = out.withColumn("mean", F.coalesce("mean", F.lit(0.0)))
     std = F.col("std")
     out = out.withColumn("std", F.when(std.isNull() | F.isnan(std) | (std == 0), 1.0).otherwise(std))
     return _as_manifest(out)
 
 
-def fit_minmax(df: DataFrame, columns: list[str]) -> DataFrame:
+def fit_minmax(df: DataFrame, columns: list[str], moments: DataFrame | None = None) -> DataFrame:
     """Minimum and maximum; a constant gets a range of 1, an empty column (0, 1)."""
-    out = _moments(df, columns).drop("mean", "std").withColumn("scaler", F.lit("minmax"))
+    out = (moments or _moments(df, columns)).drop("mean", "std").withColumn("scaler", F.lit("minmax"))
     lo, hi = F.coalesce("min_val", F.lit(0.0)), F.col("max_val")
     out = out.withColumn("max_val", F.when(hi.isNull() | (hi == F.col("min_val")), lo + 1).otherwise(hi))
     return _as_manifest(out.withColumn("min_val", lo))
 
 
-def fit_robust(df: DataFrame, columns: list[str], log1p: bool = True, interpolation: str = "nearest") -> DataFrame:
-    """Quartiles and median of log1p(x); a zero range becomes 1.
+def fit_robust(
+    df: DataFrame, columns: list[str], log1p: bool = True, interpolation: str = "nearest", moments: DataFrame | None = None,
+) -> DataFrame:
+    """Quartiles and median of log1p(x); a zero range becomes 1. All columns take one read for counts and three for ranks.
 
     Quartiles take the nearest rank by default, the median is the middle of the ranks.
     """
-    value = F.col("value")
-    long = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns
-    ])))
-    long = long.select("feature", (F.log1p(value) if log1p else value).alias("value"), value.alias("raw"))
-    counts = long.groupBy("feature").agg(
-        F.count("raw").alias("n_samples"), F.count_if(F.col("raw").isNull()).alias("n_nulls")
-    )
+    counts = (moments or _moments(df, columns)).select("feature", "n_samples", "n_nulls")
     kinds = {"q25": interpolation, "median": "linear", "q75": interpolation}
-    quarts = exact_quantiles(long, "value", {"q25": 0.25, "median": 0.5, "q75": 0.75}, ("feature",), kinds, few_keys=True)
-    out = counts.join(quarts, "feature", "left")
+    values = {c: F.log1p(F.col(c).cast("double")) if log1p else F.col(c) for c in columns}
+    quarts = quantiles(df, values, {"q25": 0.25, "median": 0.5, "q75": 0.75}, (), kinds)
+    out = counts.join(quarts.drop("n").withColumnRenamed("column", "feature"), "feature", "left")
     out = out.withColumns({
         "q25": F.coalesce("q25", F.lit(0.0)), "median": F.coalesce("median", F.lit(0.0)),
         "q75": F.coalesce("q75", F.lit(1.0)),
@@ -85,19 +82,20 @@ def fit_robust(df: DataFrame, columns: list[str], log1p: bool = True, interpolat
 
 
 def fit(df: DataFrame, interpolation: str = "nearest", training: bool = True) -> DataFrame:
-    """Fit every known column by its class; `df` must be the training range."""
+    """Fit every known column by its class, with one read for all moments; `df` must be the training range."""
     if not training:
         raise ValueError("fit only on training data")
-    groups = classify(df.columns)
-    parts = []
-    if groups["standard"]:
-        parts.append(fit_standard(df, groups["standard"]))
-    if groups["robust"]:
-        parts.append(fit_robust(df, groups["robust"], interpolation=interpolation))
-    if groups["minmax"]:
-        parts.append(fit_minmax(df, groups["minmax"]))
-    if not parts:
+    groups = {kind: names for kind, names in classify(df.columns).items() if kind in ("standard", "robust", "minmax") and names}
+    if not groups:
         raise ValueError("no column to scale")
+    moments = cut_lineage(_moments(df, [c for names in groups.values() for c in names]))  # a row per column
+    parts = []
+    for kind, names in groups.items():
+        mine = moments.filter(F.col("feature").isin(names))
+        if kind == "robust":
+            parts.append(fit_robust(df, names, interpolation=interpolation, moments=mine))
+        else:
+            parts.append((fit_standard if kind == "standard" else fit_minmax)(df, names, mine))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

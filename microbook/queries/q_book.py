@@ -25,6 +25,21 @@ def book_snapshots_blocks(spark, sf):
     return build_snapshots(spark, sf, block=64, order=DEFAULT.blocks(512))
 
 
+# one event after the other: the next two-sided event an hour or more after the last one taken
+GREEDY = "recursive " + SNAPSHOTS.replace("ticks as (", """walk as (
+  select symbol, min(ts) as ts from deltas join sides using (symbol, u) where two_sided group by 1
+  union all
+  select w.symbol, min(d.ts) from walk w join deltas d on d.symbol = w.symbol and d.ts >= w.ts + 3600000000
+    join sides s on s.symbol = d.symbol and s.u = d.u where s.two_sided group by w.symbol, w.ts),
+ticks as (""").replace("where two_sided) where rn = 1)", "join (select symbol as ws, ts as wt from walk) on ws = flow.symbol and wt = flow.ts where two_sided) where rn = 1)")
+
+
+@query("book_snapshots_greedy", with_ctes(GREEDY, "select * from snaps"))
+def book_snapshots_greedy(spark, sf):
+    """Top ten levels at the first two-sided event, then at the next one an hour or more after the last."""
+    return build_snapshots(spark, sf, emit="greedy")
+
+
 @query("book_level_intervals", with_ctes(DELTAS, """select * from (select symbol, side, price, size, u as valid_from,
  lead(u) over (partition by symbol, side, price order by u) as valid_to from deltas) where size <> 0"""))
 def book_level_intervals(spark, sf):
@@ -36,7 +51,7 @@ def book_level_intervals(spark, sf):
  sum(case when bid_px_01 is not null and ask_px_01 is not null then 1 else 0 end)::bigint as n_initialised from snaps group by 1"""))
 def book_initialised(spark, sf):
     """Hours with events, and those whose first event finds both sides open."""
-    s = build_snapshots(spark, sf, depth=1, gated=False)
+    s = build_snapshots(spark, sf, depth=1, emit="any")
     ready = book.initialised(s).groupBy("symbol").agg(F.count(F.lit(1)).alias("n_initialised"))
     return s.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_snapshots")).join(ready, "symbol", "left").fillna(0)
 

@@ -97,12 +97,18 @@ def snapshots(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def build_snapshots(
-    spark: SparkSession, sf: str, depth: int = DEPTH, block: int = book.BLOCK, order: Order = DEFAULT, gated: bool = True,
+    spark: SparkSession, sf: str, depth: int = DEPTH, block: int = book.BLOCK, order: Order = DEFAULT, emit: str = "grid",
 ) -> DataFrame:
-    """The book at the first event of each symbol-hour with two open sides (or the first at all), with that event's trade state."""
+    """The book at the first event of each symbol-hour with two open sides, with that event's trade state.
+
+    `emit` may also be greedy (an hour from the last one taken), or any (the first event of the hour whatever its book).
+    """
     d = cut_lineage(book.trade_state(deltas(spark, sf, order), order).withColumnRenamed("u", "pos"))
     events = d.select("symbol", "ts", "seq", "pos", "last_trade_px", "last_trade_qty", "taker_buy_vol", "taker_sell_vol")
-    ticks = book.two_sided_ticks(events, d, HOUR, order, block=block) if gated else book.grid_ticks(events, HOUR, order)
+    if emit == "any":
+        ticks = book.grid_ticks(events, HOUR, order)
+    else:
+        ticks = (book.greedy_ticks if emit == "greedy" else book.two_sided_ticks)(events, d, HOUR, order, block=block)
     return book.book_at(d, ticks, depth, block=block)
 
 

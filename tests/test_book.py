@@ -6,7 +6,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from microbook.operators import book
+from microbook.operators import book, thinning
+from microbook.plans.ordered import Order
 from microbook.streaming.book_fold import Book, Rules
 
 
@@ -159,3 +160,66 @@ def test_rejecting_path_equals_replay(spark):
 def test_health_and_symbols(spark):
     df = spark.createDataFrame([(None,), ("eth",)], "symbol string")
     assert {r.symbol for r in book.with_symbol(df).collect()} == {"BTCUSDT", "ETH"}
+
+
+DELTA = "symbol string, ts bigint, seq bigint, pos bigint, side string, price double, size double"
+
+
+def test_tick_is_the_first_event_with_both_sides(spark):
+    rows = [("A", 10, 1, 1, "bid", 1.0, 5.0), ("A", 20, 2, 2, "ask", 2.0, 5.0), ("A", 30, 3, 3, "bid", 1.5, 5.0),
+            ("A", 1010, 4, 4, "bid", 1.0, 0.0), ("A", 2010, 5, 5, "bid", 1.5, 0.0), ("A", 2020, 6, 6, "ask", 3.0, 1.0), ("B", 5, 1, 1, "bid", 1.0, 1.0)]
+    df = spark.createDataFrame(rows, DELTA)
+    for block in (1, 2, 64):
+        assert [r.ts for r in book.two_sided_ticks(df, df, 1000, block=block).orderBy("ts").collect()] == [20, 1010]
+
+
+def raw(rows):
+    none = [[]] * 2
+    return [("A", ts, ts, i, "depth", i, i, i - 1, *(([[str(p), str(q)]], []) if side == "bid" else ([], [[str(p), str(q)]]) if side else none)) for i, (ts, side, p, q) in enumerate(rows, 1)]
+
+
+RAW = ("symbol string, exchange_ts bigint, local_ts bigint, seq bigint, type string, first_update_id bigint, last_update_id bigint, prev_update_id bigint, "
+       "bids array<array<string>>, asks array<array<string>>, trade struct<trade_id:bigint,price:string,quantity:string,buyer_is_maker:boolean>")
+
+
+def test_reconstruction_keeps_an_interval_whose_book_opens_late(spark):
+    df = spark.createDataFrame([(*r, None) for r in raw([(10, "bid", 1.0, 5.0), (20, "ask", 2.0, 5.0), (30, "bid", 1.5, 5.0)])], RAW)
+    got = book.reconstruct(df, 1000, 2).collect()
+    assert [(r.ts, r.bid_px_01, r.ask_px_01) for r in got] == [(20, 1.0, 2.0)]
+    with pytest.raises(ValueError):
+        book.reconstruct(df, 1000, 2, emit="sometimes")
+
+
+@pytest.mark.parametrize("block", [4, 64, 16_384])
+def test_gated_ticks_equal_a_fold(spark, changes, block):
+    rows = [(s, 37 * p + p % 5, p, p, side, price, size) for s, p, side, price, size in changes]
+    df = spark.createDataFrame(rows, DELTA)
+    open_, grid, path, last = {}, {}, [], {}
+    for s, ts, _, pos, side, price, size in rows:
+        levels = open_.setdefault(s, {"bid": set(), "ask": set()})
+        (levels[side].add if size else levels[side].discard)(price)
+        if levels["bid"] and levels["ask"]:
+            grid.setdefault((s, ts // 200), (s, pos))
+            if s not in last or ts >= last[s] + 200:
+                last[s] = ts
+                path.append((s, pos))
+    assert sorted((r.symbol, r.pos) for r in book.two_sided_ticks(df, df, 200, block=block).collect()) == sorted(grid.values())
+    for width in (1, 3, 256):
+        assert sorted((r.symbol, r.pos) for r in book.greedy_ticks(df, df, 200, block=block, width=width).collect()) == sorted(path)
+
+
+@pytest.mark.parametrize("width,block_rows", [(1, None), (4, 32), (256, None)])
+def test_greedy_thinning_equals_a_loop(spark, width, block_rows):
+    rng = random.Random(6)
+    rows, want = [], []
+    for key, gaps in (("a", [0, 0, 1, 3, 7, 40]), ("b", [1, 500, 9]), ("c", [10])):
+        ts = last = None
+        for pos in range(1, 700):
+            ts = 1000 if ts is None else ts + rng.choice(gaps)
+            rows.append((key, ts, pos))
+            if last is None or ts >= last + 20:
+                last = ts
+                want.append((key, pos))
+    df = spark.createDataFrame(rows, "k string, t bigint, pos bigint")
+    got = thinning.greedy(df, 20, Order(("k",), "t", (), block_rows, 1000), width)
+    assert sorted(map(tuple, got.collect())) == sorted(want)

@@ -8,22 +8,21 @@ from pyspark.sql import functions as F
 
 from microbook.functions import timeutil
 from microbook.functions.expr import add_rolling, clip, to_double
-from microbook.functions.quantiles import exact_quantiles
+from microbook.functions.quantiles import exact_quantiles, quantiles, sortable
 from microbook.plans.ordered import Order
 
 BASE = 1_705_320_000_000_000
 
 
-@pytest.mark.parametrize("accuracy", [20, 100_000])
 @pytest.mark.parametrize("n", [1, 2, 7, 1000])
-def test_quantiles_match_numpy(spark, n, accuracy):
+def test_quantiles_match_numpy(spark, n):
     rng = np.random.default_rng(n)
     values = np.round(rng.normal(size=n), 1)
     df = spark.createDataFrame(pd.DataFrame({"k": np.arange(n) % 2, "x": values}))
     probs = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.9, "e": 1.0}
-    one = exact_quantiles(df, "x", probs, accuracy=accuracy).first()
+    one = exact_quantiles(df, "x", probs).first()
     assert np.allclose(list(one), np.quantile(values, list(probs.values())))
-    for row in exact_quantiles(df, "x", probs, ("k",), accuracy=accuracy).collect():
+    for row in exact_quantiles(df, "x", probs, ("k",)).collect():
         mine = values[np.arange(n) % 2 == row.k]
         assert np.allclose(list(row)[1:], np.quantile(mine, list(probs.values())))
 
@@ -35,6 +34,29 @@ def test_quantile_nearest_and_nulls(spark):
     assert exact_quantiles(df.filter("x is null"), "x", {"q": 0.5}).count() == 0
 
 
+def test_sortable_numbers_keep_the_order_of_doubles():
+    x = np.array([-np.inf, -1e300, -1.5, -1e-310, -0.0, 0.0, 5e-324, 1e-310, 1.0, 1.0 + 2**-52, 1e300, np.inf, np.nan])
+    numbers = sortable(x)
+    assert numbers[4] == numbers[5] and (np.diff(numbers.astype(object)) >= 0).all() and len(set(numbers.tolist())) == len(x) - 1
+
+
+def test_quantiles_of_many_columns_and_keys(spark):
+    rng = np.random.default_rng(8)
+    pdf = pd.DataFrame({"k": rng.choice(["a", "b", "c"], 3000), "d": rng.integers(0, 2, 3000), "x": rng.normal(size=3000) * 10.0 ** rng.integers(-200, 200, 3000),
+                        "y": np.round(rng.normal(size=3000), 1), "z": np.where(rng.random(3000) < 0.9, -7.25, np.nan)})
+    df = spark.createDataFrame(pdf.astype(object).where(pdf.notna(), None), "k string, d bigint, x double, y double, z double").repartition(5)
+    probs, columns = {"lo": 0.013, "mid": 0.5, "hi": 0.87}, {"x": "x", "minus": -F.col("y"), "z": "z"}
+    for keys in ((), ("k",), ("k", "d")):
+        found = quantiles(df, columns, probs, keys, {"lo": "nearest", "mid": "linear", "hi": "linear"}).collect()
+        groups = [((), pdf)] if not keys else list(pdf.groupby(list(keys)))
+        assert len(found) == 3 * len(groups)
+        for r in found:
+            mine = next(g for key, g in groups if key == tuple(r[k] for k in keys))
+            v = {"x": mine.x, "minus": -mine.y, "z": mine.z.dropna()}[r["column"]].to_numpy()
+            at = np.sort(v)[int(np.floor(0.013 * (len(v) - 1) + 0.5))]
+            assert r["n"] == len(v) and r["lo"] == at and np.allclose([r["mid"], r["hi"]], np.quantile(v, [0.5, 0.87]), rtol=1e-12)
+
+
 @pytest.mark.parametrize("n", [1, 3, 17, 20, 50, 100, 120])
 def test_rolling_matches_pandas(spark, n):
     rng = np.random.default_rng(3)
