@@ -9,6 +9,8 @@ before it, so ticks meet only the intervals of their own block: the join is an e
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -104,14 +106,92 @@ def _rejecting_status(df: DataFrame, order: Order) -> DataFrame:
         "_starts", "_run", "_goes", "_applied")
 
 
-def consecutive_gaps(df: DataFrame, gap: Column, threshold: int = 5, order: Order = DEFAULT) -> DataFrame:
-    """Length of the run of gaps ending at each row, and whether a resync is due."""
+def consecutive_gaps(df: DataFrame, gap: Column, threshold: int = 5, order: Order = DEFAULT, reset: Column | None = None) -> DataFrame:
+    """Number of gaps since the last reset up to each row, and whether a resync is due.
+
+    A row is a gap, a reset (any row that is no gap unless `reset` says which), or neutral: it leaves the number as it is.
+    """
     plan = layout(df, order)
-    df = row_index(df.withColumn("_gap", gap), order, "_rn", plan=plan)
-    df = running(df, {"_ok": ("last", F.when(~F.col("_gap"), F.col("_rn")))}, order, plan=plan)
-    run = F.when(F.col("_gap"), F.col("_rn") - F.coalesce("_ok", F.lit(0))).otherwise(F.lit(0))
-    df = df.withColumn("consecutive_gaps", run.cast("bigint"))
-    return df.withColumn("needs_resync", F.col("consecutive_gaps") >= threshold).drop("_gap", "_rn", "_ok")
+    gap = F.coalesce(gap, F.lit(False))
+    df = running(df.withColumn("_reset", ~gap if reset is None else F.coalesce(reset, F.lit(False)) & ~gap), {"_gaps": ("count", F.when(gap, 1))}, order, plan=plan)
+    if not plan.single:
+        df = cut_lineage(df)
+    df = running(df, {"_before": ("max", F.when(F.col("_reset"), F.col("_gaps")))}, order, plan=plan)
+    df = df.withColumn("consecutive_gaps", (F.col("_gaps") - F.coalesce("_before", F.lit(0))).cast("bigint"))
+    return df.withColumn("needs_resync", F.col("consecutive_gaps") >= threshold).drop("_reset", "_gaps", "_before")
+
+
+def resync_status(df: DataFrame, threshold: int = 5, order: Order = DEFAULT, crossed: str | None = None) -> DataFrame:
+    """Status of each update under resynchronisation: first, ok, bridge, old or gap, and snapshot for full snapshots.
+
+    Needs `type`, first, last and prev_update_id. An update goes on from the last applied id (ok), spans the id of the last snapshot
+    (bridge), ends before the last applied id (old), or leaves a gap. Gaps are applied until `threshold` of them have come since the
+    last ok or bridge; from then on they are not, until an update goes on from the last *applied* id, a bridge, or a snapshot. Old
+    updates leave the count alone, and so does one that leaves the book crossed, which the boolean column `crossed` tells.
+
+    Adds status, applied, consecutive_gaps and needs_resync. Snapshots cut the rows into epochs. In an epoch the last applied id is
+    the highest seen up to the first row that changes that, a threshold reached or an id that goes back; all epochs settle the rows
+    up to there at once and only what follows it is done again, so the number of rounds is that of such rows in one epoch.
+    """
+    k, added = [*order.keys, "_epoch"], ["status", "applied", "consecutive_gaps"]
+    first, last, prev, pos = (F.col(c) for c in ("first_update_id", "last_update_id", "prev_update_id", "_pos"))
+    full = F.coalesce(F.col("type") == "snapshot", F.lit(False))
+    names = df.columns
+    rows = row_index(df.withColumn("_full", full), order, "_pos")
+    rows = running(rows, {"_epoch": ("count", F.when(F.col("_full"), 1)), "_snap": ("last", F.when(F.col("_full"), last))}, Order(order.keys, "_pos", (), order.block_rows))
+    rows = cut_lineage(rows.withColumn("_crossed", F.coalesce(F.col(crossed), F.lit(False)) if crossed else F.lit(False)))
+    by = Order(tuple(k), "_pos", (), order.block_rows)
+    zero = F.lit(0).cast("bigint")
+    done = [rows.where("_full").withColumns({"status": F.lit("snapshot"), "applied": F.lit(True), "consecutive_gaps": zero})]
+    starts = rows.groupBy(*k).agg(F.min(F.when(F.col("_full"), pos)).alias("_from"), F.max("_snap").alias("_base"))
+    starts = starts.select(*k, F.coalesce("_from", zero).alias("_from"), "_base", zero.alias("_count"))
+    rest = rows.where("not _full")
+
+    def yes(c: Column) -> Column:
+        return F.coalesce(c, F.lit(False))
+
+    bridge = yes((first <= F.col("_snap")) & (F.col("_snap") <= last))
+    while True:
+        starts = counted(starts)
+        if not starts.count():
+            break
+        live = cut_lineage(rest.join(starts, k).where(pos > F.col("_from")))
+        plan = layout(live, by)
+        live = running(live, {"_max": ("max", last)}, by, exclusive=True, plan=plan)
+        seen = F.greatest("_max", "_base")
+        status = F.when(seen.isNull(), "first").when(yes(prev == seen), "ok").when(bridge, "bridge").when(yes(last <= seen), "old").otherwise("gap")
+        live = live.withColumns({"_seen": seen, "status": status})
+        fresh = F.col("status").isin("first", "ok", "bridge")
+        live = running(live, {"_gaps": ("count", F.when(F.col("status") == "gap", 1))}, by, plan=plan)
+        live = cut_lineage(live.withColumn("_reset", fresh & ~F.col("_crossed")))
+        live = running(live, {"_at": ("max", F.when(F.col("_reset"), F.col("_gaps")))}, by, plan=plan)
+        live = live.withColumn("consecutive_gaps", F.when(F.col("_at").isNull(), F.col("_count") + F.col("_gaps")).otherwise(F.col("_gaps") - F.col("_at")))
+        stuck = (F.col("status") == "gap") & (F.col("consecutive_gaps") >= threshold)
+        back = fresh & yes(last < F.col("_seen"))
+        live = cut_lineage(live.withColumns({"_stuck": stuck, "_back": back}).drop("_max", "_at"))
+        at = F.struct("_pos", "_stuck", "_seen", F.col("consecutive_gaps").alias("n"), F.col("_gaps").alias("g"), last.alias("id"), "_reset")
+        stops = counted(live.where("_stuck or _back").groupBy(*k).agg(F.min_by(at, "_pos").alias("_stop")))
+        live = live.join(stops, k, "left")
+        clear = F.col("_stop").isNull() | (pos < F.col("_stop._pos")) | ((pos == F.col("_stop._pos")) & ~F.col("_stop._stuck"))
+        done.append(live.where(clear).withColumn("applied", F.col("status") != "old"))
+        held = live.where(F.col("_stop._stuck") & (pos >= F.col("_stop._pos"))).select(
+            *[c for c in rest.columns], F.col("_stop._seen").alias("_held"), F.col("_stop._pos").alias("_stop_pos"), F.col("_stop.n").alias("_n"))
+        free = yes(prev == F.col("_held")) | bridge
+        held = cut_lineage(held)
+        ends = counted(held.where(free & (pos > F.col("_stop_pos"))).groupBy(*k).agg(F.min_by(
+            F.struct("_pos", last.alias("id"), "_crossed", F.when(yes(prev == F.col("_held")), "ok").otherwise("bridge").alias("status")), "_pos").alias("_end")))
+        frozen = held.join(ends, k, "left").where(F.col("_end").isNull() | (pos <= F.col("_end._pos")))
+        leaves = F.coalesce(pos == F.col("_end._pos"), F.lit(False))
+        frozen = frozen.withColumn("status", F.when(leaves, F.col("_end.status")).when(yes(last <= F.col("_held")), "old").otherwise("gap")).withColumn("applied", leaves)
+        frozen = running(frozen, {"_more": ("count", F.when(F.col("status") == "gap", 1))}, by)
+        count = F.when(leaves & ~F.col("_crossed"), zero).otherwise(F.col("_n") - 1 + F.col("_more"))
+        frozen = cut_lineage(frozen.withColumn("consecutive_gaps", count))
+        done.append(frozen)
+        onward = frozen.where("applied").select(*k, pos.alias("_from"), last.alias("_base"), F.col("consecutive_gaps").alias("_count"))
+        turned = stops.where("not _stop._stuck").select(*k, F.col("_stop._pos").alias("_from"), F.col("_stop.id").alias("_base"), F.when(F.col("_stop._reset"), zero).otherwise(F.col("_stop.n")).alias("_count"))
+        starts = onward.union(turned)
+    out = reduce(DataFrame.unionByName, [d.select(*names, *added) for d in done])
+    return out.withColumn("needs_resync", F.col("consecutive_gaps") >= threshold)
 
 
 # --- levels -----------------------------------------------------------------------------------
@@ -346,12 +426,13 @@ def trade_state(events: DataFrame, order: Order = DEFAULT, plan=None) -> DataFra
 
 def reconstruct(
     raw: DataFrame, interval_us: int = 100_000, depth: int = 10, block: int = BLOCK,
-    block_rows: int | None = None, emit: str = "grid",
+    block_rows: int | None = None, emit: str = "grid", threshold: int | None = 5,
 ) -> DataFrame:
     """Raw depth, trade and snapshot records to clean rows: the first event of each symbol and grid interval with a two-sided book.
 
     With `emit` as ``greedy`` intervals start at the last row instead of the grid. A record of type ``snapshot`` closes every level
-    of its symbol and opens the ones it lists.
+    of its symbol and opens the ones it lists. Old updates, and gaps from the `threshold`-th on, stay out of the book (see
+    `resync_status`); with None every update is applied.
     """
     if emit not in ("grid", "greedy"):
         raise ValueError(f"unknown way to emit {emit!r}")
@@ -371,7 +452,10 @@ def reconstruct(
     }, order, plan=plan)
     # numbered once, read by the ticks, the level changes and the carried levels
     events = cut_lineage(events.drop("trade", "liquidation", "kline", "meta"))
-    deltas = cut_lineage(explode_levels(events.filter(F.col("type") != "trade"), "symbol", "epoch", "pos"))
+    updates = events.filter(F.col("type") != "trade")
+    if threshold is not None:
+        updates = resync_status(updates, threshold, Order(("symbol",), "pos", (), block_rows)).filter("applied")
+    deltas = cut_lineage(explode_levels(updates, "symbol", "epoch", "pos"))
     ticks = (two_sided_ticks if emit == "grid" else greedy_ticks)(
         events.select("symbol", "exchange_ts", "event_seq", "local_ts", "update_id", "epoch", "pos",
                       "last_trade_px", "last_trade_qty", "taker_buy_vol", "taker_sell_vol"),

@@ -173,6 +173,42 @@ def sequence_resync(spark, sf):
     return book.consecutive_gaps(d, gap).select("symbol", "seq", "consecutive_gaps", "needs_resync")
 
 
+# in stretches every other update is lost, which leaves runs of gaps; some lost ones and some others arrive late; snapshots come with seq % 200 = 0
+BURSTS = DELTAS + """,
+bu as (select symbol, seq, u as first_update_id, u as last_update_id, u - 1 as pu, seq % 200 = 0 as is_full, u % 2 = 0 and (u // 40) % 5 = 3 as lost from deltas),
+ba as (select *, last_update_id * 2 as arrival from bu where not lost or is_full
+  union all select *, last_update_id * 2 + 31 from bu where lost and not is_full and last_update_id % 10 = 0
+  union all select * replace (last_update_id + 2 as last_update_id), last_update_id * 2 + 41 from bu where not lost and not is_full and last_update_id % 50 = 0),
+bn as (select *, row_number() over (partition by symbol order by arrival) as rn from ba),
+bp as (
+  select symbol, arrival, rn, last_update_id as done, case when is_full then last_update_id end as snap, 0::bigint as gaps, case when is_full then 'snapshot' else 'first' end as status, true as applied
+  from bn where rn = 1
+  union all
+  select symbol, arrival, rn, case when applied then last_update_id else done end, case when status = 'snapshot' then last_update_id else snap end,
+    case when status in ('snapshot', 'ok', 'bridge') then 0 when status = 'gap' then gaps + 1 else gaps end, status, applied
+  from (select *, status not in ('old', 'gap') or status = 'gap' and gaps + 1 < 5 as applied from (
+    select n.symbol, n.arrival, n.rn, n.last_update_id, p.done, p.snap, p.gaps, case when n.is_full then 'snapshot' when pu = done then 'ok'
+      when n.first_update_id <= snap and snap <= n.last_update_id then 'bridge' when n.last_update_id <= done then 'old' else 'gap' end as status
+    from bp p join bn n on n.symbol = p.symbol and n.rn = p.rn + 1)))"""
+
+
+def _bursts(spark, sf):
+    u = F.col("u")
+    d = deltas(spark, sf).select(
+        "symbol", F.when(F.col("seq") % 200 == 0, "snapshot").otherwise("depth").alias("type"), u.alias("first_update_id"), u.alias("last_update_id"),
+        (u - 1).alias("prev_update_id"), (u * 2).alias("arrival"), ((u % 2 == 0) & (F.floor(u / 40) % 5 == 3)).alias("lost"))
+    full, lost, i = F.col("type") == "snapshot", F.col("lost"), F.col("last_update_id")
+    late = d.where(lost & ~full & (i % 10 == 0)).withColumn("arrival", i * 2 + 31)
+    again = d.where(~lost & ~full & (i % 50 == 0)).withColumn("arrival", i * 2 + 41).withColumn("last_update_id", i + 2)
+    return d.where(~lost | full).unionByName(late).unionByName(again)
+
+
+@query("sequence_status_resync", with_ctes("recursive " + BURSTS, "select symbol, arrival, status, applied, gaps as consecutive_gaps, gaps >= 5 as needs_resync from bp"))
+def sequence_status_resync(spark, sf):
+    """Updates under resynchronisation: gaps from the fifth on are not applied until one goes on from the last applied id or a snapshot comes."""
+    return book.resync_status(_bursts(spark, sf), 5, ARRIVAL).select("symbol", "arrival", "status", "applied", "consecutive_gaps", "needs_resync")
+
+
 # a full snapshot arrives at every change with seq % 200 = 0: it empties the book and sets one level a side
 EPOCHS = DELTAS + """,
 ep as (select *, sum(case when seq % 200 = 0 then 1 else 0 end) over (partition by symbol order by u rows unbounded preceding) as epoch from deltas),

@@ -223,3 +223,61 @@ def test_greedy_thinning_equals_a_loop(spark, width, block_rows):
     df = spark.createDataFrame(rows, "k string, t bigint, pos bigint")
     got = thinning.greedy(df, 20, Order(("k",), "t", (), block_rows, 1000), width)
     assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def resync_fold(rows, threshold):
+    """The rule update by update, per key."""
+    out, state = [], {}
+    for key, _, kind, u, v, pu, crossed in rows:
+        done, snap, gaps = state.get(key, (None, None, 0))
+        if kind == "snapshot":
+            done, snap, gaps, status, applied = v, v, 0, "snapshot", True
+        else:
+            status = ("first" if done is None else "ok" if pu == done else "bridge" if snap is not None and u <= snap <= v
+                      else "old" if v <= done else "gap")
+            gaps += status == "gap"
+            applied = status != "old" and not (status == "gap" and gaps >= threshold)
+            if applied:
+                done = v
+            if status in ("first", "ok", "bridge") and not crossed:
+                gaps = 0
+        state[key] = (done, snap, gaps)
+        out.append((key, _, status, applied, gaps, gaps >= threshold))
+    return out
+
+
+@pytest.mark.parametrize("threshold,block_rows,seed", [(3, None, 1), (2, 64, 8)])
+def test_resync_equals_a_fold(spark, threshold, block_rows, seed):
+    rng, rows = random.Random(seed), []
+    for key in ("A", "B", "C", "D", "E"):
+        last = 100
+        for i in range(18):
+            jump, back = rng.choice([0, 0, 0, 0, 1, 3, 9, 9]), rng.choice([0] * 9 + [4, 12])
+            u = max(last + 1 + jump - back, 1)
+            v = u + rng.randrange(3) + (15 if rng.random() < 0.05 else 0)
+            kind = "snapshot" if rng.random() < (0.12 if key != "C" else 0) else "depth"
+            pu = rng.choice([last] * 6 + [u - 1, u - 1, last - 3])
+            rows.append((key, i, kind, u, v, pu, rng.random() < 0.1))
+            last = v if rng.random() < 0.8 else last
+    df = spark.createDataFrame(rows, "symbol string, i bigint, type string, first_update_id bigint, last_update_id bigint, prev_update_id bigint, x boolean")
+    got = book.resync_status(df, threshold, Order(("symbol",), "i", (), block_rows, 16), "x")
+    got = got.select("symbol", "i", "status", "applied", "consecutive_gaps", "needs_resync").collect()
+    want = resync_fold(rows, threshold)
+    assert {w[2] for w in want} >= {"snapshot", "first", "ok", "bridge", "old", "gap"}
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_gaps_with_neutral_rows(spark):
+    kinds = "ggnngrnggg"
+    df = spark.createDataFrame([("A", i, i, k) for i, k in enumerate(kinds)], "symbol string, ts bigint, seq bigint, k string")
+    got = book.consecutive_gaps(df, F.col("k") == "g", 3, reset=F.col("k") == "r").orderBy("ts").collect()
+    assert [r.consecutive_gaps for r in got] == [1, 2, 2, 2, 3, 0, 0, 1, 2, 3] and [r.needs_resync for r in got] == [n >= 3 for n in [1, 2, 2, 2, 3, 0, 0, 1, 2, 3]]
+
+
+def test_reconstruction_leaves_out_old_updates_and_gaps_past_the_threshold(spark):
+    rows = raw([(10, "bid", 1.0, 5.0), (20, "ask", 2.0, 5.0), (1030, "bid", 1.5, 5.0), (2040, "bid", 1.7, 5.0), (3050, "bid", 1.8, 5.0)])
+    jumped = [(*r[:5], r[5] + 100 * max(i - 1, 0), r[6] + 100 * max(i - 1, 0), r[7] + 100 * max(i - 1, 0), *r[8:], None) for i, r in enumerate(rows)]
+    df = spark.createDataFrame(jumped, RAW)
+    best = [r.bid_px_01 for r in book.reconstruct(df, 1000, 2, threshold=2).orderBy("ts").collect()]
+    assert best == [1.0, 1.5, 1.5, 1.5]
+    assert [r.bid_px_01 for r in book.reconstruct(df, 1000, 2, threshold=None).orderBy("ts").collect()] == [1.0, 1.5, 1.7, 1.8]
