@@ -393,8 +393,8 @@ def two_sided_ticks(
     k, cell = list(keys), floor_to(F.col(order.ts), interval_us)
     firsts = events.select(*k, cell.alias("_cell"), "pos").groupBy(*k, "_cell").agg(F.min("pos").alias("pos"))
     at = join_small(events, _two_sided(firsts.select(*k, "pos"), deltas, keys, block), [*k, "pos"])
-    chosen = at.groupBy(*order.keys, cell.alias("_cell")).agg(F.min("pos").alias("pos")).drop("_cell")
-    return join_small(events, chosen, [*order.keys, "pos"]).select(*events.columns)
+    first = [F.min_by(c, "pos").alias(c) for c in events.columns if c not in order.keys]
+    return at.withColumn("_cell", cell).groupBy(*order.keys, "_cell").agg(*first).select(*events.columns)
 
 
 def greedy_ticks(
