@@ -196,25 +196,37 @@ def resync_status(df: DataFrame, threshold: int = 5, order: Order = DEFAULT, cro
 
 # --- levels -----------------------------------------------------------------------------------
 
-def explode_levels(raw: DataFrame, *carry: str) -> DataFrame:
-    """One row per level change: side, price, size; texts that are not numbers are dropped here.
+def all_levels(raw: DataFrame, *carry: str) -> DataFrame:
+    """One row per level of a message: side, i (its place there), price, size, and `reason` if it cannot be read.
 
-    A bad size is not read as 0, which would delete the level; `microbook.operators.quality` reports
-    such messages. If a message repeats a price, the last entry counts.
+    A level needs two texts (``shape``) that are numbers (``price``, ``size``).
     """
     def changes(side: str) -> Column:
         return F.transform(
             F.coalesce(F.col(side + "s"), F.array().cast("array<array<string>>")),
-            lambda level, i: F.struct(F.lit(side).alias("side"), to_double(level[0]).alias("price"),
-                                      to_double(level[1]).alias("size"), i.alias("i")),
+            lambda level, i: F.struct(F.lit(side).alias("side"), to_double(F.get(level, 0)).alias("price"), to_double(F.get(level, 1)).alias("size"),
+                                      i.alias("i"), F.coalesce(F.size(level) >= 2, F.lit(False)).alias("whole")),
         )
 
-    rows = raw.select(*carry, F.explode(F.concat(changes("bid"), changes("ask"))).alias("c"))
-    rows = rows.select(*carry, "c.side", "c.price", "c.size", "c.i")
-    rows = rows.filter(F.col("price").isNotNull() & F.col("size").isNotNull())
+    rows = raw.select(*carry, F.explode(F.concat(changes("bid"), changes("ask"))).alias("c")).select(*carry, "c.*")
+    reason = F.when(~F.col("whole"), "shape").when(F.col("price").isNull(), "price").when(F.col("size").isNull(), "size")
+    return rows.withColumn("reason", reason).drop("whole")
+
+
+def explode_levels(raw: DataFrame, *carry: str) -> DataFrame:
+    """One row per level change: side, price, size. Levels that cannot be read are not changes; `level_rejects` lists them.
+
+    A bad size is not read as 0, which would delete the level. If a message repeats a price, the last entry counts.
+    """
+    rows = all_levels(raw, *carry).filter("reason is null")
     return rows.groupBy(*carry, "side", "price").agg(F.max_by("size", "i").alias("size"))
 
 
+def level_rejects(raw: DataFrame, *carry: str) -> DataFrame:
+    """The levels that `explode_levels` leaves out, with their message's `carry` columns, side, place and reason."""
+    return all_levels(raw, *carry).filter("reason is not null").select(*carry, "side", "i", "reason")
+
+
 def level_intervals(deltas: DataFrame, pos: str = "u", keys: tuple[str, ...] = ("symbol",), block_rows: int | None = None) -> DataFrame:
     """Upserts and deletes as intervals [valid_from, valid_to) of each open level."""
     order = Order((*keys, "side", "price"), pos, (), block_rows)

@@ -56,3 +56,10 @@ def manifest(df: DataFrame, interval_ms: int, depth: int, score: DataFrame | Non
 
 def write_manifest(rows: DataFrame, path: str) -> None:
     rows.withColumn("created_at", F.current_timestamp()).write.mode("append").parquet(path)
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The latest metadata row of each symbol."""
+    rows = spark.read.parquet(path)
+    columns = [c for c in rows.columns if c != "symbol"]
+    return rows.groupBy("symbol").agg(F.max_by(F.struct(*columns), "created_at").alias("m")).select("symbol", "m.*")

@@ -10,8 +10,10 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from microbook.functions.timeutil import to_timestamp
+from microbook.operators.backtest import pnl_curve
 from microbook.operators.features import SCHEMA_VERSION
 from microbook.operators.normalize import MANIFEST
+from microbook.plans.ordered import DEFAULT, Order
 
 MAX_SPREAD_BPS = 10_000.0
 
@@ -117,8 +119,9 @@ def save_predictions(df: DataFrame, path: str, actual: str = "y", predicted: str
     df.select(*keys, "ts", y.alias("y_true"), p.alias("y_pred"), (y - p).alias("residual")).write.mode("overwrite").parquet(path)
 
 
-def save_curve(curve: DataFrame, path: str) -> None:
-    """A profit curve as CSV with a header."""
+def save_curve(folds: DataFrame, path: str, order: Order = DEFAULT) -> None:
+    """A profit curve over folds as CSV with a header: keys, split (from 1), idx, cumulative_pnl going on from fold to fold."""
+    curve = pnl_curve(folds, order=order).select(*order.keys, (F.col("fold") + 1).alias("split"), "idx", "cumulative_pnl")
     curve.write.mode("overwrite").option("header", "true").csv(path)
 
 
