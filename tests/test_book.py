@@ -1,14 +1,12 @@
-"""Books rebuilt by joins against a plain fold, and the streaming fold's rules."""
+"""Books rebuilt by joins against plain folds."""
 
 import random
 
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from microbook.operators import book, thinning
 from microbook.plans.ordered import Order
-from microbook.streaming.book_fold import Book, Rules
 
 
 @pytest.fixture(scope="module")
@@ -72,59 +70,6 @@ def test_bad_sizes_do_not_delete(spark):
     assert got == {("bid", 100.0, 5.0), ("ask", 101.0, 3.0)}
 
 
-def event(ts, first, last, prev, bids=(), asks=(), kind="depth"):
-    return {"exchange_ts": ts, "event_seq": last, "local_ts": ts, "type": kind, "first_update_id": first, "last_update_id": last,
-            "prev_update_id": prev, "bids": list(bids), "asks": list(asks), "trade_px": 1.0, "trade_qty": 2.0, "buyer_is_maker": True}
-
-
-def play(rules, *events):
-    state = Book(rules)
-    rows = state.play("A", pd.DataFrame(events))
-    return state, rows
-
-
-def test_fold_rejects_holes_and_recovers():
-    events = [event(1, 1, 1, 0, [["10", "1"]], [["11", "1"]]), event(2, 5, 5, 4, [["9", "1"]]), event(3, 2, 6, 4, [["8", "1"]])]
-    state, _ = play(Rules(rule="reject"), *events)
-    assert (state.rejected, state.last_id, sorted(state.bids)) == (1, 6, [8.0, 10.0])
-    state, _ = play(Rules(rule="apply"), *events)
-    assert (state.gaps, state.rejected, sorted(state.bids)) == (2, 0, [8.0, 9.0, 10.0])
-
-
-def test_fold_ignores_old_updates():
-    state, _ = play(Rules(), event(1, 1, 5, 0, [["10", "1"]]), event(2, 3, 4, 2, [["9", "1"]]))
-    assert (state.gaps, list(state.bids)) == (0, [10.0])
-
-
-def test_fold_forgets_trimmed_levels():
-    many = [[str(100 - i), "1"] for i in range(4)]
-    state, _ = play(Rules(max_depth=3), event(1, 1, 1, 0, many), event(2, 2, 2, 1, [["100", "0"]]))
-    assert sorted(state.bids) == [98.0, 99.0]
-
-
-@pytest.mark.parametrize("emit,times", [("greedy", [0, 120, 230]), ("delayed", [120, 230]), ("grid", [0, 120, 230])])
-def test_emission(emit, times):
-    steps = [0, 60, 120, 199, 230]
-    events = [event(t + 1000, i + 1, i + 1, i, [["10", "1"]], [["11", "1"]]) for i, t in enumerate(steps)]
-    _, rows = play(Rules(emit=emit, interval_us=100), *events)
-    assert [r[1] - 1000 for r in rows] == times
-
-
-def test_fold_state_survives(changes):
-    events = pd.DataFrame([
-        event(pos * 10, pos, pos, pos - 1, [[str(price), str(size)]] if side == "bid" else [], [[str(price), str(size)]] if side == "ask" else [])
-        for symbol, pos, side, price, size in changes if symbol == "A"
-    ])
-    whole = Book(Rules(interval_us=50))
-    expected = whole.play("A", events)
-    state, got = None, []
-    for part in (events[:130], events[130:131], events[131:]):
-        b = Book(Rules(interval_us=50), state)
-        got += b.play("A", part)
-        state = b.dump()
-    assert got == expected and state == whole.dump()
-
-
 def test_sequence_status(spark):
     rows = [("A", i, i, f, u, p) for i, (f, u, p) in enumerate([(1, 1, 0), (2, 2, 1), (5, 5, 4), (3, 3, 2), (4, 7, 3)])]
     df = spark.createDataFrame(rows, "symbol string, ts bigint, seq bigint, first_update_id bigint, last_update_id bigint, prev_update_id bigint")

@@ -5,10 +5,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from microbook.operators import bars, book, features, normalize
+from microbook.operators import bars, features, normalize
 from microbook.sources import clean, raw
 from microbook.sources import features as feature_files
-from microbook.streaming import book_fold, feature_stream, ingest, windows
+from microbook.streaming import feature_stream, ingest, windows
 
 BASE = 1_705_320_000_000_000
 
@@ -108,27 +108,6 @@ def test_late_rows_are_dropped(spark, folder):
     assert {r.number_of_trades for r in spark.read.parquet(folder + "/out").collect()} == {1}
 
 
-def test_streamed_books_equal_joined_books(spark, folder):
-    i = F.col("id")
-    bid = i % 2 == 0
-    level = F.array(F.array((100 + F.when(bid, -(i * 7 % 9)).otherwise(i * 7 % 9 + 1)).cast("string"), (i * 5 % 4).cast("string")))
-    none = F.array().cast("array<array<string>>")
-    events = spark.range(400).select(
-        F.when(i % 3 == 0, "A").otherwise("B").alias("symbol"), (F.lit(BASE) + i * 30_000).alias("exchange_ts"), i.alias("seq"),
-        F.lit(BASE).alias("local_ts"), F.lit("depth").alias("type"), i.alias("first_update_id"), i.alias("last_update_id"),
-        (i - 1).alias("prev_update_id"), F.when(bid, level).otherwise(none).alias("bids"), F.when(bid, none).otherwise(level).alias("asks"),
-        F.lit(None).cast("struct<trade_id:bigint,price:string,quantity:string,buyer_is_maker:boolean>").alias("trade"))
-    wanted = book.reconstruct(events, 100_000, 3)
-    flat = book.with_event_seq(events).withColumns({"trade_px": F.lit(None).cast("double"), "trade_qty": F.lit(None).cast("double"), "buyer_is_maker": F.lit(None).cast("boolean")})
-    ingest.land_in_slices(flat, folder + "/in", "exchange_ts", at_least=3)
-    rules = book_fold.Rules(emit="grid", depth=3)
-    ingest.drain(book_fold.fold_books(ingest.stream_table(spark, folder + "/in", 1), rules), folder + "/out", folder + "/cp")
-    got = book.to_wide(spark.read.parquet(folder + "/out"), 3)
-    columns = ["symbol", "ts", "last_update_id", *[c for c in wanted.columns if "_px_" in c or "_sz_" in c]]
-    a, b = wanted.select(columns), got.select(columns)
-    assert a.count() > 50 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-
-
 def test_streamed_features_equal_batch(spark, folder):
     i = F.col("id")
     rows = spark.range(700).select(
