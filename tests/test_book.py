@@ -114,7 +114,7 @@ def test_tick_is_the_first_event_with_both_sides(spark):
     rows = [("A", 10, 1, 1, "bid", 1.0, 5.0), ("A", 20, 2, 2, "ask", 2.0, 5.0), ("A", 30, 3, 3, "bid", 1.5, 5.0),
             ("A", 1010, 4, 4, "bid", 1.0, 0.0), ("A", 2010, 5, 5, "bid", 1.5, 0.0), ("A", 2020, 6, 6, "ask", 3.0, 1.0), ("B", 5, 1, 1, "bid", 1.0, 1.0)]
     df = spark.createDataFrame(rows, DELTA)
-    for block in (1, 2, 64):
+    for block in (1, 64):
         assert [r.ts for r in book.two_sided_ticks(df, df, 1000, block=block).orderBy("ts").collect()] == [20, 1010]
 
 
@@ -135,8 +135,8 @@ def test_reconstruction_keeps_an_interval_whose_book_opens_late(spark):
         book.reconstruct(df, 1000, 2, emit="sometimes")
 
 
-@pytest.mark.parametrize("block", [4, 64, 16_384])
-def test_gated_ticks_equal_a_fold(spark, changes, block):
+@pytest.mark.parametrize("block,width", [(4, 1), (16_384, 256)])
+def test_gated_ticks_equal_a_fold(spark, changes, block, width):
     rows = [(s, 37 * p + p % 5, p, p, side, price, size) for s, p, side, price, size in changes]
     df = spark.createDataFrame(rows, DELTA)
     open_, grid, path, last = {}, {}, [], {}
@@ -149,11 +149,10 @@ def test_gated_ticks_equal_a_fold(spark, changes, block):
                 last[s] = ts
                 path.append((s, pos))
     assert sorted((r.symbol, r.pos) for r in book.two_sided_ticks(df, df, 200, block=block).collect()) == sorted(grid.values())
-    for width in (1, 3, 256):
-        assert sorted((r.symbol, r.pos) for r in book.greedy_ticks(df, df, 200, block=block, width=width).collect()) == sorted(path)
+    assert sorted((r.symbol, r.pos) for r in book.greedy_ticks(df, df, 200, block=block, width=width).collect()) == sorted(path)
 
 
-@pytest.mark.parametrize("width,block_rows", [(1, None), (4, 32), (256, None)])
+@pytest.mark.parametrize("width,block_rows", [(1, None), (4, 32)])
 def test_greedy_thinning_equals_a_loop(spark, width, block_rows):
     rng = random.Random(6)
     rows, want = [], []
