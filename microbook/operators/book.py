@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from microbook.functions.expr import div, to_double
 from microbook.functions.names import ladder
-from microbook.operators import thinning
+from microbook.operators import thinning, trimming
 from microbook.plans.ordered import DEFAULT, Order, counted, floor_to, join_small, layout, over_rows, row_index, running
 from microbook.session import cut_lineage
 
@@ -438,13 +438,14 @@ def trade_state(events: DataFrame, order: Order = DEFAULT, plan=None) -> DataFra
 
 def reconstruct(
     raw: DataFrame, interval_us: int = 100_000, depth: int = 10, block: int = BLOCK,
-    block_rows: int | None = None, emit: str = "grid", threshold: int | None = 5,
+    block_rows: int | None = None, emit: str = "grid", threshold: int | None = 5, max_depth: int | None = trimming.MAX_DEPTH,
 ) -> DataFrame:
     """Raw depth, trade and snapshot records to clean rows: the first event of each symbol and grid interval with a two-sided book.
 
     With `emit` as ``greedy`` intervals start at the last row instead of the grid. A record of type ``snapshot`` closes every level
     of its symbol and opens the ones it lists. Old updates, and gaps from the `threshold`-th on, stay out of the book (see
-    `resync_status`); with None every update is applied.
+    `resync_status`); with None every update is applied. A side forgets the levels behind its best `max_depth` after each event
+    (see `trimming`); with None it keeps all.
     """
     if emit not in ("grid", "greedy"):
         raise ValueError(f"unknown way to emit {emit!r}")
@@ -468,6 +469,8 @@ def reconstruct(
     if threshold is not None:
         updates = resync_status(updates, threshold, Order(("symbol",), "pos", (), block_rows)).filter("applied")
     deltas = cut_lineage(explode_levels(updates, "symbol", "epoch", "pos"))
+    if max_depth is not None:
+        deltas = cut_lineage(trimming.trim_levels(deltas, max_depth, ("symbol", "epoch"), block))
     ticks = (two_sided_ticks if emit == "grid" else greedy_ticks)(
         events.select("symbol", "exchange_ts", "event_seq", "local_ts", "update_id", "epoch", "pos",
                       "last_trade_px", "last_trade_qty", "taker_buy_vol", "taker_sell_vol"),

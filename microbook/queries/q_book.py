@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from microbook.functions.names import ladder_block
-from microbook.operators import book
+from microbook.operators import book, trimming
 from microbook.plans.ordered import DEFAULT, Order, over_rows, row_index
 from microbook.queries.registry import query, snap_sql, snapped, with_ctes
 from microbook.queries.tables import DELTAS, EVERY_HOUR, HOUR, SNAPSHOTS, TRADES, _wide_sql, build_snapshots, deltas, snapshots, trades
@@ -47,6 +47,36 @@ def book_level_intervals(spark, sf):
     return book.level_intervals(deltas(spark, sf))
 
 
+# a wide book: 150 prices a side and more. One event after the other: the open prices of a side, best first, and the one that falls off
+WIDE = "recursive " + DELTAS.replace("(user_id % 12) * 0.5::double", "user_id * 0.5::double") + """,
+numbered as (select symbol, side, u, price, size, case when side = 'bid' then -price else price end as away,
+  row_number() over (partition by symbol, side order by u) as n from deltas),
+walk as (
+  select symbol, side, u, n, case when size <> 0 then [away] else [] end::double[] as open, []::double[] as pushed from numbered where n = 1
+  union all
+  select symbol, side, u, n, everything[:100], everything[101:] from (
+    select w.symbol, w.side, d.u, d.n, list_sort(case when d.size = 0 then list_filter(w.open, lambda x: x <> d.away)
+      else list_append(list_filter(w.open, lambda x: x <> d.away), d.away) end) as everything
+    from walk w join numbered d on d.symbol = w.symbol and d.side = w.side and d.n = w.n + 1)),
+pushed as (select symbol, side, u, case when side = 'bid' then -away else away end as price from (select symbol, side, u, unnest(pushed) as away from walk)),
+trimmed as (
+  select d.symbol, d.side, d.u, d.price, case when p.u is null then d.size else 0.0 end as size
+  from deltas d left join pushed p on p.symbol = d.symbol and p.side = d.side and p.u = d.u and p.price = d.price
+  union all
+  select p.symbol, p.side, p.u, p.price, 0.0 from pushed p anti join deltas d on p.symbol = d.symbol and p.side = d.side and p.u = d.u and p.price = d.price)"""
+
+
+@query("book_trimmed_intervals", with_ctes(WIDE, """select * from (select symbol, side, price, size, u as valid_from,
+ lead(u) over (partition by symbol, side, price order by u) as valid_to from trimmed) where size <> 0"""))
+def book_trimmed_intervals(spark, sf):
+    """The intervals in which a level is open in a book that forgets what falls behind the best hundred levels of its side."""
+    away = F.col("user_id").cast("double") * 0.5
+    price = F.when(F.col("event_id") % 2 == 0, 100.0 - away).otherwise(100.0 + away)
+    wide = deltas(spark, sf, price=price).withColumnRenamed("u", "pos")
+    trimmed = trimming.trim_levels(wide, 100, block=512)
+    return book.level_intervals(trimmed.withColumnRenamed("pos", "u"))
+
+
 @query("book_initialised", with_ctes(EVERY_HOUR, """select symbol, count(*) as n_snapshots,
  sum(case when bid_px_01 is not null and ask_px_01 is not null then 1 else 0 end)::bigint as n_initialised from snaps group by 1"""))
 def book_initialised(spark, sf):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from microbook.functions.timeutil import to_micros
@@ -40,18 +40,19 @@ TRADES = """trades as (
   from events)"""
 
 
-def deltas(spark: SparkSession, sf: str, order: Order = DEFAULT) -> DataFrame:
-    """One level change per event; `u` numbers the changes of a symbol."""
+def deltas(spark: SparkSession, sf: str, order: Order = DEFAULT, price: Column | None = None) -> DataFrame:
+    """One level change per event; `u` numbers the changes of a symbol. `price` replaces the twelve prices a side."""
     e = read(spark, sf, "events")
     k = F.get_json_object("props", "$.k").cast("bigint")
     slot = F.col("user_id") % 12
-    side = F.when(F.col("event_id") % 2 == 0, "bid").otherwise("ask")
+    bid = F.col("event_id") % 2 == 0
+    side = F.when(bid, "bid").otherwise("ask")
     away = slot.cast("double") * 0.5
     gone = (k % 7 == 0) | ((slot == 0) & (k % 3 != 0))
     rows = e.select(
         F.col("event_type").alias("symbol"), to_micros(F.col("ts")).alias("ts"), F.col("event_id").alias("seq"),
         side.alias("side"),
-        F.when(F.col("event_id") % 2 == 0, F.lit(100.0) - away).otherwise(F.lit(100.0) + away).alias("price"),
+        (F.when(bid, F.lit(100.0) - away).otherwise(F.lit(100.0) + away) if price is None else price).alias("price"),
         F.when(gone, 0.0).otherwise(k.cast("double")).alias("size"),
         F.col("value").alias("trade_px"), k.cast("double").alias("trade_qty"),
         (F.col("user_id") % 2 == 0).alias("buyer_is_maker"),
