@@ -269,8 +269,11 @@ def _same_document(full: DataFrame, nodes: DataFrame) -> DataFrame:
 def kept(docs: DataFrame, least: int = 85, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents that stay, all their columns: one of each component, the one with the smallest doc_id, once.
 
-    Rows without a doc_id stay all. Of rows that repeat a kept doc_id one stays.
+    Rows without a doc_id stay all. Of rows that repeat a kept doc_id one stays, the one with the least text (null as empty), then
+    the least hash of all its columns.
     """
     stay = grouped(docs, least, doc_id, text).where("kept and doc_id is not null").select(F.col("doc_id").alias("_llm_stays")).distinct()
     named, nameless = docs.where(F.col(doc_id).isNotNull()), docs.where(F.col(doc_id).isNull())
-    return named.join(stay, named[doc_id] == stay["_llm_stays"], "left_semi").dropDuplicates([doc_id]).union(nameless)
+    one = Window.partitionBy(doc_id).orderBy(whole(text), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    first = named.join(stay, named[doc_id] == stay["_llm_stays"], "left_semi").withColumn("_llm_place", F.row_number().over(one))
+    return first.where("_llm_place = 1").drop("_llm_place").union(nameless)

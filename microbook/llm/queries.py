@@ -86,12 +86,12 @@ cover as (select r, count(distinct i + k) as n from twice, (values (0), (1), (2)
 m as (select doc_id, len(words)::bigint as n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::bigint as word_chars,
     length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols, length(regexp_replace(text, '[^!]', '', 'g')) as n_bangs,
     (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines, len(lines) as n_lines,
-    len(list_intersect(list_distinct(words), [{_STOPS}])) as n_stops, coalesce(c.n, 0)::bigint as n_repeat_words
+    len(list_filter(words, lambda x: x in ({_STOPS}))) as n_stops, coalesce(c.n, 0)::bigint as n_repeat_words
   from one left join cover c using (r)),
 j as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed, greatest(n_words, 1) as u from m),
 b as (select *, list_filter([
     case when word_chars / u < 2 or word_chars / u > 20 then 'word_length' end, case when n_symbols / u > 0.2 then 'symbols' end,
-    case when n_bangs / u > 0.5 then 'exclamation' end, case when n_stops < 1 then 'stop_words' end,
+    case when n_bangs / u > 0.5 then 'exclamation' end, case when n_stops / u < 0.02 then 'stop_words' end,
     case when n_dup_lines / greatest(n_lines, 1) > 0.5 then 'same_lines' end,
     case when n_lines / u > 0.5 then 'line_length' end], lambda x: x is not null) as broken from j)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and len(broken) = 0 as kept,

@@ -39,7 +39,7 @@ RULES = (
     Rule("word_length", "word_chars", "n_words", 2.0, 20.0),
     Rule("symbols", "n_symbols", "n_words", high=0.2),
     Rule("exclamation", "n_bangs", "n_words", high=0.5),
-    Rule("stop_words", "n_stop_words", "one", low=1.0),
+    Rule("stop_words", "n_stop_words", "n_words", low=0.02),
     Rule("same_lines", "n_dup_lines", "n_lines", high=0.5),
     Rule("line_length", "n_lines", "n_words", high=0.5),
 )
@@ -74,7 +74,7 @@ def measured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
         "doc_id", "words", "n_symbols", "n_bangs", n_words.cast("bigint").alias("n_words"),
         F.length(F.array_join("words", "")).cast("bigint").alias("word_chars"), F.size("lines").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("bigint").alias("n_dup_lines"),
-        F.size(F.array_intersect("words", F.array(*[F.lit(w) for w in STOP_WORDS]))).alias("n_stop_words"), F.lit(1).alias("one"),
+        F.size(F.filter("words", lambda w: w.isin(*STOP_WORDS))).alias("n_stop_words"),
         F.when(n_words > 2, F.sort_array(F.transform(F.sequence(F.lit(0), n_words - 3), packed)))
         .otherwise(F.array().cast("array<bigint>")).alias("windows"))
     measures = [c for c in counted.columns if c not in ("words", "windows")]

@@ -5,6 +5,7 @@ import hashlib
 import math
 import random
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -378,3 +379,118 @@ def test_near_copies_by_the_least_similarity_asked(spark):
     assert sorted(r.doc_id for r in minhash.kept(frame(spark, rows), 80).collect()) == [1, 3]
     assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, frame(spark, rows), "").collect()) == [1, 3]
     assert minhash.coarse_bands(85).shape == (25, 5) and minhash.coarse_bands(80).shape == (31, 4)
+
+
+def test_heads_need_no_sort(spark):
+    rows = [(f"w{i}", 1 + i % 7 if i % 50 else 1000 + i) for i in range(3000)]
+    pieces = spark.createDataFrame(rows, "piece string, freq bigint")
+    for head in (10, 60, 700, 5000):
+        found = token_counts.frequent(pieces, head)
+        assert "TakeOrdered" not in found._jdf.queryExecution().toString()
+        got = {r.piece: r.freq for r in found.collect()}
+        rest = [f for w, f in rows if w not in got]
+        assert len(got) <= 1.3 * head and len(got) >= min(3000, 0.6 * head)
+        assert not rest or min(got.values()) >= max(rest) / 1.02
+    labels = spark.createDataFrame([(i, i % 2) for i in range(6000)], "doc_id bigint, quality int")
+    kept = [i for i, in labels.where(quality.fold(F.col("doc_id")) != 0).select("doc_id").collect()]
+    assert sorted(r.doc_id for r in quality.sampled(labels, 10_000).collect()) == sorted(kept)
+    found = quality.sampled(labels, 500)
+    assert "TakeOrdered" not in found._jdf.queryExecution().toString()
+    got = {r.doc_id: r.good for r in found.collect()}
+    assert 400 <= len(got) <= 500 and set(got) <= set(kept) and all(g == i % 2 for i, g in got.items())
+    assert got == {r.doc_id: r.good for r in quality.sampled(labels.repartition(7), 500).collect()}
+
+
+def test_ranking_fits_the_likelihood():
+    """The weights have the least penalised loss; the threshold cuts off as many training scores as there are bad documents."""
+    rng = np.random.default_rng(3)
+    d = rng.normal(size=(400, 3)) + np.array([0.8, 0.0, -0.3])
+    w = quality.fit_pairs(d, np.zeros_like(d))
+
+    def loss(w):
+        return np.log1p(np.exp(-(d @ w))).mean() + quality.PENALTY * (w @ w) / 2
+
+    for step in (0.01, 0.1, 0.5):
+        for direction in [*np.eye(3), *rng.normal(size=(20, 3))]:
+            assert loss(w) <= loss(w + step * direction) and loss(w) <= loss(w - step * direction)
+    x, good = rng.normal(size=(300, len(quality.NAMES))), rng.random(300) < 0.6
+    x[good, 0] += 1
+    ranking = quality.rank(x, good)
+    assert (ranking.score(x) < quality.CUT).sum() == (~good).sum()
+
+
+def test_base_secrets_equal_the_patterns(spark):
+    rng = random.Random(8)
+    parts = ["password", "Passwd", "SECRET", "token", "api_key", "apikey", "AKIA", "=", ":", " ", '"', "'", "abc0", "DEADBEEF", "0123456789abcdef", "Zz9+/_.=-",
+             "x", "ab12" * 4, "\n", "é"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 30))) for _ in range(2000)]
+    assign = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+    kinds = [(assign, lambda m: len(m.group(2)) >= 12), (re.compile("AKIA[A-Z0-9]+"), lambda m: len(m.group()) >= 18),
+             (re.compile("[0-9a-f]+"), lambda m: len(m.group()) >= 16)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: (r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in secret_scan.scan(rows).collect()}
+    for i, text in enumerate(texts):
+        spans = sorted((m.start(), k, name, m.end()) for k, ((p, fits), name) in enumerate(zip(kinds, ("assign", "access", "hex"))) for m in p.finditer(text) if fits(m))
+        joined = ",".join(f"{name}:{start}:{end}" for start, _, name, end in spans)
+        assert got[i] == (*[sum(s[1] == k for s in spans) for k in range(3)], hashlib.sha256(joined.encode()).hexdigest())
+
+
+def test_repeated_ids_keep_the_least_text(spark):
+    docs = spark.createDataFrame([(1, "b c", "x"), (1, "a c", "y"), (1, None, "z"), (2, "q", "x"), (None, "q", "n"), (None, "q", "n")], "doc_id bigint, text string, _llm_place string")
+    got = [tuple(r) for r in minhash.kept(docs.withColumnRenamed("_llm_place", "source")).collect()]
+    assert sorted(got, key=str) == sorted([(1, None, "z"), (2, "q", "x"), (None, "q", "n"), (None, "q", "n")], key=str)
+
+
+@pytest.mark.parametrize("html,text", [
+    ("<svg><title>no</title><text>drawn</text></svg>", "drawn"),
+    ("<select><option>a<option selected>b</select> x", "b x"),
+    ("<select><option>a<option>b</select>", "a"),
+    ("<select multiple><option>a<option>b</select>", "a b"),
+    ('<p aria-hidden="true">seen</p>', "seen"),
+    ("<table><tr><td rowspan=2>a<td>b<td>c<tr><td>d<td>e</table>", "a  b  c\n   d  e"),
+    ("<table><tr><td>a<td rowspan=0>b<tr><td>c<td>d<tr><td>e<td>f</table>", "a  b\nc     d\ne     f"),
+    ("<style>.x{display:none} @media print{p{display:none}} #k{display:none} p.x{display:block}</style>"
+     "<div class='y x'>no</div><p class=x>yes<i id=k>no</i><p>too<p class=x style='display:none'>no", "yes\n\ntoo"),
+    ("<style media=print>p{display:none}</style><style>b , i/* , p */{visibility:hidden}</style><p>a<b>no</b><i>no</i>", "a"),
+])
+def test_html_shows_what_a_reader_sees(html, text):
+    assert html_text.rendered(html) == text
+
+
+def test_html_of_unclosed_tags_takes_linear_time():
+    n = 20_000
+    for page in ("<div>" * n, "<b>" * n + "</x>" * n, "<p><button>" + "<div>x" * n, "<p>" * n + "</i>" * n, "<ul><li>x" * n, "<blockquote>x" * n,
+                 "<table><tr><td rowspan=99999>x" * 50 + "<td>y" * n):
+        start = time.process_time()
+        html_text.rendered(page)
+        assert time.process_time() - start < 5
+
+
+def test_html_words_equal_a_plain_walk(spark):
+    """The given pages: the characters in any order are those outside of hidden elements, found by a parser without tree or layout."""
+    from html.parser import HTMLParser
+
+    class Plain(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.words, self.inside = [], 0
+
+        def handle_starttag(self, tag, attrs):
+            gone = tag in html_text.HIDDEN or "hidden" in dict(attrs) or html_text.GONE.search(dict(attrs).get("style") or "")
+            if tag not in html_text.VOID and (self.inside or gone):
+                self.inside += 1
+
+        def handle_endtag(self, tag):
+            self.inside = max(0, self.inside - 1)
+
+        def handle_data(self, data):
+            if not self.inside:
+                self.words += data.split()
+
+    marks = re.compile(r"-|---|\d+\.")
+    for (html,) in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("html").collect():
+        plain = Plain()
+        plain.feed(html or "")
+        plain.close()
+        shown = [w for w in html_text.rendered(html or "").split() if not marks.fullmatch(w)]
+        assert sorted("".join(shown)) == sorted("".join(w for w in plain.words if not marks.fullmatch(w)))
