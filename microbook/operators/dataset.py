@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from microbook.functions import names
 from microbook.functions.expr import div
-from microbook.plans.ordered import DEFAULT, Order, layout, over_rows, row_index
+from microbook.plans.ordered import DEFAULT, Order, over_rows, row_index
+
+FIT = 2**22  # values in the windows of one chunk: 32 MB
 
 
 def output_columns(df: DataFrame, depth: int = 10, keep: tuple[str, ...] = ("symbol", "ts")) -> DataFrame:
@@ -46,6 +50,31 @@ def create_target(
     return over_rows(df, build, order, ahead=horizon)
 
 
+def _windows(
+    df: DataFrame, row: dict[str, Column], build: Callable[[Column, Column], Column], length: int, stride: int, values: int, order: Order,
+) -> DataFrame:
+    """One row per window of `length` rows that starts at row 1, 1 + stride, ... of a key: the keys and `build(rows, start)`.
+
+    Rows are put into chunks of consecutive starts, each with the rows its last window needs, and windows are slices of a chunk's
+    array: the cost is that of the rows, of length / chunk copies of them, and of the windows kept. A chunk's windows hold `FIT`
+    values at most, if one window does (it has `values`).
+    """
+    keys = list(order.keys)
+    width = stride * max(1, min(4 * length // stride, FIT // max(values, 1)))
+    numbered = row_index(df, order, "_rn")
+    place = F.col("_rn") - 1
+    chunks = F.sequence(F.floor(F.greatest(place - length + 1, F.lit(0)) / width).cast("bigint"), F.floor(place / width).cast("bigint"))
+    spread = numbered.select(*keys, F.struct("_rn", *[c.alias(n) for n, c in row.items()]).alias("_row"), F.explode(chunks).alias("_chunk"))
+    held = spread.groupBy(*keys, "_chunk").agg(F.sort_array(F.collect_list("_row")).alias("_rows"))
+    last = F.least(F.lit(width), F.size("_rows") - length + 1)
+    starts = F.when(last > 0, F.sequence(F.lit(1), last, F.lit(stride)))
+    return held.select(*keys, F.explode(F.transform(starts, lambda s: build(F.col("_rows"), s))).alias("_w")).select(*keys, "_w.*")
+
+
+def _doubles(columns: list[str]) -> Column:
+    return F.array(*[F.col(c).cast("double") for c in columns])
+
+
 def forecast_sequences(
     df: DataFrame, features: list[str], targets: list[str], inputs: int = 60, outputs: int = 10,
     stride: int = 1, order: Order = DEFAULT,
@@ -55,34 +84,24 @@ def forecast_sequences(
     Multiplies the data by `inputs`; keep it the last step and write it out.
     """
     length = inputs + outputs
-    plan = layout(df, order)
-    df = row_index(df, order, "_rn", total="_n", plan=plan)
+    row = {"ts": F.col(order.ts), "x": _doubles(features), "y": _doubles(targets)}
 
-    def build(d, w):
-        x = F.array(*[F.col(c).cast("double") for c in features])
-        y = F.array(*[F.col(c).cast("double") for c in targets])
-        return d.withColumns({
-            "x": F.collect_list(x).over(w.rowsBetween(0, inputs - 1)),
-            "y": F.collect_list(y).over(w.rowsBetween(inputs, length - 1)),
-            "end_ts": F.lead(order.ts, length - 1).over(w),
-        })
+    def build(rows: Column, s: Column) -> Column:
+        return F.struct(
+            F.get(rows, s - 1)["ts"].alias("start_ts"), F.get(rows, s + length - 2)["ts"].alias("end_ts"),
+            F.slice(rows, s, inputs)["x"].alias("x"), F.slice(rows, s + inputs, outputs)["y"].alias("y"))
 
-    out = over_rows(df, build, order, ahead=length - 1, plan=plan)
-    starts = (F.pmod(F.col("_rn") - 1, F.lit(stride)) == 0) & (F.col("_rn") + length - 1 <= F.col("_n"))
-    return out.filter(starts).select(*order.keys, F.col(order.ts).alias("start_ts"), "end_ts", "x", "y")
+    return _windows(df, row, build, length, stride, inputs * len(features) + outputs * len(targets), order)
 
 
 def labelled_sequences(
     df: DataFrame, features: list[str], label: str, length: int = 50, stride: int = 1, order: Order = DEFAULT
 ) -> DataFrame:
     """Windows of `length` rows labelled by their last row."""
-    plan = layout(df, order)
-    df = row_index(df, order, "_rn", plan=plan)
+    row = {"ts": F.col(order.ts), "x": _doubles(features), "y": F.col(label)}
 
-    def build(d, w):
-        x = F.array(*[F.col(c).cast("double") for c in features])
-        return d.withColumn("x", F.collect_list(x).over(w.rowsBetween(-(length - 1), 0)))
+    def build(rows: Column, s: Column) -> Column:
+        end = F.get(rows, s + length - 2)
+        return F.struct(end["ts"].alias("ts"), F.slice(rows, s, length)["x"].alias("x"), end["y"].alias("y"))
 
-    out = over_rows(df, build, order, back=length - 1, plan=plan)
-    full = (F.col("_rn") >= length) & (F.pmod(F.col("_rn") - length, F.lit(stride)) == 0)
-    return out.filter(full).select(*order.keys, F.col(order.ts).alias("ts"), "x", F.col(label).alias("y"))
+    return _windows(df, row, build, length, stride, length * len(features), order)

@@ -9,7 +9,7 @@ windows run per block:
 
 Blocks are cut from row counts per time cell: one pass over the key and order columns, combined
 map-side. Cells that are too full are cut again into finer cells (down to one microsecond, then by
-the tie breaker), so a burst or a mass of equal timestamps is split as well. If no key has more than
+the tie breakers), so a burst or a mass of equal timestamps is split as well. If no key has more than
 ``block_rows`` rows, the plain window is used and nothing is added to the plan.
 """
 
@@ -33,7 +33,8 @@ TIE_WIDTHS = (2**40, 2**30, 2**20, 2**10, 1)
 class Order:
     """How rows are keyed and ordered: `keys`, then (`ts`, *`ties`); `ts` is a bigint.
 
-    `ties` makes the order total; its first column must be a bigint (it may cut equal timestamps).
+    `ties` makes the order total; its first column must be a bigint. Ties that are whole numbers may cut equal timestamps, each
+    where the ones before it are equal.
     Without `block_rows`, blocks hold a fair share of the rows per core, within `BLOCK_ROWS`.
     """
 
@@ -53,6 +54,11 @@ class Order:
     def blocks(self, rows: int, cell: int | None = None) -> "Order":
         return replace(self, block_rows=rows, cell=cell or self.cell)
 
+    @property
+    def cells(self) -> list[str]:
+        """The columns that name a cell: lower bounds of its time and of its tie breakers."""
+        return ["_ct", *[f"_c{i}" for i in range(len(self.ties))]]
+
     def stamp(self) -> Column:
         """The order columns as one comparable value."""
         return F.struct(*self.columns)
@@ -99,49 +105,57 @@ class Layout:
 
     def assign(self, df: DataFrame, back: int = 0, ahead: int = 0) -> DataFrame:
         """Add `_blk`, `_lo`, `_total` and `_halo`; rows near an edge are copied to the neighbour."""
-        limit = self.order.block_rows - self.order.block_rows // 16 - 1
-        if max(back, ahead) > limit:
-            raise ValueError(f"a frame of {max(back, ahead)} rows needs block_rows above it")
+        rows, at = self.order.block_rows, self.order.cells
         keys = list(self.order.keys)
-        cells = self.cells.select(
-            *keys, "_ct", "_cs", "_blk", "_lo", "_total",
-            ((F.col("_end") > F.col("_hi") - back) & (F.col("_hi") < F.col("_total"))).alias("_next"),
-            ((F.col("_off") < F.col("_lo") + ahead) & (F.col("_blk") > 0)).alias("_prev"),
-        )
+        # a frame that fits a block reaches the next one at most
+        near = max(back, ahead) < rows - rows // 16
+        cells = self.cells
+        if near:
+            reach = [((F.col("_end") > F.col("_hi") - back) & (F.col("_hi") < F.col("_total"))).alias("_next"),
+                     ((F.col("_off") < F.col("_lo") + ahead) & (F.col("_blk") > 0)).alias("_prev")]
+        else:
+            # blocks start less than a cell after their multiple of `rows`; the last rows before a block and the first after it
+            # are those whose cells reach into its frames
+            cells = cells.withColumn("_last", F.max("_blk").over(Window.partitionBy(*keys)))
+            reach = [F.least("_last", F.floor((F.col("_end") + back - 1) / F.lit(rows))).cast("bigint").alias("_to") if back else F.col("_blk").alias("_to"),
+                     F.greatest(F.lit(0), F.floor((F.col("_off") - ahead - rows // 16 - 1) / F.lit(rows))).cast("bigint").alias("_from") if ahead
+                     else F.col("_blk").alias("_from")]
+        cells = cells.select(*keys, *at, "_blk", "_lo", "_total", *reach)
         if self.n_cells <= BROADCAST_ROWS:
             cells = F.broadcast(cells)
-        out = _locate(df, self.order, self.hot).join(cells, [*keys, "_ct", "_cs"], "left")
+        out = _locate(df, self.order, self.hot).join(cells, [*keys, *at], "left")
         out = out.withColumn("_blk", F.coalesce("_blk", F.lit(0).cast("bigint")))
-        if not (back or ahead):
-            return out.drop("_ct", "_cs", "_next", "_prev").withColumn("_halo", F.lit(False))
-        home = F.array(F.struct(F.col("_blk").alias("b"), F.lit(False).alias("h")))
-        copies = [home]
-        none = F.slice(home, 1, 0)
-        if back:
-            after = F.array(F.struct((F.col("_blk") + 1).alias("b"), F.lit(True).alias("h")))
-            copies.append(F.when(F.col("_next"), after).otherwise(none))
-        if ahead:
-            before = F.array(F.struct((F.col("_blk") - 1).alias("b"), F.lit(True).alias("h")))
-            copies.append(F.when(F.col("_prev"), before).otherwise(none))
-        out = out.withColumn("_copy", F.explode(F.concat(*copies)))
-        return (
-            out.withColumn("_blk", F.col("_copy.b"))
-            .withColumn("_halo", F.col("_copy.h"))
-            .drop("_ct", "_cs", "_next", "_prev", "_copy")
-        )
+        if not near:
+            blocks = F.sequence(F.coalesce("_from", "_blk"), F.coalesce("_to", "_blk"))
+            out = out.withColumn("_copy", F.explode(F.transform(blocks, lambda b: F.struct(b.alias("b"), (b != F.col("_blk")).alias("h")))))
+            out = out.drop(*at, "_from", "_to")
+        elif not (back or ahead):
+            return out.drop(*at, "_next", "_prev").withColumn("_halo", F.lit(False))
+        else:
+            home = F.array(F.struct(F.col("_blk").alias("b"), F.lit(False).alias("h")))
+            copies = [home]
+            none = F.slice(home, 1, 0)
+            if back:
+                after = F.array(F.struct((F.col("_blk") + 1).alias("b"), F.lit(True).alias("h")))
+                copies.append(F.when(F.col("_next"), after).otherwise(none))
+            if ahead:
+                before = F.array(F.struct((F.col("_blk") - 1).alias("b"), F.lit(True).alias("h")))
+                copies.append(F.when(F.col("_prev"), before).otherwise(none))
+            out = out.withColumn("_copy", F.explode(F.concat(*copies))).drop(*at, "_next", "_prev")
+        return out.withColumn("_blk", F.col("_copy.b")).withColumn("_halo", F.col("_copy.h")).drop("_copy")
 
 
 def _locate(df: DataFrame, order: Order, hot: list) -> DataFrame:
-    """Add the lower bounds `_ct`, `_cs` of the cell of each row, after the cuts listed in `hot`."""
-    df = df.withColumn("_ct", floor_to(F.col(order.ts), order.cell))
-    df = df.withColumn("_cs", F.lit(NO_TIE).cast("bigint"))
+    """Add the lower bounds (`Order.cells`) of the cell of each row, after the cuts listed in `hot`."""
+    at = order.cells
+    df = df.withColumns({"_ct": floor_to(F.col(order.ts), order.cell), **{c: F.lit(NO_TIE).cast("bigint") for c in at[1:]}})
     for cells, n_cells, column, width in hot:
         marked = cells.withColumn("_hot", F.lit(True))
         if n_cells <= BROADCAST_ROWS:
             marked = F.broadcast(marked)
-        df = df.join(marked, [*order.keys, "_ct", "_cs"], "left")
-        finer = floor_to(F.col(column), width)
-        target = "_ct" if column == order.ts else "_cs"
+        df = df.join(marked, [*order.keys, *at], "left")
+        finer = floor_to(F.col(column).cast("bigint"), width)
+        target = at[order.columns.index(column)]
         df = df.withColumn(target, F.when(F.col("_hot"), finer).otherwise(F.col(target))).drop("_hot")
     return df
 
@@ -149,11 +163,12 @@ def _locate(df: DataFrame, order: Order, hot: list) -> DataFrame:
 def layout(df: DataFrame, order: Order = DEFAULT) -> Layout:
     """Measure `df` and cut it into blocks. Runs one small aggregate; more only for hot cells."""
     keys = list(order.keys)
-    narrow = df.select(*keys, order.ts, *order.ties[:1])
+    at = order.cells
+    narrow = df.select(*keys, *order.columns)
 
     def count_cells(hot: list) -> DataFrame:
         located = _locate(narrow, order, hot)
-        return located.groupBy(*keys, "_ct", "_cs").agg(F.count(F.lit(1)).alias("_n"))
+        return located.groupBy(*keys, *at).agg(F.count(F.lit(1)).alias("_n"))
 
     sizes = (
         count_cells([])
@@ -174,19 +189,20 @@ def layout(df: DataFrame, order: Order = DEFAULT) -> Layout:
     while width > 1:
         width = max(width // 60, 1)
         steps.append((order.ts, width))
-    steps += [(tie, w) for tie in order.ties[:1] for w in TIE_WIDTHS]
+    types = dict(narrow.dtypes)
+    steps += [(tie, w) for tie in order.ties if types[tie] in ("bigint", "int", "smallint", "tinyint") for w in TIE_WIDTHS]
     hot: list = []
     while True:
         counted = cut_lineage(count_cells(hot))
-        full = counted.filter(F.col("_n") > limit).select(*keys, "_ct", "_cs")
+        full = counted.filter(F.col("_n") > limit).select(*keys, *at)
         n_full = full.count()
         if n_full == 0:
             break
         if len(hot) == len(steps):
-            raise ValueError(f"over {limit} rows share one {order.ts} and {order.ties[:1]}: add a tie breaker")
+            raise ValueError(f"over {limit} rows share one {order.ts} and {order.ties}: add a tie breaker")
         hot.append((full, n_full, *steps[len(hot)]))
 
-    ordered = Window.partitionBy(*keys).orderBy("_ct", "_cs")
+    ordered = Window.partitionBy(*keys).orderBy(*at)
     block = Window.partitionBy(*keys, "_blk")
     cells = (
         counted.withColumn("_end", F.sum("_n").over(ordered))

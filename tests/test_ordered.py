@@ -42,7 +42,7 @@ def test_layout_splits_hot_times(rows):
     assert sizes <= 4
     blocks = plan.cells.groupBy("symbol", "_blk").agg(F.sum("_n").alias("n"))
     assert blocks.agg(F.max("n")).first()[0] <= 64 + 4
-    assert plan.cells.filter(F.col("_cs") != NO_TIE).count() > 0
+    assert plan.cells.filter(F.col("_c0") != NO_TIE).count() > 0
 
 
 def test_small_tables_use_plain_windows(rows):
@@ -101,3 +101,32 @@ def test_duplicates_that_cannot_be_cut_raise(spark):
 
 def test_floor_to_below_zero(spark):
     assert spark.range(1).select(floor_to(F.lit(-1).cast("bigint"), 10)).first()[0] == -10
+
+
+@pytest.fixture(scope="module")
+def cut(rows):
+    return layout(rows, BLOCKS)
+
+
+@pytest.mark.parametrize("back,ahead", [(500, 0), (130, 270)])
+def test_frames_longer_than_a_block(rows, cut, back, ahead):
+    def build(d, w):
+        return d.withColumns({
+            "a": F.lag("x", back).over(w) if back else F.lit(0.0),
+            "b": F.lead("x", ahead).over(w) if ahead else F.lit(0.0),
+            "c": F.sum("x").over(w.rowsBetween(-back, ahead)), "d": F.count(F.lit(1)).over(w.rowsBetween(-back, ahead)),
+        })
+
+    same(over_rows(rows, build, BLOCKS, back=back, ahead=ahead, plan=cut), build(rows, plain()))
+
+
+def test_equal_times_and_first_ties_are_cut_by_the_next(spark):
+    data = [("HOT", 7, i % 2, i) for i in range(900)] + [("B", i, 0, i) for i in range(50)]
+    df = spark.createDataFrame(data, "symbol string, ts bigint, kind int, seq bigint")
+    order = Order(ties=("kind", "seq"), block_rows=64, cell=1)
+    plan = layout(df, order)
+    assert plan.cells.agg(F.max("_n")).first()[0] <= 4
+    w = Window.partitionBy("symbol").orderBy("ts", "kind", "seq")
+    same(row_index(df, order, "rn", plan=plan), df.withColumn("rn", F.row_number().over(w).cast("bigint")))
+    total = F.sum("seq").over(w.rowsBetween(-200, 0))
+    same(over_rows(df, lambda d, v: d.withColumn("t", F.sum("seq").over(v.rowsBetween(-200, 0))), order, back=200, plan=plan), df.withColumn("t", total))
