@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -61,3 +62,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Write `df` to the shared folder and read it back, with the size of its files.
+
+    For rounds that feed each other: a checkpoint keeps the planner's guess of its size, a join guesses the product of its sides,
+    and over some tens of rounds that number alone fills the driver's memory.
+    """
+    folder = f"{shared_dir(df.sparkSession)}/written-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
