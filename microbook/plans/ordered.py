@@ -99,9 +99,9 @@ class Layout:
         """True when every key fits one block, so plain windows are safe."""
         return self.cells is None
 
-    def window(self, blocked: bool = True) -> WindowSpec:
+    def window(self, blocked: bool = True, reverse: bool = False) -> WindowSpec:
         keys = list(self.order.keys) + ([] if self.single or not blocked else ["_blk"])
-        return Window.partitionBy(*keys).orderBy(*self.order.columns)
+        return Window.partitionBy(*keys).orderBy(*[F.col(c).desc() if reverse else F.col(c) for c in self.order.columns])
 
     def assign(self, df: DataFrame, back: int = 0, ahead: int = 0) -> DataFrame:
         """Add `_blk`, `_lo`, `_total` and `_halo`; rows near an edge are copied to the neighbour."""
@@ -294,7 +294,7 @@ _IN_BLOCK = {
     "min": F.min,
     "max": F.max,
     "last": lambda c: F.last(c, ignorenulls=True),
-    "first": lambda c: F.first(c, ignorenulls=True),
+    "first": lambda c: F.last(c, ignorenulls=True),  # over rows in reverse order
 }
 
 
@@ -320,14 +320,14 @@ def running(
     kinds = {n: k for n, (k, _) in specs.items()}
 
     def local(window: WindowSpec, name: str) -> Column:
-        if kinds[name] == "first":
-            frame = window.rowsBetween(edge, Window.unboundedFollowing)
-        else:
-            frame = window.rowsBetween(unbounded, -edge)
-        return _IN_BLOCK[kinds[name]](F.col(inputs[name])).over(frame)
+        return _IN_BLOCK[kinds[name]](F.col(inputs[name])).over(window.rowsBetween(unbounded, -edge))
+
+    def local_window(name: str) -> WindowSpec:
+        # Spark walks a frame up to the last row anew from every row, one from the first row once: look back in reverse order
+        return plan.window(reverse=kinds[name] == "first")
 
     if plan.single:
-        out = df.withColumns({n: local(plan.window(), n) for n in specs})
+        out = df.withColumns({n: local(local_window(n), n) for n in specs})
         return _unpack(out.drop(*inputs.values()), rest, first)
 
     keys = list(order.keys)
@@ -342,13 +342,10 @@ def running(
         else:
             totals.append(_IN_BLOCK[kind](value).alias(f"_t_{name}"))
     blocks = spread.groupBy(*keys, "_blk").agg(*totals)
-    by_block = Window.partitionBy(*keys).orderBy("_blk")
+    by_block = Window.partitionBy(*keys)
     prefix = {}
     for name, kind in kinds.items():
-        if kind == "first":
-            frame = by_block.rowsBetween(1, Window.unboundedFollowing)
-        else:
-            frame = by_block.rowsBetween(unbounded, -1)
+        frame = by_block.orderBy(F.col("_blk").desc() if kind == "first" else "_blk").rowsBetween(unbounded, -1)
         outer = "sum" if kind == "count" else kind
         prefix[f"_p_{name}"] = _IN_BLOCK[outer](F.col(f"_t_{name}")).over(frame)
     blocks = blocks.withColumns(prefix).select(*keys, "_blk", *prefix)
@@ -357,7 +354,7 @@ def running(
     out = spread.join(blocks, [*keys, "_blk"], "left")
     merged = {}
     for name, kind in kinds.items():
-        here, before = local(plan.window(), name), F.col(f"_p_{name}")
+        here, before = local(local_window(name), name), F.col(f"_p_{name}")
         if kind == "sum":
             both = F.coalesce(here + before, here, before)
         elif kind == "count":

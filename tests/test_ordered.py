@@ -130,3 +130,17 @@ def test_equal_times_and_first_ties_are_cut_by_the_next(spark):
     same(row_index(df, order, "rn", plan=plan), df.withColumn("rn", F.row_number().over(w).cast("bigint")))
     total = F.sum("seq").over(w.rowsBetween(-200, 0))
     same(over_rows(df, lambda d, v: d.withColumn("t", F.sum("seq").over(v.rowsBetween(-200, 0))), order, back=200, plan=plan), df.withColumn("t", total))
+
+
+@pytest.mark.parametrize("block_rows", [None, 400])
+def test_next_value_needs_no_frame_to_the_last_row(spark, rows, block_rows):
+    """Such a frame is walked anew from every row: the square of a block's rows."""
+    order = Order(block_rows=block_rows)
+    x = F.when(F.col("seq") % 3 == 0, F.col("x"))
+    got = running(rows, {"nxt": ("first", x), "later": ("first", x)}, order).drop("later")
+    got = running(got, {"past": ("first", x)}, order, exclusive=True)
+    assert "unboundedfollowing" not in got._jdf.queryExecution().toString().lower()
+    w = Window.partitionBy("symbol").orderBy("ts", "seq")
+    after = F.first(x, ignorenulls=True)
+    wanted = rows.withColumns({"nxt": after.over(w.rowsBetween(0, Window.unboundedFollowing)), "past": after.over(w.rowsBetween(1, Window.unboundedFollowing))})
+    assert sorted(map(str, got.collect())) == sorted(map(str, wanted.select(got.columns).collect()))
