@@ -8,8 +8,9 @@ windows run per block:
 * running aggregates and row numbers add a prefix taken from the small table of block totals.
 
 Blocks are cut from row counts per time cell: one pass over the key and order columns, combined
-map-side. Cells that are too full are cut again into finer cells (down to one microsecond, then by
-the tie breakers), so a burst or a mass of equal timestamps is split as well. If no key has more than
+map-side. Cells that are too full are cut again by the first order column that varies in them, each
+into as many equal parts of its own range as its rows need, so a burst or a mass of equal timestamps
+is split as well, the number of cells follows that of rows, and few passes do. If no key has more than
 ``block_rows`` rows, the plain window is used and nothing is added to the plan.
 """
 
@@ -26,7 +27,8 @@ from microbook.session import BROADCAST_ROWS, cut_lineage
 
 NO_TIE = -(2**63)
 BLOCK_ROWS = (131_072, 1_048_576)
-TIE_WIDTHS = (2**40, 2**30, 2**20, 2**10, 1)
+WHOLE = ("bigint", "int", "smallint", "tinyint")
+WIDEST = 2**62
 
 
 @dataclass(frozen=True)
@@ -149,14 +151,17 @@ def _locate(df: DataFrame, order: Order, hot: list) -> DataFrame:
     """Add the lower bounds (`Order.cells`) of the cell of each row, after the cuts listed in `hot`."""
     at = order.cells
     df = df.withColumns({"_ct": floor_to(F.col(order.ts), order.cell), **{c: F.lit(NO_TIE).cast("bigint") for c in at[1:]}})
-    for cells, n_cells, column, width in hot:
-        marked = cells.withColumn("_hot", F.lit(True))
+    for cells, n_cells in hot:
         if n_cells <= BROADCAST_ROWS:
-            marked = F.broadcast(marked)
-        df = df.join(marked, [*order.keys, *at], "left")
-        finer = floor_to(F.col(column).cast("bigint"), width)
-        target = at[order.columns.index(column)]
-        df = df.withColumn(target, F.when(F.col("_hot"), finer).otherwise(F.col(target))).drop("_hot")
+            cells = F.broadcast(cells)
+        df = df.join(cells, [*order.keys, *at], "left")
+        for i, (column, target) in enumerate(zip(order.columns, at)):
+            if dict(df.dtypes)[column] in WHOLE:
+                x = F.col(column).cast("bigint")
+                finer = F.when(F.col("_width") == WIDEST, floor_to(x, WIDEST)).otherwise(x - F.pmod(x - F.col("_base"), F.col("_width")))
+                # a null tie breaker comes first
+                df = df.withColumn(target, F.when(F.col("_cut") == i, F.coalesce(finer, F.lit(NO_TIE).cast("bigint"))).otherwise(F.col(target)))
+        df = df.drop("_cut", "_base", "_width")
     return df
 
 
@@ -166,17 +171,18 @@ def layout(df: DataFrame, order: Order = DEFAULT) -> Layout:
     at = order.cells
     narrow = df.select(*keys, *order.columns)
 
+    types = dict(narrow.dtypes)
+    ranges = []
+    for i, c in enumerate(order.columns):
+        x = F.col(c).cast("bigint") if types[c] in WHOLE else F.xxhash64(c)  # of others only whether they vary
+        ranges += [F.min(x).alias(f"_min{i}"), F.max(x).alias(f"_max{i}"), F.count(c).alias(f"_set{i}")]
+
     def count_cells(hot: list) -> DataFrame:
         located = _locate(narrow, order, hot)
-        return located.groupBy(*keys, *at).agg(F.count(F.lit(1)).alias("_n"))
-
-    sizes = (
-        count_cells([])
-        .groupBy(*keys)
-        .agg(F.sum("_n").alias("rows"))
-        .agg(F.max("rows"), F.sum("rows"))
-        .first()
-    )
+        return cut_lineage(located.groupBy(*keys, *at).agg(F.count(F.lit(1)).alias("_n"), *ranges))
+
+    found = count_cells([])
+    sizes = found.groupBy(*keys).agg(F.sum("_n").alias("rows")).agg(F.max("rows"), F.sum("rows")).first()
     if order.block_rows is None:
         share = (sizes[1] or 0) // (2 * df.sparkSession.sparkContext.defaultParallelism)
         order = order.blocks(min(max(share, BLOCK_ROWS[0]), BLOCK_ROWS[1]))
@@ -184,33 +190,43 @@ def layout(df: DataFrame, order: Order = DEFAULT) -> Layout:
         return Layout(order, None, 0, [])
 
     limit = max(order.block_rows // 16, 1)
-    steps = []
-    width = order.cell
-    while width > 1:
-        width = max(width // 60, 1)
-        steps.append((order.ts, width))
-    types = dict(narrow.dtypes)
-    steps += [(tie, w) for tie in order.ties if types[tie] in ("bigint", "int", "smallint", "tinyint") for w in TIE_WIDTHS]
+    cut, low, span = F.lit(None).cast("int"), F.lit(None).cast("bigint"), F.lit(None).cast("double")
+    for i in reversed(range(len(order.columns))):
+        lo, hi, there = F.col(f"_min{i}"), F.col(f"_max{i}"), F.col(f"_set{i}")
+        varies = F.coalesce(lo < hi, F.lit(False)) | ((there > 0) & (there < F.col("_n")))
+        cut, low = F.when(varies, i).otherwise(cut), F.when(varies, lo).otherwise(low)
+        span = F.when(varies, hi.cast("double") - lo.cast("double") + 1).otherwise(span)
+    pieces = F.ceil(2 * F.col("_n") / F.lit(limit))
+    width = F.when(span >= float(WIDEST), F.lit(WIDEST)).otherwise(F.greatest(F.ceil(span / pieces), F.lit(1)).cast("bigint"))
+    fixed = [i for i, c in enumerate(order.columns) if types[c] not in WHOLE]
     hot: list = []
     while True:
-        counted = cut_lineage(count_cells(hot))
-        full = counted.filter(F.col("_n") > limit).select(*keys, *at)
+        full = found.filter((F.col("_n") > limit) & F.col("_ct").isNotNull())
+        full = cut_lineage(full.select(*keys, *at, cut.alias("_cut"), low.alias("_base"), width.alias("_width")))
         n_full = full.count()
         if n_full == 0:
             break
-        if len(hot) == len(steps):
+        if not full.filter(F.col("_cut").isNull() | F.col("_cut").isin(fixed)).isEmpty():
             raise ValueError(f"over {limit} rows share one {order.ts} and {order.ties}: add a tie breaker")
-        hot.append((full, n_full, *steps[len(hot)]))
-
-    ordered = Window.partitionBy(*keys).orderBy(*at)
+        hot.append((full, n_full))
+        found = count_cells(hot)
+
+    # places are summed in each first cell, and over those
+    coarse = F.coalesce(floor_to(F.col("_ct"), order.cell), F.lit(NO_TIE).cast("bigint"))
+    found = found.select(*keys, *at, "_n", coarse.alias("_first"))
+    sums = found.groupBy(*keys, "_first").agg(F.sum("_n").alias("_sum"))
+    past = Window.partitionBy(*keys).orderBy("_first").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(*keys, "_first", F.coalesce(F.sum("_sum").over(past), F.lit(0)).alias("_past"), F.sum("_sum").over(Window.partitionBy(*keys)).alias("_total"))
+    inside = Window.partitionBy(*keys, "_first").orderBy(*at).rowsBetween(Window.unboundedPreceding, 0)
     block = Window.partitionBy(*keys, "_blk")
     cells = (
-        counted.withColumn("_end", F.sum("_n").over(ordered))
+        join_small(found, sums, [*keys, "_first"])
+        .withColumn("_end", F.sum("_n").over(inside) + F.col("_past"))
         .withColumn("_off", F.col("_end") - F.col("_n"))
-        .withColumn("_total", F.sum("_n").over(Window.partitionBy(*keys)))
         .withColumn("_blk", F.floor(F.col("_off") / F.lit(order.block_rows)).cast("bigint"))
         .withColumn("_lo", F.min("_off").over(block))
         .withColumn("_hi", F.max("_end").over(block))
+        .drop("_first", "_past")
     )
     cells = cut_lineage(cells)
     return Layout(order, cells, cells.count(), hot)

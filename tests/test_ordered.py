@@ -144,3 +144,21 @@ def test_next_value_needs_no_frame_to_the_last_row(spark, rows, block_rows):
     after = F.first(x, ignorenulls=True)
     wanted = rows.withColumns({"nxt": after.over(w.rowsBetween(0, Window.unboundedFollowing)), "past": after.over(w.rowsBetween(1, Window.unboundedFollowing))})
     assert sorted(map(str, got.collect())) == sorted(map(str, wanted.select(got.columns).collect()))
+
+
+def test_cells_follow_the_rows_not_the_range(spark):
+    """Days as in lineitem: one microsecond of each has all its rows, whose order keys lie far apart."""
+    df = spark.range(6000).selectExpr("'A' as symbol", "id % 5 * 86400000000 as ts", "id * 1000003 as seq")
+    plan = layout(df, Order(block_rows=160, cell=31 * 86_400_000_000))
+    assert len(plan.hot) <= 3
+    assert 6000 / 10 <= plan.n_cells <= 6000 / 10 * 4
+    assert plan.cells.agg(F.max("_n")).first()[0] <= 10
+    assert sorted(r.rn for r in row_index(df, plan.order, plan=plan).collect()) == list(range(1, 6001))
+
+
+def test_null_ties_come_first_in_hot_cells(spark):
+    df = spark.range(300).selectExpr("'A' as symbol", "bigint(7) as ts", "case when id % 50 <> 0 then id - 9223372036854775807 + (id % 2) * 9000000000000000000 end as seq", "id")
+    df = df.where("seq is not null or id < 3")
+    got = {r.id: r.rn for r in row_index(df, Order(block_rows=32)).collect()}
+    wanted = df.withColumn("rn", F.row_number().over(plain())).collect()
+    assert got == {r.id: r.rn for r in wanted}
