@@ -28,8 +28,9 @@ def signals(spark, sf):
     )
 
 
-@query("decisions", with_ctes(TRADES, """select symbol, ts, seq, case when r > 0.001 then 'BUY' when r < -0.001 then 'SELL' else 'HOLD' end as action, r as error from (
- select *, floor((nxt - price) / nullif(price, 0) * 1e6::double + 0.5003::double) / 1e6::double as r from (select *, lead(price) over (partition by symbol order by ts, seq) as nxt from trades))"""))
+@query("decisions", with_ctes(TRADES, """select symbol, ts, seq, case when move > 0.001::double then 'BUY' when move < -0.001::double then 'SELL' else 'HOLD' end as action,
+ floor(move * 1e6::double + 0.5003::double) / 1e6::double as error from (
+ select *, (nxt - price) / nullif(price, 0) as move from (select *, lead(price) over (partition by symbol order by ts, seq) as nxt from trades))"""))
 def decisions(spark, sf):
     """BUY, SELL or HOLD by the move to the next price, and the relative error."""
     t = over_rows(trades(spark, sf), lambda d, w: d.withColumn("nxt", F.lead("price").over(w)), ahead=1)

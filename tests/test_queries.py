@@ -24,3 +24,21 @@ def test_query_equals_sql(spark, name):
 def test_contract(spark):
     assert set(contract.oracle_sql()) <= set(contract.queries())
     assert contract.entry(spark).columns == ["symbol", "bucket", "open", "high", "low", "close", "volume", "vwap", "number_of_trades"]
+
+
+def test_decisions_and_sql_compare_the_move_itself(spark, tmp_path):
+    """Moves just past the threshold, which the six digits of the error do not show."""
+    import duckdb
+
+    prices = [1000.0, 1001.0002, 1000.0, 998.9998, 1000.0, 1001.0, 0.0, 5.0]
+    rows = [(i, f"2024-01-01 00:00:{i:02d}", 2 * i, "a", p, '{"k": 1}') for i, p in enumerate(prices)]
+    df = spark.createDataFrame(rows, "event_id bigint, ts string, user_id bigint, event_type string, value double, props string")
+    df.selectExpr("event_id", "cast(ts as timestamp_ntz) as ts", "user_id", "event_type", "value", "props").write.parquet(f"{tmp_path}/events.parquet")
+    got = contract.queries()["decisions"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
+    found = con.execute(contract.oracle_sql()["decisions"])
+    names = [d[0] for d in found.description]
+    assert sorted(map(tuple, got.select(names).collect()), key=str) == sorted(found.fetchall(), key=str)
+    actions = [r.action for r in got.orderBy("seq").collect()]
+    assert actions == ["BUY", "HOLD", "SELL", "BUY", "HOLD", "SELL", "HOLD", "HOLD"]
