@@ -273,13 +273,13 @@ def rolling_features(
     return over_rows(df, build, order, back=max(windows) - 1)
 
 
-def forward_fill(df: DataFrame, columns: list[str], order: Order = DEFAULT) -> DataFrame:
+def forward_fill(df: DataFrame, columns: list[str], order: Order = DEFAULT, plan=None) -> DataFrame:
     """Replace nulls by the last known value of the key."""
-    filled = running(df, {f"_f_{c}": ("last", F.col(c)) for c in columns}, order)
+    filled = running(df, {f"_f_{c}": ("last", F.col(c)) for c in columns}, order, plan=plan)
     return filled.withColumns({c: F.col(f"_f_{c}") for c in columns}).drop(*[f"_f_{c}" for c in columns])
 
 
-def backward_fill(df: DataFrame, columns: list[str], order: Order = DEFAULT) -> DataFrame:
+def backward_fill(df: DataFrame, columns: list[str], order: Order = DEFAULT, plan=None) -> DataFrame:
     """Replace nulls by the next known value of the key."""
-    filled = running(df, {f"_f_{c}": ("first", F.col(c)) for c in columns}, order)
+    filled = running(df, {f"_f_{c}": ("first", F.col(c)) for c in columns}, order, plan=plan)
     return filled.withColumns({c: F.col(f"_f_{c}") for c in columns}).drop(*[f"_f_{c}" for c in columns])

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from microbook.functions.names import ladder
 from microbook.operators import features
-from microbook.plans.ordered import DEFAULT, Order, over_rows
+from microbook.plans.ordered import DEFAULT, Order, layout, over_rows
 from microbook.queries.registry import query, snap_sql, snapped, with_ctes
 from microbook.queries.tables import CLEAN, TRADES, clean_rows, trades
 
@@ -241,7 +241,8 @@ def fill_forward_backward(spark, sf):
     """Nulls filled from before and from after."""
     df = trades(spark, sf).select(*ID, F.when(F.col("seq") % 3 == 0, F.col("price")).alias("fwd"))
     df = df.withColumn("bwd", F.col("fwd"))
-    return features.backward_fill(features.forward_fill(df, ["fwd"]), ["bwd"])
+    plan = layout(df)
+    return features.backward_fill(features.forward_fill(df, ["fwd"], plan=plan), ["bwd"], plan=plan)
 
 
 @query("fill_blocks", with_ctes(TRADES + ", " + HOLES, """select symbol, ts, seq,
@@ -252,4 +253,5 @@ def fill_blocks(spark, sf):
     order = Order(block_rows=64)
     df = trades(spark, sf).select(*ID, F.when(F.col("seq") % 3 == 0, F.col("price")).alias("fwd"))
     df = df.withColumn("bwd", F.col("fwd"))
-    return features.backward_fill(features.forward_fill(df, ["fwd"], order), ["bwd"], order)
+    plan = layout(df, order)
+    return features.backward_fill(features.forward_fill(df, ["fwd"], order, plan), ["bwd"], order, plan)
