@@ -11,21 +11,25 @@ import math
 import operator
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from microbook.functions.quantiles import exact_quantiles
 from microbook.llm.common import columns, whole
+from microbook.session import BROADCAST_ROWS, cut_lineage
 
-SAMPLE = 20_000  # labelled documents fitted on, at most; the only bound here
+GROUP = 2048  # distinct documents of the larger class that are paired together
 OPPONENTS = 4  # pairs per document of the larger class
 CUT = 0.3  # the score at the threshold
 PENALTY = 1e-3
 
 NAMES = ("words", "symbols", "bangs", "bars", "capitals", "repeats", "distinct", "pairs", "letters", "short", "stops", "commas",
          "digits", "same_lines", "lines")
+XS = [f"x{i}" for i in range(len(NAMES))]
 
 
 def features(text: str) -> list[float]:
@@ -126,23 +130,104 @@ def sampled(labels: DataFrame, sample: int) -> DataFrame:
     return near.where(F.col("_step") < cut).drop("_step")
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ranking:
-    """Fit on at most `sample` labelled documents outside the held-out fold, chosen by a hash of their id.
+def nodes(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """good, x0.. and n: the distinct features of all labelled documents outside the held-out fold, with their number of labels.
 
-    Null labels and labels without a document do not count. Only the sample's features come to the driver.
+    Null labels and labels without a document do not count. Texts are not shuffled.
     """
-    rows = columns(docs, doc_id="doc_id", text="text").join(F.broadcast(sampled(labels, sample)), "doc_id")
+    known = columns(labels, doc_id="doc_id", good="quality").where(fold(F.col("doc_id")) != 0).where("good is not null")
+    known = cut_lineage(known.select("doc_id", (F.col("good") == 1).alias("good")))
+    rows = columns(docs, doc_id="doc_id", text="text").where(fold(F.col("doc_id")) != 0)
+    few = known.count() <= BROADCAST_ROWS
+    if few:
+        rows = rows.join(F.broadcast(known), "doc_id")
+    kept = ["good"] if few else ["doc_id"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"good": batch["good"] == 1, "x": [features(t or "") for t in batch["text"]]})
+            x = np.array([features(t or "") for t in batch["text"]]).reshape(len(batch), len(NAMES))
+            yield pd.concat([batch[kept].reset_index(drop=True), pd.DataFrame(x, columns=XS)], axis=1)
+
+    fixed = ", ".join(f"{k} {t}" for k, t in rows.dtypes if k in kept)
+    found = rows.select(*kept, "text").mapInPandas(run, f"{fixed}, " + ", ".join(f"{x} double" for x in XS))
+    if not few:
+        found = found.join(known, "doc_id")
+    return cut_lineage(found.groupBy("good", *XS).agg(F.count(F.lit(1)).alias("n")))
+
+
+def paired(found: DataFrame, mean: np.ndarray, spread: np.ndarray, size: int = GROUP) -> DataFrame:
+    """Matrices of pairs, a row each: standardised features of the better one less those of the worse one, and the pair's weight.
+
+    Both classes are dealt into groups by a hash. In a group each document of the larger class meets `OPPONENTS` of the other, and
+    each of that is met. Of a small class each document is in several groups, so that some 32 are in each, or all. A pair weighs the
+    product of its copies.
+    """
+    sizes = {r["good"]: r["count"] for r in found.groupBy("good").count().collect()}
+    groups = -(-max(sizes.values()) // size)
+    times = {good: min(groups, -(-32 * groups // n)) for good, n in sizes.items()}
+    at = F.pmod(F.xxhash64(*XS), F.lit(groups))
+    places = F.when(F.col("good"), F.sequence(F.lit(0), F.lit(times[True] - 1))).otherwise(F.sequence(F.lit(0), F.lit(times[False] - 1)))
+    stride = F.when(F.col("good"), groups // times[True]).otherwise(groups // times[False])
+    dealt = found.select("good", *XS, "n", F.explode(F.transform(places, lambda k: F.pmod(at + k * stride, F.lit(groups)))).alias("g"))
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values([*XS])  # the same sums on any partitioning
+        z, n, good = (part[XS].to_numpy() - mean) / spread, part["n"].to_numpy(float), part["good"].to_numpy(bool)
+        if not good.any() or good.all():
+            return pd.DataFrame({"d": []}, dtype=object)
+        up, down = np.flatnonzero(good), np.flatnonzero(~good)
+        most = max(len(up), len(down))
+        i = np.arange(OPPONENTS * most)
+        a, b = up[i % len(up)], down[(i + i // most) % len(down)]
+        return pd.DataFrame({"d": [np.column_stack([z[a] - z[b], n[a] * n[b]]).tobytes()]})
+
+    return cut_lineage(dealt.groupBy("g").applyInPandas(run, "d binary"))
+
+
+def fit_all(pairs: DataFrame, width: int, rounds: int = 60) -> np.ndarray:
+    """`fit_pairs` on all matrices of pairs: a round is one read, of which a gradient and a curvature a matrix come back."""
+    w = np.zeros(width)
+    for _ in range(rounds):
+        def run(batches: Iterator[pd.DataFrame], w: np.ndarray = w) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                out = []
+                for blob in batch["d"]:
+                    m = np.frombuffer(blob).reshape(-1, width + 1)
+                    d, n = m[:, :-1], m[:, -1]
+                    p = 1 / (1 + np.exp(np.clip(d @ w, -500, 500)))
+                    out.append([n.sum(), *(d.T @ (p * n)), *((d * (p * (1 - p) * n)[:, None]).T @ d).ravel()])
+                yield pd.DataFrame({"v": out})
+
+        parts = [r["v"] for r in pairs.mapInPandas(run, "v array<double>").collect()]
+        if not parts:
+            return w
+        total = np.array([math.fsum(v) for v in zip(*parts)])  # exact, so in any order
+        gradient = -total[1:width + 1] / total[0] + PENALTY * w
+        step = np.linalg.solve(total[width + 1:].reshape(width, width) / total[0] + PENALTY * np.eye(width), gradient)
+        step *= min(1.0, 4 / max(1e-12, float(np.abs(step).max())))
+        w = w - step
+        if np.abs(step).max() < 1e-7:
+            break
+    return w
+
 
-    found = rows.select("text", "good").mapInPandas(run, "good boolean, x array<double>").toPandas()
-    if found.empty:
+def fit(docs: DataFrame, labels: DataFrame) -> Ranking:
+    """Fit on all labelled documents outside the held-out fold: means, pairs, weights and threshold are aggregates over them."""
+    found = nodes(docs, labels)
+    exact = [F.sum(F.col(x).cast("decimal(28,18)") * F.col("n")).alias(x) for x in XS]
+    squares = [F.sum((F.col(x) * F.col(x)).cast("decimal(28,18)") * F.col("n")).alias(f"{x}s") for x in XS]
+    one = found.agg(F.sum("n").alias("n"), F.sum(F.when(~F.col("good"), F.col("n"))).alias("bad"), *exact, *squares).first()
+    total, bad = one["n"] or 0, one["bad"] or 0
+    if not bad or bad == total:
         return neutral()
-    x = np.array(found["x"].tolist())
-    order = np.lexsort(x.T)  # the sum of the same numbers in the same order on any partitioning
-    return rank(x[order], found["good"].to_numpy(bool)[order])
+    mean = np.array([float(one[x] / total) for x in XS])
+    spread = np.array([math.sqrt(max(0.0, float(one[f"{x}s"] / total - (one[x] / total) ** 2))) for x in XS])
+    spread[spread < 1e-8] = 1.0
+    w = fit_all(paired(found, mean, spread), len(XS))
+    raw = reduce(operator.add, [(F.col(x) - float(m)) / float(s) * float(v) for x, m, s, v in zip(XS, mean, spread, w)])
+    scores = cut_lineage(found.select(raw.alias("raw"), F.explode(F.sequence(F.lit(1).cast("bigint"), "n"))).select("raw"))
+    cut = exact_quantiles(scores, "raw", {"below": (bad - 1) / (total - 1), "above": bad / (total - 1)}, interpolation="nearest").first()
+    return Ranking(tuple(mean), tuple(spread), tuple(w), (cut["below"] + cut["above"]) / 2)
 
 
 def score(ranking: Ranking, text: str = "text") -> Column:
@@ -157,17 +242,17 @@ def score(ranking: Ranking, text: str = "text") -> Column:
     return scored(whole(text))
 
 
-def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def scored(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted (1 from the threshold on), one row per input row.
 
     The text alone makes the score: repeated texts get the same one, empty and null texts one of their own. A null doc_id is
     in no held-out fold. Without labels of both kinds every score is 0.5.
     """
-    found = docs.select(F.col("doc_id"), score(fit(docs, labels, sample)).alias("score"))
+    found = docs.select(F.col("doc_id"), score(fit(docs, labels)).alias("score"))
     return found.select("doc_id", F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), "score",
                         (F.col("score") >= CUT).cast("int").alias("predicted"))
 
 
-def accepted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents from the threshold on, all their columns."""
-    return docs.where(score(fit(docs, labels, sample)) >= CUT)
+    return docs.where(score(fit(docs, labels)) >= CUT)

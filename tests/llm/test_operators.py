@@ -494,3 +494,24 @@ def test_html_words_equal_a_plain_walk(spark):
         plain.close()
         shown = [w for w in html_text.rendered(html or "").split() if not marks.fullmatch(w)]
         assert sorted("".join(shown)) == sorted("".join(w for w in plain.words if not marks.fullmatch(w)))
+
+
+def test_ranking_learns_from_every_label(spark, monkeypatch):
+    """One label more changes the fit; groups of 40 fit the likelihood of their pairs and the threshold counts all bad documents."""
+    rng = random.Random(4)
+    rows = [(i, sentence(rng, 60 + i % 17) + " !!" * (rng.random() < (0.2 if i % 7 else 0.8)), "a") for i in range(600)]
+    docs = frame(spark, rows)
+    labels = spark.createDataFrame([(i, int(i % 7 > 0)) for i in range(600)], "doc_id bigint, quality int")
+    found = quality.nodes(docs, labels)
+    kept = [i for i in range(600) if __import__("zlib").crc32(str(i).encode()) % 5]
+    assert found.agg(F.sum("n")).first()[0] == len(kept)
+    mean, spread = np.zeros(len(quality.XS)), np.ones(len(quality.XS))
+    pairs = quality.paired(found, mean, spread, 40)
+    m = np.concatenate([np.frombuffer(r.d).reshape(-1, len(quality.XS) + 1) for r in pairs.collect()])
+    assert pairs.count() > 5 and (m[:, -1] == 1).all() and len(m) >= 4 * found.where("good").count()
+    assert np.abs(quality.fit_all(pairs, len(quality.XS)) - quality.fit_pairs(m[:, :-1], np.zeros_like(m[:, :-1]))).max() < 1e-6
+    ranking = quality.fit(docs, labels)
+    x = np.array([quality.features(rows[i][1]) for i in kept])
+    assert (ranking.score(x) < quality.CUT).sum() == sum(i % 7 == 0 for i in kept)
+    assert quality.fit(docs.repartition(5), labels.repartition(3)) == ranking
+    assert quality.fit(docs, labels.where(f"doc_id <> {kept[-1]}")) != ranking
