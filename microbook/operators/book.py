@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from microbook.functions.expr import div, to_double
 from microbook.functions.names import ladder
 from microbook.operators import thinning, trimming
-from microbook.plans.ordered import DEFAULT, Order, counted, floor_to, join_small, layout, over_rows, row_index, running
+from microbook.plans.ordered import DEFAULT, Order, Spec, counted, floor_to, join_small, layout, over_rows, running
 from microbook.session import cut_lineage
 
 TRADE_RANK = 2**62
@@ -133,19 +133,34 @@ def resync_status(df: DataFrame, threshold: int = 5, order: Order = DEFAULT, cro
     the highest seen up to the first row that changes that, a threshold reached or an id that goes back; all epochs settle the rows
     up to there at once and only what follows it is done again, so the number of rounds is that of such rows in one epoch.
     """
+    full, last = F.coalesce(F.col("type") == "snapshot", F.lit(False)), F.col("last_update_id")
+    rows = running(df.withColumn("_full", full), {
+        "_pos": ("count", F.lit(1)), "_epoch": ("count", F.when(F.col("_full"), 1)), "_snap": ("last", F.when(F.col("_full"), last)),
+    }, order)
+    rows = cut_lineage(rows.withColumn("_crossed", F.coalesce(F.col(crossed), F.lit(False)) if crossed else F.lit(False)))
+    return _resynced(rows, df.columns, threshold, order)
+
+
+def _resynced(rows: DataFrame, names: list[str], threshold: int, order: Order) -> DataFrame:
+    """The columns `names` and the status of numbered rows (see `resync_status`), which are read several times.
+
+    `rows` also have _pos, rising with the order in a key; _full and _crossed; _epoch and _snap, the number of full snapshots up to
+    the row and the id of the last one.
+    """
     k, added = [*order.keys, "_epoch"], ["status", "applied", "consecutive_gaps"]
     first, last, prev, pos = (F.col(c) for c in ("first_update_id", "last_update_id", "prev_update_id", "_pos"))
-    full = F.coalesce(F.col("type") == "snapshot", F.lit(False))
-    names = df.columns
-    rows = row_index(df.withColumn("_full", full), order, "_pos")
-    rows = running(rows, {"_epoch": ("count", F.when(F.col("_full"), 1)), "_snap": ("last", F.when(F.col("_full"), last))}, Order(order.keys, "_pos", (), order.block_rows))
-    rows = cut_lineage(rows.withColumn("_crossed", F.coalesce(F.col(crossed), F.lit(False)) if crossed else F.lit(False)))
     by = Order(tuple(k), "_pos", (), order.block_rows)
     zero = F.lit(0).cast("bigint")
     done = [rows.where("_full").withColumns({"status": F.lit("snapshot"), "applied": F.lit(True), "consecutive_gaps": zero})]
     starts = rows.groupBy(*k).agg(F.min(F.when(F.col("_full"), pos)).alias("_from"), F.max("_snap").alias("_base"))
     starts = starts.select(*k, F.coalesce("_from", zero).alias("_from"), "_base", zero.alias("_count"))
     rest = rows.where("not _full")
+    # every round has some of these rows
+    plan = layout(rest, by)
+
+    def stored(d: DataFrame) -> DataFrame:
+        # block totals read their rows a second time; plain windows of one order share a shuffle and a sort
+        return d if plan.single else cut_lineage(d)
 
     def yes(c: Column) -> Column:
         return F.coalesce(c, F.lit(False))
@@ -155,15 +170,14 @@ def resync_status(df: DataFrame, threshold: int = 5, order: Order = DEFAULT, cro
         starts = counted(starts)
         if not starts.count():
             break
-        live = cut_lineage(rest.join(starts, k).where(pos > F.col("_from")))
-        plan = layout(live, by)
+        live = stored(rest.join(starts, k).where(pos > F.col("_from")))
         live = running(live, {"_max": ("max", last)}, by, exclusive=True, plan=plan)
         seen = F.greatest("_max", "_base")
         status = F.when(seen.isNull(), "first").when(yes(prev == seen), "ok").when(bridge, "bridge").when(yes(last <= seen), "old").otherwise("gap")
         live = live.withColumns({"_seen": seen, "status": status})
         fresh = F.col("status").isin("first", "ok", "bridge")
         live = running(live, {"_gaps": ("count", F.when(F.col("status") == "gap", 1))}, by, plan=plan)
-        live = cut_lineage(live.withColumn("_reset", fresh & ~F.col("_crossed")))
+        live = stored(live.withColumn("_reset", fresh & ~F.col("_crossed")))
         live = running(live, {"_at": ("max", F.when(F.col("_reset"), F.col("_gaps")))}, by, plan=plan)
         live = live.withColumn("consecutive_gaps", F.when(F.col("_at").isNull(), F.col("_count") + F.col("_gaps")).otherwise(F.col("_gaps") - F.col("_at")))
         stuck = (F.col("status") == "gap") & (F.col("consecutive_gaps") >= threshold)
@@ -183,7 +197,7 @@ def resync_status(df: DataFrame, threshold: int = 5, order: Order = DEFAULT, cro
         frozen = held.join(ends, k, "left").where(F.col("_end").isNull() | (pos <= F.col("_end._pos")))
         leaves = F.coalesce(pos == F.col("_end._pos"), F.lit(False))
         frozen = frozen.withColumn("status", F.when(leaves, F.col("_end.status")).when(yes(last <= F.col("_held")), "old").otherwise("gap")).withColumn("applied", leaves)
-        frozen = running(frozen, {"_more": ("count", F.when(F.col("status") == "gap", 1))}, by)
+        frozen = running(frozen, {"_more": ("count", F.when(F.col("status") == "gap", 1))}, by, plan=plan)
         count = F.when(leaves & ~F.col("_crossed"), zero).otherwise(F.col("_n") - 1 + F.col("_more"))
         frozen = cut_lineage(frozen.withColumn("consecutive_gaps", count))
         done.append(frozen)
@@ -420,11 +434,11 @@ def greedy_ticks(
     return join_small(events, kept, [*order.keys, "pos"]).select(*events.columns)
 
 
-def trade_state(events: DataFrame, order: Order = DEFAULT, plan=None) -> DataFrame:
+def trade_state(events: DataFrame, order: Order = DEFAULT, plan=None, more: Spec | None = None) -> DataFrame:
     """Last trade and cumulative taker volumes as of each event.
 
     Needs trade_px, trade_qty and buyer_is_maker, null on other events. A maker buyer means the
-    taker sold. Volumes never reset.
+    taker sold. Volumes never reset. `more` are running aggregates to take in the same pass.
     """
     qty, maker = F.col("trade_qty"), F.col("buyer_is_maker")
     out = running(events, {
@@ -432,6 +446,7 @@ def trade_state(events: DataFrame, order: Order = DEFAULT, plan=None) -> DataFra
         "last_trade_qty": ("last", qty),
         "taker_buy_vol": ("sum", F.when(~maker, qty)),
         "taker_sell_vol": ("sum", F.when(maker, qty)),
+        **(more or {}),
     }, order, plan=plan)
     return out.withColumns({c: F.coalesce(c, F.lit(0.0)) for c in ("taker_buy_vol", "taker_sell_vol")})
 
@@ -450,24 +465,26 @@ def reconstruct(
     if emit not in ("grid", "greedy"):
         raise ValueError(f"unknown way to emit {emit!r}")
     order = Order(EVENTS.keys, EVENTS.ts, EVENTS.ties, block_rows)
+    trade, full, last = F.col("trade"), F.col("type") == "snapshot", F.col("last_update_id")
     events = with_event_seq(with_symbol(raw)).filter(F.col("type").isin("depth", "trade", "snapshot"))
-    plan = layout(events, order)
-    events = row_index(events, order, "pos", plan=plan)
-    trade = F.col("trade")
     events = events.withColumns({
         "trade_px": to_double(trade["price"]), "trade_qty": to_double(trade["quantity"]),
         "buyer_is_maker": trade["buyer_is_maker"],
     })
-    events = trade_state(events, order, plan)
-    events = running(events, {
-        "epoch": ("count", F.when(F.col("type") == "snapshot", F.lit(1))),
-        "update_id": ("last", F.col("last_update_id")),
-    }, order, plan=plan)
-    # numbered once, read by the ticks, the level changes and the carried levels
+    # the records are read once: blocks are measured, totalled and numbered from here
     events = cut_lineage(events.drop("trade", "liquidation", "kline", "meta"))
+    events = trade_state(events, order, more={
+        "pos": ("count", F.lit(1)), "epoch": ("count", F.when(full, 1)), "update_id": ("last", last),
+        "_snap": ("last", F.when(full, last)),
+    })
+    # numbered once, read by the ticks, the level changes and the carried levels
+    events = cut_lineage(events)
     updates = events.filter(F.col("type") != "trade")
     if threshold is not None:
-        updates = resync_status(updates, threshold, Order(("symbol",), "pos", (), block_rows)).filter("applied")
+        levels = ["symbol", "epoch", "pos", "bids", "asks"]
+        rows = updates.select(*levels, "first_update_id", "last_update_id", "prev_update_id", "_snap", F.col("pos").alias("_pos"),
+                              F.col("epoch").alias("_epoch"), full.alias("_full"), F.lit(False).alias("_crossed"))
+        updates = _resynced(rows, levels, threshold, Order(("symbol",), "pos", (), block_rows)).filter("applied")
     deltas = cut_lineage(explode_levels(updates, "symbol", "epoch", "pos"))
     if max_depth is not None:
         deltas = cut_lineage(trimming.trim_levels(deltas, max_depth, ("symbol", "epoch"), block))

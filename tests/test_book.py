@@ -225,3 +225,18 @@ def test_reconstruction_leaves_out_old_updates_and_gaps_past_the_threshold(spark
     best = [r.bid_px_01 for r in book.reconstruct(df, 1000, 2, threshold=2).orderBy("ts").collect()]
     assert best == [1.0, 1.5, 1.5, 1.5]
     assert [r.bid_px_01 for r in book.reconstruct(df, 1000, 2, threshold=None).orderBy("ts").collect()] == [1.0, 1.5, 1.7, 1.8]
+
+
+@pytest.mark.parametrize("block_rows", [None, 64])
+def test_reconstruction_reads_the_records_once(spark, block_rows):
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = [(*r, None) for r in raw([(10 * i, "bid" if i % 2 else "ask", (1.0 if i % 2 else 2.0) + i % 5 / 10, 5.0) for i in range(1, 301)])]
+    df = spark.createDataFrame(rows, RAW)
+    out = book.reconstruct(df.mapInArrow(counted, df.schema), 100, 2, block=64, block_rows=block_rows, max_depth=None)
+    assert len(out.collect()) == 31 and read.value == 300
