@@ -249,8 +249,8 @@ def level_intervals(deltas: DataFrame, pos: str = "u", keys: tuple[str, ...] = (
     return out.select(*keys, "side", "price", "size", F.col(pos).alias("valid_from"), "valid_to")
 
 
-def _block_intervals(deltas: DataFrame, ends: DataFrame, keys: list[str], block: int) -> DataFrame:
-    """Level intervals cut at block borders: those opened in a block, and those open before it."""
+def _block_intervals(deltas: DataFrame, ends: DataFrame, keys: list[str], block: int, depth: int) -> DataFrame:
+    """Level intervals cut at block borders: those opened in a block, and those open before it that its ticks can reach."""
     at = [*keys, "side", "price"]
     d = deltas.withColumn("blk", F.floor(F.col("pos") / F.lit(block)).cast("bigint"))
     d = d.withColumn("_to", F.lead("pos").over(Window.partitionBy(*keys, "blk", "side", "price").orderBy("pos")))
@@ -274,7 +274,7 @@ def _block_intervals(deltas: DataFrame, ends: DataFrame, keys: list[str], block:
         *at, "size", "blk", (F.col("blk") * block).alias("lo"),
         F.when(F.col("blk") == F.col("_next"), F.col("_touch")).otherwise(border).alias("hi"),
     )
-    return inside.unionByName(carried)
+    return inside.unionByName(_in_reach(carried, keys, block, depth))
 
 
 def book_at(
@@ -293,8 +293,9 @@ def book_at(
     if more:  # they are read three times
         ticks = cut_lineage(ticks)
     ends = ticks.groupBy(*k).agg(F.max("blk").alias("_last"))
-    levels = _block_intervals(deltas.select(*k, "pos", "side", "price", "size"), ends, k, block)
-    t, v = ticks.select(*at).alias("t"), _in_reach(levels, k, block, depth).alias("v")
+    levels = _block_intervals(deltas.select(*k, "pos", "side", "price", "size"), ends, k, block, depth)
+    # few ticks go to the intervals, so those are not moved once more
+    t, v = (counted(ticks.select(*at)) if more else ticks.select(*at)).alias("t"), levels.alias("v")
     same = [F.col(f"t.{c}") == F.col(f"v.{c}") for c in [*k, "blk"]]
     inside = (F.col("t.pos") >= F.col("v.lo")) & (F.col("t.pos") < F.col("v.hi"))
     held = t.join(v, [*same, inside], "inner" if more else "left").select("t.*", "v.side", "v.price", "v.size")
@@ -323,7 +324,7 @@ def _in_reach(levels: DataFrame, keys: list[str], block: int, depth: int) -> Dat
     """Of the levels open through a whole block only the best `depth` a side: the others are behind those at every tick of it."""
     through = (F.col("lo") == F.col("blk") * block) & (F.col("hi") == (F.col("blk") + 1) * block)
     ranks = Window.partitionBy(*keys, "blk", "side", "_through").orderBy(_distance())
-    ranked = levels.withColumn("_through", through).repartition(*keys, "blk").withColumn("_rank", F.row_number().over(ranks))
+    ranked = levels.withColumn("_through", through).withColumn("_rank", F.row_number().over(ranks))
     return ranked.filter(~F.col("_through") | (F.col("_rank") <= depth)).drop("_through", "_rank")
 
 

@@ -42,6 +42,11 @@ TRADES = """trades as (
 
 def deltas(spark: SparkSession, sf: str, order: Order = DEFAULT, price: Column | None = None) -> DataFrame:
     """One level change per event; `u` numbers the changes of a symbol. `price` replaces the twelve prices a side."""
+    return row_index(changes(spark, sf, price), order, "u")
+
+
+def changes(spark: SparkSession, sf: str, price: Column | None = None) -> DataFrame:
+    """The rows of `deltas` without their number."""
     e = read(spark, sf, "events")
     k = F.get_json_object("props", "$.k").cast("bigint")
     slot = F.col("user_id") % 12
@@ -49,7 +54,7 @@ def deltas(spark: SparkSession, sf: str, order: Order = DEFAULT, price: Column |
     side = F.when(bid, "bid").otherwise("ask")
     away = slot.cast("double") * 0.5
     gone = (k % 7 == 0) | ((slot == 0) & (k % 3 != 0))
-    rows = e.select(
+    return e.select(
         F.col("event_type").alias("symbol"), to_micros(F.col("ts")).alias("ts"), F.col("event_id").alias("seq"),
         side.alias("side"),
         (F.when(bid, F.lit(100.0) - away).otherwise(F.lit(100.0) + away) if price is None else price).alias("price"),
@@ -57,7 +62,6 @@ def deltas(spark: SparkSession, sf: str, order: Order = DEFAULT, price: Column |
         F.col("value").alias("trade_px"), k.cast("double").alias("trade_qty"),
         (F.col("user_id") % 2 == 0).alias("buyer_is_maker"),
     )
-    return row_index(rows, order, "u")
 
 
 DELTAS = """deltas as (
@@ -104,7 +108,7 @@ def build_snapshots(
 
     `emit` may also be greedy (an hour from the last one taken), or any (the first event of the hour whatever its book).
     """
-    d = cut_lineage(book.trade_state(deltas(spark, sf, order), order).withColumnRenamed("u", "pos"))
+    d = cut_lineage(book.trade_state(changes(spark, sf), order, more={"pos": ("count", F.lit(1))}))
     events = d.select("symbol", "ts", "seq", "pos", "last_trade_px", "last_trade_qty", "taker_buy_vol", "taker_sell_vol")
     if emit == "any":
         ticks = book.grid_ticks(events, HOUR, order)

@@ -5,6 +5,8 @@ import os
 import pytest
 
 import __spark_entry__ as contract
+from microbook.plans import ordered
+from microbook.queries import tables
 from tools.check import compare
 
 SF = "/root/testdata/sf0.001"
@@ -42,3 +44,9 @@ def test_decisions_and_sql_compare_the_move_itself(spark, tmp_path):
     assert sorted(map(tuple, got.select(names).collect()), key=str) == sorted(found.fetchall(), key=str)
     actions = [r.action for r in got.orderBy("seq").collect()]
     assert actions == ["BUY", "HOLD", "SELL", "BUY", "HOLD", "SELL", "HOLD", "HOLD"]
+
+
+def test_snapshots_measure_the_changes_once(spark, monkeypatch):
+    taken, layout = [], ordered.layout
+    monkeypatch.setattr(ordered, "layout", lambda df, *more: taken.append(df.columns) or layout(df, *more))
+    assert tables.build_snapshots(spark, SF).count() > 0 and len(taken) == 1
