@@ -73,7 +73,7 @@ def book_trimmed_intervals(spark, sf):
     away = F.col("user_id").cast("double") * 0.5
     price = F.when(F.col("event_id") % 2 == 0, 100.0 - away).otherwise(100.0 + away)
     wide = deltas(spark, sf, price=price).withColumnRenamed("u", "pos")
-    trimmed = trimming.trim_levels(wide, 100, block=512)
+    trimmed = trimming.trim_levels(wide, 100, block=512, idle=False)
     return book.level_intervals(trimmed.withColumnRenamed("pos", "u"))
 
 
